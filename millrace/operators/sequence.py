@@ -122,8 +122,10 @@ def sequence_ids(
 ) -> DataFrame:
     """Add a 1..n bigint column per entry of `orders`: {id name: ascending order columns}, NULL first.
 
-    Counts and samples `df` when called; the numbering itself is lazy. Rows equal in all order
-    columns get their ids in no fixed order, so add a tie-breaker where ids must be reproducible.
+    Counts and samples `df` when called; the numbering itself is lazy. All passes but the last read
+    only the leading keys, which is cheap for files; `stage` an input that is costly to compute.
+    Rows equal in all order columns get their ids in no fixed order, so add a tie-breaker where
+    ids must be reproducible.
     """
     rows = df.count()
     if buckets is None:

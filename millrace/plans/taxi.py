@@ -23,7 +23,7 @@ from millrace.functions import (
     to_timestamp,
 )
 from millrace.operators import sequence_ids
-from millrace.sources import read_parquet, stage, write_connector, write_parquet
+from millrace.sources import read_parquet, stage, write_parquet
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -151,19 +151,19 @@ def transform_staged(
     return split(stage(numbered.select(*needed), "numbered"), variant)
 
 
+# Names of the two warehouse tables.
+TABLES = ("nyc_taxi_trip", "nyc_taxi_payment")
+
+# Writes a frame to a named table, for example with `sources.write_connector`.
+Save = Callable[[DataFrame, str], None]
+
+
 def transform_and_load(
-    spark: SparkSession,
-    source: str,
-    fmt: str,
-    trip_table: str,
-    payment_table: str,
-    options: Mapping[str, str] | None = None,
-    **transform_options: object,
+    spark: SparkSession, source: str, save: Save, tables: Sequence[str] = TABLES, **options: object
 ) -> None:
     """The scheduled job in one go: Parquet in, two warehouse tables out."""
-    tables = transform_staged(read_parquet(spark, source), VARIANT_B, **transform_options)
-    write_connector(tables.trip, fmt, trip_table, options)
-    write_connector(tables.payment, fmt, payment_table, options)
+    for df, name in zip(transform_staged(read_parquet(spark, source), **options), tables, strict=True):
+        save(df, name)
 
 
 def extract(spark: SparkSession, source: str, target: str) -> None:
@@ -177,22 +177,17 @@ def transform_files(
     trip_path: str,
     payment_path: str,
     variant: Variant = VARIANT_A,
-    **transform_options: object,
+    **options: object,
 ) -> None:
     """Stage 2: extracted trips to a trip and a payment file set."""
-    tables = transform_staged(read_parquet(spark, source), variant, **transform_options)
+    tables = transform_staged(read_parquet(spark, source), variant, **options)
     write_parquet(tables.trip, trip_path)
     write_parquet(tables.payment, payment_path)
 
 
 def load(
-    spark: SparkSession,
-    trip_path: str,
-    payment_path: str,
-    save: Callable[[DataFrame, str], None],
-    trip_table: str = "nyc_taxi_trip",
-    payment_table: str = "nyc_taxi_payment",
+    spark: SparkSession, trip_path: str, payment_path: str, save: Save, tables: Sequence[str] = TABLES
 ) -> None:
-    """Stage 3: hand both file sets to `save(frame, table)`, such as a connector write."""
-    save(read_parquet(spark, trip_path), trip_table)
-    save(read_parquet(spark, payment_path), payment_table)
+    """Stage 3: hand both file sets to the warehouse."""
+    for path, name in zip((trip_path, payment_path), tables, strict=True):
+        save(read_parquet(spark, path), name)
