@@ -72,13 +72,19 @@ def convert_currency(amount: Column, rate: float = DEFAULT_RATE) -> Column:
     return amount * F.lit(float(rate))
 
 
+def _try_integer(col: Column, kind: str, limit: float) -> Column:
+    """Truncating cast, NULL beyond `limit`: a failing cast costs many times the comparison."""
+    return F.when(col.try_cast("double").between(-limit - 1, limit), col.try_cast(kind))
+
+
 def to_int(col: Column) -> Column:
     """Truncating cast; NULL where the value does not fit."""
-    return col.try_cast("int")
+    return _try_integer(col, "int", 2.0**31)
 
 
 def to_bigint(col: Column) -> Column:
-    return col.try_cast("bigint")
+    """Truncating cast; NULL where the value does not fit."""
+    return _try_integer(col, "bigint", 2.0**63)
 
 
 def to_timestamp(col: Column) -> Column:
@@ -89,9 +95,16 @@ def to_text(col: Column) -> Column:
     return col.cast("string")
 
 
+def _try_pattern(col: Column, pattern: str) -> Column:
+    """Text without a separator of the pattern is not tried: a failing parse costs several good ones."""
+    possible = [F.contains(col, F.lit(mark)) for mark in "/-." if mark in pattern]
+    parsed = F.try_to_date(col, pattern)
+    return F.when(reduce(Column.__and__, possible), parsed) if possible else parsed
+
+
 def parse_date(col: Column, patterns: Sequence[str] = STRICT_DATES) -> Column:
     """First pattern that parses the text, NULL when none does."""
-    return F.coalesce(*[F.try_to_date(col, pattern) for pattern in patterns])
+    return F.coalesce(*[_try_pattern(col, pattern) for pattern in patterns])
 
 
 def lead_time_days(ordered: Column, shipped: Column, patterns: Sequence[str] = STRICT_DATES) -> Column:

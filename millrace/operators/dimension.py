@@ -1,6 +1,7 @@
 """Dimensions: distinct values of a column with ids 1..n in value order."""
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,19 +29,21 @@ def dimensions(
     keep_null: bool = False,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> dict[str, DataFrame]:
-    """All dimensions of a frame from one scan: {id name: (value name, text expression)}.
+    """All dimensions of a frame: {id name: (value name, text expression)}.
 
-    Every value goes through one distinct with partial aggregation, so a value that fills the
-    table leaves each task once. The distinct values are staged, as the keys and the fact
-    both read them.
+    One distinct per column, so that each reads only its column and aggregates within the task: a
+    value that fills the table leaves each task once. The distinct values are staged together, as
+    both the keys and the fact read them.
     """
-    tagged = F.array(
-        *[F.struct(F.lit(id_name).alias("dim"), expr.alias("value")) for id_name, (_, expr) in columns.items()]
+
+    def distinct(id_name: str, expr: Column) -> DataFrame:
+        values = df.select(F.lit(id_name).alias("dim"), expr.alias("value"))
+        return (values if keep_null else values.where(F.col("value").isNotNull())).distinct()
+
+    values = stage(
+        reduce(DataFrame.unionByName, [distinct(id_name, expr) for id_name, (_, expr) in columns.items()]),
+        "dimensions",
     )
-    long = df.select(F.inline(tagged))
-    if not keep_null:
-        long = long.where(F.col("value").isNotNull())
-    values = stage(long.distinct(), "dimensions")
     sizes = {row["dim"]: row["count"] for row in values.groupBy("dim").count().collect()}
     return {
         id_name: surrogate_key(

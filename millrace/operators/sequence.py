@@ -77,16 +77,17 @@ def _cut_points(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) ->
 
 
 def _plan_buckets(
-    df: DataFrame, keys: Sequence[str], rows: int, buckets: int, rows_per_bucket: int
+    df: DataFrame, keys: Sequence[str], rows: int, buckets: int, rows_per_bucket: int, known_hot: int = 0
 ) -> _Buckets:
-    """Bucket by the fewest leading keys that leave no value with too many rows.
+    """Bucket by the fewest leading keys, beyond the `known_hot` first, that leave no value hot.
 
-    Short keys keep the counting pass narrow and can serve several orders at once.
+    A value is hot if it alone has far more rows than a bucket should. Short keys keep the counting
+    pass narrow and can serve several orders at once.
     """
     if buckets == 1:
         return _Buckets(tuple(keys[:1]), (), hot=False)
     limit = max(rows_per_bucket, 2 * rows / buckets)
-    for width in range(1, len(keys) + 1):
+    for width in range(min(known_hot + 1, len(keys)), len(keys) + 1):
         cuts = _cut_points(df, keys[:width], rows, buckets)
         longest_run = max((len(list(run)) for _, run in groupby(cuts)), default=0)
         hot = longest_run * rows / buckets > limit
@@ -140,7 +141,9 @@ def sequence_ids(
             return _number(df, df, orders, plan)
 
     # A hot leading value: each order is cut on its own, longer key.
-    plans = {name: _plan_buckets(df, keys, rows, buckets, rows_per_bucket) for name, keys in orders.items()}
+    plans = {
+        name: _plan_buckets(df, keys, rows, buckets, rows_per_bucket, len(shared)) for name, keys in orders.items()
+    }
     if any(plan.hot for plan in plans.values()) and SALT not in df.columns:
         # Rows equal in the whole key fill a bucket, and their order is free: spread them at
         # random. Writing them first fixes the salt, so that every pass and retry sees the same.

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import LENIENT_DATES, STRICT_DATES, decode_labels, lead_time_days
-from millrace.operators import dimensions, join_lookup
+from millrace.operators import dimension, dimensions, join_lookup
 from millrace.sources import replace_table
 
 # Warehouse names and column order of the sales tables.
@@ -104,10 +104,15 @@ def _keys(form: Form) -> dict[str, tuple[str, Column]]:
 
 
 def star_dimensions(raw: DataFrame, form: Form = CURRENT) -> dict[str, DataFrame]:
-    """The four dimensions by id name, from one scan of the raw rows."""
+    """The four dimensions by id name."""
     return dimensions(raw, _keys(form), keep_null=not form.required)
 
 
+def star_dimension(raw: DataFrame, id_name: str, form: Form = CURRENT) -> DataFrame:
+    """One of the four dimensions."""
+    return dimension(raw, id_name, *_keys(form)[id_name], keep_null=not form.required)
+
+
 def star_fact(raw: DataFrame, dims: Mapping[str, DataFrame], form: Form = CURRENT) -> DataFrame:
     """Replace the text keys by ids. A row that lacks a key is left out."""
     keys = _keys(form)
@@ -124,7 +129,11 @@ def star_fact(raw: DataFrame, dims: Mapping[str, DataFrame], form: Form = CURREN
 
 
 def star(raw: DataFrame, form: Form = CURRENT) -> Star:
-    """Four dimensions and the fact that refers to them."""
+    """Four dimensions and the fact that refers to them.
+
+    Reads `raw` once per dimension, a column at a time, and once for the fact: land or `stage` it
+    first unless it is a table.
+    """
     dims = star_dimensions(raw, form)
     return Star(*dims.values(), star_fact(raw, dims, form))
 

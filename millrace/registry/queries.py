@@ -355,13 +355,13 @@ def sequence_hot_key(spark, sf_dir):
 
 @_query
 def join_fact_dim(spark, sf_dir):
-    raw = sales_raw(spark, sf_dir).select("order_id", "country")
+    raw = stage(sales_raw(spark, sf_dir).select("order_id", "country"))
     return op.join_lookup(raw, op.dimension(raw, "Country_id", "country", F.col("country")), "country")
 
 
 @_query
 def join_computed_key(spark, sf_dir):
-    raw = sales_raw(spark, sf_dir).select("order_id", "order_priority")
+    raw = stage(sales_raw(spark, sf_dir).select("order_id", "order_priority"))
     decoded = fn.decode_labels(F.col("order_priority"))
     dim = op.dimension(raw, "OrderPriority_id", "ORDER_PRIORITY_FULL", decoded)
     return op.join_lookup(raw.withColumn("ORDER_PRIORITY_FULL", decoded), dim, "ORDER_PRIORITY_FULL")
@@ -369,7 +369,7 @@ def join_computed_key(spark, sf_dir):
 
 @_query
 def star_fact(spark, sf_dir):
-    raw = sales_raw_gaps(spark, sf_dir)
+    raw = stage(sales_raw_gaps(spark, sf_dir))
     return sales.star_fact(raw, sales.star_dimensions(raw))
 
 
@@ -437,7 +437,7 @@ def taxi_transform_and_load(spark, sf_dir):
 
 
 def _star_dim(id_name: str, raw=sales_raw) -> Query:
-    return lambda spark, sf_dir: sales.star_dimensions(raw(spark, sf_dir))[id_name]
+    return lambda spark, sf_dir: sales.star_dimension(raw(spark, sf_dir), id_name)
 
 
 QUERIES["dim_region"] = _star_dim("Region_id")
@@ -449,12 +449,12 @@ QUERIES["dim_item_gaps"] = _star_dim("Item_id", sales_raw_gaps)
 
 @_query
 def sales_star(spark, sf_dir):
-    return sales.star(sales_raw(spark, sf_dir)).orders
+    return sales.star(stage(sales_raw(spark, sf_dir))).orders
 
 
 @_query
 def sales_star_raw_priority(spark, sf_dir):
-    return sales.star(sales_raw_gaps(spark, sf_dir), sales.RAW_PRIORITY).orders
+    return sales.star(stage(sales_raw_gaps(spark, sf_dir)), sales.RAW_PRIORITY).orders
 
 
 @_query

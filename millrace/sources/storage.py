@@ -4,6 +4,7 @@ import re
 import tempfile
 from collections.abc import Mapping
 from functools import cache
+from urllib.parse import unquote, urlparse
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,16 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+def _refuse_own_input(df: DataFrame, path: str) -> None:
+    """Spark would delete files below `path` first and then fail to read them."""
+    target = unquote(urlparse(path).path).rstrip("/") + "/"
+    if any(unquote(urlparse(file).path).startswith(target) for file in df.inputFiles()):
+        raise ValueError(f"cannot overwrite {path}, which the data is read from; stage it first")
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace what is at `path`. Spark refuses when `df` itself reads from there."""
+    """Replace what is at `path`, unless `df` itself reads from there."""
+    _refuse_own_input(df, path)
     df.write.mode("overwrite").parquet(path)
 
 
@@ -60,7 +69,10 @@ def read_table(spark: SparkSession, *parts: str) -> DataFrame:
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
     """Create or replace a table from a DataFrame, at `path` when the table is external."""
     writer = df.write.mode("overwrite")
-    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    if path is not None:
+        _refuse_own_input(df, path)
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def normalize_names(df: DataFrame) -> DataFrame:

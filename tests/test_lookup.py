@@ -1,0 +1,37 @@
+from pyspark.sql import functions as F
+
+from millrace.operators import join_lookup
+
+
+def frames(spark):
+    fact = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    lookup = fact.select("k").distinct().where("k != '7'").withColumn("n", F.length("k"))
+    return fact, lookup
+
+
+def test_small_lookup_is_broadcast(spark, plan_of):
+    fact, lookup = frames(spark)
+    joined = join_lookup(fact, lookup, "k")
+    assert "BroadcastHashJoin" in plan_of(joined)
+    assert joined.count() == 999
+
+
+def test_large_lookup_is_not_hinted(spark, plan_of):
+    fact, lookup = frames(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        by_rows = join_lookup(fact, lookup, "k", max_rows=10)
+        by_bytes = join_lookup(fact, lookup, "k", max_bytes=100)
+        assert "SortMergeJoin" in plan_of(by_rows)
+        assert "SortMergeJoin" in plan_of(by_bytes)
+        small = join_lookup(fact, lookup, "k")
+        assert "BroadcastHashJoin" in plan_of(small)
+        assert sorted(by_rows.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_missing_keys_do_not_join(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
+    lookup = spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
+    assert [row.id for row in join_lookup(fact, lookup, "k").collect()] == [1]

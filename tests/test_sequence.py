@@ -1,0 +1,159 @@
+import datetime
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from millrace.operators import sequence_id, sequence_ids
+from millrace.operators import sequence as module
+
+DAY = datetime.datetime(2024, 1, 1)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "ts timestamp_ntz, vendor int, pay int, row int").repartition(5)
+
+
+def by_window(df, orders):
+    """Ids from the single-task window, the definition the buckets must meet."""
+    for name, keys in orders.items():
+        df = df.withColumn(name, F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
+    return df
+
+
+def same(df, orders, **options):
+    numbered = sequence_ids(df, orders, **options)
+    want = by_window(df, orders)
+    assert numbered.dtypes == want.dtypes
+    got_rows = sorted(numbered.collect(), key=lambda r: r.row)
+    assert got_rows == sorted(want.collect(), key=lambda r: r.row)
+    return got_rows
+
+
+def total(*keys):
+    return [*keys, "row"]
+
+
+ORDERS = {"a": total("ts", "vendor"), "b": total("ts", "pay")}
+
+
+@pytest.fixture
+def spread_rows():
+    rng = random.Random(3)
+    return [
+        (DAY + datetime.timedelta(microseconds=rng.randrange(10**12)), rng.choice([None, 1, 2]), rng.randrange(4), i)
+        for i in range(2000)
+    ]
+
+
+@pytest.fixture
+def hot_rows(spread_rows):
+    """Two thirds share one time, in one vendor; a tenth has none."""
+    return [
+        (None if i % 10 == 0 else DAY if i % 3 else ts, 1 if i % 3 else vendor, 2 if i % 3 else pay, i)
+        for i, (ts, vendor, pay, _) in enumerate(spread_rows)
+    ]
+
+
+def test_matches_global_window(spark, spread_rows):
+    same(frame(spark, spread_rows), ORDERS)
+
+
+def test_one_shuffle_serves_both_orders(spark, spread_rows, plan_of):
+    plan = plan_of(sequence_ids(frame(spark, spread_rows), ORDERS))
+    rows_side = plan.split("BroadcastExchange")[0]
+    assert rows_side.count("Exchange hashpartitioning") == 1
+    assert "SinglePartition" not in rows_side
+
+
+def test_hot_value_is_split(spark, hot_rows):
+    df = frame(spark, hot_rows)
+    same(df, ORDERS, rows_per_bucket=50, buckets=40)
+    keys = ORDERS["a"]
+    plan = module._plan_buckets(df, keys, 2000, 40, 50)
+    assert (plan.keys, plan.hot) == (("ts", "vendor", "row"), False)
+    largest = plan.assign(df).groupBy(module.BUCKET).count().agg(F.max("count")).first()[0]
+    assert largest < 250
+
+
+def test_hot_value_never_meets_one_task(spark, hot_rows, plan_of):
+    plan = plan_of(sequence_ids(frame(spark, hot_rows), ORDERS, rows_per_bucket=50, buckets=40))
+    for part in plan.split("SinglePartition")[1:]:
+        # Only bucket counts go through one task.
+        assert "HashAggregate" in part.split("Exchange")[0]
+
+
+def test_copies_are_split_by_a_written_salt(spark):
+    rows = [(DAY, 1, 1, 7)] * 900 + [(DAY + datetime.timedelta(days=i % 30 - 15), 2, 2, i) for i in range(600)]
+    df = frame(spark, rows)
+    numbered = sequence_ids(df, ORDERS, rows_per_bucket=50, buckets=30)
+    assert numbered.columns == [*df.columns, "a", "b"]
+    got = numbered.collect()
+    assert sorted(r.a for r in got) == sorted(r.b for r in got) == list(range(1, 1501))
+    assert [r[:4] for r in sorted(got, key=lambda r: r.a)] == sorted(rows, key=lambda r: (r[0], r[1], r[3]))
+    assert numbered.collect() and sorted(numbered.collect()) == sorted(got)
+
+
+def test_ties_without_tie_breaker_stay_gapless(spark, hot_rows):
+    got = sequence_ids(frame(spark, hot_rows), {"a": ["ts", "vendor"]}, rows_per_bucket=50, buckets=40).collect()
+    assert sorted(r.a for r in got) == list(range(1, 2001))
+    in_order = [(r.ts or datetime.datetime.min, r.vendor or 0) for r in sorted(got, key=lambda r: r.a)]
+    assert in_order == sorted(in_order)
+
+
+def test_null_comes_first(spark):
+    rows = same(frame(spark, [(DAY, 1, 1, 0), (None, 1, 1, 1), (DAY, None, 1, 2)]), {"a": total("ts", "vendor")})
+    assert [r.a for r in rows] == [3, 1, 2]
+
+
+def test_empty_and_single(spark):
+    assert sequence_ids(frame(spark, []), ORDERS).collect() == []
+    assert [(r.a, r.b) for r in sequence_ids(frame(spark, [(DAY, 1, 1, 0)]), ORDERS).collect()] == [(1, 1)]
+
+
+def test_recomputation_gives_the_same_ids(spark, hot_rows):
+    df = frame(spark, hot_rows)
+    first = sequence_ids(df, ORDERS, rows_per_bucket=50).collect()
+    again = sequence_ids(df.repartition(3, "vendor"), ORDERS, rows_per_bucket=50).collect()
+    assert sorted(first, key=lambda r: r.row) == sorted(again, key=lambda r: r.row)
+
+
+def test_bad_cut_points_cost_balance_only(spark, spread_rows, monkeypatch):
+    poor = ['{"k0":"2024-01-01T00:00:01.000000"}', '{"k0":"1990-01-01T00:00:00.000000"}', '{"k0":"junk"}', "{}"]
+    monkeypatch.setattr(module, "_cut_points", lambda *_: poor)
+    same(frame(spark, spread_rows), ORDERS)
+
+
+VALUES = st.one_of(
+    st.none(), st.text(max_size=3, alphabet=st.characters(codec="utf-8", exclude_characters="\0")), st.sampled_from("aab")
+)
+NUMBERS = st.one_of(st.none(), st.floats(width=64), st.sampled_from([0.0, -0.0, 1.0]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(NUMBERS, VALUES), max_size=40))
+def test_any_numbers_and_text(spark, pairs):
+    rows = [(number, text, i) for i, (number, text) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "n double, s string, row int")
+    got = sequence_id(df, "id", ["n", "s", "row"], buckets=7, rows_per_bucket=2)
+    want = by_window(df, {"id": ["n", "s", "row"]})
+    assert sorted((r.row, r.id) for r in got.collect()) == sorted((r.row, r.id) for r in want.collect())
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "decimal(20,3)", "boolean", "tinyint", "binary"])
+def test_other_key_types(spark, kind):
+    numbers = spark.range(300).select((F.col("id") * 37 % 100).alias("k"), F.col("id").alias("row"))
+    day = F.date_add(F.lit(datetime.date(2024, 3, 1)), F.col("k").cast("int"))
+    key = {
+        "date": day,
+        "timestamp": F.timestamp_micros(F.col("k") * 1_000_003),
+        "boolean": F.col("k") > 50,
+        "binary": F.col("k").cast("string").cast("binary"),
+    }.get(kind, F.col("k").cast(kind))
+    df = numbers.select(key.alias("k"), "row")
+    got = sequence_id(df, "id", ["k", "row"], buckets=16, rows_per_bucket=10)
+    want = by_window(df, {"id": ["k", "row"]})
+    assert sorted((r.row, r.id) for r in got.collect()) == sorted((r.row, r.id) for r in want.collect())
