@@ -23,8 +23,9 @@ from millrace.sources import stage
 
 ROWS_PER_BUCKET = 1_000_000  # one task sorts about this many rows, until MAX_BUCKETS is reached
 BUCKETS_PER_SHUFFLE_PARTITION = 4  # evens out the hashing of buckets to partitions
+MIN_ROWS_PER_BUCKET = 1_000
 MAX_BUCKETS = 16_384  # bounds the cut points in the plan and the broadcast offsets
-SAMPLE_PER_BUCKET = 30
+SAMPLE_PER_BUCKET = 30  # keys; half a million at most, which one task sorts
 
 BUCKET = "_bucket"
 OFFSET = "_offset"
@@ -64,36 +65,42 @@ def _key(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(keys)])
 
 
-def _cut_points(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) -> list[str]:
-    """Sampled keys at equal shares. The sample is bounded by SAMPLE_PER_BUCKET * MAX_BUCKETS."""
+def _cut_points(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) -> list[list[str]]:
+    """Sampled keys at equal shares, once for every number of leading keys.
+
+    The sample is bounded by SAMPLE_PER_BUCKET * MAX_BUCKETS keys.
+    """
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)
     sample = df.select(_key(keys).alias("key")).sample(share, seed=17)
     ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
     position = F.floor(F.col("i") * F.size("keys") / buckets).cast("int")
-    cuts = ordered.select("keys", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("i")).select(
-        "i", F.to_json(F.get("keys", position), _JSON).alias("cut")
+    picked = ordered.select("keys", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("i")).select(
+        "i", F.get("keys", position).alias("key")
     )
-    return [row.cut for row in sorted(cuts.collect()) if row.cut is not None]
+    fields = [f"key.k{i}" for i in range(len(keys))]
+    prefixes = [F.to_json(F.struct(*fields[:width]), _JSON) for width in range(1, len(keys) + 1)]
+    cuts = picked.where(F.col("key").isNotNull()).select("i", F.array(*prefixes).alias("cuts")).collect()
+    return [list(column) for column in zip(*[row.cuts for row in sorted(cuts)])]
 
 
 def _plan_buckets(
-    df: DataFrame, keys: Sequence[str], rows: int, buckets: int, rows_per_bucket: int, known_hot: int = 0
+    df: DataFrame, keys: Sequence[str], rows: int, buckets: int, rows_per_bucket: int, probes: Sequence[int]
 ) -> _Buckets:
-    """Bucket by the fewest leading keys, beyond the `known_hot` first, that leave no value hot.
+    """Bucket by the fewest leading keys that leave no value hot, which is with far too many rows for a bucket.
 
-    A value is hot if it alone has far more rows than a bucket should. Short keys keep the counting
-    pass narrow and can serve several orders at once.
+    Short keys keep the counting pass narrow and can serve several orders at once. `probes` are the
+    numbers of keys to sample: the leading one first, as that mostly does and reads least.
     """
     if buckets == 1:
         return _Buckets(tuple(keys[:1]), (), hot=False)
     limit = max(rows_per_bucket, 2 * rows / buckets)
-    for width in range(min(known_hot + 1, len(keys)), len(keys) + 1):
-        cuts = _cut_points(df, keys[:width], rows, buckets)
-        longest_run = max((len(list(run)) for _, run in groupby(cuts)), default=0)
-        hot = longest_run * rows / buckets > limit
-        if not hot:
-            break
-    return _Buckets(tuple(keys[:width]), tuple(dict.fromkeys(cuts)), hot)
+    width, cuts = 1, []
+    for probe in probes:
+        for width, cuts in enumerate(_cut_points(df, keys[:probe], rows, buckets), start=1):
+            longest_run = max(len(list(run)) for _, run in groupby(cuts))
+            if longest_run * rows / buckets <= limit:
+                return _Buckets(tuple(keys[:width]), tuple(dict.fromkeys(cuts)), hot=False)
+    return _Buckets(tuple(keys[:width]), tuple(dict.fromkeys(cuts)), hot=bool(cuts))
 
 
 def _number(
@@ -131,18 +138,19 @@ def sequence_ids(
     rows = df.count()
     if buckets is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(ceil(rows / rows_per_bucket), BUCKETS_PER_SHUFFLE_PARTITION * partitions)
+        parallel = min(BUCKETS_PER_SHUFFLE_PARTITION * partitions, rows // MIN_ROWS_PER_BUCKET)
+        buckets = max(ceil(rows / rows_per_bucket), parallel)
     buckets = max(1, min(buckets, MAX_BUCKETS, rows))
 
     shared = commonprefix([list(keys) for keys in orders.values()])
     if shared:
-        plan = _plan_buckets(df, shared, rows, buckets, rows_per_bucket)
+        plan = _plan_buckets(df, shared, rows, buckets, rows_per_bucket, sorted({1, len(shared)}))
         if not plan.hot:
             return _number(df, df, orders, plan)
 
     # A hot leading value: each order is cut on its own, longer key.
     plans = {
-        name: _plan_buckets(df, keys, rows, buckets, rows_per_bucket, len(shared)) for name, keys in orders.items()
+        name: _plan_buckets(df, keys, rows, buckets, rows_per_bucket, [len(keys)]) for name, keys in orders.items()
     }
     if any(plan.hot for plan in plans.values()) and SALT not in df.columns:
         # Rows equal in the whole key fill a bucket, and their order is free: spread them at

@@ -63,6 +63,10 @@ class Variant:
     trip_columns: Sequence[str]
     payment_columns: Sequence[str]
 
+    @property
+    def output_columns(self) -> list[str]:
+        return list(dict.fromkeys([*self.trip_columns, *self.payment_columns]))
+
 
 VARIANT_A = Variant(
     load=passenger_load_exact,
@@ -110,10 +114,16 @@ def enrich(trips: DataFrame, variant: Variant = VARIANT_B, rate: float = DEFAULT
 
 
 def number(
-    trips: DataFrame, variant: Variant = VARIANT_B, tie_break: Sequence[str] = (), **options: int
+    trips: DataFrame, variant: Variant = VARIANT_B, tie_break: Sequence[str] | None = None, **options: int
 ) -> DataFrame:
-    """Add the id columns. `tie_break` makes ids reproducible where the order has ties."""
-    orders = {name: [*keys, *tie_break] for name, keys in variant.orders.items()}
+    """Add the id columns.
+
+    Ties are broken by `tie_break`, or else by all other output columns: then only rows that are
+    equal throughout may swap ids, and a retried task cannot change the result.
+    """
+    if tie_break is None:
+        tie_break = [name for name in variant.output_columns if name in trips.columns]
+    orders = {name: list(dict.fromkeys([*keys, *tie_break])) for name, keys in variant.orders.items()}
     numbered = sequence_ids(trips, orders, **options)
     return numbered.withColumns({name: F.col(other) for name, other in variant.twins.items()})
 
@@ -128,7 +138,7 @@ def transform(
     trips: DataFrame,
     variant: Variant = VARIANT_B,
     rate: float = DEFAULT_RATE,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] | None = None,
     **options: int,
 ) -> Split:
     """Trip and payment tables of the raw trips, lazily."""
@@ -139,16 +149,15 @@ def transform_staged(
     trips: DataFrame,
     variant: Variant = VARIANT_B,
     rate: float = DEFAULT_RATE,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] | None = None,
     **options: int,
 ) -> Split:
     """As `transform`, with the numbered frame written once: for jobs that write both tables.
 
-    The sort runs once, and both tables see the same ids even where the order has ties.
+    The sort runs once, and both tables see the same ids even where rows are equal.
     """
     numbered = number(enrich(trips, variant, rate), variant, tie_break, **options)
-    needed = dict.fromkeys([*variant.trip_columns, *variant.payment_columns])
-    return split(stage(numbered.select(*needed), "numbered"), variant)
+    return split(stage(numbered.select(*variant.output_columns), "numbered"), variant)
 
 
 # Names of the two warehouse tables.

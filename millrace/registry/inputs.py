@@ -25,7 +25,8 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        # Both sides grow with the data; without the hint a small data set broadcasts the line items.
+        .join(buyers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     priority = F.col("o_orderpriority")
@@ -108,9 +109,8 @@ LINE_TIE_BREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_ext
 
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pick-ups from `lineitem` and `orders`: many rows per pick-up time and vendor."""
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    orders = table(spark, sf_dir, "orders").hint("merge")
+    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
         F.col("o_orderdate").alias("pickup"),
         F.col("l_suppkey").alias("vendor"),
