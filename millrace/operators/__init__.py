@@ -1,9 +1,10 @@
 from millrace.operators.dimension import dimension, dimensions, surrogate_key
 from millrace.operators.items import count_distinct_items, explode_delimited
-from millrace.operators.lookup import join_lookup
+from millrace.operators.lookup import BROADCAST_ROWS, join_lookup
 from millrace.operators.sequence import sequence_id, sequence_ids
 
 __all__ = [
+    "BROADCAST_ROWS",
     "count_distinct_items",
     "dimension",
     "dimensions",

@@ -20,7 +20,9 @@ def surrogate_key(
         rank = F.row_number().over(Window.orderBy(F.col(column).asc_nulls_last()))
         return values.select(rank.cast("bigint").alias(id_name), column)
     keyed = values.withColumn("_missing", F.col(column).isNull())
-    return sequence_id(keyed, id_name, ["_missing", column], rows_per_bucket=one_task_rows).select(id_name, column)
+    numbered = sequence_id(keyed, id_name, ["_missing", column], rows_per_bucket=one_task_rows)
+    # Large enough that writing it once beats numbering it for the dimension and again for the fact.
+    return stage(numbered.select(id_name, column), "dimension")
 
 
 def dimensions(

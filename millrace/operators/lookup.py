@@ -1,12 +1,12 @@
 """Joining a fact to a lookup table whose keys are unique."""
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_SHARE = 1 / 1000  # of the fact's rows
+SAMPLE_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -19,18 +19,33 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return rows <= max_rows and size <= max_bytes
 
 
+def hot_keys(df: DataFrame, column: str) -> list:
+    """Values with about HOT_SHARE of the rows or more, by a sample: 1 / HOT_SHARE at most."""
+    share = min(1.0, SAMPLE_ROWS / max(1, df.count()))
+    counts = df.select(column).dropna().sample(share, seed=17).groupBy(column).count()
+    return [row[0] for row in counts.where(F.col("count") >= HOT_SHARE * SAMPLE_ROWS).collect()]
+
+
 def join_lookup(
     fact: DataFrame,
     lookup: DataFrame,
-    on: Column | str | Sequence[str],
+    on: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner equi-join that broadcasts the lookup when it was measured to be small.
+    """Inner join on a column that is unique in the lookup.
 
-    Then the fact is not shuffled, whatever the skew of its keys. A larger lookup is left to
-    Spark: a shuffled join, whose oversized partitions adaptive execution splits.
+    A lookup measured to be small is broadcast: the fact is not shuffled, whatever its skew. For a
+    larger one only the rows of hot keys are broadcast, and the others, now even, are shuffled.
     """
     if fits_broadcast(lookup, max_rows, max_bytes):
-        lookup = F.broadcast(lookup)
-    return fact.join(lookup, on, "inner")
+        return fact.join(F.broadcast(lookup), on)
+    hot = hot_keys(fact, on)
+    if not hot:
+        return fact.join(lookup, on)
+    is_hot = F.col(on).isin(hot)
+    return (
+        fact.where(is_hot)
+        .join(F.broadcast(lookup.where(is_hot)), on)
+        .unionByName(fact.where(~is_hot).join(lookup, on))
+    )

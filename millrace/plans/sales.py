@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import LENIENT_DATES, STRICT_DATES, decode_labels, lead_time_days
-from millrace.operators import dimension, dimensions, join_lookup
+from millrace.operators import BROADCAST_ROWS, dimension, dimensions, join_lookup
 from millrace.sources import replace_table
 
 # Warehouse names and column order of the sales tables.
@@ -113,7 +113,12 @@ def star_dimension(raw: DataFrame, id_name: str, form: Form = CURRENT) -> DataFr
     return dimension(raw, id_name, *_keys(form)[id_name], keep_null=not form.required)
 
 
-def star_fact(raw: DataFrame, dims: Mapping[str, DataFrame], form: Form = CURRENT) -> DataFrame:
+def star_fact(
+    raw: DataFrame,
+    dims: Mapping[str, DataFrame],
+    form: Form = CURRENT,
+    max_broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Replace the text keys by ids. A row that lacks a key is left out."""
     keys = _keys(form)
     fact = raw.dropna(subset=list(form.required)) if form.required else raw
@@ -124,7 +129,8 @@ def star_fact(raw: DataFrame, dims: Mapping[str, DataFrame], form: Form = CURREN
         lead_time.alias(LEAD_TIME),
     )
     for id_name in keys:
-        fact = join_lookup(fact, dims[id_name].toDF(id_name, f"_{id_name}"), f"_{id_name}")
+        dim = dims[id_name].toDF(id_name, f"_{id_name}")
+        fact = join_lookup(fact, dim, f"_{id_name}", max_broadcast_rows)
     return fact.select(*[f"`{form.names[name]}`" for name in form.columns], *keys, LEAD_TIME)
 
 

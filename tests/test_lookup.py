@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import join_lookup
+from millrace.operators.lookup import hot_keys
 
 
 def frames(spark):
@@ -16,22 +18,37 @@ def test_small_lookup_is_broadcast(spark, plan_of):
     assert joined.count() == 999
 
 
-def test_large_lookup_is_not_hinted(spark, plan_of):
-    fact, lookup = frames(spark)
+@pytest.fixture
+def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        by_rows = join_lookup(fact, lookup, "k", max_rows=10)
-        by_bytes = join_lookup(fact, lookup, "k", max_bytes=100)
-        assert "SortMergeJoin" in plan_of(by_rows)
-        assert "SortMergeJoin" in plan_of(by_bytes)
-        small = join_lookup(fact, lookup, "k")
-        assert "BroadcastHashJoin" in plan_of(small)
-        assert sorted(by_rows.collect()) == sorted(small.collect())
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("bound", [{"max_rows": 10}, {"max_bytes": 100}])
+def test_large_lookup_is_shuffled_and_hot_keys_are_not(spark, plan_of, no_auto_broadcast, bound):
+    fact, lookup = frames(spark)
+    joined = join_lookup(fact, lookup, "k", **bound)
+    plan = plan_of(joined)
+    assert plan.count("SortMergeJoin") == plan.count("BroadcastHashJoin") == 1
+    assert sorted(joined.collect()) == sorted(join_lookup(fact, lookup, "k").collect())
+
+
+def test_large_lookup_without_hot_keys(spark, plan_of, no_auto_broadcast):
+    fact, lookup = frames(spark)
+    joined = join_lookup(fact.where("k != 'hot'"), lookup, "k", max_rows=10)
+    assert "Union" not in plan_of(joined)
+    assert joined.count() == 665
+
+
+def test_hot_keys(spark):
+    fact, _ = frames(spark)
+    assert hot_keys(fact, "k") == ["hot"]
+    assert hot_keys(fact.limit(0), "k") == []
 
 
 def test_missing_keys_do_not_join(spark):
     fact = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
     lookup = spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
     assert [row.id for row in join_lookup(fact, lookup, "k").collect()] == [1]
+    assert [row.id for row in join_lookup(fact, lookup, "k", max_rows=0).collect()] == [1]

@@ -67,6 +67,13 @@ def test_fact_does_not_shuffle_the_rows(raw, plan_of):
     assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
 
 
+def test_fact_is_the_same_without_broadcast(raw):
+    rows = raw(*[order(i, f"r{i % 3}", None if i % 9 == 0 else f"c{i}", "hot", "HLMCX"[i % 5]) for i in range(300)])
+    dims = sales.star_dimensions(rows)
+    shuffled = sales.star_fact(rows, dims, max_broadcast_rows=0)
+    assert sorted(shuffled.collect(), key=str) == sorted(sales.star_fact(rows, dims).collect(), key=str)
+
+
 def test_ids_lead_back_to_the_text(raw):
     rows = [order(i, f"r{i % 3}", f"c{i % 7}", f"i{i % 5}", "HLMCX"[i % 5]) for i in range(60)]
     star = sales.star(raw(*rows))
