@@ -1,13 +1,19 @@
 """Joining a fact to a lookup table whose keys are unique."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1 / 1000  # of the fact's rows
 SAMPLE_ROWS = 200_000
 
+REPEATS = "_repeats"
+SALT = "_salt"
+
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure rows and text bytes with one aggregate."""
@@ -19,11 +25,12 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(df: DataFrame, column: str) -> list:
-    """Values with about HOT_SHARE of the rows or more, by a sample: 1 / HOT_SHARE at most."""
-    share = min(1.0, SAMPLE_ROWS / max(1, df.count()))
-    counts = df.select(column).dropna().sample(share, seed=17).groupBy(column).count()
-    return [row[0] for row in counts.where(F.col("count") >= HOT_SHARE * SAMPLE_ROWS).collect()]
+def hot_keys(df: DataFrame, column: str) -> dict:
+    """Values with about HOT_SHARE of the rows or more, with their shares, by a sample."""
+    sampled = df.select(column).dropna().sample(min(1.0, SAMPLE_ROWS / max(1, df.count())), seed=17)
+    counts = sampled.groupBy(column).count()
+    hot = counts.where(F.col("count") >= HOT_SHARE * SAMPLE_ROWS).collect()  # 1 / HOT_SHARE rows at most
+    return {row[0]: row[1] / SAMPLE_ROWS for row in hot}
 
 
 def join_lookup(
@@ -32,20 +39,31 @@ def join_lookup(
     on: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on a column that is unique in the lookup.
 
-    A lookup measured to be small is broadcast: the fact is not shuffled, whatever its skew. For a
-    larger one only the rows of hot keys are broadcast, and the others, now even, are shuffled.
+    A lookup measured to be small is broadcast: the fact is not shuffled, whatever its skew. With a
+    larger one both sides are shuffled, and each hot key is spread over its share of the
+    partitions: the lookup repeats its one row, the fact picks a repeat by input partition. Hot keys
+    are looked for in `sample_from`, which saves computing a fact that is itself a join.
     """
     if fits_broadcast(lookup, max_rows, max_bytes):
         return fact.join(F.broadcast(lookup), on)
-    hot = hot_keys(fact, on)
+    hot = hot_keys(fact if sample_from is None else sample_from, on)
     if not hot:
         return fact.join(lookup, on)
-    is_hot = F.col(on).isin(hot)
-    return (
-        fact.where(is_hot)
-        .join(F.broadcast(lookup.where(is_hot)), on)
-        .unionByName(fact.where(~is_hot).join(lookup, on))
+    spark = fact.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    repeats = spark.createDataFrame(
+        [(key, ceil(share * partitions) + 1) for key, share in hot.items()],
+        StructType([StructField(on, fact.schema[on].dataType), StructField(REPEATS, IntegerType())]),
     )
+
+    def with_repeats(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(repeats), on, "left").fillna(1, [REPEATS])
+
+    # The input partition of a row is the same when a lost task runs again.
+    salted = with_repeats(fact).withColumn(SALT, F.pmod(F.spark_partition_id(), REPEATS))
+    repeated = with_repeats(lookup).withColumn(SALT, F.explode(F.sequence(F.lit(0), F.col(REPEATS) - 1)))
+    return salted.drop(REPEATS).join(repeated.drop(REPEATS), [on, SALT]).drop(SALT)

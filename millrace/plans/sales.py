@@ -123,14 +123,15 @@ def star_fact(
     keys = _keys(form)
     fact = raw.dropna(subset=list(form.required)) if form.required else raw
     lead_time = lead_time_days(F.col("order_date"), F.col("ship_date"), form.date_patterns)
-    fact = fact.select(
+    source = fact.select(
         *[F.col(name).alias(form.names[name]) for name in form.columns],
         *[expr.alias(f"_{id_name}") for id_name, (_, expr) in keys.items()],
         lead_time.alias(LEAD_TIME),
     )
+    fact = source
     for id_name in keys:
         dim = dims[id_name].toDF(id_name, f"_{id_name}")
-        fact = join_lookup(fact, dim, f"_{id_name}", max_broadcast_rows)
+        fact = join_lookup(fact, dim, f"_{id_name}", max_broadcast_rows, sample_from=source)
     return fact.select(*[f"`{form.names[name]}`" for name in form.columns], *keys, LEAD_TIME)
 
 

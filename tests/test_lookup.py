@@ -26,25 +26,40 @@ def no_auto_broadcast(spark):
 
 
 @pytest.mark.parametrize("bound", [{"max_rows": 10}, {"max_bytes": 100}])
-def test_large_lookup_is_shuffled_and_hot_keys_are_not(spark, plan_of, no_auto_broadcast, bound):
+def test_large_lookup_is_shuffled_with_hot_keys_spread(spark, plan_of, no_auto_broadcast, bound):
     fact, lookup = frames(spark)
     joined = join_lookup(fact, lookup, "k", **bound)
     plan = plan_of(joined)
-    assert plan.count("SortMergeJoin") == plan.count("BroadcastHashJoin") == 1
+    assert plan.count("SortMergeJoin") == 1
+    assert "_salt" in plan
+    assert joined.columns == ["k", "id", "n"]
     assert sorted(joined.collect()) == sorted(join_lookup(fact, lookup, "k").collect())
 
 
 def test_large_lookup_without_hot_keys(spark, plan_of, no_auto_broadcast):
     fact, lookup = frames(spark)
     joined = join_lookup(fact.where("k != 'hot'"), lookup, "k", max_rows=10)
-    assert "Union" not in plan_of(joined)
+    assert "_salt" not in plan_of(joined)
     assert joined.count() == 665
 
 
 def test_hot_keys(spark):
     fact, _ = frames(spark)
-    assert hot_keys(fact, "k") == ["hot"]
-    assert hot_keys(fact.limit(0), "k") == []
+    assert hot_keys(fact, "k") == {"hot": 334 / 200_000}
+    assert hot_keys(fact.limit(0), "k") == {}
+
+
+def test_a_hot_key_reaches_several_partitions(spark, no_auto_broadcast):
+    fact = spark.range(0, 300_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    lookup = fact.select("k").distinct().withColumn("n", F.length("k"))
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = join_lookup(fact, lookup, "k", max_rows=10)
+        places = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert places > 1
+        assert joined.count() == 300_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
 
 
 def test_missing_keys_do_not_join(spark):
