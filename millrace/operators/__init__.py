@@ -1,5 +1,6 @@
 from millrace.operators.dimension import dimension, dimensions, surrogate_key
 from millrace.operators.items import count_distinct_items, explode_delimited
+from millrace.operators.keys import keys_present
 from millrace.operators.lookup import BROADCAST_ROWS, join_lookup
 from millrace.operators.sequence import sequence_id, sequence_ids
 
@@ -10,6 +11,7 @@ __all__ = [
     "dimensions",
     "explode_delimited",
     "join_lookup",
+    "keys_present",
     "sequence_id",
     "sequence_ids",
     "surrogate_key",

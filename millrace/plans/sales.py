@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import LENIENT_DATES, STRICT_DATES, decode_labels, lead_time_days
-from millrace.operators import BROADCAST_ROWS, dimension, dimensions, join_lookup
+from millrace.operators import BROADCAST_ROWS, dimension, dimensions, join_lookup, keys_present
 from millrace.sources import replace_table
 
 # Warehouse names and column order of the sales tables.
@@ -121,9 +121,8 @@ def star_fact(
 ) -> DataFrame:
     """Replace the text keys by ids. A row that lacks a key is left out."""
     keys = _keys(form)
-    fact = raw.dropna(subset=list(form.required)) if form.required else raw
     lead_time = lead_time_days(F.col("order_date"), F.col("ship_date"), form.date_patterns)
-    source = fact.select(
+    source = keys_present(raw, form.required).select(
         *[F.col(name).alias(form.names[name]) for name in form.columns],
         *[expr.alias(f"_{id_name}") for id_name, (_, expr) in keys.items()],
         lead_time.alias(LEAD_TIME),

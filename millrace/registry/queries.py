@@ -157,7 +157,7 @@ def filter_not_null(spark, sf_dir):
 
 @_query
 def filter_all_keys_present(spark, sf_dir):
-    return sales_raw_gaps(spark, sf_dir).dropna(subset=list(sales.KEY_COLUMNS)).select(*sales.KEY_COLUMNS)
+    return op.keys_present(sales_raw_gaps(spark, sf_dir), sales.KEY_COLUMNS).select(*sales.KEY_COLUMNS)
 
 
 @_query

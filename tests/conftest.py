@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
         spark__checkpoint__dir=folder / "checkpoint",
         spark__sql__warehouse__dir=folder / "warehouse",
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength=10_000,
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

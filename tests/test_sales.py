@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import sales
-from millrace.sources import read_table
+from millrace.sources import read_table, stage
 
 SCHEMA = """region string, country string, item_type string, sales_channel string, order_priority string,
     order_date string, order_id bigint, ship_date string, units_sold double, unit_price double, unit_cost double,
@@ -67,6 +67,13 @@ def test_fact_does_not_shuffle_the_rows(raw, plan_of):
     assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
 
 
+def test_key_filter_reaches_the_scan(raw, plan_of):
+    plan = plan_of(sales.star(stage(raw(order()))).orders)
+    pushed = next(line for line in plan.splitlines() if "units_sold" in line and "PushedFilters" in line)
+    for key in sales.KEY_COLUMNS:
+        assert f"IsNotNull({key})" in pushed
+
+
 def test_fact_is_the_same_without_broadcast(raw):
     rows = raw(*[order(i, f"r{i % 3}", None if i % 9 == 0 else f"c{i}", "hot", "HLMCX"[i % 5]) for i in range(300)])
     dims = sales.star_dimensions(rows)
