@@ -29,7 +29,8 @@ _GAPS = f"""{_SALES}, gaps AS (
 
 
 def _decode(column: str) -> str:
-    return f"CASE {column} WHEN 'H' THEN 'High' WHEN 'L' THEN 'Low' WHEN 'M' THEN 'Medium' WHEN 'C' THEN 'Cold' ELSE {column} END"
+    return f"""CASE {column} WHEN 'H' THEN 'High' WHEN 'L' THEN 'Low' WHEN 'M' THEN 'Medium' WHEN 'C' THEN 'Cold'
+      ELSE {column} END"""
 
 
 def _strict(column: str) -> str:
@@ -159,9 +160,11 @@ ORACLE: dict[str, str] = {
     "sink_parquet_roundtrip": "SELECT * FROM orders",
     "sink_table_roundtrip": "SELECT * FROM orders",
     "ctas_replace": f"WITH {_SALES} SELECT region, country, {_decode('order_priority')} AS priority FROM sales",
-    "scan_table": f"""WITH {_SALES} SELECT region AS "REGION", item_type AS "ITEM TYPE", order_id AS "ORDER ID" FROM sales""",
+    "scan_table": f"""WITH {_SALES}
+      SELECT region AS "REGION", item_type AS "ITEM TYPE", order_id AS "ORDER ID" FROM sales""",
     "raw_landing": f"WITH {_SALES} SELECT * FROM sales",
-    "project_columns": f"""WITH {_TRIPS} SELECT "VendorID", tpep_pickup_datetime, trip_distance, total_amount FROM trips""",
+    "project_columns": f"""WITH {_TRIPS}
+      SELECT "VendorID", tpep_pickup_datetime, trip_distance, total_amount FROM trips""",
     "derive_columns": f"""WITH {_TRIPS} SELECT "__null_dask_index__",
       CAST(month(tpep_pickup_datetime) AS INTEGER) AS "Month", {_DISTANCE} AS "Distance_Length",
       total_amount + extra AS total_amount FROM trips""",
@@ -180,14 +183,17 @@ ORACLE: dict[str, str] = {
       FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)""",
     "drop_column": f"""WITH {_TRIPS} SELECT * EXCLUDE ("__null_dask_index__") FROM trips""",
     "month_of_ts": "SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders",
-    "bucket_equality": f"""WITH {_TRIPS} SELECT "__null_dask_index__" AS event_id, {_LOAD_EXACT} AS load FROM trips""",
-    "bucket_threshold": f"""WITH {_TRIPS} SELECT "__null_dask_index__" AS event_id, {_LOAD_THRESHOLD} AS load FROM trips""",
+    "bucket_equality": f"""WITH {_TRIPS}
+      SELECT "__null_dask_index__" AS event_id, {_LOAD_EXACT} AS load FROM trips""",
+    "bucket_threshold": f"""WITH {_TRIPS}
+      SELECT "__null_dask_index__" AS event_id, {_LOAD_THRESHOLD} AS load FROM trips""",
     "bucket_half_open": f"""WITH {_TRIPS} SELECT "__null_dask_index__" AS event_id, {_DISTANCE} AS distance FROM trips""",
     "decode_labels": f"WITH {_GAPS} SELECT order_id, {_decode('order_priority')} AS priority FROM gaps",
     "convert_currency": f"""WITH {_TRIPS} SELECT "__null_dask_index__" AS event_id,
       total_amount * 83.0::DOUBLE AS at_default, total_amount * 85.25::DOUBLE AS at_rate FROM trips""",
     "cast_int": f"""SELECT l_orderkey, {_int('l_extendedprice / 8')} AS price_int,
-      {_int('-l_extendedprice / 8')} AS negative_int, {_int('l_extendedprice * 1000000')} AS overflow_int FROM lineitem""",
+      {_int('-l_extendedprice / 8')} AS negative_int, {_int('l_extendedprice * 1000000')} AS overflow_int
+      FROM lineitem""",
     "cast_bigint": f"""SELECT CAST(l_linenumber AS BIGINT) AS line_bigint,
       {_int('l_extendedprice * 1000000', 'BIGINT')} AS price_bigint FROM lineitem""",
     "cast_timestamp": "SELECT event_id, CAST(ts AS TIMESTAMP) AS at FROM events",
@@ -203,7 +209,8 @@ ORACLE: dict[str, str] = {
     "dim_surrogate_key": _dim("part", "p_name", "Name_id", "p_name"),
     "sequence_global": _sequences("o_orderdate", second=False),
     "sequence_second_order": _sequences("o_orderdate", second=True),
-    "sequence_twin": f"""WITH {_NUMBERED} SELECT "Trip_id", "Trip_id" AS "Payment_id", "__null_dask_index__" FROM numbered""",
+    "sequence_twin": f"""WITH {_NUMBERED}
+      SELECT "Trip_id", "Trip_id" AS "Payment_id", "__null_dask_index__" FROM numbered""",
     "sequence_hot_key": _sequences("CASE WHEN l_linenumber > 3 THEN o_orderdate END", second=True),
     "join_fact_dim": f"""WITH {_SALES}, c AS ({_dim('sales', 'country', 'Country_id', 'k')})
       SELECT country, order_id, "Country_id" FROM sales JOIN c ON c.k = sales.country""",

@@ -74,7 +74,8 @@ def ctas_replace(spark, sf_dir):
     name, path = _fresh_table(spark, "ctas")
     raw = sales_raw(spark, sf_dir)
     replace_table(raw.select("region").distinct(), name, path)
-    replace_table(raw.select("region", "country", fn.decode_labels(F.col("order_priority")).alias("priority")), name, path)
+    priority = fn.decode_labels(F.col("order_priority")).alias("priority")
+    replace_table(raw.select("region", "country", priority), name, path)
     return spark.table(name)
 
 

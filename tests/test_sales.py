@@ -9,7 +9,9 @@ SCHEMA = """region string, country string, item_type string, sales_channel strin
     total_revenue double, total_cost double, total_profit double"""
 
 
-def order(order_id=1, region="Asia", country="Japan", item="Meat", priority="H", ordered="01/01/2014", shipped="01/05/2014"):
+def order(
+    order_id=1, region="Asia", country="Japan", item="Meat", priority="H", ordered="01/01/2014", shipped="01/05/2014"
+):
     return (region, country, item, "Online", priority, ordered, order_id, shipped, 1.0, 2.0, 1.0, 2.0, 1.0, 1.0)
 
 
@@ -99,7 +101,8 @@ def test_decoding_one_side_only_loses_the_decoded_codes(raw):
 
 
 def test_raw_priority_form(raw):
-    rows = raw(order(1), order(2, priority="High", shipped="2014-01-06"), order(3, priority=None), order(None, region=None))
+    late = order(2, priority="High", shipped="2014-01-06")
+    rows = raw(order(1), late, order(3, priority=None), order(None, region=None))
     star = sales.star(rows, sales.RAW_PRIORITY)
     assert sorted(map(tuple, star.order_priority.collect())) == [(1, "H"), (2, "High"), (3, None)]
     assert sorted((r.ORDER_ID, r.SHIPMENT_LEAD_TIME) for r in star.orders.collect()) == [(1, 4), (2, 5)]

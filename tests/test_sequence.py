@@ -127,9 +127,8 @@ def test_bad_cut_points_cost_balance_only(spark, spread_rows, monkeypatch):
     same(frame(spark, spread_rows), ORDERS, buckets=16)
 
 
-VALUES = st.one_of(
-    st.none(), st.text(max_size=3, alphabet=st.characters(codec="utf-8", exclude_characters="\0")), st.sampled_from("aab")
-)
+LETTERS = st.characters(codec="utf-8", exclude_characters="\0")
+VALUES = st.one_of(st.none(), st.text(max_size=3, alphabet=LETTERS), st.sampled_from("aab"))
 NUMBERS = st.one_of(st.none(), st.floats(width=64), st.sampled_from([0.0, -0.0, 1.0]))
 
 
