@@ -73,7 +73,7 @@ def _cut_points(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) ->
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)
     sample = df.select(_key(keys).alias("key")).sample(share, seed=17)
     ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    position = F.floor(F.col("i") * F.size("keys") / buckets).cast("int")
+    position = F.floor(F.col("i").cast("bigint") * F.size("keys") / buckets).cast("int")
     picked = ordered.select("keys", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("i")).select(
         "i", F.get("keys", position).alias("key")
     )

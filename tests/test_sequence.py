@@ -86,6 +86,14 @@ def test_hot_value_never_meets_one_task(spark, hot_rows, plan_of):
         assert "HashAggregate" in part.split("Exchange")[0]
 
 
+def test_the_most_buckets(spark):
+    df = spark.range(600_000).select((F.col("id") * 7919 % 600_000).alias("k"))
+    numbered = sequence_id(df, "id", ["k"], rows_per_bucket=1)
+    assert numbered.where("id <> k + 1").count() == 0
+    plan = module._plan_buckets(df, ["k"], 600_000, module.MAX_BUCKETS, 1, [1])
+    assert len(plan.cuts) == module.MAX_BUCKETS - 1
+
+
 def test_copies_are_split_by_a_written_salt(spark):
     rows = [(DAY, 1, 1, 7)] * 900 + [(DAY + datetime.timedelta(days=i % 30 - 15), 2, 2, i) for i in range(600)]
     df = frame(spark, rows)
