@@ -1,24 +1,57 @@
 """The operators over the given tables, with the SQL they must agree with where SQL can express them."""
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, rules
+from millrace.llm import bpe, chat, mixing, rules, shards, topk
 from millrace.llm.common import table
-from millrace.sources import stage
+from millrace.sources import stage, staging_path
+
+TOKENIZERS = "/opt/tokenizers"
+END_ID = 1
+QUERY_EVERY = 100
 
 OWN_CONVERSATION = -1
 OWN_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def vocabulary(name: str) -> str:
+    return f"{os.environ.get('TOKENIZERS_DIR', TOKENIZERS)}/{name}"
+
+
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, words = staging_path(spark, "shards"), vocabulary("word_bpe_49k.json")
+    shards.write_shards(table(spark, sf_dir, "documents"), folder, words, END_ID)
+    keys = spark.read.parquet(f"{folder}/entries").select("doc_id", "copy")
+    read = shards.read_ids(shards.find(keys, folder), folder, words)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     statistics = stage(rules.text_statistics(table(spark, sf_dir, "documents")), "statistics")
     learned = rules.learn_rules(statistics, table(spark, sf_dir, "labels"))
     return rules.judge(statistics, learned).select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), words).withColumns(
+        {"n_tokens": (F.octet_length("ids") / 4).cast("bigint"), "ids_sha256": F.sha2("ids", 256)}
+    )
+    decoded = bpe.decode(encoded, words, "n_tokens", "ids_sha256")
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.copies_per_document(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -48,7 +81,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_shards": op1_token_shards,
     "op2_quality_rules": op2_quality_rules,
+    "op5_top_k": op5_top_k,
+    "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,
     "op10_chat_formatting": op10_chat_formatting,
 }
@@ -56,6 +92,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op5_top_k": """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
     "op7_mixing": f"""
 WITH sizes AS (
     SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
