@@ -6,13 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, mixing, rules, shards, topk
-from millrace.llm.common import table
+from millrace.llm import bpe, chat, mixing, quality, rules, shards, topk, toxicity
+from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
 TOKENIZERS = "/opt/tokenizers"
 END_ID = 1
 QUERY_EVERY = 100
+TOXIC_FROM, QUALITY_FROM = 0.5, 0.3
 
 OWN_CONVERSATION = -1
 OWN_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -59,6 +60,24 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return _predictions(scored, TOXIC_FROM)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return _predictions(quality.score(docs, model).drop("text"), QUALITY_FROM)
+
+
+def _predictions(scored: DataFrame, bound: float) -> DataFrame:
+    held_out = F.coalesce(~in_training_fold(F.col("doc_id")), F.lit(False))
+    predicted = (F.col("score") >= bound).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(
@@ -86,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_top_k": op5_top_k,
     "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
