@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import whole_text
 
-CACHED_PIECES = 500_000  # per Python worker; further pieces are encoded each time
+CACHED_PIECES = 300_000  # per Python worker; further pieces are encoded each time
 CACHED_PAIRS = 500_000
 
 # The split pattern of byte-level BPE, with Unicode's white space spelled out.

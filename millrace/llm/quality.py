@@ -1,9 +1,10 @@
 """Quality by votes of nearest labelled neighbours in a latent-semantic space.
 
-A text becomes the counts of its hashed byte trigrams, damped, weighted, and projected onto the leading
-singular vectors of a bounded sample of labelled texts. Its score is the share of label 1 among the
-nearest labelled texts, weighted by similarity; the cosine products with all of them are exact, block by
-block.
+A text becomes the counts of its hashed byte trigrams, damped and weighted, and beside them the shares of
+a few habits, such as saying the last word again, that no single trigram shows. These are projected onto
+the leading singular vectors of a bounded sample of labelled texts. A text's score is the share of label
+1 among the nearest labelled texts, weighted by similarity; the cosine products with all of them are
+exact, block by block.
 
 Defined cases: a null text is empty; a text too short for a trigram has no direction and gets the share
 of label 1 among the fitted rows, 0.5 if there are none; rows are scored one by one, so repeated rows
@@ -13,6 +14,7 @@ columns are ignored.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -27,25 +29,56 @@ FEATURES = 2_048
 DIMENSIONS = 64
 NEIGHBOURS = 25
 BLOCK = 256  # texts at once
+HABIT_WEIGHT = 2.0  # of all habits, against all trigrams
 SHARPNESS = 8  # a neighbour's weight is its similarity to this power
 
 
-def trigram_counts(texts: list[str]) -> np.ndarray:
-    """Hashed byte trigrams, whole texts, one row each: log of 1 + count."""
-    counts = np.zeros((len(texts), FEATURES), dtype=np.float32)
+_BYTES = np.arange(256)
+_UPPER = (_BYTES >= 65) & (_BYTES <= 90)
+_LETTER = _UPPER | (_BYTES >= 97) & (_BYTES <= 122) | (_BYTES >= 128)
+_DIGIT = (_BYTES >= 48) & (_BYTES <= 57)
+_MARK = (_BYTES > 32) & (_BYTES < 127) & ~_LETTER & ~_DIGIT
+HABITS = 4
+WIDTH = FEATURES + 2 * HABITS
+
+
+def _habits(text: str, data: np.ndarray) -> list[float]:
+    """Shares: words like the one before, capital letters, marks and digits."""
+    words = text.split()
+    byte_counts = np.bincount(data, minlength=256)
+    letters, visible = byte_counts[_LETTER].sum(), byte_counts[33:].sum()
+    return [
+        sum(map(eq, words, words[1:])) / max(1, len(words) - 1),
+        byte_counts[_UPPER].sum() / max(1, letters),
+        byte_counts[_MARK].sum() / max(1, visible),
+        byte_counts[_DIGIT].sum() / max(1, visible),
+    ]
+
+
+def text_features(texts: list[str]) -> np.ndarray:
+    """One row per whole text: log of 1 + count of each hashed byte trigram, then two values for each habit."""
+    rows = np.zeros((len(texts), WIDTH), dtype=np.float32)
     for row, text in enumerate(texts):
         data = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
         if len(data) >= 3:
             code = data[:-2].astype(np.uint32) << 16 | data[1:-1].astype(np.uint32) << 8 | data[2:]
             hashed = (code * np.uint32(2654435761)) >> np.uint32(32 - 11)
-            counts[row] = np.bincount(hashed, minlength=FEATURES)
-    return np.log1p(counts, out=counts)
+            rows[row, :FEATURES] = np.log1p(np.bincount(hashed, minlength=FEATURES))
+            shares = np.array(_habits(text, data))
+            # Roots of a share and of its rest have unit length together.
+            rows[row, FEATURES:] = np.sqrt(np.concatenate([shares, 1 - shares]) / HABITS)
+    return rows
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-12)
 
 
+def _balanced(rows: np.ndarray) -> np.ndarray:
+    """Trigrams at unit length beside the habits."""
+    return np.concatenate([_unit(rows[:, :FEATURES]), rows[:, FEATURES:]], axis=1)
+
+
 @dataclass(frozen=True)
 class QualityModel:
     """`projection` holds weights and singular vectors in one; `voters` are unit vectors."""
@@ -56,12 +89,12 @@ class QualityModel:
     share: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        counts = trigram_counts(texts)
+        counts = text_features(texts)
         out = np.full(len(texts), self.share)
         with_direction = counts.any(axis=1)
         if not len(self.voters) or not with_direction.any():
             return out
-        vectors = _unit(_unit(counts[with_direction]) @ self.projection)
+        vectors = _unit(_balanced(counts[with_direction]) @ self.projection)
         products = vectors @ self.voters.T
         k = min(NEIGHBOURS, len(self.voters))
         near = np.argpartition(-products, k - 1, axis=1)[:, :k]
@@ -76,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [row.tobytes() for row in trigram_counts(batch.column("text").to_pylist())]
+            counts = [row.tobytes() for row in text_features(batch.column("text").to_pylist())]
             columns = [batch.column("doc_id"), batch.column("label"), pa.array(counts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "counts"])
 
@@ -84,18 +117,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     sample = rows.mapInArrow(run, f"{kinds}, counts binary").orderBy("doc_id").collect()
     votes = np.array([row["label"] for row in sample], dtype=np.float64)
     share = float(votes.mean()) if len(votes) else 0.5
-    counts = np.array([np.frombuffer(row["counts"], dtype=np.float32) for row in sample]).reshape(-1, FEATURES)
+    counts = np.array([np.frombuffer(row["counts"], dtype=np.float32) for row in sample]).reshape(-1, WIDTH)
     votes, counts = votes[counts.any(axis=1)], counts[counts.any(axis=1)]
     if not len(counts):
-        return QualityModel(np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), votes, share)
+        return QualityModel(np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), votes, share)
     # Trigrams that every text has alike say little: the weight falls with their entropy over the texts.
     shares = counts / np.maximum(counts.sum(axis=0), 1e-12)
     entropy = -(shares * np.log(np.maximum(shares, 1e-30))).sum(axis=0) / max(np.log(len(counts)), 1.0)
     weights = np.clip(1 - entropy, 0.01, 1).astype(np.float32)
-    weighted = _unit(counts) * weights
+    typical = np.sqrt(((_unit(counts[:, :FEATURES]) * weights[:FEATURES]) ** 2).sum(axis=1).mean())
+    weights[:FEATURES] /= max(typical, 1e-12)
+    weights[FEATURES:] = HABIT_WEIGHT
+    weighted = _balanced(counts) * weights
     _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
     projection = (weights[:, None] * vectors[:, ::-1][:, :DIMENSIONS]).astype(np.float32)
-    return QualityModel(projection, _unit(_unit(counts) @ projection), votes, share)
+    return QualityModel(projection, _unit(_balanced(counts) @ projection), votes, share)
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", name: str = "score") -> DataFrame:

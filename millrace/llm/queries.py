@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, mixing, quality, rules, shards, topk, toxicity
+from millrace.llm import bpe, chat, mixing, pii, quality, rules, shards, topk, toxicity
 from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
@@ -37,6 +37,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(statistics, learned).select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.all_spans(pii.found_spans(table(spark, sf_dir, "documents")))
+    counts = [pii.count_of(kind, F.col("base")).alias(f"n_{kind}") for kind in pii.KINDS]
+    base = pii.spans_text(F.col("base"))
+    return spans.select(
+        "doc_id",
+        *counts,
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0))
@@ -102,6 +114,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_quality_rules": op2_quality_rules,
+    "op4_pii": op4_pii,
     "op5_top_k": op5_top_k,
     "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,

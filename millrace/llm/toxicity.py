@@ -2,7 +2,8 @@
 
 Two zstandard dictionaries are trained, one on toxic text, one on ordinary text. A window of a document is
 compressed with both; the bytes that the toxic dictionary saves against the ordinary one are its
-difference. A document's score follows from how many of its windows reach a calibrated difference.
+difference. Each difference has a weight, how much more often toxic documents have such windows; the sum
+over a document's windows, against calibrated thresholds, gives its score.
 
 A window is one word in a fixed frame. Longer windows bury the few bytes that an insult saves in the
 noise of two dictionaries, and zstandard finds no match in the last eight bytes of an input, hence the
@@ -42,9 +43,8 @@ WORDS_PER_SAMPLE = 8
 DICTIONARY_BYTES = {"toxic": 4_096, "ordinary": 32_768}
 LEVEL = 3
 MIN_SURPRISE = 4.0  # standard deviations above the expected count
-SURPRISE_SHARE = 0.4  # of the highest surprise
-TOP_DIFFERENCE = 12  # bytes
-TOP_COUNT = 4  # windows; more count as so many
+TOP_DIFFERENCE = 12  # bytes; higher ones count as this
+LEVELS = 12  # thresholds between scores
 CACHED_WORDS = 500_000
 MARGIN = b"\n" * 12
 
@@ -53,11 +53,12 @@ PARTS = re.compile(r"[^\W_]+").findall
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Dictionaries, the difference a window must reach, and a score per number of such windows."""
+    """Dictionaries, a weight per difference from 0 on, and the scores between ascending thresholds."""
 
     toxic: bytes
     ordinary: bytes
-    threshold: int
+    weights: tuple[float, ...]
+    thresholds: tuple[float, ...]
     scores: tuple[float, ...]
 
 
@@ -138,44 +139,48 @@ def _dictionary(words: list[tuple[str, int]], size: int) -> bytes:
 
 
 def _window_counts(rows: DataFrame, toxic: bytes, ordinary: bytes, *keep: str) -> DataFrame:
-    """The columns in `keep`, and `reached`: per difference from 1 on, the number of windows that reach it."""
+    """The columns in `keep`, and `counts`: how many windows of the whole text have each difference from 0 on."""
     own = rows.select(*keep, whole_text().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(toxic, ordinary)
         for batch in batches:
-            reached = []
-            for text in batch.column("text").to_pylist():
-                counts, total, sums = windows.counts(text), 0, []
-                for difference in range(TOP_DIFFERENCE, 0, -1):
-                    total += counts[difference]
-                    sums.append(total)
-                reached.append(sums[::-1])
+            found = map(windows.counts, batch.column("text").to_pylist())
+            counts = [[c[d] for d in range(TOP_DIFFERENCE + 1)] for c in found]
             kept = [batch.column(name) for name in keep]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(reached, pa.list_(pa.int64()))], [*keep, "reached"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.list_(pa.int64()))], [*keep, "counts"])
 
     kinds = [f"`{name}` {own.schema[name].dataType.simpleString()}" for name in keep]
-    return own.mapInArrow(run, ", ".join([*kinds, "reached array<bigint>"]))
-
-
-def _calibrated(rows: list[tuple[int, list[int]]]) -> tuple[int, tuple[float, ...]]:
-    """The difference under which the numbers of windows explain the labels best, and a score per number."""
-    best = None
-    for threshold in range(1, TOP_DIFFERENCE + 1):
-        cells = [[0, 0] for _ in range(TOP_COUNT + 1)]
-        for label, reached in rows:
-            cells[min(TOP_COUNT, reached[threshold - 1])][label] += 1
-        scores, lowest = [], 0.0
-        for good, bad in cells:
-            # More windows never lower the score; an empty cell goes on as the one before.
-            lowest = max(lowest, (bad + 0.5) / (good + bad + 1)) if good + bad else lowest
-            scores.append(lowest)
-        likelihood = sum(
-            good * log(1 - min(s, 0.9999)) + bad * log(max(s, 0.0001)) for (good, bad), s in zip(cells, scores)
-        )
-        if best is None or likelihood > best[0]:
-            best = (likelihood, threshold, tuple(scores))
-    return best[1], best[2]
+    return own.mapInArrow(run, ", ".join([*kinds, "counts array<bigint>"]))
+
+
+def _weights(rows: list[tuple[int, list[int]]]) -> tuple[float, ...]:
+    """Logarithms of how the share of a difference among windows differs between toxic and ordinary documents."""
+    totals = [[1.0 + sum(c[d] for label, c in rows if label == k) for d in range(TOP_DIFFERENCE + 1)] for k in (0, 1)]
+    sums = [sum(t) for t in totals]
+    return tuple(log(totals[1][d] / sums[1]) - log(totals[0][d] / sums[0]) for d in range(TOP_DIFFERENCE + 1))
+
+
+def _calibrated(rows: list[tuple[float, int]]) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Thresholds and scores: shares of label 1 that rise with the sum, by pooling neighbours that do not."""
+    pools: list[list[float]] = []  # lowest sum, rows, rows with label 1
+    for total, label in sorted(rows):
+        if pools and pools[-1][0] == total:
+            pools[-1][1] += 1
+            pools[-1][2] += label
+        else:
+            pools.append([total, 1, label])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]:
+            _, n, ones = pools.pop()
+            pools[-1][1] += n
+            pools[-1][2] += ones
+    # Pools too small for a share join the one before, the highest ones excepted.
+    while len(pools) > LEVELS:
+        smallest = min(range(1, len(pools)), key=lambda i: pools[i][1])
+        _, n, ones = pools.pop(smallest)
+        pools[smallest - 1][1] += n
+        pools[smallest - 1][2] += ones
+    return tuple(p[0] for p in pools[1:]), tuple((p[2] + 0.5) / (p[1] + 1) for p in pools)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int = FIT_ROWS) -> ToxicModel:
@@ -183,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     rows = stage(labelled_texts(docs, labels, label, fit_rows).where(F.col("label").isin(0, 1)), "toxicity")
     counts = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
     total = sum(counts.values())
-    plain = ToxicModel(b"", b"", 1, (counts.get(1, 0) / total if total else 0.5,) * (TOP_COUNT + 1))
+    plain = ToxicModel(b"", b"", (), (), (counts.get(1, 0) / total if total else 0.5,))
     if len(counts) < 2:
         return plain
     evidence = stage(word_evidence(rows), "evidence")
@@ -196,20 +201,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     top = loud.orderBy(F.desc("surprise"), "word").limit(TOXIC_WORDS).collect()
     if not top:
         return plain
-    bound = top[0]["surprise"] * SURPRISE_SHARE
-    toxic = _dictionary([(r["word"], r["toxic"]) for r in top if r["surprise"] >= bound], DICTIONARY_BYTES["toxic"])
+    toxic = _dictionary([(r["word"], r["toxic"]) for r in top], DICTIONARY_BYTES["toxic"])
     common = evidence.where(F.col("ordinary") > 0).orderBy(F.desc("ordinary"), "word").limit(ORDINARY_WORDS)
     ordinary = _dictionary([(r["word"], r["ordinary"]) for r in common.collect()], DICTIONARY_BYTES["ordinary"])
-    measured = _window_counts(rows, toxic, ordinary, "label").collect()
-    threshold, scores = _calibrated([(row["label"], row["reached"]) for row in measured])
-    return ToxicModel(toxic, ordinary, threshold, scores)
+    measured = [(r["label"], r["counts"]) for r in _window_counts(rows, toxic, ordinary, "label").collect()]
+    weights = _weights(measured)
+    sums = [(sum(w * n for w, n in zip(weights, counts)), label) for label, counts in measured]
+    return ToxicModel(toxic, ordinary, weights, *_calibrated(sums))
 
 
 def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
-    """doc_id, score and n_windows, the number of windows at the threshold."""
+    """doc_id and score."""
     if not model.toxic:
-        return docs.select("doc_id", F.lit(model.scores[0]).alias("score"), F.lit(0).cast("bigint").alias("n_windows"))
+        return docs.select("doc_id", F.lit(model.scores[0]).alias("score"))
     counted = _window_counts(docs, model.toxic, model.ordinary, "doc_id")
-    n = F.get("reached", F.lit(model.threshold - 1))
-    scores = F.array(*[F.lit(s) for s in model.scores])
-    return counted.select("doc_id", F.get(scores, F.least(n, F.lit(TOP_COUNT)).cast("int")).alias("score"), n.alias("n_windows"))
+    total = sum(
+        (F.lit(w) * F.get("counts", F.lit(d)) for d, w in enumerate(model.weights)), start=F.lit(0.0)
+    ).alias("total")
+    scores = F.lit(model.scores[0])
+    for threshold, value in zip(model.thresholds, model.scores[1:]):
+        scores = F.when(F.col("total") >= threshold, value).otherwise(scores)
+    return counted.select("doc_id", total).select("doc_id", scores.alias("score"))
