@@ -130,25 +130,23 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     its patterns. One pass over the texts, staged; the key stands for id and text."""
     own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), row_key(doc_id, text).alias("key"))
     looked = own.select("key", "doc_id", "text", *[column.alias(kind) for kind, column in base_spans(F.col("text")).items()])
-    spans = F.concat(
-        *[
-            F.transform(
-                kind, lambda o, n=n: F.struct(F.lit(n).alias("kind"), o["start"].alias("start"), o["end"].alias("end"))
-            )
-            for n, kind in enumerate(KINDS)
-        ]
-    )
-    seeds = F.concat(
-        *[
-            F.transform(kind, lambda o, n=n: F.struct(F.lit(n).alias("kind"), o["start"].alias("start"),
-                        o["end"].alias("end"), o["value"].alias("value"), _patterns(o).alias("patterns")))
-            for n, kind in enumerate(KINDS)
-        ]
-    )
+
+    def seed(number: int, o: Column) -> Column:
+        return F.struct(
+            F.lit(number).alias("kind"), o["start"].alias("start"), o["end"].alias("end"),
+            o["value"].alias("value"), _patterns(o).alias("patterns"),
+        )
+
+    def of_kind(number: int, kind: str) -> Column:
+        return F.transform(kind, lambda o: seed(number, o))
+
+    seeds = F.concat(*[of_kind(number, kind) for number, kind in enumerate(KINDS)])
     might = F.when(F.col("text").rlike("[0-9@]"), occurrences(F.col("text"), CANDIDATE)).otherwise(
         F.array().cast(f"array<{OCCURRENCE}>")
     )
-    based = looked.select("key", "doc_id", spans.alias("base"), seeds.alias("seeds"), might.alias("might"))
+    seeded = looked.select("key", "doc_id", seeds.alias("seeds"), might.alias("might"))
+    plain = F.transform("seeds", lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
+    based = seeded.select("*", plain.alias("base"))
 
     def trimmed(o: Column) -> Column:
         """Without signs around; the start moves along."""
