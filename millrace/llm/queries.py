@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, mixing, pii, quality, rules, shards, topk, toxicity
+from millrace.llm import bpe, chat, jaccard, mixing, pii, quality, rules, shards, topk, toxicity
 from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
@@ -37,6 +37,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(statistics, learned).select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("signature")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.all_spans(pii.found_spans(table(spark, sf_dir, "documents")))
     counts = [pii.count_of(kind, F.col("base")).alias(f"n_{kind}") for kind in pii.KINDS]
@@ -114,6 +118,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_pii": op4_pii,
     "op5_top_k": op5_top_k,
     "op6_bpe": op6_bpe,
@@ -124,8 +129,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+# Only A to Z turn to lower case.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op3_jaccard_join": f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _LOWER)} AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n_common >= 90 * (x.n + y.n - n_common)
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
     "op5_top_k": """
 WITH vectors AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

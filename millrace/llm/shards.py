@@ -18,6 +18,7 @@ id is a key like any other; an empty table gives empty tables; other columns are
 """
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,23 +33,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.bpe import BoundedCache, read_definition
+from millrace.llm.bpe import BoundedCache, byte_alphabet, read_definition
 from millrace.llm.common import whole_text
 
 SHARD_BYTES = 32 * 1024 * 1024  # of text, about
 KEYS_PER_BUCKET = 8_192
 BITS_PER_KEY = 2  # of a level of the hash
 MAX_LEVELS = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
+CACHED_PIECES = 150_000
 
 ENTRIES = "shard string, place bigint, n_tokens bigint, copy bigint"
 
 
+# How the vocabularies that drop white space split what is left of a text.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Latin letters that are one code point each in every normal form and in lower case.
+_LATIN = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u0137\\u0139-\\u0148\\u014a-\\u0177\\u0179-\\u017e"
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library; words are looked up again where that is exact.
 
     Exact it is for a vocabulary whose splitting drops white space: then no token, normalization or added
-    token reaches across a blank.
+    token reaches across a blank. Of those words that are made of Latin letters, digits and ASCII signs,
+    whose normal form is their lower case, the pieces go straight to the library's merging model.
     """
 
     def __init__(self, definition: str):
@@ -58,22 +67,36 @@ class WordEncoder:
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
-        self.words = BoundedCache(self._ids, CACHED_WORDS)
-        normalizer = spec.get("normalizer") or {}
-        steps = [step["type"] for step in normalizer.get("normalizers", [normalizer] if normalizer else [])]
-        pre = spec.get("pre_tokenizer") or {}
-        splits = [step for step in pre.get("pretokenizers", [pre]) if step.get("type") == "Split"]
-        drops_blanks = any(
-            step["behavior"] == "Removed" and step["invert"] and r"\s" in step["pattern"].get("Regex", "")
-            for step in splits
-        )
+        self.words = BoundedCache(self._word, CACHED_WORDS)
+        self.pieces = BoundedCache(self._piece, CACHED_PIECES)
+        normalizer, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
         added = spec.get("added_tokens", [])
-        plain_added = not any(a["lstrip"] or a["rstrip"] or a["single_word"] or " " in a["content"] for a in added)
-        self.by_word = drops_blanks and plain_added and set(steps) <= {"NFC", "Replace", "Lowercase"}
+        self.by_word = (
+            [step["type"] for step in normalizer.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and normalizer["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+            and [step["type"] for step in pre.get("pretokenizers", [])] == ["Split", "ByteLevel"]
+            and pre["pretokenizers"][0]["pattern"] == {"Regex": _SPLIT}
+            and pre["pretokenizers"][0]["invert"]
+            and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or " " in a["content"] for a in added)
+        )
+        self.model = self.tokenizer.model
+        self.plain = re.compile(rf"[{_LATIN}!-~]+").fullmatch
+        self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+").findall
+        self.added = re.compile("|".join(re.escape(a["content"]) for a in added) or "(?!)").search
+        self.byte_names = {byte: name for name, byte in byte_alphabet().items()}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_names)
+        return np.array([token.id for token in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not self.plain(word) or self.added(word):
+            return self._ids(word)
+        return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
+
     def encode(self, text: str) -> bytes:
         if not self.by_word:
             return self._ids(text)
