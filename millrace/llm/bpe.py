@@ -182,8 +182,12 @@ def read_definition(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and `ids` (binary, little-endian unsigned 32 bit) of every row; `vocabulary` is a tokenizer file's path.
+def encode(
+    docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, the columns in `keep`, and `ids` (binary, little-endian unsigned 32 bit) of every row.
+
+    `vocabulary` is a tokenizer file's path.
 
     Defined cases: a null text is empty and has no ids; every row is encoded by itself, so repeated rows
     and null ids stay as they are; an empty table gives no rows; other columns are ignored.
@@ -193,12 +197,12 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(shared.value)
         for batch in batches:
-            ids = [tables.encode(value) for value in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids = [tables.encode(value) for value in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(ids, pa.binary())], ["doc_id", *keep, "ids"])
 
-    own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
-    kind = own.schema["doc_id"].dataType.simpleString()
-    return own.mapInArrow(run, f"doc_id {kind}, ids binary")
+    own = docs.select(whole_text(text).alias("whole"), F.col(doc_id).alias("doc_id"), *[f"`{name}`" for name in keep])
+    kinds = [f"`{field.name}` {field.dataType.simpleString()}" for field in own.schema.fields[1:]]
+    return own.mapInArrow(run, f"{', '.join(kinds)}, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str, *keep: str) -> DataFrame:

@@ -33,3 +33,9 @@ def words(text: Column) -> Column:
 def in_training_fold(doc_id: Column) -> Column:
     """Labels of the other fold are held out: crc32 of the id as text, divisible by 5."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
+
+
+def row_key(doc_id: str, text: str) -> Column:
+    """Rows with equal id and text share a key; a null id differs from every other."""
+    known = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n"))
+    return F.md5(F.concat(known, F.lit("\n"), whole_text(text)).cast("binary"))

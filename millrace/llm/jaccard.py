@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import BoundedCache
-from millrace.llm.common import whole_text
+from millrace.llm.common import WORD, fresh, row_key, whole_text
 from millrace.llm.graph import components
 from millrace.sources import stage
 
@@ -307,9 +307,10 @@ def _in_groups(members: DataFrame) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, percent: int = 90, size: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id reachable by links) and signature (null if empty) of every row."""
+    """doc_id, n_shingles, component_id (the smallest id reachable by links), group (null for an empty set) and
+    key (of id and text) of every row; linked rows share their group."""
     spark = docs.sparkSession
-    own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), row_key(doc_id, text).alias("key"))
     kind = own.schema["doc_id"].dataType.simpleString()
     sketch = spark.sparkContext.broadcast(frequency_sketch(own, size))
 
@@ -326,13 +327,15 @@ def jaccard_components(
                 firsts.append(first.view(np.int64))
             columns = [
                 batch.column("doc_id"),
+                batch.column("key"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(signatures, pa.binary()),
                 pa.array(firsts, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "signature", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "signature", "prefix"])
 
-    rows = stage(own.mapInArrow(prefixes, f"doc_id {kind}, n bigint, signature binary, prefix array<bigint>"), "prefixes")
+    columns = f"doc_id {kind}, key string, n bigint, signature binary, prefix array<bigint>"
+    rows = stage(own.mapInArrow(prefixes, columns), "prefixes")
     # Equal sets fall together; copies shrink within their tasks. Staging fixes the numbers.
     distinct = rows.where(F.col("signature").isNotNull()).groupBy("signature")
     sets = stage(
@@ -373,8 +376,26 @@ def jaccard_components(
         "signature", "first_id", F.coalesce("root", "id").alias("root")
     )
     labels = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_signature = rooted.join(labels, "root").select("signature", "component_id")
+    by_signature = rooted.join(labels, "root").select("signature", "component_id", "root")
     component = F.when(F.col("signature").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(by_signature, "signature", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "signature"
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("root").alias("group"), "key"
     )
+
+
+def drop_near_copies(
+    docs: DataFrame, percent: int = 80, size: int = 5, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The documents, but of each group of linked ones only that with the smallest id (null last, then by key).
+
+    Rows keep their columns, whatever their names; texts without words are linked with nothing and all stay.
+    Repeated rows shrink within their tasks before the texts are shuffled by key.
+    """
+    found = jaccard_components(docs, percent, size, doc_id, text).where(F.col("group").isNotNull())
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
+    keepers = stage(found.groupBy("group").agg(F.min(order).alias("first")).select("first.key"), "keepers")
+    key = fresh(docs, "jaccard_key")
+    keyed = docs.withColumn(key, row_key(doc_id, text))
+    worded = whole_text(text).rlike(WORD)
+    kept = keyed.where(worded).dropDuplicates([key]).join(keepers.withColumnRenamed("key", key), key, "left_semi")
+    return kept.unionByName(keyed.where(~worded)).select(*[f"`{name}`" for name in docs.columns])

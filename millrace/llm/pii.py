@@ -13,7 +13,7 @@ are ignored, and `redact` keeps them, whatever their names.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, whole_text
+from millrace.llm.common import fresh, row_key, whole_text
 from millrace.operators import join_lookup
 from millrace.sources import stage
 
@@ -166,12 +166,6 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return stage(based.select("key", "doc_id", "base", F.concat("seeds", free).alias("seen")), "pii")
 
 
-def row_key(doc_id: str, text: str) -> Column:
-    """Rows with equal id and text share a key; a null id differs from every other."""
-    parts = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n")), F.lit("\n"), whole_text(text)
-    return F.md5(F.concat(*parts).cast("binary"))
-
-
 def discovered_spans(found: DataFrame) -> DataFrame:
     """key and `more`: spans of words in high-confidence patterns."""
     seen = found.select("key", F.explode("seen").alias("o")).select("key", "o.*")

@@ -38,7 +38,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("signature")
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("group", "key")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
