@@ -19,6 +19,7 @@ id is a key like any other; an empty table gives empty tables; other columns are
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -67,6 +68,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
+        self.code = "H" if self.dtype == "<u2" else "I"
         self.words = BoundedCache(self._word, CACHED_WORDS)
         self.pieces = BoundedCache(self._piece, CACHED_PIECES)
         normalizer, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
@@ -85,12 +87,15 @@ class WordEncoder:
         self.added = re.compile("|".join(re.escape(a["content"]) for a in added) or "(?!)").search
         self.byte_names = {byte: name for name, byte in byte_alphabet().items()}
 
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_names)
-        return np.array([token.id for token in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
+        return self._packed([token.id for token in self.model.tokenize(spelled)])
 
     def _word(self, word: str) -> bytes:
         if not self.plain(word) or self.added(word):
