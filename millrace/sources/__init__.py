@@ -1,23 +1,29 @@
 from millrace.sources.storage import (
+    discard,
     land_raw,
     normalize_names,
     read_parquet,
     read_table,
     replace_table,
     stage,
+    staged_job,
     staging_path,
+    table_name,
     write_connector,
     write_parquet,
 )
 
 __all__ = [
+    "discard",
     "land_raw",
     "normalize_names",
     "read_parquet",
     "read_table",
     "replace_table",
     "stage",
+    "staged_job",
     "staging_path",
+    "table_name",
     "write_connector",
     "write_parquet",
 ]

@@ -1,32 +1,26 @@
 """Reading and writing. Jobs touch storage only through these functions."""
 
 import re
-import tempfile
-from collections.abc import Mapping
-from functools import cache
-from urllib.parse import unquote, urlparse
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_JOB: ContextVar[str] = ContextVar("job", default="")
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="millrace-")
 
+def staging_folder(spark: SparkSession) -> str:
+    """The shared folder that `spark.checkpoint.dir` names, or one in the warehouse, which is shared as well."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
-def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder that `spark.checkpoint.dir` names.
 
-    Only a local session without that setting gets a folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
+def staging_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder, below the folder of the running `staged_job` if there is one."""
+    return f"{staging_folder(spark)}/{_JOB.get()}{label}-{uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -36,16 +30,64 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return read_parquet(df.sparkSession, path, df.schema)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove staged files; refuses anything outside the staging folder."""
+    if not path.startswith(f"{staging_folder(spark)}/"):
+        raise ValueError(f"{path} was not staged")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staged_job(spark: SparkSession) -> Iterator[None]:
+    """What is staged within is removed at the end, so results must have been written by then."""
+    name = f"job-{uuid4().hex}"
+    outer = _JOB.set(f"{_JOB.get()}{name}/")
+    try:
+        yield
+    finally:
+        folder = f"{staging_folder(spark)}/{_JOB.get()}"
+        _JOB.reset(outer)
+        discard(spark, folder)
+
+
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
+def _location(spark: SparkSession, path: object) -> tuple[str, str, str]:
+    """Scheme, authority and path, as the path's own file system completes them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getScheme(), uri.getAuthority() or "", uri.getPath().rstrip("/") + "/"
+
+
+def _class_of(java_object: object) -> str:
+    return java_object.getClass().getSimpleName()
+
+
+def _roots(df: DataFrame) -> list[str]:
+    """The folders that the scans of a frame start from; a handful, however many files they hold."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    scans = [leaf for leaf in map(leaves.apply, range(leaves.size())) if _class_of(leaf) == "LogicalRelation"]
+    relations = [scan.relation() for scan in scans]
+    found = []
+    for relation in relations:
+        if _class_of(relation) == "HadoopFsRelation":
+            paths = relation.location().rootPaths()
+            found += [paths.apply(i).toString() for i in range(paths.size())]
+    return found
+
+
 def _refuse_own_input(df: DataFrame, path: str) -> None:
     """Spark would delete files below `path` first and then fail to read them."""
-    target = unquote(urlparse(path).path).rstrip("/") + "/"
-    if any(unquote(urlparse(file).path).startswith(target) for file in df.inputFiles()):
-        raise ValueError(f"cannot overwrite {path}, which the data is read from; stage it first")
+    spark = df.sparkSession
+    *target_store, target = _location(spark, path)
+    for root in _roots(df):
+        *store, folder = _location(spark, root)
+        if store == target_store and (folder.startswith(target) or target.startswith(folder)):
+            raise ValueError(f"cannot overwrite {path}, which the data is read from; stage it first")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -58,21 +100,37 @@ def write_connector(df: DataFrame, fmt: str, table: str, options: Mapping[str, s
     """Replace a warehouse table through a connector that takes the target as `dbtable`."""
     if not table:
         raise ValueError("a connector write needs a target table")
+    if options and "path" in options:
+        _refuse_own_input(df, options["path"])
     df.write.format(fmt).options(**(options or {}), dbtable=table).mode("overwrite").save()
 
 
+def table_name(parts: str | Sequence[str]) -> str:
+    """A table's name from its parts, each quoted; a single text is one part."""
+    parts = [parts] if isinstance(parts, str) else parts
+    return ".".join(f"`{part.replace('`', '``')}`" for part in parts)
+
+
 def read_table(spark: SparkSession, *parts: str) -> DataFrame:
     """Scan a named table; each part of the name is quoted."""
-    return spark.table(".".join(f"`{part.replace('`', '``')}`" for part in parts))
+    return spark.table(table_name(parts))
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Create or replace a table from a DataFrame, at `path` when the table is external."""
-    writer = df.write.mode("overwrite")
+def replace_table(df: DataFrame, table: str | Sequence[str], path: str | None = None) -> None:
+    """Create or replace a table from a DataFrame, at `path` when the table is external.
+
+    `table` is the parts of its name. The rows are computed into a staged copy first: if that fails,
+    the old table is as it was, and a frame may read the table that it replaces. Should the copy to the
+    table fail, the staged rows stay.
+    """
+    spark = df.sparkSession
+    staged = staging_path(spark, "table")
+    df.write.parquet(staged)
+    writer = read_parquet(spark, staged, df.schema).write.mode("overwrite")
     if path is not None:
-        _refuse_own_input(df, path)
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    writer.saveAsTable(table_name(table))
+    discard(spark, staged)
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
@@ -86,7 +144,7 @@ def normalize_names(df: DataFrame) -> DataFrame:
 def land_raw(
     spark: SparkSession,
     fmt: str,
-    table: str,
+    table: str | Sequence[str],
     options: Mapping[str, str] | None = None,
     schema: StructType | str | None = None,
     path: str | None = None,
@@ -95,4 +153,4 @@ def land_raw(
     reader = spark.read.format(fmt).options(**(options or {}))
     source = (reader if schema is None else reader.schema(schema)).load()
     replace_table(normalize_names(source), table, path)
-    return spark.table(table)
+    return spark.table(table_name(table))

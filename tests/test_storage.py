@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace import sources
+from millrace.sources import storage as module
 
 
 @pytest.fixture
@@ -20,20 +23,104 @@ def test_overwriting_the_own_input_is_refused(spark, rows, tmp_path):
     path = str(tmp_path / "out put")
     sources.write_parquet(rows, path)
     own = sources.read_parquet(spark, path)
+    for target in (f"file://{path}/", f"{path}/part", str(tmp_path)):
+        with pytest.raises(ValueError, match="cannot overwrite"):
+            sources.write_parquet(own.where("`ORDER ID` > 1"), target)
     with pytest.raises(ValueError, match="cannot overwrite"):
-        sources.write_parquet(own.where("`ORDER ID` > 1"), f"file://{path}/")
-    with pytest.raises(ValueError, match="cannot overwrite"):
-        sources.replace_table(own, "external", path)
+        sources.write_connector(own.limit(1), "parquet", "t", {"path": path})
     assert own.count() == 2
     sources.write_parquet(sources.stage(own), path)
-    sources.write_parquet(rows, f"{path}2")
+    sources.write_parquet(sources.read_parquet(spark, path), f"{path}2")
+
+
+def test_no_file_list_is_fetched(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "in")
+    rows.repartition(2).write.parquet(path)
+    monkeypatch.setattr(type(rows), "inputFiles", lambda self: pytest.fail("lists files"))
+    sources.write_parquet(sources.read_parquet(spark, path), str(tmp_path / "out"))
+
+
+def test_equal_paths_in_two_stores_differ(spark, tmp_path):
+    assert module._location(spark, f"file://{tmp_path}/a")[2] == f"{tmp_path}/a/"
+    assert module._location(spark, str(tmp_path)) == module._location(spark, f"file:{tmp_path}/")
 
 
-def test_overwriting_the_own_table_is_refused(spark, rows):
+FAILING = "CASE WHEN `ORDER ID` > 1 THEN raise_error('broken') ELSE `ITEM TYPE` END AS t"
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_a_failing_rebuild_leaves_the_old_table(spark, rows, tmp_path, external):
+    path = str(tmp_path / "ext") if external else None
+    name = f"kept_{external}"
+    sources.replace_table(rows, name, path)
+    with pytest.raises(Exception, match="broken"):
+        sources.replace_table(rows.selectExpr("`ORDER ID`", FAILING), name, path)
+    assert sorted(spark.table(name).collect(), key=str) == sorted(rows.collect(), key=str)
+    sources.replace_table(rows.limit(1), name, path)
+    assert spark.table(name).count() == 1
+
+
+def test_a_table_can_be_rebuilt_from_itself(spark, rows):
     sources.replace_table(rows, "own")
-    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
-        sources.replace_table(spark.table("own").limit(1), "own")
-    assert spark.table("own").count() == 2
+    sources.replace_table(spark.table("own").where("`ORDER ID` = 1"), "own")
+    assert [row[0] for row in spark.table("own").collect()] == [1]
+
+
+def test_table_names_are_quoted_by_parts(spark, rows):
+    assert sources.table_name(["a b", "c`d"]) == "`a b`.`c``d`"
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts")
+    sources.replace_table(rows, ["spark_catalog", "parts", "t"])
+    assert sources.read_table(spark, "spark_catalog", "parts", "t").count() == 2
+    with pytest.raises(Exception, match="a b"):  # the built-in catalog refuses the name, not the parser
+        sources.replace_table(rows, ["spark_catalog", "parts", "a b"])
+
+
+def test_staged_files_of_a_job_go_with_it(spark, rows):
+    with sources.staged_job(spark):
+        staged = sources.stage(rows)
+        folder = Path(staged.inputFiles()[0].removeprefix("file://")).parents[1]
+        assert folder.exists()
+    assert not folder.exists()
+    kept = sources.stage(rows)
+    assert kept.count() == 2
+    with pytest.raises(ValueError, match="was not staged"):
+        sources.discard(spark, "/elsewhere")
+
+
+class Recorder:
+    """Stands for a frame and its writer; notes what it is asked for."""
+
+    def __init__(self):
+        self.calls = {}
+
+    @property
+    def write(self):
+        return self
+
+    def format(self, name):
+        self.calls["format"] = name
+        return self
+
+    def options(self, **options):
+        self.calls["options"] = options
+        return self
+
+    def mode(self, name):
+        self.calls["mode"] = name
+        return self
+
+    def save(self):
+        self.calls["saved"] = True
+
+
+def test_connector_writes_name_their_target():
+    frames = {name: Recorder() for name in ("trips", "a b.payments")}
+    for name, frame in frames.items():
+        sources.write_connector(frame, "warehouse", name, {"user": "u"})
+    for name, frame in frames.items():
+        assert frame.calls == {
+            "format": "warehouse", "options": {"user": "u", "dbtable": name}, "mode": "overwrite", "saved": True,
+        }
 
 
 def test_stage_keeps_schema_and_goes_to_the_shared_folder(spark, rows):
@@ -59,13 +146,10 @@ class Settings:
         return self.values.get(key, default)
 
 
-def test_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        sources.staging_path(Settings(spark__master="yarn"), "x")
-    assert sources.staging_path(Settings(spark__master="yarn", spark__checkpoint__dir="s3a://b/c/"), "x").startswith(
-        "s3a://b/c/x-"
-    )
-    assert "millrace-" in sources.staging_path(Settings(spark__master="local[2]"), "x")
+def test_staging_goes_to_a_shared_folder():
+    settings = {"spark__sql__warehouse__dir": "hdfs://w/"}
+    assert sources.staging_path(Settings(**settings), "x").startswith("hdfs://w/_staged/x-")
+    assert sources.staging_path(Settings(spark__checkpoint__dir="s3a://b/c/", **settings), "x").startswith("s3a://b/c/x-")
 
 
 def test_table_is_created_and_replaced(spark, rows):
