@@ -73,8 +73,12 @@ def convert_currency(amount: Column, rate: float = DEFAULT_RATE) -> Column:
 
 
 def _try_integer(col: Column, kind: str, limit: float) -> Column:
-    """Truncating cast, NULL beyond `limit`: a failing cast costs many times the comparison."""
-    return F.when(col.try_cast("double").between(-limit - 1, limit), col.try_cast(kind))
+    """Truncating cast, NULL from `limit` on: a failing cast costs many times the comparison."""
+    number = col.try_cast("double")
+    fits = (number > -limit - 1) & (number < limit) | (number == -limit)
+    # A double cannot tell the largest integer from the limit.
+    largest = (number == limit) & (col.try_cast("decimal(38,0)") < F.lit(str(int(limit))).cast("decimal(38,0)"))
+    return F.when(fits | largest, col.try_cast(kind))
 
 
 def to_int(col: Column) -> Column:

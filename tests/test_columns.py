@@ -86,6 +86,16 @@ def test_bigint(spark):
     assert apply(spark, fn.to_bigint, [7, None], "int") == [7, None]
 
 
+def test_bigint_at_the_edge(spark):
+    assert apply(spark, fn.to_bigint, [2.0**63, -(2.0**63), 2.0**63 - 1024], "double") == [
+        None,
+        -(2**63),
+        2**63 - 1024,
+    ]
+    edge = ["9223372036854775807", "9223372036854775808", "-9223372036854775808"]
+    assert apply(spark, fn.to_bigint, edge, "string") == [2**63 - 1, None, -(2**63)]
+
+
 def test_currency(spark):
     assert apply(spark, fn.convert_currency, [10.0, None], "double") == [830.0, None]
     assert apply(spark, lambda c: fn.convert_currency(c, 2), [10.0], "double") == [20.0]
