@@ -1,7 +1,8 @@
 from millrace.operators.dimension import dimension, dimensions, surrogate_key
 from millrace.operators.items import count_distinct_items, explode_delimited
 from millrace.operators.keys import keys_present
-from millrace.operators.lookup import BROADCAST_ROWS, join_lookup
+from millrace.operators.lookup import BROADCAST_ROWS, fit_broadcast, join_lookup
+from millrace.operators.names import fresh_name
 from millrace.operators.sequence import sequence_id, sequence_ids
 
 __all__ = [
@@ -10,6 +11,8 @@ __all__ = [
     "dimension",
     "dimensions",
     "explode_delimited",
+    "fit_broadcast",
+    "fresh_name",
     "join_lookup",
     "keys_present",
     "sequence_id",

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.names import fresh_name
 from millrace.operators.sequence import sequence_id
 from millrace.sources import stage
 
@@ -19,10 +20,9 @@ def surrogate_key(
     if (values.count() if rows is None else rows) <= one_task_rows:
         rank = F.row_number().over(Window.orderBy(F.col(column).asc_nulls_last()))
         return values.select(rank.cast("bigint").alias(id_name), column)
-    keyed = values.withColumn("_missing", F.col(column).isNull())
-    numbered = sequence_id(keyed, id_name, ["_missing", column], rows_per_bucket=one_task_rows)
-    # Large enough that writing it once beats numbering it for the dimension and again for the fact.
-    return stage(numbered.select(id_name, column), "dimension")
+    missing = fresh_name("missing", values)
+    keyed = values.withColumn(missing, F.col(column).isNull())
+    return sequence_id(keyed, id_name, [missing, column], rows_per_task=one_task_rows).select(id_name, column)
 
 
 def dimensions(

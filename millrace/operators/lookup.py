@@ -1,36 +1,41 @@
 """Joining a fact to a lookup table whose keys are unique."""
 
-from math import ceil
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1 / 1000  # of the fact's rows
-SAMPLE_ROWS = 200_000
 
-REPEATS = "_repeats"
-SALT = "_salt"
+# Values without a bound on their size that is cheap to measure.
+NESTED = (ArrayType, MapType, StructType, VariantType)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure rows and text bytes with one aggregate."""
-    width = F.lit(0)
-    for name, kind in df.dtypes:
-        size = F.octet_length(name) if kind in ("string", "binary") else F.lit(8)
-        width = width + F.coalesce(size, F.lit(0))
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+def fit_broadcast(
+    frames: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[bool]:
+    """Whether each frame is small enough, by rows and text bytes, in one job; nested columns never are."""
 
+    def measured(number: int, df: DataFrame) -> DataFrame:
+        width = F.lit(0)
+        for name, kind in df.dtypes:
+            column = F.col(f"`{name}`")
+            size = F.octet_length(column) if kind in ("string", "binary") else F.lit(8)
+            width = width + F.coalesce(size, F.lit(0))
+        return df.agg(
+            F.lit(number).alias("frame"), F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
+        )
 
-def hot_keys(df: DataFrame, column: str) -> dict:
-    """Values with about HOT_SHARE of the rows or more, with their shares, by a sample."""
-    sampled = df.select(column).dropna().sample(min(1.0, SAMPLE_ROWS / max(1, df.count())), seed=17)
-    counts = sampled.groupBy(column).count()
-    hot = counts.where(F.col("count") >= HOT_SHARE * SAMPLE_ROWS).collect()  # 1 / HOT_SHARE rows at most
-    return {row[0]: row[1] / SAMPLE_ROWS for row in hot}
+    plain = {i: df for i, df in enumerate(frames) if not any(isinstance(f.dataType, NESTED) for f in df.schema)}
+    fits = [False] * len(frames)
+    if plain:
+        sizes = reduce(DataFrame.unionByName, [measured(i, df) for i, df in plain.items()])
+        for row in sizes.collect():  # one row per frame
+            fits[row["frame"]] = row["rows"] <= max_rows and row["size"] <= max_bytes
+    return fits
 
 
 def join_lookup(
@@ -39,31 +44,15 @@ def join_lookup(
     on: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    sample_from: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Inner join on a column that is unique in the lookup.
 
     A lookup measured to be small is broadcast: the fact is not shuffled, whatever its skew. With a
-    larger one both sides are shuffled, and each hot key is spread over its share of the
-    partitions: the lookup repeats its one row, the fact picks a repeat by input partition. Hot keys
-    are looked for in `sample_from`, which saves computing a fact that is itself a join.
+    larger one both sides are shuffled and sorted, and adaptive execution splits the partitions of hot
+    keys, repeating the lookup's one row; `stage` a lookup that an aggregate makes, as Spark splits only
+    what it shuffles for the join. `small` says what a caller has measured already.
     """
-    if fits_broadcast(lookup, max_rows, max_bytes):
-        return fact.join(F.broadcast(lookup), on)
-    hot = hot_keys(fact if sample_from is None else sample_from, on)
-    if not hot:
-        return fact.join(lookup, on)
-    spark = fact.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    repeats = spark.createDataFrame(
-        [(key, ceil(share * partitions) + 1) for key, share in hot.items()],
-        StructType([StructField(on, fact.schema[on].dataType), StructField(REPEATS, IntegerType())]),
-    )
-
-    def with_repeats(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(repeats), on, "left").fillna(1, [REPEATS])
-
-    # The input partition of a row is the same when a lost task runs again.
-    salted = with_repeats(fact).withColumn(SALT, F.pmod(F.spark_partition_id(), REPEATS))
-    repeated = with_repeats(lookup).withColumn(SALT, F.explode(F.sequence(F.lit(0), F.col(REPEATS) - 1)))
-    return salted.drop(REPEATS).join(repeated.drop(REPEATS), [on, SALT]).drop(SALT)
+    if small is None:
+        (small,) = fit_broadcast([lookup], max_rows, max_bytes)
+    return fact.join(F.broadcast(lookup) if small else lookup.hint("merge"), on)

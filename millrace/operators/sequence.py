@@ -1,167 +1,74 @@
 """Gapless 1..n ids in a global order, computed by many tasks.
 
-`row_number()` over an ordering alone moves every row to one task. Here each row first gets a
-bucket: the number of cut points at or below its key. Buckets follow the order, so
+`row_number()` over an ordering alone moves every row to one task. Here rows are dealt to tasks by ranges
+of the whole order and sorted within each; a row's place in its task is written with it, so that
 
-    id = rows in earlier buckets + row_number() within the bucket
+    id = rows in earlier tasks + place in its own
 
-Cut points come from a sample, but ids do not depend on how good it is: the bucket is a function
-of the row alone, hence the same in every pass and on every retry.
+holds for every later reader, whatever is computed again. Ranges come from Spark's own sample; a poor one
+costs balance, never correctness.
 """
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from itertools import groupby
 from math import ceil
-from os.path import commonprefix
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
+from millrace.operators.names import fresh_name
 from millrace.sources import stage
 
-ROWS_PER_BUCKET = 1_000_000  # one task sorts about this many rows, until MAX_BUCKETS is reached
-BUCKETS_PER_SHUFFLE_PARTITION = 4  # evens out the hashing of buckets to partitions
-MIN_ROWS_PER_BUCKET = 1_000
-MAX_BUCKETS = 16_384  # bounds the cut points in the plan and the broadcast offsets
-SAMPLE_PER_BUCKET = 30  # keys; half a million at most, which one task sorts
-
-BUCKET = "_bucket"
-OFFSET = "_offset"
-SALT = "_salt"
-
-# Microseconds survive the trip of the cut points through text.
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
-
-@dataclass(frozen=True)
-class _Buckets:
-    """How to bucket rows: by `keys`, at `cuts` (JSON texts in order); `hot` if one value fills too much."""
-
-    keys: tuple[str, ...]
-    cuts: tuple[str, ...]
-    hot: bool
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the bucket by a binary search over the cut points, one projection per halving."""
-        key = _key(self.keys)
-        cut_type = ArrayType(df.select(key.alias("key")).schema["key"].dataType)
-        # Folded to one sorted literal when the plan is optimized.
-        cuts = F.sort_array(F.from_json(F.lit(f"[{','.join(self.cuts)}]"), cut_type, _JSON))
-        df = df.withColumn(BUCKET, F.lit(0))
-        for power in reversed(range(len(self.cuts).bit_length())):
-            step = 1 << power
-            cut = F.get(cuts, F.col(BUCKET) + (step - 1))
-            df = df.withColumn(BUCKET, F.col(BUCKET) + F.when(cut <= key, step).otherwise(0))
-        return df
-
-
-def _key(keys: Sequence[str]) -> Column:
-    """Structs compare field by field with NULL first, as an ascending sort does."""
-    return F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(keys)])
-
-
-def _cut_points(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) -> list[list[str]]:
-    """Sampled keys at equal shares, once for every number of leading keys.
-
-    The sample is bounded by SAMPLE_PER_BUCKET * MAX_BUCKETS keys.
-    """
-    share = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)
-    sample = df.select(_key(keys).alias("key")).sample(share, seed=17)
-    ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    position = F.floor(F.col("i").cast("bigint") * F.size("keys") / buckets).cast("int")
-    picked = ordered.select("keys", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("i")).select(
-        "i", F.get("keys", position).alias("key")
-    )
-    fields = [f"key.k{i}" for i in range(len(keys))]
-    prefixes = [F.to_json(F.struct(*fields[:width]), _JSON) for width in range(1, len(keys) + 1)]
-    cuts = picked.where(F.col("key").isNotNull()).select("i", F.array(*prefixes).alias("cuts")).collect()
-    return [list(column) for column in zip(*[row.cuts for row in sorted(cuts)])]
-
-
-def _plan_buckets(
-    df: DataFrame, keys: Sequence[str], rows: int, buckets: int, rows_per_bucket: int, probes: Sequence[int]
-) -> _Buckets:
-    """Bucket by the fewest leading keys that leave no value hot, which is with far too many rows for a bucket.
-
-    Short keys keep the counting pass narrow and can serve several orders at once. `probes` are the
-    numbers of keys to sample: the leading one first, as that mostly does and reads least.
-    """
-    if buckets == 1:
-        return _Buckets(tuple(keys[:1]), (), hot=False)
-    limit = max(rows_per_bucket, 2 * rows / buckets)
-    width, cuts = 1, []
-    for probe in probes:
-        for width, cuts in enumerate(_cut_points(df, keys[:probe], rows, buckets), start=1):
-            longest_run = max(len(list(run)) for _, run in groupby(cuts))
-            if longest_run * rows / buckets <= limit:
-                return _Buckets(tuple(keys[:width]), tuple(dict.fromkeys(cuts)), hot=False)
-    return _Buckets(tuple(keys[:width]), tuple(dict.fromkeys(cuts)), hot=bool(cuts))
-
-
-def _number(
-    df: DataFrame, source: DataFrame, orders: Mapping[str, Sequence[str]], buckets: _Buckets
-) -> DataFrame:
-    """Add one id per order; all share a single shuffle by bucket.
-
-    Rows are counted in `source`, the frame before any id, so that the count reads keys only.
-    """
-    bucketed = buckets.assign(df)
-    counts = buckets.assign(source.select(*buckets.keys)).groupBy(BUCKET).count()
-    # At most MAX_BUCKETS rows: small enough for one task and for a broadcast.
-    running = F.sum("count").over(Window.orderBy(BUCKET))
-    offsets = counts.select(BUCKET, (running - F.col("count")).alias(OFFSET))
-    for name, keys in orders.items():
-        window = Window.partitionBy(BUCKET).orderBy(*keys)
-        bucketed = bucketed.withColumn(name, F.row_number().over(window))
-    ids = {name: F.col(name) + F.col(OFFSET) for name in orders}
-    return bucketed.join(F.broadcast(offsets), BUCKET).withColumns(ids).drop(BUCKET, OFFSET)
+ROWS_PER_TASK = 1_000_000
+MIN_ROWS_PER_TASK = 1_000
+TASKS_PER_CORE = 2  # where the data is small
+HOT = 4  # times the mean rows of a task
+
+PLACE_BITS = 33  # of monotonically_increasing_id: the place, below the number of the task
+
+
+def _numbered(df: DataFrame, name: str, keys: Sequence[str], rows: int, tasks: int, salted: bool = False) -> DataFrame:
+    """Add one id; the rows are shuffled and written once."""
+    place, task, offset = (fresh_name(base, df) for base in ("place", "task", "offset"))
+    ranged = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    # Numbers the rows of a task in order, from the task's number shifted on.
+    placed = stage(ranged.withColumn(place, F.monotonically_increasing_id()), "sequence")
+    task_of = F.shiftright(place, PLACE_BITS)
+    # One row per task: small enough for one task and for a broadcast.
+    counts = stage(placed.groupBy(task_of.alias(task)).agg(F.count("*").alias(offset)), "sequence")
+    if tasks > 1 and not salted and (counts.agg(F.max(offset)).first()[0] or 0) > HOT * rows / tasks:
+        # Rows equal in the whole order fill a task, and theirs is free: spread them at random. Writing
+        # them first fixes the salt, so that every pass and retry sees the same.
+        salt = fresh_name("salt", df)
+        spread = stage(df.withColumn(salt, F.rand()), "sequence")
+        return _numbered(spread, name, [*keys, salt], rows, tasks, salted=True).drop(salt)
+    before = Window.orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(task, F.coalesce(F.sum(offset).over(before), F.lit(0)).alias(offset))
+    joined = placed.withColumn(task, task_of).join(F.broadcast(offsets), task)
+    number = F.col(offset) + F.col(place).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + 1
+    return joined.withColumn(name, number).drop(place, task, offset)
 
 
 def sequence_ids(
     df: DataFrame,
     orders: Mapping[str, Sequence[str]],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    buckets: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add a 1..n bigint column per entry of `orders`: {id name: ascending order columns}, NULL first.
 
-    Counts and samples `df` when called; the numbering itself is lazy. All passes but the last read
-    only the leading keys, which is cheap for files; `stage` an input that is costly to compute.
-    Rows equal in all order columns get their ids in no fixed order, so add a tie-breaker where
-    ids must be reproducible.
+    Works when called: the rows are counted, and sorted and written once per order, so select the
+    columns of use before, and `stage` an input that is costly to compute. The tasks follow the rows,
+    not the session's number of shuffle partitions. Rows equal in all order columns get their ids in no
+    fixed order, so add a tie-breaker where ids must be reproducible.
     """
     rows = df.count()
-    if buckets is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parallel = min(BUCKETS_PER_SHUFFLE_PARTITION * partitions, rows // MIN_ROWS_PER_BUCKET)
-        buckets = max(ceil(rows / rows_per_bucket), parallel)
-    buckets = max(1, min(buckets, MAX_BUCKETS, rows))
-
-    shared = commonprefix([list(keys) for keys in orders.values()])
-    if shared:
-        plan = _plan_buckets(df, shared, rows, buckets, rows_per_bucket, sorted({1, len(shared)}))
-        if not plan.hot:
-            return _number(df, df, orders, plan)
-
-    # A hot leading value: each order is cut on its own, longer key.
-    plans = {
-        name: _plan_buckets(df, keys, rows, buckets, rows_per_bucket, [len(keys)]) for name, keys in orders.items()
-    }
-    if any(plan.hot for plan in plans.values()) and SALT not in df.columns:
-        # Rows equal in the whole key fill a bucket, and their order is free: spread them at
-        # random. Writing them first fixes the salt, so that every pass and retry sees the same.
-        salted = stage(df.withColumn(SALT, F.rand()), "sequence")
-        ties = {name: [*keys, SALT] for name, keys in orders.items()}
-        return sequence_ids(salted, ties, rows_per_bucket, buckets).drop(SALT)
-    numbered = df
-    for name, plan in plans.items():
-        numbered = _number(numbered, df, {name: orders[name]}, plan)
-    return numbered
+    if tasks is None:
+        small = min(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, rows // MIN_ROWS_PER_TASK)
+        tasks = max(ceil(rows / rows_per_task), small)
+    tasks = max(1, min(tasks, rows))
+    for name, keys in orders.items():
+        df = _numbered(df, name, keys, rows, tasks)
+    return df
 
 
 def sequence_id(df: DataFrame, name: str, keys: Sequence[str], **options: int) -> DataFrame:

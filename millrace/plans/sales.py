@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import LENIENT_DATES, STRICT_DATES, decode_labels, lead_time_days
-from millrace.operators import BROADCAST_ROWS, dimension, dimensions, join_lookup, keys_present
+from millrace.operators import BROADCAST_ROWS, dimension, dimensions, fit_broadcast, join_lookup, keys_present
 from millrace.sources import replace_table
 
 # Warehouse names and column order of the sales tables.
@@ -128,26 +128,33 @@ def star_fact(
         lead_time.alias(LEAD_TIME),
     )
     fact = source
-    for id_name in keys:
+    # All dimensions are measured in one job.
+    for id_name, small in zip(keys, fit_broadcast([dims[id_name] for id_name in keys], max_broadcast_rows)):
         dim = dims[id_name].toDF(id_name, f"_{id_name}")
-        fact = join_lookup(fact, dim, f"_{id_name}", max_broadcast_rows, sample_from=source)
+        fact = join_lookup(fact, dim, f"_{id_name}", small=small)
     return fact.select(*[f"`{form.names[name]}`" for name in form.columns], *keys, LEAD_TIME)
 
 
-def star(raw: DataFrame, form: Form = CURRENT) -> Star:
-    """Four dimensions and the fact that refers to them.
+def star(raw: DataFrame, form: Form = CURRENT, date_patterns: Sequence[str] | None = None) -> Star:
+    """Four dimensions and the fact that refers to them; `date_patterns` replaces the form's own.
 
     Reads `raw` once per dimension, a column at a time, and once for the fact: land or `stage` it
     first unless it is a table.
     """
+    if date_patterns is not None:
+        form = form._replace(date_patterns=date_patterns)
     dims = star_dimensions(raw, form)
     return Star(*dims.values(), star_fact(raw, dims, form))
 
 
-def write_star(tables: Star, database: str, path: str | None = None) -> None:
-    """Replace the five tables, dimensions first; below `path` when they are external."""
+def write_star(tables: Star, database: str | Sequence[str], path: str | None = None) -> None:
+    """Replace the five tables, dimensions first; below `path` when they are external.
+
+    `database` may have several parts, such as a catalog and a schema.
+    """
+    parts = [database] if isinstance(database, str) else list(database)
     for name, df in zip(TABLE_NAMES, tables, strict=True):
-        replace_table(df, f"{database}.{name}", path and f"{path}/{name}")
+        replace_table(df, [*parts, name], path and f"{path}/{name}")
 
 
 def flat(raw: DataFrame, label: str | None = "ORDER_PRIORITY_DESC") -> DataFrame:

@@ -23,7 +23,7 @@ from millrace.functions import (
     to_timestamp,
 )
 from millrace.operators import sequence_ids
-from millrace.sources import read_parquet, stage, write_parquet
+from millrace.sources import read_parquet, staged_job, write_parquet
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -50,6 +50,8 @@ TRIP_FACTS = (
     "PULocationID",
     "DOLocationID",
 )
+# Columns that follow from one other output column.
+FOLLOWING = ("Month", "Distance_Length", "trip_amt_INR")
 INT_COLUMNS = ("VendorID", "passenger_count", "RatecodeID", "payment_type")
 BIGINT_COLUMNS = ("PULocationID", "DOLocationID")
 
@@ -116,13 +118,16 @@ def enrich(trips: DataFrame, variant: Variant = VARIANT_B, rate: float = DEFAULT
 def number(
     trips: DataFrame, variant: Variant = VARIANT_B, tie_break: Sequence[str] | None = None, **options: int
 ) -> DataFrame:
-    """Add the id columns.
+    """Add the id columns; sorts and writes the output columns once per order.
 
-    Ties are broken by `tie_break`, or else by all other output columns: then only rows that are
-    equal throughout may swap ids, and a retried task cannot change the result.
+    Ties are broken by `tie_break`, or else by all other output columns that do not follow from one
+    another: then only rows that are equal throughout may swap ids. Both tables of a split see the same
+    ids, as these are written.
     """
     if tie_break is None:
-        tie_break = [name for name in variant.output_columns if name in trips.columns]
+        tie_break = [name for name in variant.output_columns if name in trips.columns and name not in FOLLOWING]
+    needed = [name for name in trips.columns if name in {*variant.output_columns, *tie_break}]
+    trips = trips.select(*[f"`{name}`" for name in needed])
     orders = {name: list(dict.fromkeys([*keys, *tie_break])) for name, keys in variant.orders.items()}
     numbered = sequence_ids(trips, orders, **options)
     return numbered.withColumns({name: F.col(other) for name, other in variant.twins.items()})
@@ -141,25 +146,10 @@ def transform(
     tie_break: Sequence[str] | None = None,
     **options: int,
 ) -> Split:
-    """Trip and payment tables of the raw trips, lazily."""
+    """Trip and payment tables of the raw trips."""
     return split(number(enrich(trips, variant, rate), variant, tie_break, **options), variant)
 
 
-def transform_staged(
-    trips: DataFrame,
-    variant: Variant = VARIANT_B,
-    rate: float = DEFAULT_RATE,
-    tie_break: Sequence[str] | None = None,
-    **options: int,
-) -> Split:
-    """As `transform`, with the numbered frame written once: for jobs that write both tables.
-
-    The sort runs once, and both tables see the same ids even where rows are equal.
-    """
-    numbered = number(enrich(trips, variant, rate), variant, tie_break, **options)
-    return split(stage(numbered.select(*variant.output_columns), "numbered"), variant)
-
-
 # Names of the two warehouse tables.
 TABLES = ("nyc_taxi_trip", "nyc_taxi_payment")
 
@@ -171,8 +161,9 @@ def transform_and_load(
     spark: SparkSession, source: str, save: Save, tables: Sequence[str] = TABLES, **options: object
 ) -> None:
     """The scheduled job in one go: Parquet in, two warehouse tables out."""
-    for df, name in zip(transform_staged(read_parquet(spark, source), **options), tables, strict=True):
-        save(df, name)
+    with staged_job(spark):
+        for df, name in zip(transform(read_parquet(spark, source), **options), tables, strict=True):
+            save(df, name)
 
 
 def extract(spark: SparkSession, source: str, target: str) -> None:
@@ -189,9 +180,10 @@ def transform_files(
     **options: object,
 ) -> None:
     """Stage 2: extracted trips to a trip and a payment file set."""
-    tables = transform_staged(read_parquet(spark, source), variant, **options)
-    write_parquet(tables.trip, trip_path)
-    write_parquet(tables.payment, payment_path)
+    with staged_job(spark):
+        tables = transform(read_parquet(spark, source), variant, **options)
+        write_parquet(tables.trip, trip_path)
+        write_parquet(tables.payment, payment_path)
 
 
 def load(

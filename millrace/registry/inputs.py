@@ -1,6 +1,6 @@
 """The jobs' inputs, mapped from the driver tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans.sales import RAW_COLUMNS
@@ -72,36 +72,37 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_raw(spark, sf_dir).withColumnsRenamed(RAW_COLUMNS)
 
 
-def _trips(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    # Fixed value: amounts the driver tables have no counterpart for.
-    half = ("extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge")
-    return df.select(
-        *[expr.alias(name) for name, expr in columns.items()],
-        *[F.lit(0.5).alias(name) for name in half],
-    )
-
-
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Taxi trips from `events`; pick-up times are unique."""
+    """Taxi trips from `events`: many share their pick-up hour and vendor, and no two columns are alike.
+
+    Every fraction is exact in binary.
+    """
     event, user = F.col("event_id"), F.col("user_id")
-    return _trips(
-        table(spark, sf_dir, "events"),
-        {
-            "tpep_pickup_datetime": F.col("ts"),
-            "tpep_dropoff_datetime": F.col("ts"),
-            "VendorID": user,
-            "passenger_count": F.when(event % 50 != 0, (event % 8).cast("double")),
-            "trip_distance": F.col("value") / 16,
-            "RatecodeID": event % 6 + 1,
-            "payment_type": event % 4 + 1,
-            "store_and_fwd_flag": F.when(F.col("event_type") == "error", "Y").otherwise("N"),
-            "PULocationID": event % 265,
-            "DOLocationID": user % 265,
-            "fare_amount": F.col("value"),
-            "total_amount": F.col("value"),
-            "__null_dask_index__": event,
-        },
-    )
+    events = table(spark, sf_dir, "events")
+    kind = events.schema["ts"].dataType
+    hour = F.date_trunc("hour", "ts").cast(kind)
+    columns = {
+        "tpep_pickup_datetime": F.when(event % 101 != 0, hour),
+        "tpep_dropoff_datetime": F.when(event % 61 != 0, F.col("ts") + F.make_dt_interval(mins=(event % 97 + 1).cast("int"))),
+        "VendorID": user % 20 + 0.25,
+        "passenger_count": F.when(event % 50 != 0, event % 16 / 2),
+        "trip_distance": F.col("value") / 16,
+        "RatecodeID": event % 6 + 1.75,
+        "payment_type": event % 4 + 1.5,
+        "store_and_fwd_flag": F.when(F.col("event_type") == "error", "Y").when(event % 41 != 0, "N"),
+        "PULocationID": event % 265 + 0.5,
+        "DOLocationID": user % 265,
+        "fare_amount": F.col("value"),
+        "extra": event % 7 / 8,
+        "mta_tax": event % 5 / 4 + 1,
+        "tip_amount": F.when(event % 17 != 0, event % 11 / 2 + 2),
+        "tolls_amount": event % 13 / 16 + 3,
+        "improvement_surcharge": event % 19 / 32 + 4,
+        "total_amount": F.when(event % 43 != 0, F.col("value") * 2 + event % 13),
+        "congestion_surcharge": F.when(event % 29 != 0, event % 23 / 64 + 5),
+        "__null_dask_index__": event,
+    }
+    return events.select(*[expr.alias(name) for name, expr in columns.items()])
 
 
 LINE_TIE_BREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]

@@ -87,18 +87,21 @@ def _flat(rows: str, source: str, priority: str, label: str | None) -> str:
     FROM {source}"""
 
 
-_HALVES = ", ".join(
-    f"0.5::DOUBLE AS {name}"
-    for name in ("extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge")
-)
-
-_TRIPS = f"""trips AS (
-  SELECT ts AS tpep_pickup_datetime, ts AS tpep_dropoff_datetime, user_id AS "VendorID",
-    CASE WHEN event_id % 50 <> 0 THEN CAST(event_id % 8 AS DOUBLE) END AS passenger_count,
-    value / 16 AS trip_distance, event_id % 6 + 1 AS "RatecodeID", event_id % 4 + 1 AS payment_type,
-    CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
-    event_id % 265 AS "PULocationID", user_id % 265 AS "DOLocationID",
-    value AS fare_amount, value AS total_amount, event_id AS "__null_dask_index__", {_HALVES}
+_TRIPS = """trips AS (
+  SELECT CASE WHEN event_id % 101 <> 0 THEN date_trunc('hour', ts) END AS tpep_pickup_datetime,
+    CASE WHEN event_id % 61 <> 0 THEN ts + to_minutes(event_id % 97 + 1) END AS tpep_dropoff_datetime,
+    user_id % 20 + 0.25::DOUBLE AS "VendorID",
+    CASE WHEN event_id % 50 <> 0 THEN (event_id % 16) / 2 END AS passenger_count,
+    value / 16 AS trip_distance, event_id % 6 + 1.75::DOUBLE AS "RatecodeID",
+    event_id % 4 + 1.5::DOUBLE AS payment_type,
+    CASE WHEN event_type = 'error' THEN 'Y' WHEN event_id % 41 <> 0 THEN 'N' END AS store_and_fwd_flag,
+    event_id % 265 + 0.5::DOUBLE AS "PULocationID", user_id % 265 AS "DOLocationID", value AS fare_amount,
+    (event_id % 7) / 8 AS extra, (event_id % 5) / 4 + 1 AS mta_tax,
+    CASE WHEN event_id % 17 <> 0 THEN (event_id % 11) / 2 + 2 END AS tip_amount,
+    (event_id % 13) / 16 + 3 AS tolls_amount, (event_id % 19) / 32 + 4 AS improvement_surcharge,
+    CASE WHEN event_id % 43 <> 0 THEN value * 2 + event_id % 13 END AS total_amount,
+    CASE WHEN event_id % 29 <> 0 THEN (event_id % 23) / 64 + 5 END AS congestion_surcharge,
+    event_id AS "__null_dask_index__"
   FROM events)"""
 
 _LOAD_EXACT = """CASE WHEN passenger_count IN (1, 2) THEN 'Low' WHEN passenger_count IN (3, 4) THEN 'Medium'
@@ -114,18 +117,33 @@ def _int(column: str, kind: str = "INTEGER") -> str:
     return f"TRY_CAST(trunc({column}) AS {kind})"
 
 
-_PICKUP_ORDER = "tpep_pickup_datetime NULLS FIRST"
+# Ties go by the output columns, in their order.
+_PAID = """payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
+    total_amount, congestion_surcharge"""
+_DRIVEN = """"VendorID", tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "RatecodeID",
+    store_and_fwd_flag, "PULocationID", "DOLocationID\""""
+
+
+def _numbered(first: str, tie: str) -> str:
+    """The numbering by pick-up time and one further column."""
+    names = ["tpep_pickup_datetime", first, *[name.strip() for name in tie.split(",")]]
+    return f"row_number() OVER (ORDER BY {', '.join(f'{name} NULLS FIRST' for name in names)})"
+
 
-_NUMBERED = f"""{_TRIPS}, numbered AS (
+_NUMBERED = f"""{_TRIPS}, enriched AS (
   SELECT * REPLACE (
-      CAST("VendorID" AS INTEGER) AS "VendorID", {_int('passenger_count')} AS passenger_count,
-      CAST("RatecodeID" AS INTEGER) AS "RatecodeID", CAST(payment_type AS INTEGER) AS payment_type),
+      {_int('"VendorID"')} AS "VendorID", {_int('passenger_count')} AS passenger_count,
+      {_int('"RatecodeID"')} AS "RatecodeID", {_int('payment_type')} AS payment_type,
+      {_int('"PULocationID"', 'BIGINT')} AS "PULocationID"),
     CAST(month(tpep_pickup_datetime) AS INTEGER) AS "Month",
     {_LOAD_EXACT} AS load_exact, {_LOAD_THRESHOLD} AS load_threshold, {_DISTANCE} AS "Distance_Length",
-    total_amount * 83.0::DOUBLE AS "trip_amt_INR",
-    row_number() OVER (ORDER BY {_PICKUP_ORDER}, "VendorID" NULLS FIRST) AS "Trip_id",
-    row_number() OVER (ORDER BY {_PICKUP_ORDER}, payment_type NULLS FIRST) AS "Payment_id"
-  FROM trips)"""
+    total_amount * 83.0::DOUBLE AS "trip_amt_INR"
+  FROM trips
+), numbered AS (
+  SELECT *, {_numbered('"VendorID"', f"{_DRIVEN}, load_exact, __null_dask_index__")} AS trip_id_a,
+    {_numbered('"VendorID"', f"{_DRIVEN}, load_threshold, {_PAID}")} AS "Trip_id",
+    {_numbered('payment_type', f"{_DRIVEN}, load_threshold, {_PAID}")} AS "Payment_id"
+  FROM enriched)"""
 
 _AMOUNTS = """payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
     total_amount, congestion_surcharge"""
@@ -158,7 +176,8 @@ _ITEMS = _split_items("part", "p_name", "' '", "item")
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem",
     "sink_parquet_roundtrip": "SELECT * FROM orders",
-    "sink_table_roundtrip": "SELECT * FROM orders",
+    "sink_table_roundtrip": """SELECT o_orderkey, c_custkey, c_name, o_orderdate
+      FROM orders JOIN customer ON o_custkey = c_custkey""",
     "ctas_replace": f"WITH {_SALES} SELECT region, country, {_decode('order_priority')} AS priority FROM sales",
     "scan_table": f"""WITH {_SALES}
       SELECT region AS "REGION", item_type AS "ITEM TYPE", order_id AS "ORDER ID" FROM sales""",
@@ -210,8 +229,17 @@ ORACLE: dict[str, str] = {
     "sequence_global": _sequences("o_orderdate", second=False),
     "sequence_second_order": _sequences("o_orderdate", second=True),
     "sequence_twin": f"""WITH {_NUMBERED}
-      SELECT "Trip_id", "Trip_id" AS "Payment_id", "__null_dask_index__" FROM numbered""",
+      SELECT trip_id_a AS "Trip_id", trip_id_a AS "Payment_id", "__null_dask_index__" FROM numbered""",
     "sequence_hot_key": _sequences("CASE WHEN l_linenumber > 3 THEN o_orderdate END", second=True),
+    "sequence_ties": """SELECT row_number() OVER (ORDER BY o_orderdate NULLS FIRST, l_suppkey) AS "Trip_id",
+      o_orderdate AS pickup, l_suppkey AS vendor FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "dim_surrogate_key_large": _dim("customer", "c_name", "Name_id", "c_name"),
+    "join_lookup_large": """SELECT CASE WHEN l_linenumber > 2 THEN -1 ELSE o_custkey END AS customer, l_orderkey,
+        l_linenumber, n.rank AS rank
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        JOIN (SELECT c_custkey AS k, c_custkey * 2 AS rank FROM customer UNION ALL SELECT -1, 0) n
+          ON n.k = CASE WHEN l_linenumber > 2 THEN -1 ELSE o_custkey END""",
+    "star_fact_shuffled": _fact(_GAPS, "gaps"),
     "join_fact_dim": f"""WITH {_SALES}, c AS ({_dim('sales', 'country', 'Country_id', 'k')})
       SELECT country, order_id, "Country_id" FROM sales JOIN c ON c.k = sales.country""",
     "join_computed_key": f"""WITH {_SALES}, p AS ({_dim('sales', _decode('order_priority'), 'OrderPriority_id', 'k')})
@@ -222,13 +250,13 @@ ORACLE: dict[str, str] = {
       {_PLACES}, "Payment_id", "Month", load_threshold AS "Car_utilization", "Distance_Length", "trip_amt_INR"
       FROM numbered""",
     "taxi_b_payment": f"""WITH {_NUMBERED} SELECT "Payment_id", {_AMOUNTS} FROM numbered""",
-    "taxi_a_trip": f"""WITH {_NUMBERED} SELECT "Trip_id", "VendorID",
+    "taxi_a_trip": f"""WITH {_NUMBERED} SELECT trip_id_a AS "Trip_id", "VendorID",
       CAST(tpep_pickup_datetime AS VARCHAR) AS tpep_pickup_datetime,
       CAST(tpep_dropoff_datetime AS VARCHAR) AS tpep_dropoff_datetime, {_PLACES}, "Month", "Distance_Length",
       load_exact AS "Car_utilization", "__null_dask_index__" FROM numbered""",
-    "taxi_a_payment": f"""WITH {_NUMBERED} SELECT "Trip_id" AS "Payment_id", "Trip_id", {_AMOUNTS}, "trip_amt_INR",
+    "taxi_a_payment": f"""WITH {_NUMBERED} SELECT trip_id_a AS "Payment_id", trip_id_a AS "Trip_id", {_AMOUNTS}, "trip_amt_INR",
       "__null_dask_index__" FROM numbered""",
-    "taxi_staged": f"""WITH {_NUMBERED} SELECT "Trip_id", "Trip_id" AS "Payment_id", "VendorID",
+    "taxi_staged": f"""WITH {_NUMBERED} SELECT trip_id_a AS "Trip_id", trip_id_a AS "Payment_id", "VendorID",
       load_exact AS "Car_utilization", "trip_amt_INR", "__null_dask_index__" FROM numbered""",
     "taxi_transform_and_load": f"""WITH {_NUMBERED} SELECT "Trip_id", "Payment_id", "VendorID", payment_type,
       load_threshold AS "Car_utilization", "trip_amt_INR" FROM numbered""",

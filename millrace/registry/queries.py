@@ -62,11 +62,14 @@ def sink_parquet_roundtrip(spark, sf_dir):
 
 @_query
 def sink_table_roundtrip(spark, sf_dir):
-    target = staging_path(spark, "connector")
-    for name in ("customer", "orders"):
-        # The built-in file connector stands in for a warehouse connector.
-        write_connector(table(spark, sf_dir, name), "parquet", "orders_copy", {"path": target})
-    return spark.read.format("parquet").load(target)
+    """Two targets, each written twice; the built-in file connector stands in for a warehouse connector."""
+    targets = {name: staging_path(spark, name) for name in ("orders_copy", "customer_copy")}
+    for first, last, target in (("customer", "orders", "orders_copy"), ("orders", "customer", "customer_copy")):
+        for name in (first, last):
+            write_connector(table(spark, sf_dir, name), "parquet", target, {"path": targets[target]})
+    orders, customer = (spark.read.format("parquet").load(path) for path in targets.values())
+    both = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return both.select("o_orderkey", "c_custkey", "c_name", "o_orderdate")
 
 
 @_query
@@ -347,13 +350,39 @@ def sequence_hot_key(spark, sf_dir):
         "Trip_id": ["pickup", "vendor", *LINE_TIE_BREAK],
         "Payment_id": ["pickup", "payment_type", *LINE_TIE_BREAK],
     }
-    hot = op.sequence_ids(stage(line_trips_hot(spark, sf_dir)), orders, rows_per_bucket=5_000)
+    hot = op.sequence_ids(stage(line_trips_hot(spark, sf_dir)), orders, rows_per_task=5_000)
     return hot.select("Trip_id", "Payment_id", *LINE_TIE_BREAK)
 
 
+@_query
+def sequence_ties(spark, sf_dir):
+    """Many rows are equal in the whole order; any of them may have either id."""
+    lines = stage(line_trips(spark, sf_dir).select("pickup", "vendor"))
+    return op.sequence_id(lines, "Trip_id", ["pickup", "vendor"])
+
+
+@_query
+def dim_surrogate_key_large(spark, sf_dir):
+    """Numbered by many tasks."""
+    values = stage(table(spark, sf_dir, "customer").select("c_name").distinct())
+    return op.surrogate_key(values, "c_name", "Name_id", one_task_rows=100)
+
+
 # Joins
 
 
+@_query
+def join_lookup_large(spark, sf_dir):
+    """Both sides shuffled; one customer has more than half of the lines."""
+    customer = F.when(F.col("payment_type") > 2, F.lit(-1).cast("bigint")).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = line_trips(spark, sf_dir).join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    fact = lines.select(customer.alias("customer"), "l_orderkey", "l_linenumber")
+    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer"), (F.col("c_custkey") * 2).alias("rank"))
+    hot = spark.range(1).select(F.lit(-1).cast("bigint").alias("customer"), F.lit(0).cast("bigint").alias("rank"))
+    return op.join_lookup(fact, known.unionByName(hot), "customer", max_rows=0)
+
+
 @_query
 def join_fact_dim(spark, sf_dir):
     raw = stage(sales_raw(spark, sf_dir).select("order_id", "country"))
@@ -374,6 +403,13 @@ def star_fact(spark, sf_dir):
     return sales.star_fact(raw, sales.star_dimensions(raw))
 
 
+@_query
+def star_fact_shuffled(spark, sf_dir):
+    """No dimension is broadcast; a region has a fifth of the rows."""
+    raw = stage(sales_raw_gaps(spark, sf_dir))
+    return sales.star_fact(raw, sales.star_dimensions(raw), max_broadcast_rows=0)
+
+
 # Jobs
 
 
@@ -424,10 +460,9 @@ def taxi_transform_and_load(spark, sf_dir):
     """The scheduled job through connector writes, then the two tables joined again."""
     source = staging_path(spark, "source")
     write_parquet(trips(spark, sf_dir), source)
-    paths = {}
+    paths = {name: staging_path(spark, name) for name in taxi.TABLES}
 
     def save(df: DataFrame, name: str) -> None:
-        paths[name] = staging_path(spark, name)
         write_connector(df, "parquet", name, {"path": paths[name]})
 
     taxi.transform_and_load(spark, source, save)

@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import join_lookup
-from millrace.operators.lookup import hot_keys
+from millrace.operators import fit_broadcast, fresh_name, join_lookup
+from millrace.sources import stage
 
 
 def frames(spark, rows=1000):
@@ -19,47 +19,59 @@ def test_small_lookup_is_broadcast(spark, plan_of):
     assert joined.count() == 999
 
 
-@pytest.fixture
-def no_auto_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-@pytest.mark.parametrize("bound", [{"max_rows": 10}, {"max_bytes": 100}])
-def test_large_lookup_is_shuffled_with_hot_keys_spread(spark, plan_of, no_auto_broadcast, bound):
+@pytest.mark.parametrize("bound", [{"max_rows": 10}, {"max_bytes": 100}, {"small": False}])
+def test_large_lookup_is_shuffled(spark, plan_of, bound):
     fact, lookup = frames(spark)
     joined = join_lookup(fact, lookup, "k", **bound)
     plan = plan_of(joined)
     assert plan.count("SortMergeJoin") == 1
-    assert "_salt" in plan
+    assert "Broadcast" not in plan
     assert joined.columns == ["k", "id", "n"]
     assert sorted(joined.collect()) == sorted(join_lookup(fact, lookup, "k").collect())
 
 
-def test_large_lookup_without_hot_keys(spark, plan_of, no_auto_broadcast):
+def test_a_hot_key_is_split_while_the_join_runs(spark, plan_of):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    fact, lookup = frames(spark, 300_000)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = join_lookup(fact, stage(lookup), "k", max_rows=10)
+        assert len(joined.collect()) == 299_999
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("bound", [{}, {"max_rows": 0}], ids=["small", "large"])
+def test_columns_of_any_name_are_kept(spark, bound):
+    names = ["_salt", "_repeats", "salt", "size", "rows", "frame"]
     fact, lookup = frames(spark)
-    joined = join_lookup(fact.where("k != 'hot'"), lookup, "k", max_rows=10)
-    assert "_salt" not in plan_of(joined)
-    assert joined.count() == 665
+    fact = fact.select("*", *[F.col("id").alias(name) for name in names])
+    joined = join_lookup(fact, lookup, "k", **bound)
+    assert joined.columns == ["k", "id", *names, "n"]
+    assert joined.where(" OR ".join(f"{name} <> id" for name in names)).count() == 0
 
 
-def test_hot_keys(spark):
-    fact, _ = frames(spark)
-    assert hot_keys(fact, "k") == {"hot": 334 / 200_000}
-    assert hot_keys(fact.limit(0), "k") == {}
+def test_all_frames_are_measured_at_once(spark):
+    fact, lookup = frames(spark)
+    nested = lookup.select("k", F.array("n").alias("n"))
+    assert fit_broadcast([fact, lookup, nested, fact.limit(0)], max_rows=800) == [False, True, False, True]
+    assert fit_broadcast([lookup.select(F.col("k").alias("a.b"))], max_bytes=10) == [False]
+    assert fit_broadcast([]) == []
 
 
-def test_a_hot_key_reaches_several_partitions(spark, no_auto_broadcast):
-    fact, lookup = frames(spark, 300_000)
-    spark.conf.set("spark.sql.adaptive.enabled", False)
-    try:
-        joined = join_lookup(fact, lookup, "k", max_rows=10)
-        places = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert places > 1
-        assert joined.count() == 299_999
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", True)
+def test_fresh_name(spark):
+    df = spark.createDataFrame([(1, 2)], "Place int, place_ int")
+    assert fresh_name("place", df) == "place__"
+    assert fresh_name("task", df) == "task"
 
 
 def test_missing_keys_do_not_join(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import sequence_id, sequence_ids
 from millrace.operators import sequence as module
+from millrace.sources import stage
 
 DAY = datetime.datetime(2024, 1, 1)
 
@@ -18,7 +19,7 @@ def frame(spark, rows):
 
 
 def by_window(df, orders):
-    """Ids from the single-task window, the definition the buckets must meet."""
+    """Ids from the single-task window, the definition the ids must meet."""
     for name, keys in orders.items():
         df = df.withColumn(name, F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
     return df
@@ -59,54 +60,78 @@ def hot_rows(spread_rows):
 
 
 def test_matches_global_window(spark, spread_rows):
-    same(frame(spark, spread_rows), ORDERS, buckets=16)
+    same(frame(spark, spread_rows), ORDERS, tasks=16)
 
 
-def test_one_shuffle_serves_both_orders(spark, spread_rows, plan_of):
-    plan = plan_of(sequence_ids(frame(spark, spread_rows), ORDERS, buckets=16))
-    rows_side = plan.split("BroadcastExchange")[0]
-    assert rows_side.count("Exchange hashpartitioning") == 1
-    assert "SinglePartition" not in rows_side
+def written_tasks(spark, monkeypatch, df, orders, **options):
+    """Rows per task of every numbering."""
+    seen = []
 
+    def watched(staged, label="stage"):
+        result = stage(staged, label)
+        places = [name for name in staged.columns if name.startswith("place")]
+        if places:
+            task = F.shiftright(F.col(places[-1]), module.PLACE_BITS)
+            seen.append(sorted(row["count"] for row in result.groupBy(task).count().collect()))
+        return result
 
-def test_hot_value_is_split(spark, hot_rows):
+    monkeypatch.setattr(module, "stage", watched)
+    sequence_ids(df, orders, **options)
+    return seen
+
+
+def test_tasks_follow_the_rows_not_the_session(spark, spread_rows, monkeypatch):
+    df = frame(spark, spread_rows)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    (counts,) = written_tasks(spark, monkeypatch, df, {"a": ORDERS["a"]}, rows_per_task=50)
+    assert 30 <= len(counts) <= 40
+    assert max(counts) < 200
+
+
+def test_hot_value_is_split(spark, hot_rows, monkeypatch):
     df = frame(spark, hot_rows)
-    same(df, ORDERS, rows_per_bucket=50, buckets=40)
-    keys = ORDERS["a"]
-    plan = module._plan_buckets(df, keys, 2000, 40, 50, [1, 3])
-    assert (plan.keys, plan.hot) == (("ts", "vendor", "row"), False)
-    largest = plan.assign(df).groupBy(module.BUCKET).count().agg(F.max("count")).first()[0]
-    assert largest < 250
+    same(df, ORDERS, rows_per_task=50)
+    for counts in written_tasks(spark, monkeypatch, df, ORDERS, rows_per_task=50):
+        assert max(counts) < 200
 
 
-def test_hot_value_never_meets_one_task(spark, hot_rows, plan_of):
-    plan = plan_of(sequence_ids(frame(spark, hot_rows), ORDERS, rows_per_bucket=50, buckets=40))
-    for part in plan.split("SinglePartition")[1:]:
-        # Only bucket counts go through one task.
-        assert "HashAggregate" in part.split("Exchange")[0]
+def test_only_counts_go_through_one_task(spark, hot_rows, plan_of):
+    plan = plan_of(sequence_ids(frame(spark, hot_rows), ORDERS, rows_per_task=50))
+    assert "SinglePartition" in plan
+    rows_side = [line for line in plan.splitlines() if "vendor" in line and "Exchange" in line]
+    assert rows_side == []
 
 
-def test_the_most_buckets(spark):
-    df = spark.range(600_000).select((F.col("id") * 7919 % 600_000).alias("k"))
-    numbered = sequence_id(df, "id", ["k"], rows_per_bucket=1)
-    assert numbered.where("id <> k + 1").count() == 0
-    plan = module._plan_buckets(df, ["k"], 600_000, module.MAX_BUCKETS, 1, [1])
-    assert len(plan.cuts) == module.MAX_BUCKETS - 1
+def test_more_tasks_than_rows(spark):
+    df = spark.range(50).select((F.col("id") * 7 % 50).alias("k"))
+    assert sequence_id(df, "id", ["k"], tasks=1000).where("id <> k + 1").count() == 0
 
 
-def test_copies_are_split_by_a_written_salt(spark):
+def test_copies_are_split_by_a_written_salt(spark, monkeypatch):
     rows = [(DAY, 1, 1, 7)] * 900 + [(DAY + datetime.timedelta(days=i % 30 - 15), 2, 2, i) for i in range(600)]
     df = frame(spark, rows)
-    numbered = sequence_ids(df, ORDERS, rows_per_bucket=50, buckets=30)
+    numbered = sequence_ids(df, ORDERS, rows_per_task=50)
     assert numbered.columns == [*df.columns, "a", "b"]
     got = numbered.collect()
     assert sorted(r.a for r in got) == sorted(r.b for r in got) == list(range(1, 1501))
     assert [r[:4] for r in sorted(got, key=lambda r: r.a)] == sorted(rows, key=lambda r: (r[0], r[1], r[3]))
-    assert numbered.collect() and sorted(numbered.collect()) == sorted(got)
+    assert sorted(numbered.collect()) == sorted(got)
+    first, spread = written_tasks(spark, monkeypatch, df, {"a": ORDERS["a"]}, rows_per_task=50)
+    assert max(first) >= 900
+    assert max(spread) < 250
+
+
+def test_columns_of_any_name_are_kept(spark, hot_rows):
+    names = ["_bucket", "_offset", "_salt", "place", "task", "offset", "salt"]
+    df = frame(spark, hot_rows).select("*", *[F.col("row").alias(name) for name in names])
+    numbered = sequence_ids(df, {"a": ["ts"]}, rows_per_task=50)
+    assert numbered.columns == [*df.columns, "a"]
+    assert numbered.where(" OR ".join(f"{name} <> row" for name in names)).count() == 0
+    assert sorted(r.a for r in numbered.collect()) == list(range(1, 2001))
 
 
 def test_ties_without_tie_breaker_stay_gapless(spark, hot_rows):
-    got = sequence_ids(frame(spark, hot_rows), {"a": ["ts", "vendor"]}, rows_per_bucket=50, buckets=40).collect()
+    got = sequence_ids(frame(spark, hot_rows), {"a": ["ts", "vendor"]}, rows_per_task=50).collect()
     assert sorted(r.a for r in got) == list(range(1, 2001))
     in_order = [(r.ts or datetime.datetime.min, r.vendor or 0) for r in sorted(got, key=lambda r: r.a)]
     assert in_order == sorted(in_order)
@@ -124,17 +149,11 @@ def test_empty_and_single(spark):
 
 def test_recomputation_gives_the_same_ids(spark, hot_rows):
     df = frame(spark, hot_rows)
-    first = sequence_ids(df, ORDERS, rows_per_bucket=50, buckets=20).collect()
-    again = sequence_ids(df.repartition(3, "vendor"), ORDERS, rows_per_bucket=50, buckets=20).collect()
+    first = sequence_ids(df, ORDERS, rows_per_task=100).collect()
+    again = sequence_ids(df.repartition(3, "vendor"), ORDERS, rows_per_task=100).collect()
     assert sorted(first, key=lambda r: r.row) == sorted(again, key=lambda r: r.row)
 
 
-def test_bad_cut_points_cost_balance_only(spark, spread_rows, monkeypatch):
-    poor = ['{"k0":"2024-01-01T00:00:01.000000"}', '{"k0":"1990-01-01T00:00:00.000000"}', '{"k0":"junk"}', "{}"]
-    monkeypatch.setattr(module, "_cut_points", lambda *_: [poor])
-    same(frame(spark, spread_rows), ORDERS, buckets=16)
-
-
 LETTERS = st.characters(codec="utf-8", exclude_characters="\0")
 VALUES = st.one_of(st.none(), st.text(max_size=3, alphabet=LETTERS), st.sampled_from("aab"))
 NUMBERS = st.one_of(st.none(), st.floats(width=64), st.sampled_from([0.0, -0.0, 1.0]))
@@ -145,7 +164,7 @@ NUMBERS = st.one_of(st.none(), st.floats(width=64), st.sampled_from([0.0, -0.0,
 def test_any_numbers_and_text(spark, pairs):
     rows = [(number, text, i) for i, (number, text) in enumerate(pairs)]
     df = spark.createDataFrame(rows, "n double, s string, row int")
-    got = sequence_id(df, "id", ["n", "s", "row"], buckets=7, rows_per_bucket=2)
+    got = sequence_id(df, "id", ["n", "s", "row"], tasks=7)
     want = by_window(df, {"id": ["n", "s", "row"]})
     assert sorted((r.row, r.id) for r in got.collect()) == sorted((r.row, r.id) for r in want.collect())
 
@@ -161,6 +180,6 @@ def test_other_key_types(spark, kind):
         "binary": F.col("k").cast("string").cast("binary"),
     }.get(kind, F.col("k").cast(kind))
     df = numbers.select(key.alias("k"), "row")
-    got = sequence_id(df, "id", ["k", "row"], buckets=16, rows_per_bucket=10)
+    got = sequence_id(df, "id", ["k", "row"], tasks=16)
     want = by_window(df, {"id": ["k", "row"]})
     assert sorted((r.row, r.id) for r in got.collect()) == sorted((r.row, r.id) for r in want.collect())
