@@ -2,8 +2,10 @@
 
 1. Every text becomes a set of hashed shingles. A sketch of fixed size, summed over the whole corpus, says
    about how frequent a shingle is; it orders all shingles, rare ones first. Any order gives right results.
-2. Texts with equal sets fall together. Two linked sets share a shingle among the first few of either, so
-   the components over these prefix shingles, the blocks, hold every link.
+2. Texts with equal sets fall together. Two linked sets share a shingle among the first few of either. Of
+   the sets that share one, those stay candidates whose parity bitmaps differ in no more bits than linked
+   sets can differ in shingles; the bits never differ in more. The components over the candidates, the
+   blocks, hold every link.
 3. The sets of a block are joined in a prefix tree: ordered by their frequency within the block, sets with
    a common beginning share its nodes. A set goes down the tree with the overlap so far and leaves a
    subtree when what remains cannot reach the overlap it needs, when the sizes do not fit, or when it is
@@ -19,7 +21,7 @@ null id counts as larger than every other; an empty table gives no rows; further
 """
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,12 +44,13 @@ FILTER_BYTES = 3  # of a signature; as many bits tell which sets a block needs:
 CHUNK_SHINGLES = 1_000_000  # in one task, times two
 CHUNK_SETS = 2_000
 CACHED_WORDS = 300_000
+BITS_PER_DIFFERENCE = 4  # of a parity bitmap, for each shingle in which linked sets can differ
+BIN_ROWS = 400_000  # shared shingles that one task looks at
+HOT_SETS = 4_096  # with one shingle; more are cut into chunks
+SMALL_SETS = 32  # with one shingle; all their pairs are taken at once
+PAIRS_AT_ONCE = 200_000
 LABELS = 8  # components a tree node keeps track of
 
-_UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     """The finalizer of splitmix64."""
     with np.errstate(over="ignore"):
@@ -58,12 +61,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> BoundedCache:
-    return BoundedCache(lambda word: xxhash.xxh3_64_digest(word.encode("utf-8", "replace")), CACHED_WORDS)
+    return BoundedCache(xxhash.xxh3_64_digest, CACHED_WORDS)
 
 
 def shingle_set(text: str, size: int) -> np.ndarray:
     """The distinct shingles' hashes, ascending; words are those between ASCII blanks, A-Z in lower case."""
-    found = [word for word in text.translate(_BLANKS).translate(_UPPER).split(" ") if word]
+    # In bytes, only A-Z turn to lower case, and only ASCII blanks split.
+    found = text.encode("utf-8", "replace").lower().split()
     if not found:
         return np.empty(0, dtype=np.uint64)
     hashes = np.frombuffer(b"".join(map(_word_hashes().__getitem__, found)), dtype="<u8")
@@ -86,6 +90,21 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def differences(n: int, percent: int) -> int:
+    """In how many shingles a set of this size and one linked with it can differ."""
+    largest = 100 * n // percent
+    return n + largest - 2 * needed(n, largest, percent)
+
+
+def parity_bits(hashes: np.ndarray, percent: int) -> np.ndarray:
+    """One bit per cell: whether an odd number of the shingles falls into it. Sets that differ in d shingles
+    differ in d bits at most. The number of bits, a power of two, grows with the set."""
+    size = max(64, 1 << (BITS_PER_DIFFERENCE * differences(len(hashes), percent) - 1).bit_length())
+    cells = ((hashes >> np.uint64(8)) % np.uint64(size)).astype(np.int64)
+    odd = np.bincount(cells, minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def can_differ(n: int, percent: int) -> bool:
     """Whether a set of this size can be linked with another than its equal: one shingle more or less."""
     return 100 * n >= percent * (n + 1) or 100 * (n - 1) >= percent * n
@@ -145,18 +164,106 @@ class _Links:
     """Which sets are linked already, as a forest."""
 
     def __init__(self, n: int):
-        self.parent = list(range(n))
+        self.parent = np.arange(n)
 
     def find(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = x = self.parent[self.parent[x]]
-        return x
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return int(x)
 
     def link(self, a: int, b: int) -> bool:
         a, b = self.find(a), self.find(b)
         self.parent[a] = b
         return a != b
 
+    def roots(self, numbers: np.ndarray) -> np.ndarray:
+        found = self.parent[numbers]
+        while (above := self.parent[found]).tobytes() != found.tobytes():
+            found = above
+        return found
+
+
+class _Bitmaps:
+    """Parity bitmaps of many sets. A bitmap folds to half its size, so sets of neighbouring sizes compare."""
+
+    def __init__(self, bitmaps: list[np.ndarray], sizes: np.ndarray, percent: int):
+        self.sizes, self.percent = sizes, percent
+        self.widths = np.array([len(b) for b in bitmaps])
+        self.by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in np.unique(self.widths).tolist():
+            own, double = np.flatnonzero(self.widths == width), np.flatnonzero(self.widths == 2 * width)
+            rows = [bitmaps[i] for i in own] + [bitmaps[i][:width] ^ bitmaps[i][width:] for i in double]
+            place = np.full(len(bitmaps), -1)
+            place[np.concatenate([own, double])] = np.arange(len(rows))
+            self.by_width[width] = (np.array(rows), place)
+
+    def close(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of pairs, whether they can be linked, by their sizes and bits."""
+        na, nb = self.sizes[a], self.sizes[b]
+        most = na + nb - 2 * -(-self.percent * (na + nb) // (100 + self.percent))
+        can = (100 * np.minimum(na, nb) >= self.percent * np.maximum(na, nb)) & (most >= 0)
+        width = np.minimum(self.widths[a], self.widths[b])
+        for w, (rows, place) in self.by_width.items():
+            at = np.flatnonzero(can & (width == w))
+            pa_, pb_ = place[a[at]], place[b[at]]
+            # Widths further apart are not compared; sizes that fit never have them.
+            both = (pa_ >= 0) & (pb_ >= 0)
+            at, pa_, pb_ = at[both], pa_[both], pb_[both]
+            for start in range(0, len(at), PAIRS_AT_ONCE // max(1, w // 8)):
+                part = slice(start, start + PAIRS_AT_ONCE // max(1, w // 8))
+                bits = np.bitwise_count(rows[pa_[part]] ^ rows[pb_[part]]).sum(axis=1, dtype=np.int64)
+                can[at[part]] = bits <= most[at[part]]
+        return can
+
+
+def candidate_links(rows: pd.DataFrame, sets: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between sets that share a prefix shingle and may be similar enough, as many as connect them.
+
+    `rows`: token, low, high and id; sets of one token meet, or those of its chunks low and high.
+    """
+    none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    if rows.empty:
+        return none
+    sets = sets.sort_values("set", kind="stable")
+    ids = sets["set"].to_numpy()
+    bitmaps = _Bitmaps([np.frombuffer(x, dtype=np.uint64) for x in sets["bits"]], sets["n"].to_numpy(), percent)
+    links, found = _Links(len(ids)), []
+    rows = rows.sort_values(["token", "low", "high", "id"], kind="stable")
+    numbers = np.searchsorted(ids, rows["id"].to_numpy())
+    keys = rows[["token", "low", "high"]].to_numpy()
+    starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+    counts = np.diff(np.r_[starts, len(rows)])
+
+    def connect(a: np.ndarray, b: np.ndarray) -> None:
+        can = bitmaps.close(a, b)
+        for x, y in zip(a[can].tolist(), b[can].tolist()):
+            if links.link(x, y):
+                found.append((ids[x], ids[y]))
+
+    # Few sets with one shingle: all pairs of all such shingles, each pair once.
+    few = np.repeat(counts <= SMALL_SETS, counts)
+    left = np.repeat(starts + counts, counts) - np.arange(len(rows))  # rows from this one to the end of its shingle
+    pairs = []
+    for step in range(1, SMALL_SETS):
+        at = np.flatnonzero(few & (left > step))
+        if not len(at):
+            break
+        pairs.append(np.unique(numbers[at] * len(ids) + numbers[at + step]))
+    if pairs:
+        unique = np.unique(np.concatenate(pairs))
+        connect(unique // len(ids), unique % len(ids))
+    # Many sets: one after the other against those it is not connected with.
+    for start, count in zip(starts[counts > SMALL_SETS], counts[counts > SMALL_SETS]):
+        own = numbers[start : start + count]
+        for i, number in enumerate(own):
+            roots = links.roots(own)
+            if (roots == roots[0]).all():
+                break
+            others = own[i + 1 :][roots[i + 1 :] != roots[i]]
+            connect(np.full(len(others), number), others)
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64") if found else none
+
 
 class _Node:
     """A run of shingles that the sets below share, and what bounds those sets."""
@@ -275,6 +382,29 @@ def join_block(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return found
 
 
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all candidate pairs: a table of shared prefix shingles, dealt to bins by shingle,
+    meets the bitmaps of the sets in each bin. A shingle of very many sets is cut into pairs of chunks."""
+    tokens = sets.select("id", F.explode("prefix").alias("token"))
+    chunks = F.ceil(F.col("sets") / HOT_SETS).alias("chunks")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select("token", chunks)
+    chunked = tokens.join(shared, "token").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    each = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = stage(
+        each.select("token", "id", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")),
+        "shared",
+    )
+    bins = max(1, -(-rows.count() // BIN_ROWS))
+    rows = rows.withColumn("bin", F.pmod(F.xxhash64("token", "low", "high"), F.lit(bins)))
+    wanted = rows.select(F.col("bin").alias("to"), F.col("id").alias("set")).distinct()
+    bitmaps = sets.select(F.col("id").alias("set"), "n", "bits").join(wanted, "set")
+    return (
+        rows.groupBy("bin")
+        .cogroup(bitmaps.groupBy("to"))
+        .applyInPandas(lambda rows, own: candidate_links(rows, own, percent), "a bigint, b bigint")
+    )
+
+
 def _needed_filter(members: DataFrame) -> np.ndarray:
     """One bit for each set that a block needs, by its signature; a set too many costs its shuffle only."""
     place = F.conv(F.hex(F.substring("signature", 1, FILTER_BYTES)), 16, 10).cast("bigint")
@@ -317,7 +447,7 @@ def jaccard_components(
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         estimate = sketch.value
         for batch, sets in _text_batches(batches, size):
-            signatures, firsts = [], []
+            signatures, firsts, bitmaps = [], [], []
             for hashes in sets:
                 signatures.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
                 first = hashes[:0]
@@ -325,29 +455,26 @@ def jaccard_components(
                     length = prefix_length(len(hashes), percent)
                     first = hashes[np.lexsort((hashes, estimate[_cells(hashes)]))[:length]]
                 firsts.append(first.view(np.int64))
+                bitmaps.append(parity_bits(hashes, percent).tobytes() if len(first) else None)
             columns = [
                 batch.column("doc_id"),
                 batch.column("key"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(signatures, pa.binary()),
                 pa.array(firsts, pa.list_(pa.int64())),
+                pa.array(bitmaps, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "signature", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "signature", "prefix", "bits"])
 
-    columns = f"doc_id {kind}, key string, n bigint, signature binary, prefix array<bigint>"
+    columns = f"doc_id {kind}, key string, n bigint, signature binary, prefix array<bigint>, bits binary"
     rows = stage(own.mapInArrow(prefixes, columns), "prefixes")
     # Equal sets fall together; copies shrink within their tasks. Staging fixes the numbers.
     distinct = rows.where(F.col("signature").isNotNull()).groupBy("signature")
+    first = [F.first(name).alias(name) for name in ("n", "prefix", "bits")]
     sets = stage(
-        distinct.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).withColumn(
-            "id", F.monotonically_increasing_id()
-        ),
-        "sets",
+        distinct.agg(F.min("doc_id").alias("first_id"), *first).withColumn("id", F.monotonically_increasing_id()), "sets"
     )
-    tokens = sets.select("id", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("id").alias("hub")).where("sets > 1")
-    edges = tokens.join(shared, "token").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    blocks = components(edges)
+    blocks = components(_candidates(sets, percent))
     roots = blocks.select(F.col("root").alias("id")).distinct().withColumn("block", F.col("id"))
     members = stage(
         blocks.select(F.col("node").alias("id"), F.col("root").alias("block"))
@@ -368,7 +495,7 @@ def jaccard_components(
     shingles = own.select("text").mapInArrow(whole_sets, "signature binary, shingles binary")
     blocks_with_sets = _in_groups(members).join(shingles.dropDuplicates(["signature"]), "signature")
     links = stage(
-        blocks_with_sets.groupBy("group", "low", "high").applyInPandas(partial(join_blocks, percent=percent), "a bigint, b bigint"),
+        blocks_with_sets.groupBy("group", "low", "high").applyInPandas(lambda group: join_blocks(group, percent), "a bigint, b bigint"),
         "links",
     )
     joined = components(links)
