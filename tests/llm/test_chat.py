@@ -1,0 +1,67 @@
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.llm.chat import format_chats, read_chats
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+NASTY = ["", None, "a", "\\", "<|", "<\\|", "\\<|", "<|im_end|>", "<|im_sep|>\\", "<|nl|>", "x\ny", "😀<", "|>", "\\\\<|a"]
+
+
+def read_back(spark, rows):
+    chats = read_chats(format_chats(spark.createDataFrame(rows, SCHEMA))).collect()
+    return {c.conv_id: ([(t.role, t.text) for t in c.turns], c.loss_texts) for c in chats}
+
+
+def expected(rows):
+    found = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        found.setdefault(conv, []).append((role or "", text or ""))
+    return {conv: (turns, [t for r, t in turns if r == "assistant"]) for conv, turns in found.items()}
+
+
+def test_round_trip_of_control_strings(spark):
+    rng = random.Random(5)
+    roles = ["user", "assistant", "system", None, "<|im_start|>", "a\nb", "\\n"]
+    rows = [(c, t, rng.choice(roles), rng.choice(NASTY)) for c in range(40) for t in range(rng.randrange(1, 9))]
+    assert read_back(spark, rows) == expected(rows)
+
+
+def test_template_and_merging(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b<|"), (1, 2, "assistant", "c"), (1, 3, "user", "d")]
+    (chat,) = format_chats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert chat.formatted == (
+        "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<\\|<|im_sep|>c<|im_end|>\n<|im_start|>user\nd<|im_end|>\n"
+    )
+    assert [chat.formatted[s.start : s.end] for s in chat.loss_spans] == ["b<\\|", "c"]
+
+
+def test_defined_cases(spark):
+    rows = [(None, None, None, None), (None, 2, "assistant", "x"), (3, 1, "user", "b"), (3, 1, "user", "a"), (3, 1, "user", "a")]
+    assert read_back(spark, rows) == {
+        None: ([("", ""), ("assistant", "x")], ["x"]),
+        3: ([("user", "a"), ("user", "a"), ("user", "b")], []),
+    }
+    assert read_back(spark, rows[:0]) == {}
+    extra = spark.createDataFrame(rows, SCHEMA).withColumns({"formatted": F.lit(1), "t": F.lit(2), "turns": F.lit(3)})
+    assert read_chats(format_chats(extra)).count() == 2
+
+
+def test_a_very_long_conversation(spark):
+    turns = spark.range(4000).select(
+        F.lit(1).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.repeat(F.lit("wörd "), 40).alias("text"),
+    )
+    (chat,) = read_chats(format_chats(turns)).select(F.size("turns").alias("n"), F.length(F.array_join("loss_texts", "")).alias("c")).collect()
+    assert (chat.n, chat.c) == (4000, 2000 * 200)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="<|\\>a\n", max_size=8), min_size=1, max_size=30))
+def test_any_text_comes_back(spark, texts):
+    rows = [(1, i, "assistant" if i % 2 else "user", text) for i, text in enumerate(texts)]
+    assert read_back(spark, rows) == expected(rows)

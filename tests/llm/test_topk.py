@@ -1,0 +1,78 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import topk
+
+SCHEMA = "vec_id bigint, embedding array<float>"
+
+
+def plain(rows, k, is_query):
+    vectors = [
+        (i, np.array([math.floor(1024 * float(np.float32(x))) for x in v], dtype=object))
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    found = set()
+    for q, query in vectors:
+        if is_query(q):
+            scored = sorted((-int((query * v).sum()) if len(v) else 0, i) for i, v in vectors if i != q and len(v) == len(query))
+            found |= {(q, rank, i, -score) for rank, (score, i) in enumerate(scored[:k], start=1)}
+    return found
+
+
+def run(spark, rows, k=10, every=7):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    vectors = topk.integer_vectors(df.withColumn("score", F.lit(1)))
+    got = topk.top_k(vectors, vectors.where(F.col("vec_id") % every == 0), k).collect()
+    assert len(got) == len({(r.query_id, r["rank"]) for r in got})
+    return {tuple(r) for r in got}
+
+
+@pytest.fixture(params=[8_192, 100])
+def shard_rows(request, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", request.param)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+
+
+def test_matches_brute_force(spark, shard_rows):
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(12)]) for i in range(600)]
+    rows += [(600 + i, rows[i % 5][1]) for i in range(200)]  # many ties
+    assert run(spark, rows) == plain(rows, 10, lambda q: q % 7 == 0)
+
+
+def test_defined_cases(spark, shard_rows):
+    rows = [(i, [0.1 * i, -0.5]) for i in range(20)]
+    rows += [(0, None), (7, [None, 1.0]), (14, [math.nan, 1.0]), (21, [math.inf, 1.0]), (None, [1.0, 1.0])]
+    rows += [(28, [1.0, 2.0, 3.0]), (35, [3.0, 2.0, 1.0]), (42, [1e6, -1e6]), (49, [])]
+    assert run(spark, rows, k=3) == plain(rows, 3, lambda q: q % 7 == 0)
+    assert run(spark, []) == set()
+    assert run(spark, [(0, [1.0])]) == set()
+    assert run(spark, [(1, [1.0]), (2, [1.0])]) == set()
+
+
+def test_scores_beyond_exact_doubles(spark):
+    rows = [(i, [3e7 + i, 2e7, -1e7]) for i in range(0, 70)]
+    assert run(spark, rows, k=5) == plain(rows, 5, lambda q: q % 7 == 0)
+
+
+def test_subtrees_are_left_out(monkeypatch):
+    """Far clusters are not scanned once the kth score is known."""
+    import pandas as pd
+
+    rng = np.random.default_rng(0)
+    points = np.concatenate([rng.integers(-50, 50, (2000, 4)) + c for c in ([4000, 0, 0, 0], [-4000, 0, 0, 0])])
+    rows = pd.DataFrame({"dim": 4, "shard": 0, "vec_id": np.arange(len(points)), "v": points.tolist()})
+    tree = topk._unpack(topk.build_tree(rows)["tree"][0])
+    scanned = []
+    monkeypatch.setattr(topk._Search, "_scan", lambda self, s, e, who, scan=topk._Search._scan: (scanned.append(e - s), scan(self, s, e, who)))
+    query = {"ids": np.array([-1]), "vectors": np.array([[4000, 0, 0, 0]]), "floors": np.array([np.iinfo(np.int64).min])}
+    search = topk._Search(query, 10)
+    search.run(tree)
+    assert sum(scanned) < 1500
+    best = np.sort(points @ np.array([4000, 0, 0, 0]))[::-1][:10]
+    assert [-s for s, _ in search.hits[0]] == best.tolist()
