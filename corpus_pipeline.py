@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, jaccard, mixing, pii, quality
-from millrace.llm.common import fresh, table
+from millrace.llm.common import quoted, table, whole_text
 from millrace.llm.queries import QUALITY_FROM, vocabulary
+from millrace.operators import fresh_name
 from millrace.sources import stage
 
 # Near copies share at least so many percent of their shingles of so many words.
@@ -16,9 +17,9 @@ SIMILAR_PERCENT, SHINGLE_WORDS = 80, 5
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier rejects; it is fitted on labelled documents of this input."""
-    name = fresh(docs, "quality_score")
+    name = fresh_name("quality_score", docs)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, name=name).where(F.col(name) >= QUALITY_FROM).drop(name)
+    return quality.score(docs, model, name=name).where(quoted(name) >= QUALITY_FROM).drop(name)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +40,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids (little-endian, 32 bits each), n_tokens, and whether decoding gives the text back."""
-    words = vocabulary("byte_bpe_50k.json")
-    encoded = bpe.encode(docs, words, keep=("source", "text"))
-    decoded = bpe.decode(encoded.withColumnRenamed("text", "given"), words, "source", "given", "ids")
-    return decoded.select(
+    encoded = bpe.encode(docs, vocabulary("byte_bpe_50k.json"), keep=("source", "text"), decoded="back")
+    return encoded.select(
         "doc_id",
         "source",
         "ids",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.col("text").eqNullSafe(F.coalesce("given", F.lit(""))).alias("round_trip"),
+        F.col("back").eqNullSafe(whole_text()).alias("round_trip"),
     )
 
 

@@ -16,12 +16,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from millrace.llm.common import whole_text
+from millrace.llm.common import in_small_batches, quoted, slices, whole_text
 
-CACHED_PIECES = 300_000  # per Python worker; further pieces are encoded each time
-CACHED_PAIRS = 500_000
+CACHED_PIECES = 250_000  # per Python worker; further pieces are encoded each time
+CACHED_PAIRS = 150_000
 
 # The split pattern of byte-level BPE, with Unicode's white space spelled out.
 _SPACE = (
@@ -92,11 +92,6 @@ class BacktrackingBpe:
             raise ValueError("added tokens with conditions are not supported")
         longest_first = sorted(self.added, key=len, reverse=True)
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split if self.added else None
-        by_id = {int(i): token for i, token in zip(self.ids, self.tokens)}
-        by_id |= {a["id"]: a["content"].encode() for a in spec.get("added_tokens", [])}
-        sizes = np.array([len(by_id.get(i, b"")) for i in range(max(by_id) + 1)], dtype=np.int64)
-        self.bytes = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(max(by_id) + 1)), dtype=np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum(sizes)])
 
     @staticmethod
     def _longest_prefix(token: bytes, known: dict[bytes, int]) -> int:
@@ -159,6 +154,18 @@ class BacktrackingBpe:
                 parts.extend(map(self.pieces.__getitem__, self.find_pieces(part)))
         return b"".join(parts)
 
+
+class OffsetTable:
+    """The bytes of all tokens in the order of their ids, and where each begins."""
+
+    def __init__(self, definition: str):
+        spec, alphabet = json.loads(definition), byte_alphabet()
+        by_id = {i: bytes(alphabet[c] for c in text) for text, i in spec["model"]["vocab"].items() if set(text) <= set(alphabet)}
+        by_id |= {a["id"]: a["content"].encode() for a in spec.get("added_tokens", [])}
+        tokens = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.offsets = np.cumsum([0, *map(len, tokens)])
+
     def decode(self, ids: bytes) -> str:
         """Gathers each id's bytes through the offset table; invalid UTF-8 gives replacement characters."""
         numbers = np.frombuffer(ids, dtype="<u4").astype(np.int64)
@@ -176,6 +183,11 @@ def _tables(definition: str) -> BacktrackingBpe:
     return BacktrackingBpe(definition)
 
 
+@lru_cache(maxsize=2)
+def _offsets(definition: str) -> OffsetTable:
+    return OffsetTable(definition)
+
+
 def read_definition(path: str) -> str:
     """The tokenizer file, read by the driver and sent to the tasks: a few MB, whatever the data."""
     with open(path, encoding="utf-8") as file:
@@ -183,26 +195,37 @@ def read_definition(path: str) -> str:
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+    docs: DataFrame,
+    vocabulary: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    decoded: str | None = None,
 ) -> DataFrame:
     """doc_id, the columns in `keep`, and `ids` (binary, little-endian unsigned 32 bit) of every row.
 
-    `vocabulary` is a tokenizer file's path.
+    `vocabulary` is a tokenizer file's path. With `decoded`, a column of that name holds the text that the ids
+    decode to, made by the same task.
 
     Defined cases: a null text is empty and has no ids; every row is encoded by itself, so repeated rows
     and null ids stay as they are; an empty table gives no rows; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_definition(vocabulary))
+    own = docs.select(whole_text(text).alias("whole"), quoted(doc_id).alias("doc_id"), *[quoted(name) for name in keep])
+    added = [StructField("ids", BinaryType())] + ([StructField(decoded, StringType())] if decoded else [])
+    schema = StructType([*own.schema.fields[1:], *added])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(shared.value)
-        for batch in batches:
+        tables, offsets = _tables(shared.value), _offsets(shared.value) if decoded else None
+        for batch in slices(batches):
             ids = [tables.encode(value) for value in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(ids, pa.binary())], ["doc_id", *keep, "ids"])
+            columns = [*batch.columns[1:], pa.array(ids, pa.binary())]
+            if offsets:
+                columns.append(pa.array(map(offsets.decode, ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    own = docs.select(whole_text(text).alias("whole"), F.col(doc_id).alias("doc_id"), *[f"`{name}`" for name in keep])
-    kinds = [f"`{field.name}` {field.dataType.simpleString()}" for field in own.schema.fields[1:]]
-    return own.mapInArrow(run, f"{', '.join(kinds)}, ids binary")
+    return in_small_batches(own).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
@@ -210,11 +233,11 @@ def decode(encoded: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(read_definition(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(shared.value)
-        for batch in batches:
+        tables = _offsets(shared.value)
+        for batch in slices(batches):
             texts = [tables.decode(value or b"") for value in batch.column("ids").to_pylist()]
             kept = [batch.column(name) for name in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], ["doc_id", *keep, "text"])
 
-    kinds = [f"`{name}` {encoded.schema[name].dataType.simpleString()}" for name in ("doc_id", *keep)]
-    return encoded.mapInArrow(run, f"{', '.join(kinds)}, text string")
+    kept = [encoded.schema[name] for name in ("doc_id", *keep)]
+    return in_small_batches(encoded).mapInArrow(run, StructType([*kept, StructField("text", StringType())]))

@@ -1,10 +1,14 @@
 """Names and expressions that several operators share."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = 4 * 1024 * 1024  # of texts that go to a Python worker at once; a longer text goes alone
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 
 
@@ -12,14 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh(df: DataFrame, base: str) -> str:
-    """A column name that `df` does not have, whatever the case."""
-    taken = {name.lower() for name in df.columns}
-    while base.lower() in taken:
-        base += "_"
-    return base
-
-
 def whole_text(name: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -39,3 +35,22 @@ def row_key(doc_id: str, text: str) -> Column:
     """Rows with equal id and text share a key; a null id differs from every other."""
     known = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n"))
     return F.md5(F.concat(known, F.lit("\n"), whole_text(text)).cast("binary"))
+
+
+def quoted(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts, so that what a task makes of one stays small beside the batch itself."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The frame, in a session that hands Python workers small batches: JVM and worker each hold one at a time."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf.set(key, str(BATCH_BYTES))
+    return df

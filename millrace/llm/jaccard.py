@@ -21,7 +21,6 @@ null id counts as larger than every other; an empty table gives no rows; further
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,20 +31,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import BoundedCache
-from millrace.llm.common import WORD, fresh, row_key, whole_text
+from millrace.llm.common import WORD, in_small_batches, quoted, row_key, slices, whole_text
 from millrace.llm.graph import components
-from millrace.sources import stage
+from millrace.operators import fresh_name
+from millrace.sources import read_parquet, stage, staged_job, staging_path
 
 SKETCH_BITS = 20  # cells of the frequency sketch: 4 MB are broadcast, whatever the corpus
 SKETCH_PARTS = 8
 SKETCHES_AT_ONCE = 64  # summed in one group
 FILTER_BYTES = 3  # of a signature; as many bits tell which sets a block needs: 2 MB are broadcast
-CHUNK_SHINGLES = 1_000_000  # in one task, times two
+CHUNK_SHINGLES = 500_000  # in one task, times two
 CHUNK_SETS = 2_000
-CACHED_WORDS = 300_000
 BITS_PER_DIFFERENCE = 4  # of a parity bitmap, for each shingle in which linked sets can differ
-BIN_ROWS = 400_000  # shared shingles that one task looks at
+BIN_ROWS = 200_000  # shared shingles that one task looks at
 HOT_SETS = 4_096  # with one shingle; more are cut into chunks
 SMALL_SETS = 32  # with one shingle; all their pairs are taken at once
 PAIRS_AT_ONCE = 200_000
@@ -59,18 +57,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> BoundedCache:
-    return BoundedCache(xxhash.xxh3_64_digest, CACHED_WORDS)
-
-
 def shingle_set(text: str, size: int) -> np.ndarray:
     """The distinct shingles' hashes, ascending; words are those between ASCII blanks, A-Z in lower case."""
     # In bytes, only A-Z turn to lower case, and only ASCII blanks split.
     found = text.encode("utf-8", "replace").lower().split()
     if not found:
         return np.empty(0, dtype=np.uint64)
-    hashes = np.frombuffer(b"".join(map(_word_hashes().__getitem__, found)), dtype="<u8")
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, found)), dtype="<u8")
     width = min(size, len(hashes))
     count = len(hashes) - width + 1
     total = np.full(count, np.uint64(width))
@@ -114,12 +107,10 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _text_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
-    """The other columns and the shingle sets, some hundred rows at a time."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 500):
-            part = batch.slice(start, 500)
-            yield part, [shingle_set(text, size) for text in part.column("text").to_pylist()]
+def _text_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """The rows and their shingle sets, some hundred at a time."""
+    for part in slices(batches):
+        yield part, [shingle_set(text, size) for text in part.column("text").to_pylist()]
 
 
 def frequency_sketch(own: DataFrame, size: int) -> np.ndarray:
@@ -410,10 +401,15 @@ def _needed_filter(members: DataFrame) -> np.ndarray:
     place = F.conv(F.hex(F.substring("signature", 1, FILTER_BYTES)), 16, 10).cast("bigint")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
     bits = members.select(F.floor(place / 64).alias("word"), bit.alias("bit"))
+    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # 16 bytes for 64 bits at most
     words = np.zeros((1 << 8 * FILTER_BYTES) // 64, dtype=np.int64)
-    for row in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():  # as many rows at most
-        words[row["word"]] = row["bits"]
-    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words.view(np.uint8)
+
+
+def _is_needed(bits: np.ndarray, signature: bytes) -> bool:
+    place = int.from_bytes(signature[:FILTER_BYTES], "big")
+    return bool(bits[place >> 3] >> (place & 7) & 1)
 
 
 def _in_groups(members: DataFrame) -> DataFrame:
@@ -438,9 +434,21 @@ def jaccard_components(
     docs: DataFrame, percent: int = 90, size: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links), group (null for an empty set) and
-    key (of id and text) of every row; linked rows share their group."""
+    key (of id and text) of every row; linked rows share their group.
+
+    The result is written; what the steps before it staged is removed."""
     spark = docs.sparkSession
-    own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), row_key(doc_id, text).alias("key"))
+    path = staging_path(spark, "jaccard")
+    with staged_job(spark):
+        _components(docs, percent, size, doc_id, text).write.parquet(path)
+    return read_parquet(spark, path)
+
+
+def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str) -> DataFrame:
+    spark = docs.sparkSession
+    own = in_small_batches(docs).select(
+        F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), row_key(doc_id, text).alias("key")
+    )
     kind = own.schema["doc_id"].dataType.simpleString()
     sketch = spark.sparkContext.broadcast(frequency_sketch(own, size))
 
@@ -488,7 +496,7 @@ def jaccard_components(
         needed_bits = wanted.value
         for _, found in _text_batches(batches, size):
             signed = {xxhash.xxh3_128_digest(s.tobytes()): s for s in found if can_differ(len(s), percent)}
-            kept = {k: s for k, s in signed.items() if needed_bits[int.from_bytes(k[:FILTER_BYTES], "big")]}
+            kept = {k: s for k, s in signed.items() if _is_needed(needed_bits, k)}
             columns = [pa.array(list(kept), pa.binary()), pa.array([s.tobytes() for s in kept.values()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["signature", "shingles"])
 
@@ -521,8 +529,8 @@ def drop_near_copies(
     found = jaccard_components(docs, percent, size, doc_id, text).where(F.col("group").isNotNull())
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
     keepers = stage(found.groupBy("group").agg(F.min(order).alias("first")).select("first.key"), "keepers")
-    key = fresh(docs, "jaccard_key")
+    key = fresh_name("jaccard_key", docs)
     keyed = docs.withColumn(key, row_key(doc_id, text))
     worded = whole_text(text).rlike(WORD)
     kept = keyed.where(worded).dropDuplicates([key]).join(keepers.withColumnRenamed("key", key), key, "left_semi")
-    return kept.unionByName(keyed.where(~worded)).select(*[f"`{name}`" for name in docs.columns])
+    return kept.unionByName(keyed.where(~worded)).select(*[quoted(name) for name in docs.columns])

@@ -11,8 +11,8 @@ mix of empty texts takes every document no times. `mix` keeps all columns, whate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, fresh, whole_text
-from millrace.operators import join_lookup
+from millrace.llm.common import WORD, quoted, whole_text
+from millrace.operators import fresh_name, join_lookup
 from millrace.sources import stage
 
 WEIGHTS = (1, 2, 3)
@@ -91,10 +91,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     The copies follow from the source's rate and the row's own draw, so no row meets another: the rates
     are joined to the documents, one row per source.
     """
-    key, total, share, copy = (fresh(docs, f"mix_{name}") for name in ("key", "total", "share", "copy"))
+    key, total, share, copy = (fresh_name(f"mix_{name}", docs) for name in ("key", "total", "share", "copy"))
     sizes = docs.select(source_key(source).alias("source_key"), n_words(text).alias("size"))
     targets = source_targets(sizes).toDF(key, total, share)
     planned = join_lookup(docs.withColumn(key, source_key(source)), targets, key)
     taken = copies(F.col(share), F.col(total), draw(F.col(doc_id), F.col(text)))
     repeated = planned.withColumn(copy, F.explode(F.sequence(F.lit(0), taken))).where(F.col(copy) > 0)
-    return repeated.select(*[f"`{name}`" for name in docs.columns])
+    return repeated.select(*[quoted(name) for name in docs.columns])

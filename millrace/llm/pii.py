@@ -13,9 +13,9 @@ are ignored, and `redact` keeps them, whatever their names.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, row_key, whole_text
-from millrace.operators import join_lookup
-from millrace.sources import stage
+from millrace.llm.common import quoted, row_key, whole_text
+from millrace.operators import fit_broadcast, fresh_name, join_lookup
+from millrace.sources import read_parquet, stage, staged_job, staging_path
 
 # Kinds in the order of results.
 KINDS = ("email", "ip", "card", "phone")
@@ -230,15 +230,19 @@ def count_of(kind: str, spans: Column) -> Column:
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in brackets; overlapping spans by the first one's.
 
-    Columns stay as they are but for the text. Rows without spans are not joined to anything but a table of
-    the keys that have some.
+    Columns stay as they are but for the text. The texts meet a table of the rows that have spans, which is
+    broadcast if it is measured to be small; else both are shuffled.
     """
-    found = found_spans(docs, doc_id, text)
-    key, spans, whole = fresh(docs, "pii_key"), fresh(docs, "pii_spans"), fresh(docs, "pii_text")
-    some = all_spans(found).where(F.size("spans") > 0).groupBy("key").agg(F.first("spans").alias("spans"))
-    joined = docs.withColumn(key, row_key(doc_id, text)).join(
-        stage(some.select(F.col("key").alias(key), F.col("spans").alias(spans)), "pii"), key, "left"
-    )
+    spark = docs.sparkSession
+    path = staging_path(spark, "spans")
+    with staged_job(spark):
+        some = all_spans(found_spans(docs, doc_id, text)).where(F.size("spans") > 0)
+        some.groupBy("key").agg(F.first("spans").alias("spans")).write.parquet(path)
+    some = read_parquet(spark, path)
+    (small,) = fit_broadcast([some.select("key", spans_text(F.col("spans")).alias("spans"))])
+    key, spans, whole = (fresh_name(f"pii_{name}", docs) for name in ("key", "spans", "text"))
+    listed = some.select(F.col("key").alias(key), F.col("spans").alias(spans))
+    joined = docs.withColumn(key, row_key(doc_id, text)).join(F.broadcast(listed) if small else listed, key, "left")
     names = F.array(*[F.lit(f"[{kind}]") for kind in KINDS])
     by_start = F.array_sort(
         F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))
@@ -258,4 +262,4 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     redacted = F.when(F.col(spans).isNull(), F.col(text)).otherwise(F.aggregate(by_start, start, add, finish))
     with_text = joined.withColumn(whole, whole_text(text)).withColumn(text, redacted)
-    return with_text.select(*[f"`{name}`" for name in docs.columns])
+    return with_text.select(*[quoted(name) for name in docs.columns])

@@ -17,15 +17,17 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, whole_text
+from millrace.llm.common import in_small_batches, slices, whole_text
 from millrace.llm.samples import labelled_texts
 
+FEATURE_BITS = 10
 FIT_ROWS = 3_000  # labelled documents that are voters, at most; 64 floats each are broadcast
-FEATURES = 2_048
+FEATURES = 1 << FEATURE_BITS
 DIMENSIONS = 64
 NEIGHBOURS = 25
 BLOCK = 256  # texts at once
@@ -62,7 +64,7 @@ def text_features(texts: list[str]) -> np.ndarray:
         data = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
         if len(data) >= 3:
             code = data[:-2].astype(np.uint32) << 16 | data[1:-1].astype(np.uint32) << 8 | data[2:]
-            hashed = (code * np.uint32(2654435761)) >> np.uint32(32 - 11)
+            hashed = (code * np.uint32(2654435761)) >> np.uint32(32 - FEATURE_BITS)
             rows[row, :FEATURES] = np.log1p(np.bincount(hashed, minlength=FEATURES))
             shares = np.array(_habits(text, data))
             # Roots of a share and of its rest have unit length together.
@@ -104,17 +106,17 @@ class QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Features are counted by the tasks; the driver gets `fit_rows` rows of them, 25 MB at most."""
+    """Features are counted by the tasks; the driver gets `fit_rows` rows of them, 13 MB at most."""
     rows = labelled_texts(docs, labels, label, fit_rows).where(F.col("label").isin(0, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts = [row.tobytes() for row in text_features(batch.column("text").to_pylist())]
             columns = [batch.column("doc_id"), batch.column("label"), pa.array(counts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "counts"])
 
     kinds = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in ("doc_id", "label"))
-    sample = rows.mapInArrow(run, f"{kinds}, counts binary").orderBy("doc_id").collect()
+    sample = in_small_batches(rows).mapInArrow(run, f"{kinds}, counts binary").orderBy("doc_id").collect()
     votes = np.array([row["label"] for row in sample], dtype=np.float64)
     share = float(votes.mean()) if len(votes) else 0.5
     counts = np.array([np.frombuffer(row["counts"], dtype=np.float32) for row in sample]).reshape(-1, WIDTH)
@@ -135,19 +137,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", name: str = "score") -> DataFrame:
-    """All columns of `docs` and the score. The broadcast model has a fixed size, 1.5 MB at most."""
+    """The documents with a column for the score, in place of one of that name if there is one.
+
+    The broadcast model has a fixed size, 1.2 MB at most. Only the texts go to Python, and scores come back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    whole = fresh(docs, "whole_text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
-                scores = pa.array(model.scores(part.column(part.num_columns - 1).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], scores], [*part.schema.names[:-1], name])
-
-    if name.lower() in {column.lower() for column in docs.columns}:
-        raise ValueError(f"the documents have a column {name} already")
-    kinds = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in docs.schema)
-    return docs.withColumn(whole, whole_text(text)).mapInArrow(run, f"{kinds}, `{name}` double")
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            parts = [shared.value.scores(texts.iloc[i : i + BLOCK].tolist()) for i in range(0, len(texts), BLOCK)]
+            yield pd.Series(np.concatenate([np.empty(0), *parts]))
+
+    return in_small_batches(docs).withColumn(name, scores(whole_text(text)))

@@ -59,13 +59,12 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = vocabulary("byte_bpe_50k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), words).withColumns(
-        {"n_tokens": (F.octet_length("ids") / 4).cast("bigint"), "ids_sha256": F.sha2("ids", 256)}
-    )
-    decoded = bpe.decode(encoded, words, "n_tokens", "ids_sha256")
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), decoded="back")
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("back").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
