@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm.bpe import BoundedCache, byte_alphabet, read_definition
-from millrace.llm.common import whole_text
+from millrace.llm.common import in_small_batches, slices, whole_text
 
-SHARD_BYTES = 32 * 1024 * 1024  # of text, about
+SHARD_BYTES = 128 * 1024 * 1024  # of text, about
 KEYS_PER_BUCKET = 8_192
 BITS_PER_KEY = 2  # of a level of the hash
 MAX_LEVELS = 64
@@ -136,7 +136,7 @@ def write_shards(
         width = len(end)
         store, path = _open(folder)
         shard, sink, place, last, copy = uuid4().hex, None, 0, (), 0
-        for batch in batches:
+        for batch in slices(batches):
             places, sizes, copies = [], [], []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.encode(value) + end
@@ -159,7 +159,7 @@ def write_shards(
 
     ordered = own.repartitionByRange(max(1, ceil(total / shard_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
-    entries = ordered.mapInArrow(write, f"doc_id {kind}, {ENTRIES}")
+    entries = in_small_batches(ordered).mapInArrow(write, f"doc_id {kind}, {ENTRIES}")
     entries.withColumn("task", F.spark_partition_id()).write.parquet(f"{folder}/entries")
     committed = spark.read.parquet(f"{folder}/entries")
 
@@ -296,7 +296,7 @@ def read_ids(found: DataFrame, folder: str, vocabulary: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _open(folder)
         name, file = None, None
-        for batch in batches:
+        for batch in slices(batches):
             ids, sums = [], []
             shards, places, sizes = (batch.column(c).to_pylist() for c in ("shard", "place", "n_tokens"))
             for shard, place, size in zip(shards, places, sizes):
