@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import BoundedCache
-from millrace.llm.common import whole_text
+from millrace.llm.common import in_small_batches, slices, whole_text
 from millrace.llm.samples import labelled_texts
 from millrace.sources import stage
 
@@ -45,7 +45,7 @@ LEVEL = 3
 MIN_SURPRISE = 4.0  # standard deviations above the expected count
 TOP_DIFFERENCE = 12  # bytes; higher ones count as this
 LEVELS = 12  # thresholds between scores
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 MARGIN = b"\n" * 12
 
 PARTS = re.compile(r"[^\W_]+").findall
@@ -144,14 +144,14 @@ def _window_counts(rows: DataFrame, toxic: bytes, ordinary: bytes, *keep: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(toxic, ordinary)
-        for batch in batches:
+        for batch in slices(batches):
             found = map(windows.counts, batch.column("text").to_pylist())
             counts = [[c[d] for d in range(TOP_DIFFERENCE + 1)] for c in found]
             kept = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.list_(pa.int64()))], [*keep, "counts"])
 
     kinds = [f"`{name}` {own.schema[name].dataType.simpleString()}" for name in keep]
-    return own.mapInArrow(run, ", ".join([*kinds, "counts array<bigint>"]))
+    return in_small_batches(own).mapInArrow(run, ", ".join([*kinds, "counts array<bigint>"]))
 
 
 def _weights(rows: list[tuple[int, list[int]]]) -> tuple[float, ...]:
@@ -162,25 +162,29 @@ def _weights(rows: list[tuple[int, list[int]]]) -> tuple[float, ...]:
 
 
 def _calibrated(rows: list[tuple[float, int]]) -> tuple[tuple[float, ...], tuple[float, ...]]:
-    """Thresholds and scores: shares of label 1 that rise with the sum, by pooling neighbours that do not."""
-    pools: list[list[float]] = []  # lowest sum, rows, rows with label 1
+    """Thresholds and scores: shares of label 1 that rise with the sum, by pooling neighbours that do not.
+
+    A threshold lies halfway between the pools it parts.
+    """
+    pools: list[list[float]] = []  # lowest sum, highest sum, rows, rows with label 1
+
+    def join_last() -> None:
+        _, highest, n, ones = pools.pop()
+        pools[-1][1:] = highest, pools[-1][2] + n, pools[-1][3] + ones
+
     for total, label in sorted(rows):
-        if pools and pools[-1][0] == total:
-            pools[-1][1] += 1
-            pools[-1][2] += label
-        else:
-            pools.append([total, 1, label])
-        while len(pools) > 1 and pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]:
-            _, n, ones = pools.pop()
-            pools[-1][1] += n
-            pools[-1][2] += ones
-    # Pools too small for a share join the one before, the highest ones excepted.
+        pools.append([total, total, 1, label])
+        while len(pools) > 1 and (pools[-2][1] == total or pools[-2][3] * pools[-1][2] >= pools[-1][3] * pools[-2][2]):
+            join_last()
     while len(pools) > LEVELS:
-        smallest = min(range(1, len(pools)), key=lambda i: pools[i][1])
-        _, n, ones = pools.pop(smallest)
-        pools[smallest - 1][1] += n
-        pools[smallest - 1][2] += ones
-    return tuple(p[0] for p in pools[1:]), tuple((p[2] + 0.5) / (p[1] + 1) for p in pools)
+        # The smallest pool joins the one before.
+        after = min(range(1, len(pools)), key=lambda i: pools[i][2]) + 1
+        rest, pools[after:] = pools[after:], []
+        join_last()
+        pools.extend(rest)
+    thresholds = tuple((before[1] + pool[0]) / 2 for before, pool in zip(pools, pools[1:]))
+    least = 0.5 / (len(rows) + 1)
+    return thresholds, tuple(min(max(ones / n, least), 1 - least) for _, _, n, ones in pools)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int = FIT_ROWS) -> ToxicModel:
