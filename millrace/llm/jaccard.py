@@ -503,7 +503,9 @@ def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str
     shingles = own.select("text").mapInArrow(whole_sets, "signature binary, shingles binary")
     blocks_with_sets = _in_groups(members).join(shingles.dropDuplicates(["signature"]), "signature")
     links = stage(
-        blocks_with_sets.groupBy("group", "low", "high").applyInPandas(lambda group: join_blocks(group, percent), "a bigint, b bigint"),
+        blocks_with_sets.groupBy("group", "low", "high").applyInPandas(
+            lambda group: join_blocks(group, percent), "a bigint, b bigint"
+        ),
         "links",
     )
     joined = components(links)

@@ -181,7 +181,9 @@ def _pruned(rule: Rule, rows: DataFrame) -> tuple[Rule, float]:
     return part, (score + 1) / 2
 
 
-def learn_rules(statistics: DataFrame, labels: DataFrame, label: str = "quality", features: tuple[str, ...] = FEATURES) -> list[Rule]:
+def learn_rules(
+    statistics: DataFrame, labels: DataFrame, label: str = "quality", features: tuple[str, ...] = FEATURES
+) -> list[Rule]:
     """A decision list for label 0, from the rows of the training fold; all of them are used."""
     own = labels.select(F.col("doc_id").alias("doc_id"), (F.col(label) == 0).alias("bad"))
     known = own.where(F.col("bad").isNotNull() & in_training_fold(F.col("doc_id")))

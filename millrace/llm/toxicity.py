@@ -112,7 +112,12 @@ def word_evidence(rows: DataFrame) -> DataFrame:
     )
     each = listed.select("doc_id", "label", F.explode(around).alias("w")).select("label", "doc_id", "w.*")
     kinds = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("kind"), F.xxhash64(c).alias("value")) for n, c in enumerate(("doc_id", "before", "after"))])
+        F.array(
+            *[
+                F.struct(F.lit(kind).alias("kind"), F.xxhash64(name).alias("value"))
+                for kind, name in enumerate(("doc_id", "before", "after"))
+            ]
+        )
     )
     distinct = each.select("label", "word", kinds.alias("k")).select("label", "word", "k.*").distinct()
     counts = distinct.groupBy("label", "word", "kind").count().groupBy("label", "word").agg(F.min("count").alias("n"))
