@@ -2,18 +2,20 @@
 
 The fixed forms give the seeds. The words around a seed are its patterns; a pattern is as good as the
 share of its instances that are known, an instance as good as its patterns together, over a few rounds.
-Words that look like a seed of some kind, though they fail its form, are instances of unknown standing;
-those that stand in a pattern of high confidence become spans as well.
+Each slot of a pattern that enough seeds (or words of their shape) support holds one instance: a seed, or the run
+of one to four words that stands in the patterns on both sides, else the one most like the kind's seeds. Likeness is
+soft: composition and length. Runs in patterns of high confidence become spans as well; a run without digit or at
+sign only between two such patterns.
 
 Defined cases: a null text is empty; rows with equal id and text get equal spans; repeated rows count as
 one instance; a document without spans gets empty strings; an empty table gives no rows; further columns
 are ignored, and `redact` keeps them, whatever their names.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import quoted, row_key, whole_text
+from millrace.llm.common import BLANK, quoted, row_key, whole_text, words
 from millrace.operators import fit_broadcast, fresh_name, join_lookup
 from millrace.sources import read_parquet, stage, staged_job, staging_path
 
@@ -33,11 +35,21 @@ IP_PARTS = rf"^{_PART}(?:\.{_PART}){{3}}$"
 #: A word with a digit or an at sign, from the first letter, digit or plus on.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
+#: Signs around a value; a bracket that is closed within the value is part of it.
+SIGNS_BEFORE = r"^(?:[^\p{L}0-9+(]|\((?![^()]*\)[^()]*[\p{L}0-9]))+"
+SIGNS_BEHIND = r"[^\p{L}0-9]+$"
+
 CONTEXT_WORDS = 2
 CONTEXT_CHARS = 64  # looked at on either side
+RUN_WORDS = 4
 ROUNDS = 3
 MIN_INSTANCES = 10  # different values that a pattern must have been seen with
 MIN_CONFIDENCE = 0.9
+MIN_SUPPORT = 5  # different seeds, or words of their shape, before a pattern's slots are looked up
+MIN_SHARE = 0.25  # of known instances to begin with; two patterns of 0.4 around each run do not get to 0.9 in the rounds
+DISTINCT_ERROR = 0.2  # of the count of different words in a pattern's slots
+MIN_SCORE = 0.75  # confidence of the patterns around, times LIKENESS_POWER of the likeness
+LIKENESS_POWER = 0.25
 MIN_SHAPE_SEEDS = 3  # different seeds of one shape before words of that shape count as its like
 
 SPAN = "struct<kind: int, start: int, end: int>"
@@ -116,6 +128,11 @@ def _shape(value: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]", "0")
 
 
+def _plain(text: Column) -> Column:
+    """Letter case and the length of numbers do not count in a context."""
+    return F.regexp_replace(F.lower(text), "[0-9]+", "0")
+
+
 def _patterns(o: Column) -> Column:
     """The words before, and the words behind; none where the text begins or ends."""
     plain = lambda text: F.regexp_replace(F.lower(text), "[0-9]+", "0")
@@ -127,7 +144,7 @@ def _patterns(o: Column) -> Column:
 
 def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """key, doc_id, `base` (spans) and `seen`: seeds with their kind and other words that might be data, each with
-    its patterns. One pass over the texts, staged; the key stands for id and text."""
+    its patterns. Staged with the texts; the key stands for id and text."""
     own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), row_key(doc_id, text).alias("key"))
     looked = own.select("key", "doc_id", "text", *[column.alias(kind) for kind, column in base_spans(F.col("text")).items()])
 
@@ -144,14 +161,14 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     might = F.when(F.col("text").rlike("[0-9@]"), occurrences(F.col("text"), CANDIDATE)).otherwise(
         F.array().cast(f"array<{OCCURRENCE}>")
     )
-    seeded = looked.select("key", "doc_id", seeds.alias("seeds"), might.alias("might"))
+    seeded = looked.select("key", "doc_id", "text", seeds.alias("seeds"), might.alias("might"))
     plain = F.transform("seeds", lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
     based = seeded.select("*", plain.alias("base"))
 
     def trimmed(o: Column) -> Column:
         """Without signs around; the start moves along."""
-        core = F.regexp_replace(o["value"], r"^[^\p{L}0-9+]+", "")
-        inner = F.regexp_replace(core, r"[^\p{L}0-9]+$", "")
+        core = F.regexp_replace(o["value"], SIGNS_BEFORE, "")
+        inner = F.regexp_replace(core, SIGNS_BEHIND, "")
         start = o["start"] + F.length(o["value"]) - F.length(core)
         return F.struct(
             F.lit(None).cast("int").alias("kind"), start.alias("start"), (start + F.length(inner)).alias("end"),
@@ -163,26 +180,130 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         lambda o: (F.length(o["value"]) > 0)
         & ~F.exists("base", lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"])),
     )
-    return stage(based.select("key", "doc_id", "base", F.concat("seeds", free).alias("seen")), "pii")
+    return stage(based.select("key", "doc_id", "text", "base", F.concat("seeds", free).alias("seen")), "pii")
+
+
+def _counts(value: Column) -> dict[str, Column]:
+    """What likeness compares: digits, letters and other characters of a value."""
+    digits = F.length(F.regexp_replace(value, "[^0-9]", "")).cast("double")
+    letters = F.length(F.regexp_replace(value, r"\P{L}", "")).cast("double")
+    return {"digits": digits, "letters": letters, "others": F.length(value) - digits - letters}
+
+
+def _contexts(found: DataFrame, listed: DataFrame) -> DataFrame:
+    """key, kind, pattern, left, word, first: each place where a listed pattern stands, and the slot's word beside it."""
+    plain = words(_plain(F.col("text")))
+    pairs = F.zip_with(plain, F.slice(plain, F.lit(2), F.size(plain)), lambda a, b: F.concat_ws(" ", a, b))
+    # Before the pairs the first word alone, which is all that stands before the second; the last word ends the pairs.
+    context = F.concat(F.slice(plain, 1, 1), pairs)
+    nothing = F.array(F.lit(None).cast("string"), F.lit(None).cast("string"))
+    around = F.arrays_zip(
+        context.alias("context"), F.slice(plain, F.lit(2), F.size(plain)).alias("next"), F.concat(nothing, plain).alias("previous")
+    )
+    looked = found.select("key", F.posexplode(around).alias("at", "c")).select("key", "at", "c.*")
+    own = listed.select(
+        "kind", "pattern", F.substring("pattern", 3, 2**31 - 1).alias("context"), F.startswith("pattern", F.lit("<")).alias("left")
+    )
+    (small,) = fit_broadcast([own])
+    met = looked.join(F.broadcast(own) if small else own, "context")
+    # `at` is one more than the place of the pair's first word.
+    word = F.when(F.col("left"), F.col("at") + 1).otherwise(F.col("at") - 2)
+    first = F.when(F.col("left"), F.col("next")).otherwise(F.col("previous"))
+    return met.select("key", "kind", "pattern", "left", word.alias("word"), first.alias("first")).where(first.isNotNull())
+
+
+def _hopeful(found: DataFrame, supported: DataFrame) -> DataFrame:
+    """Patterns without those of everyday language: so many different words stand in their slots that the share of
+    known instances starts below MIN_SHARE, which the rounds cannot lift to MIN_CONFIDENCE."""
+    different = F.approx_count_distinct("first", DISTINCT_ERROR).alias("different")
+    counted = _contexts(found, supported).groupBy("kind", "pattern").agg(different)
+    kept = supported.join(counted, ["kind", "pattern"]).where(F.col("n") >= MIN_SHARE * F.col("different"))
+    return stage(kept.select("kind", "pattern"), "pii")
+
+
+def _slots(found: DataFrame, hopeful: DataFrame) -> DataFrame:
+    """key, text, base and `hits`: where patterns stand, as the first or last word of the slot beside them."""
+    hit = F.struct("kind", "pattern", "left", "word")
+    hits = stage(_contexts(found, hopeful).groupBy("key").agg(F.collect_set(hit).alias("hits")), "pii")
+    (few,) = fit_broadcast([hits])
+    # Rows with equal key have equal text.
+    return found.select("key", "text", "base").join(F.broadcast(hits) if few else hits, "key")
+
+
+def _runs(found: DataFrame, supported: DataFrame, seeds: DataFrame) -> DataFrame:
+    """key, kind, pattern, start, end, value, likeness, marked: the one run of words in each slot that no seed fills."""
+    slots = _slots(found, supported)
+    stripped = F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")
+    # Each word with the blanks behind it.
+    chunks = F.split(stripped, r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])", -1)
+    split = slots.select("key", "base", "hits", chunks.alias("chunks"), (F.length("text") - F.length(stripped)).alias("lead"))
+
+    def window(hit: Column) -> Column:
+        first = F.when(hit["left"], hit["word"]).otherwise(F.greatest(hit["word"] - RUN_WORDS + 1, F.lit(0)))
+        last = F.when(hit["left"], hit["word"] + RUN_WORDS - 1).otherwise(hit["word"])
+        return F.struct(
+            hit["kind"].alias("kind"), hit["pattern"].alias("pattern"), hit["left"].alias("left"), hit["word"].alias("word"),
+            (F.col("lead") + F.length(F.array_join(F.slice("chunks", F.lit(1), first), ""))).alias("at"),
+            F.slice("chunks", first + 1, last - first + 1).alias("own"),
+        )
+
+    inside = F.filter("hits", lambda hit: hit["word"] < F.size("chunks"))
+    each = split.select("key", "base", F.explode(F.transform(inside, window)).alias("w")).select("key", "base", "w.*")
+    sized = each.select("*", F.explode(F.sequence(F.lit(1), F.size("own"))).alias("n"))
+    skipped = F.when(F.col("left"), F.lit(0)).otherwise(F.size("own") - F.col("n"))
+    raw = F.array_join(F.slice("own", skipped + 1, F.col("n")), "")
+    cored = sized.withColumn("core", F.regexp_replace(raw, SIGNS_BEFORE, "")).withColumn(
+        "start", F.col("at") + F.length(F.array_join(F.slice("own", F.lit(1), skipped), "")) + F.length(raw) - F.length("core")
+    )
+    valued = cored.withColumn("value", F.regexp_replace("core", SIGNS_BEHIND, ""))
+    ended = valued.withColumn("end", F.col("start") + F.length("value"))
+    free = ended.where(
+        (F.length("value") > 0) & ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
+    )
+    # How a kind's seeds are made up, each value once.
+    once = seeds.select("kind", "value").distinct()
+    means = once.groupBy("kind").agg(*[F.avg(count).alias(f"mean_{name}") for name, count in _counts(F.col("value")).items()])
+    counted = free.withColumns(_counts(F.col("value"))).join(F.broadcast(means), "kind")
+    mean_all = F.col("mean_digits") + F.col("mean_letters") + F.col("mean_others")
+    common = [F.least(F.col(n) / F.length("value"), F.col(f"mean_{n}") / mean_all) for n in ("digits", "letters", "others")]
+    size, mean_size = F.col("digits") + F.col("letters"), F.col("mean_digits") + F.col("mean_letters")
+    length = F.sqrt(F.least(size, mean_size) / F.greatest(size, mean_size))
+    compared = counted.select(
+        "key", "kind", "pattern", "left", "word", "n", "start", "end", F.lower("value").alias("value"),
+        ((common[0] + common[1] + common[2]) * length).alias("likeness"), F.col("value").rlike("[0-9@]").alias("marked"),
+    )
+    place = Window.partitionBy("key", "kind", "start", "end")
+    sides = F.size(F.collect_set("left").over(place))
+    best = F.max_by(F.struct("start", "end", "value", "likeness", "marked"), F.struct("sides", "likeness", -F.col("n")))
+    chosen = compared.withColumn("sides", sides).groupBy("key", "kind", "pattern", "word").agg(best.alias("run"))
+    return stage(chosen.select("key", "kind", "pattern", "run.*"), "pii")
 
 
 def discovered_spans(found: DataFrame) -> DataFrame:
-    """key and `more`: spans of words in high-confidence patterns."""
+    """key and `more`: spans of runs of words in high-confidence patterns."""
     seen = found.select("key", F.explode("seen").alias("o")).select("key", "o.*")
     seeds = seen.where(F.col("kind").isNotNull())
     shapes = seeds.groupBy("kind", _shape(F.col("value")).alias("shape")).agg(F.countDistinct("value").alias("n"))
     kinds = shapes.where(F.col("n") >= MIN_SHAPE_SEEDS).groupBy("shape").agg(F.collect_set("kind").alias("kinds"))
     unknown = seen.where(F.col("kind").isNull()).withColumn("shape", _shape(F.col("value")))
-    alike = stage(
-        join_lookup(unknown, stage(kinds, "pii"), "shape").withColumn("kind", F.explode("kinds")).drop("kinds", "shape"),
-        "pii",
-    )
+    alike = join_lookup(unknown, stage(kinds, "pii"), "shape").withColumn("kind", F.explode("kinds"))
     edge = ["kind", F.lower("value").alias("value"), F.explode("patterns").alias("pattern")]
+    from_seeds = stage(seeds.select(*edge).distinct(), "pii")
+    support = from_seeds.unionByName(alike.select(*edge)).groupBy("kind", "pattern").agg(F.countDistinct("value").alias("n"))
+    nothing = found.sparkSession.createDataFrame([], f"key string, more array<{SPAN}>")
+    supported = stage(support.where(F.col("n") >= MIN_SUPPORT), "pii")
+    if supported.isEmpty():
+        return nothing
+    supported = _hopeful(found, supported)
+    if supported.isEmpty():
+        return nothing
+    runs = _runs(found, supported, seeds)
+    soft = F.pow("likeness", F.lit(LIKENESS_POWER))
     edges = stage(
-        seeds.select(*edge, F.lit(1.0).alias("seed"))
-        .unionByName(alike.select(*edge, F.lit(0.0).alias("seed")))
+        from_seeds.join(supported, ["kind", "pattern"]).select("kind", "value", "pattern", F.lit(1.0).alias("seed"), F.lit(1.0).alias("soft"))
+        .unionByName(runs.select("kind", "value", "pattern", F.lit(0.0).alias("seed"), soft.alias("soft")))
         .groupBy("kind", "value", "pattern")
-        .agg(F.max("seed").alias("seed")),
+        .agg(F.max("seed").alias("seed"), F.max("soft").alias("soft")),
         "pii",
     )
     scored = edges.withColumn("known", F.col("seed"))
@@ -195,17 +316,30 @@ def discovered_spans(found: DataFrame) -> DataFrame:
         values = (
             edges.join(usable, ["kind", "pattern"], "left")
             .groupBy("kind", "value")
-            .agg(F.greatest(F.max("seed"), F.pow(1 - F.exp(doubt), 2)).alias("known"))
+            .agg(F.greatest(F.max("seed"), F.pow((1 - F.exp(doubt)) * F.max("soft"), 2)).alias("known"))
         )
         scored = edges.join(stage(values, "pii"), ["kind", "value"])
-    trusted = usable.where(F.col("confidence") >= MIN_CONFIDENCE).select("kind", "pattern")
-    hits = (
-        alike.select("key", "kind", "start", "end", F.explode("patterns").alias("pattern"))
-        .join(trusted, ["kind", "pattern"])
-        .select("key", F.struct("kind", "start", "end").alias("span"))
+    trusted = usable.where(F.col("confidence") >= MIN_CONFIDENCE).select("kind", "pattern", "confidence")
+    # A run beside two trusted patterns has two rows.
+    around = (
+        runs.join(trusted, ["kind", "pattern"])
+        .select("key", "kind", "start", "end", "likeness", "marked", "pattern", "confidence")
         .distinct()
+        .groupBy("key", "kind", "start", "end", "likeness", "marked")
+        .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("sure"), F.count("*").alias("sides"))
     )
-    return hits.groupBy("key").agg(F.collect_list("span").alias("more"))
+    score = F.col("sure") * soft
+    good = around.where((score >= MIN_SCORE) & (F.col("marked") | (F.col("sides") > 1)))
+    span = F.struct(F.col("sides"), score.alias("score"), "kind", "start", "end")
+    listed = good.groupBy("key").agg(F.collect_list(span).alias("all"))
+
+    def beaten(a: Column) -> Column:
+        """Of runs that share words, the one with more patterns around, then the higher score, stays."""
+        over = lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])
+        return F.exists("all", lambda b: over(b) & (b > a))
+
+    kept = F.transform(F.filter("all", lambda a: ~beaten(a)), lambda a: F.struct(a["kind"], a["start"], a["end"]))
+    return listed.select("key", kept.cast(f"array<{SPAN}>").alias("more"))
 
 
 def all_spans(found: DataFrame) -> DataFrame:

@@ -105,3 +105,32 @@ def test_redaction(documents):
     # Overlapping spans: the first one counts.
     (row,) = redact(documents("+4111 1111 1111 111 1")).collect()
     assert "1111" not in row.text
+
+
+def spans_by_id(df):
+    return {r.doc_id: r.spans for r in all_spans(found_spans(df)).select("doc_id", spans_text(F.col("spans")).alias("spans")).collect()}
+
+
+def test_trusted_contexts_discover_other_forms(documents):
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    cards = lambda: next(n for n in iter(lambda: digits(16), None) if luhn(n))
+    calls = [f"please call +1 ({digits(3)}) 555-{digits(4)} before noon" for _ in range(60)]
+    mails = [f"please write to u{i}.x@mail{i % 9}.example.com for more" for i in range(60)]
+    paid = [f"it was paid with {cards()} in june" for _ in range(60)]
+    unseen = [
+        ("please call 555-713-7713 before noon", "phone", "555-713-7713"),
+        ("please call (017) 555-7713 before noon", "phone", "(017) 555-7713"),
+        ("please call 017 555 7714, before noon", "phone", "017 555 7714"),
+        ("so please call 555-713-7715 whenever that suits", "phone", "555-713-7715"),
+        ("please write to user@host for more", "email", "user@host"),
+        ("please write to name at host for more", "email", "name at host"),
+        ("it was paid with 4111 1111 1111 1112 in june", "card", "4111 1111 1111 1112"),
+    ]
+    others = ["please call him before noon", "the item 555-713-7713 is sold out", "write 4111 1111 1111 1112 on it"]
+    seeds = [*calls, *mails, *paid]
+    got = spans_by_id(documents(*seeds, *[text for text, _, _ in unseen], *others))
+    assert all(got[i] == ",".join(plain(text)) for i, text in enumerate(seeds))
+    wanted = [f"{kind}:{text.index(value)}:{text.index(value) + len(value)}" for text, kind, value in unseen]
+    assert [got[len(seeds) + i] for i in range(len(unseen))] == wanted
+    assert [got[len(seeds) + len(unseen) + i] for i in range(len(others))] == [""] * len(others)
