@@ -40,7 +40,7 @@ SIGNS_BEFORE = r"^(?:[^\p{L}0-9+(]|\((?![^()]*\)[^()]*[\p{L}0-9]))+"
 SIGNS_BEHIND = r"[^\p{L}0-9]+$"
 
 CONTEXT_WORDS = 2
-CONTEXT_CHARS = 64  # looked at on either side
+CONTEXT_CHARS = 64  # looked at on either side; the whole text where they hold too few words
 RUN_WORDS = 4
 ROUNDS = 3
 MIN_INSTANCES = 10  # different values that a pattern must have been seen with
@@ -57,33 +57,50 @@ OCCURRENCE = "struct<start: int, end: int, value: string, before: string, after:
 
 
 def occurrences(text: Column, pattern: str) -> Column:
-    """All matches, leftmost first: start, end (code points), value, and the text up to the matches next to it."""
-    gaps = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """All matches, leftmost first: start, end (code points), value, and some text on either side, other matches included."""
+    found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
+    return _once(found, lambda both: _placed(both["gaps"], both["values"]))
+
+
+def _once(value: Column, use) -> Column:
+    """`use` of a value that is computed a single time, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _placed(gaps: Column, values: Column) -> Column:
+    joined = F.zip_with(gaps, values, lambda gap, value: F.left(F.concat_ws("", gap, value), F.lit(CONTEXT_CHARS)))
+    # A gap and a match hold at least one word in most texts; two words need no more than three of them.
+    behind = lambda all_, n: F.slice(all_, F.lit(n), F.size(all_))
+    after = _once(joined, lambda j: F.zip_with(F.zip_with(behind(j, 2), behind(j, 3), _glued), behind(j, 4), _glued))
     parts = F.zip_with(
         F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"))),
-        F.slice(gaps, F.lit(2), F.size(gaps)),
-        lambda part, after: F.struct(part["gap"].alias("gap"), part["value"].alias("value"), after.alias("after")),
+        after,
+        lambda part, text: F.struct(part["gap"].alias("gap"), part["value"].alias("value"), text.alias("after")),
     )
 
     def add(acc: Column, part: Column) -> Column:
         start = acc["at"] + F.length(part["gap"])
         end = start + F.length(part["value"])
+        before = F.right(F.concat(acc["before"], part["gap"]), F.lit(CONTEXT_CHARS))
         found = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            part["value"].alias("value"),
-            F.right(part["gap"], F.lit(CONTEXT_CHARS)).alias("before"),
-            F.left(part["after"], F.lit(CONTEXT_CHARS)).alias("after"),
-        )
+            start.alias("start"), end.alias("end"), part["value"].alias("value"),
+            before.alias("before"), F.left(part["after"], F.lit(CONTEXT_CHARS)).alias("after"),
+        )
         more = F.concat(acc["found"], F.array(found).cast(f"array<{OCCURRENCE}>"))
+        tail = F.right(F.concat(before, part["value"]), F.lit(CONTEXT_CHARS))
         # The gap behind the last match has no value.
-        return F.when(part["value"].isNull(), acc).otherwise(F.struct(end.alias("at"), more.alias("found")))
+        return F.when(part["value"].isNull(), acc).otherwise(
+            F.struct(end.alias("at"), tail.alias("before"), more.alias("found"))
+        )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{OCCURRENCE}>").alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.array().cast(f"array<{OCCURRENCE}>").alias("found"))
     return F.aggregate(parts, start, add)["found"]
 
 
+def _glued(a: Column, b: Column) -> Column:
+    return F.concat_ws("", a, b)
+
+
 def luhn(digits: Column) -> Column:
     """Whether the check digit of a string of digits is right."""
 
@@ -133,13 +150,29 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), "[0-9]+", "0")
 
 
-def _patterns(o: Column) -> Column:
-    """The words before, and the words behind; none where the text begins or ends."""
-    plain = lambda text: F.regexp_replace(F.lower(text), "[0-9]+", "0")
-    words = lambda text: F.array_remove(F.split(plain(text), r"[\x20\x09-\x0D]+"), "")
-    join = lambda name, found: F.when(F.size(found) > 0, F.concat(F.lit(name), F.array_join(found, " ")))
-    before = F.reverse(F.slice(F.reverse(words(o["before"])), 1, CONTEXT_WORDS))
-    return F.array_compact(F.array(join("<", before), join(">", F.slice(words(o["after"]), 1, CONTEXT_WORDS))))
+def _patterns(text: Column, o: Column) -> Column:
+    """The words before the word it starts in, and those behind the word it ends in; none where the text begins or ends."""
+
+    def before(near: Column, surplus: int) -> Column:
+        # The last piece belongs to the value's own word; the first may be the end of a longer word.
+        pieces = F.split(near, BLANK)
+        found = F.array_remove(F.slice(pieces, F.lit(1 + surplus), F.greatest(F.size(pieces) - 1 - surplus, F.lit(0))), "")
+        return F.reverse(F.slice(F.reverse(found), 1, CONTEXT_WORDS))
+
+    def after(near: Column, surplus: int) -> Column:
+        pieces = F.split(near, BLANK)
+        found = F.array_remove(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1 - surplus, F.lit(0))), "")
+        return F.slice(found, 1, CONTEXT_WORDS)
+
+    def side(name: str, look, near: Column, whole: Column) -> Column:
+        found = _once(look(near, 1), lambda close: F.when(F.size(close) == CONTEXT_WORDS, close).otherwise(look(whole, 0)))
+        return F.concat(F.lit(name), _plain(F.array_join(found, " ")))
+
+    sides = F.array(
+        side("< ", before, o["before"], F.substring(text, F.lit(1), o["start"])),
+        side("> ", after, o["after"], F.substring(text, o["end"] + 1, F.lit(2**31 - 1))),
+    )
+    return F.filter(sides, lambda pattern: F.length(pattern) > 2)
 
 
 def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,7 +184,7 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def seed(number: int, o: Column) -> Column:
         return F.struct(
             F.lit(number).alias("kind"), o["start"].alias("start"), o["end"].alias("end"),
-            o["value"].alias("value"), _patterns(o).alias("patterns"),
+            o["value"].alias("value"), _patterns(F.col("text"), o).alias("patterns"),
         )
 
     def of_kind(number: int, kind: str) -> Column:
@@ -172,7 +205,7 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         start = o["start"] + F.length(o["value"]) - F.length(core)
         return F.struct(
             F.lit(None).cast("int").alias("kind"), start.alias("start"), (start + F.length(inner)).alias("end"),
-            inner.alias("value"), _patterns(o).alias("patterns"),
+            inner.alias("value"), _patterns(F.col("text"), o).alias("patterns"),
         )
 
     free = F.filter(

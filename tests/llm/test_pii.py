@@ -134,3 +134,19 @@ def test_trusted_contexts_discover_other_forms(documents):
     wanted = [f"{kind}:{text.index(value)}:{text.index(value) + len(value)}" for text, kind, value in unseen]
     assert [got[len(seeds) + i] for i in range(len(unseen))] == wanted
     assert [got[len(seeds) + len(unseen) + i] for i in range(len(others))] == [""] * len(others)
+
+
+def test_contexts_are_the_words_around_whatever_they_are(documents):
+    long = "w" * 100
+    rows = [
+        "unit 7 ip 1.2.3.4 host 9 x", "unit 7 ip 1.2.3.444 host 9 x", "7 8 1.2.3.4", "a@b.c\t8 1.2.3.444 ",
+        f"{long} {long} 1.2.3.4 {long} {long}", "x a@b.c,d@e.f 1.2.3.4", " 1.2.3.4 y",
+    ]
+    seen = {r.doc_id: {o.value: o.patterns for o in r.seen} for r in found_spans(documents(*rows)).collect()}
+    assert seen[0]["1.2.3.4"] == seen[1]["1.2.3.444"] == ["< 0 ip", "> host 0"]
+    assert seen[0]["7"] == ["< unit", "> ip 0.0.0.0"]
+    assert seen[2]["1.2.3.4"] == ["< 0 0"]
+    assert seen[3]["1.2.3.444"] == ["< a@b.c 0"]
+    assert seen[4]["1.2.3.4"] == [f"< {long} {long}", f"> {long} {long}"]
+    assert seen[5]["1.2.3.4"] == ["< x a@b.c,d@e.f"] and seen[5]["d@e.f"] == ["< x", "> 0.0.0.0"]
+    assert seen[6]["1.2.3.4"] == ["> y"]
