@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, jaccard, mixing, pii, quality, rules, shards, topk, toxicity
+from millrace.llm import bpe, chat, exact, jaccard, mixing, pii, quality, rules, shards, topk, toxicity
 from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
@@ -114,6 +114,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"), largest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_quality_rules": op2_quality_rules,
@@ -125,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -218,4 +223,9 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length(own_text) + CASE WHEN merged THEN 10
         ELSE 12 + length(own_role) + 1 + 11 END) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id""",
+    "op11_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
 }

@@ -1,0 +1,119 @@
+import hashlib
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.llm import exact
+
+
+def plain(rows, largest=True):
+    """doc_id, keep_id, group_size and digest by comparing texts as they are."""
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(text or "", []).append(i)
+    pick = max if largest else min
+    return sorted(
+        (
+            (i, pick((x for x in groups[text or ""] if x is not None), default=None), len(groups[text or ""]),
+             hashlib.sha256((text or "").encode()).hexdigest())
+            for i, text in rows
+        ),
+        key=str,
+    )
+
+
+def result(df, **options):
+    rows = exact.exact_groups(df, **options).collect()
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows), key=str), rows
+
+
+def one_stays(rows):
+    """Every group keeps exactly one row, the one with the identifier that stays."""
+    kept = [r for r in rows if r.kept]
+    return len(kept) == len({r.text_sha256 for r in rows}) and all(r.doc_id == r.keep_id for r in kept)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.binary(max_size=6) | st.binary(max_size=3).map(lambda b: b * 5), max_size=40))
+def test_trie_tells_strings_apart(texts):
+    trie, nodes = exact.Trie(), {}
+    for text in texts:
+        node = trie.insert(text)
+        node.group = node.group or (text,)
+        assert nodes.setdefault(text, node) is node or node.group == (text,)
+    assert sorted(t for t, _ in exact.Trie.groups(trie.root)) == sorted(set(texts))
+    assert all(t == g for t, (g,) in exact.Trie.groups(trie.root))
+
+
+def test_cut_subtrees_hold_all_their_strings():
+    trie = exact.Trie()
+    texts = [f"{a}{b}{c}".encode() for a in "xyz" for b in "pq" for c in range(30)]
+    for text in texts:
+        trie.insert(text).group = (text,)
+    seen = []
+    while cut := trie.cut_largest(mark=7):
+        seen += [t for t, _ in exact.Trie.groups(*cut)]
+        assert trie.insert(seen[-1]).spilled == 7
+    seen += [t for t, _ in exact.Trie.groups(trie.root)]
+    assert sorted(seen) == sorted(texts)
+    assert len(list(exact.Trie.groups(trie.root))) == 1
+
+
+def test_one_string_is_never_cut():
+    trie = exact.Trie()
+    trie.insert(b"long" * 1000).group = (1,)
+    assert trie.cut_largest(mark=1) is None
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Copies, prefixes of one another, a text in a third of all rows, a long text and near copies."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab ") for _ in range(rng.randrange(12))) for _ in range(300)]
+    texts += ["the same text " * 9] * 150 + ["x" * n for n in range(40)] + ["long " * 20_000, "long " * 20_000 + "!"] * 2
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("largest", [True, False])
+def test_equals_plain(documents, rows, largest):
+    got, full = result(documents(*rows, clashing=True), largest=largest)
+    assert got == plain(rows, largest)
+    assert one_stays(full)
+
+
+def test_spilled_subtrees_meet_again(documents, rows):
+    got, full = result(documents(*rows), largest=True, trie_bytes=20_000, part_bytes=400_000)
+    assert got == plain(rows)
+    assert one_stays(full)
+
+
+def test_a_string_that_every_task_sends(documents, rows):
+    hot = rows + [(1_000 + i, "hot") for i in range(200)]
+    df = documents(*hot).repartition(23)
+    got, full = result(df, largest=True, fan_in=3)
+    assert got == plain(hot)
+    assert one_stays(full)
+
+
+def test_equal_hashes_do_not_make_texts_equal(documents, rows, monkeypatch):
+    monkeypatch.setattr(exact.F, "xxhash64", lambda *columns: F.lit(1).cast("bigint"))
+    got, _ = result(documents(*rows), largest=True)
+    assert got == plain(rows)
+
+
+def test_defined_cases(documents):
+    odd = [(None, "a"), (None, "a"), (3, "a"), (3, "a"), (None, "b"), (None, "b"), (5, None), (6, ""), (7, " "), (8, "é"), (9, "é")]
+    got, full = result(documents(*odd, clashing=True), largest=True)
+    assert got == plain(odd)
+    assert one_stays(full)
+    assert exact.exact_groups(documents()).collect() == []
+
+
+def test_normalized_texts_and_other_identifiers(spark):
+    df = spark.createDataFrame([("k1", "A b"), ("k2", "a B"), ("k3", "c")], "name string, body string")
+    rows = exact.exact_groups(df, "name", "body", normalize=F.lower).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in rows) == [("k1", "k1", True), ("k2", "k1", False), ("k3", "k3", True)]
