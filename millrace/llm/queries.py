@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact, jaccard, mixing, pii, quality, rules, shards, topk, toxicity
+from millrace.llm import bpe, chat, exact, jaccard, mixing, pii, prefix_tree, quality, rules, shards, topk, toxicity
 from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
@@ -118,6 +118,11 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), largest=True)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_tree.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_tree.prefix_nodes(*prefix_tree.shared_starts(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_quality_rules": op2_quality_rules,
@@ -130,11 +135,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 # Only A to Z turn to lower case.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# crc32 of a number's decimal digits: the polynomial, bit by bit; -1 stands for a shift.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST({id} AS VARCHAR), ''),
+    lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
 
 ORACLE = {
     "op3_jaccard_join": f"""
@@ -228,4 +238,42 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
     row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
     sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_prefix_trie": f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT DISTINCT conv_id AS c, conv_id - conv_id % 100 AS head, {_CRC32.format(id="conv_id")} % 6 AS h FROM conversations
+    WHERE conv_id IS NOT NULL
+), rebuilt AS (
+    SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS depth
+    FROM (
+        SELECT c, role, text, pos, 0 AS own FROM convs JOIN turns ON conv_id = head AND pos <= h
+        UNION ALL SELECT c, role, text, pos, 1 FROM convs JOIN turns ON conv_id = c AND pos > h
+    )
+), prefixes AS (
+    SELECT c, depth, length(text) AS chars, depth = max(depth) OVER (PARTITION BY c) AS last,
+        string_agg(sha256(role) || sha256(text), '' ORDER BY depth) OVER (PARTITION BY c ORDER BY depth) AS prefix
+    FROM rebuilt
+    UNION ALL SELECT c, 0, 0, c NOT IN (SELECT c FROM rebuilt), '' FROM convs
+), named AS (
+    SELECT *, min(c) OVER (PARTITION BY prefix) AS conv_id FROM prefixes
+), nodes AS (
+    SELECT conv_id, depth, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+    FROM named GROUP BY conv_id, depth
+), tree AS (
+    SELECT nodes.*, above.conv_id AS parent_conv_id
+    FROM nodes LEFT JOIN named above ON above.c = nodes.conv_id AND above.depth = nodes.depth - 1
+), children AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM tree WHERE depth > 0 GROUP BY ALL
+), totals AS (
+    SELECT up.conv_id, up.depth, sum(CASE WHEN n IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+    FROM tree LEFT JOIN children USING (conv_id, depth) JOIN named up ON up.c = tree.conv_id AND up.depth <= tree.depth
+    GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM tree JOIN totals USING (conv_id, depth) LEFT JOIN children USING (conv_id, depth)""",
 }

@@ -23,7 +23,7 @@ COLUMNS = {
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 12))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 13))
     assert set(QUERIES) == set(ORACLE) | set(COLUMNS)
 
 
