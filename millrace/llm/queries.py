@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact, jaccard, mixing, pii, prefix_tree, quality, rules, shards, topk, toxicity
+from millrace.llm import bpe, chat, exact, jaccard, mixing, periods, pii, prefix_tree, quality, rules, shards, topk, toxicity
 from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
@@ -123,6 +123,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tree.prefix_nodes(*prefix_tree.shared_starts(turns))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_quality_rules": op2_quality_rules,
@@ -136,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

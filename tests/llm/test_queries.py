@@ -19,11 +19,13 @@ COLUMNS = {
     "op6_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_quality_classifier": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op13_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, "
+    "exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) == set(ORACLE) | set(COLUMNS)
 
 
