@@ -1,6 +1,6 @@
 """Names and expressions that several operators share."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +31,39 @@ def in_training_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed a single time, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, first: Column, combine: Callable[[Column, Column], Column], chunk: int = 64) -> Column:
+    """`first`, and what the first 1, 2, ... values make of it: one more than there are values.
+
+    `combine` is associative. Chunks are added up on their own, as an array that grows by one element at a time is
+    copied each time: so a long array costs little more per value than a short one.
+    """
+
+    def extend(acc: Column, value: Column) -> Column:
+        return F.concat(acc, F.array(combine(F.element_at(acc, -1), value)))
+
+    def of_chunk(part: Column, start: Column) -> Column:
+        return F.slice(F.aggregate(part, F.array(start), extend), F.lit(1), F.size(part))
+
+    def of_all(all_: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / chunk).cast("int"))
+        chunks = F.transform(numbers, lambda i: F.slice(all_, i * chunk + 1, F.lit(chunk)))
+        sums = F.transform(chunks, lambda c: F.aggregate(F.slice(c, F.lit(2), F.size(c)), F.get(c, F.lit(0)), combine))
+        return once(
+            F.struct(chunks.alias("chunks"), F.aggregate(sums, F.array(first), extend).alias("starts")),
+            lambda both: F.concat(
+                F.flatten(F.zip_with(both["chunks"], F.slice(both["starts"], F.lit(1), F.size(both["chunks"])), of_chunk)),
+                F.slice(both["starts"], -1, 1),
+            ),
+        )
+
+    return once(values, lambda all_: F.when(F.size(all_) > 0, of_all(all_)).otherwise(F.array(first)))
+
+
 def row_key(doc_id: str, text: str) -> Column:
     """Rows with equal id and text share a key; a null id differs from every other."""
     known = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n"))

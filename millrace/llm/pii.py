@@ -12,10 +12,12 @@ one instance; a document without spans gets empty strings; an empty table gives
 are ignored, and `redact` keeps them, whatever their names.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BLANK, quoted, row_key, whole_text, words
+from millrace.llm.common import BLANK, once, quoted, row_key, running, whole_text, words
 from millrace.operators import fit_broadcast, fresh_name, join_lookup
 from millrace.sources import read_parquet, stage, staged_job, staging_path
 
@@ -40,14 +42,16 @@ SIGNS_BEFORE = r"^(?:[^\p{L}0-9+(]|\((?![^()]*\)[^()]*[\p{L}0-9]))+"
 SIGNS_BEHIND = r"[^\p{L}0-9]+$"
 
 CONTEXT_WORDS = 2
-CONTEXT_CHARS = 64  # looked at on either side; the whole text where they hold too few words
+CONTEXT_CHARS = 64  # looked at on either side,
+WIDE_CHARS = 1_024  # or so many where they hold too few words; a word beyond that has no part in a pattern
 RUN_WORDS = 4
+PIECE_CHARS = 256  # of a text that spans are cut out of
 ROUNDS = 3
 MIN_INSTANCES = 10  # different values that a pattern must have been seen with
 MIN_CONFIDENCE = 0.9
-MIN_SUPPORT = 5  # different seeds, or words of their shape, before a pattern's slots are looked up
-MIN_SHARE = 0.25  # of known instances to begin with; two patterns of 0.4 around each run do not get to 0.9 in the rounds
-DISTINCT_ERROR = 0.2  # of the count of different words in a pattern's slots
+MIN_SUPPORT = 5  # different seeds, or words of their shape, before a pattern's slots are looked up,
+MIN_SUPPORT_SHARE = 0.005  # and that share of the kind's different seeds
+MIN_SHARE = 0.25  # of known instances among the different words in a pattern's slots, to begin with
 MIN_SCORE = 0.75  # confidence of the patterns around, times LIKENESS_POWER of the likeness
 LIKENESS_POWER = 0.25
 MIN_SHAPE_SEEDS = 3  # different seeds of one shape before words of that shape count as its like
@@ -57,48 +61,39 @@ OCCURRENCE = "struct<start: int, end: int, value: string, before: string, after:
 
 
 def occurrences(text: Column, pattern: str) -> Column:
-    """All matches, leftmost first: start, end (code points), value, and some text on either side, other matches included."""
+    """All matches, leftmost first: start, end (code points), value, and some text on either side, other matches included.
+    A blank stands for the beginning and the end of the whole text."""
     found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
-    return _once(found, lambda both: _placed(both["gaps"], both["values"]))
-
-
-def _once(value: Column, use) -> Column:
-    """`use` of a value that is computed a single time, however often it is named."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return once(found, lambda both: _placed(both["gaps"], both["values"]))
 
 
 def _placed(gaps: Column, values: Column) -> Column:
-    joined = F.zip_with(gaps, values, lambda gap, value: F.left(F.concat_ws("", gap, value), F.lit(CONTEXT_CHARS)))
-    # A gap and a match hold at least one word in most texts; two words need no more than three of them.
-    behind = lambda all_, n: F.slice(all_, F.lit(n), F.size(all_))
-    after = _once(joined, lambda j: F.zip_with(F.zip_with(behind(j, 2), behind(j, 3), _glued), behind(j, 4), _glued))
-    parts = F.zip_with(
-        F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"))),
-        after,
-        lambda part, text: F.struct(part["gap"].alias("gap"), part["value"].alias("value"), text.alias("after")),
+    lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda gap, value: F.length(gap) + F.length(value))
+    edged = F.transform(
+        gaps,
+        lambda gap, i: F.concat_ws("", F.when(i == 0, " "), gap, F.when(i == F.size(values), " ")),
     )
 
-    def add(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
-        end = start + F.length(part["value"])
-        before = F.right(F.concat(acc["before"], part["gap"]), F.lit(CONTEXT_CHARS))
-        found = F.struct(
-            start.alias("start"), end.alias("end"), part["value"].alias("value"),
-            before.alias("before"), F.left(part["after"], F.lit(CONTEXT_CHARS)).alias("after"),
-        )
-        more = F.concat(acc["found"], F.array(found).cast(f"array<{OCCURRENCE}>"))
-        tail = F.right(F.concat(before, part["value"]), F.lit(CONTEXT_CHARS))
-        # The gap behind the last match has no value.
-        return F.when(part["value"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), tail.alias("before"), more.alias("found"))
-        )
+    def place(p: Column) -> Column:
+        piece = lambda i: F.concat_ws("", F.get(p["edged"], i), F.get(values, i))
+        # A gap and a match hold at least one word in most texts; two words need no more than three of them.
+        last = lambda i: F.right(piece(i), F.lit(WIDE_CHARS))
+        next_ = lambda i: F.left(piece(i), F.lit(WIDE_CHARS))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.array().cast(f"array<{OCCURRENCE}>").alias("found"))
-    return F.aggregate(parts, start, add)["found"]
+        def one(value: Column, i: Column) -> Column:
+            start = F.get(p["starts"], i) + F.length(F.get(gaps, i))
+            before = F.concat_ws("", F.when(i > 2, last(i - 3)), F.when(i > 1, last(i - 2)), F.when(i > 0, last(i - 1)), F.get(p["edged"], i))
+            after = F.concat_ws("", next_(i + 1), next_(i + 2), next_(i + 3))
+            return F.struct(
+                start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
+                F.right(before, F.lit(WIDE_CHARS)).alias("before"), F.left(after, F.lit(WIDE_CHARS)).alias("after"),
+            )
 
+        return F.transform(values, one)
 
-def _glued(a: Column, b: Column) -> Column:
-    return F.concat_ws("", a, b)
+    starts = running(lengths, F.lit(0), lambda a, b: a + b)
+    placed = once(F.struct(edged.alias("edged"), starts.alias("starts")), place)
+    return F.when(F.size(values) > 0, placed).otherwise(F.array().cast(f"array<{OCCURRENCE}>"))
 
 
 def luhn(digits: Column) -> Column:
@@ -150,31 +145,60 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), "[0-9]+", "0")
 
 
-def _patterns(text: Column, o: Column) -> Column:
+def _patterns(o: Column) -> Column:
     """The words before the word it starts in, and those behind the word it ends in; none where the text begins or ends."""
 
-    def before(near: Column, surplus: int) -> Column:
+    def before(near: Column) -> Column:
         # The last piece belongs to the value's own word; the first may be the end of a longer word.
         pieces = F.split(near, BLANK)
-        found = F.array_remove(F.slice(pieces, F.lit(1 + surplus), F.greatest(F.size(pieces) - 1 - surplus, F.lit(0))), "")
+        found = F.array_remove(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0))), "")
         return F.reverse(F.slice(F.reverse(found), 1, CONTEXT_WORDS))
 
-    def after(near: Column, surplus: int) -> Column:
+    def after(near: Column) -> Column:
         pieces = F.split(near, BLANK)
-        found = F.array_remove(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1 - surplus, F.lit(0))), "")
+        found = F.array_remove(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0))), "")
         return F.slice(found, 1, CONTEXT_WORDS)
 
-    def side(name: str, look, near: Column, whole: Column) -> Column:
-        found = _once(look(near, 1), lambda close: F.when(F.size(close) == CONTEXT_WORDS, close).otherwise(look(whole, 0)))
+    def side(name: str, look, near: Column, wide: Column) -> Column:
+        found = once(look(near), lambda close: F.when(F.size(close) == CONTEXT_WORDS, close).otherwise(look(wide)))
         return F.concat(F.lit(name), _plain(F.array_join(found, " ")))
 
     sides = F.array(
-        side("< ", before, o["before"], F.substring(text, F.lit(1), o["start"])),
-        side("> ", after, o["after"], F.substring(text, o["end"] + 1, F.lit(2**31 - 1))),
+        side("< ", before, F.right(o["before"], F.lit(CONTEXT_CHARS)), o["before"]),
+        side("> ", after, F.left(o["after"], F.lit(CONTEXT_CHARS)), o["after"]),
     )
     return F.filter(sides, lambda pattern: F.length(pattern) > 2)
 
 
+def _searched(spans: Column, use: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
+    """`use` of a function from a stretch, by start and end, to the spans that may overlap it; `spans` are sorted by
+    start. Both ends of that slice are searched by halves, so many spans in one text stay cheap."""
+    highest = running(F.transform(spans, lambda s: s["end"]), F.lit(-1), lambda a, b: F.greatest(a, b))
+    widest = F.ceil(F.log2(F.size(spans) + F.lit(1))).cast("int")
+    bits = F.transform(F.reverse(F.sequence(F.lit(0), widest)), lambda i: F.pow(F.lit(2), i).cast("int"))
+
+    def near(known: Column) -> Callable[[Column, Column], Column]:
+        size = F.size(known["spans"])
+
+        def count(passes: Callable[[Column], Column]) -> Column:
+            """How many spans pass, if those that do stand before those that don't: the number's bits, highest first."""
+            step = lambda low, bit: F.when((low + bit <= size) & passes(low + bit), low + bit).otherwise(low)
+            return F.aggregate(known["bits"], F.lit(0), step)
+
+        def slice_(start: Column, end: Column) -> Column:
+            ended = count(lambda n: F.get(known["highest"], n) <= start)
+            begun = count(lambda n: F.get(known["spans"], n - 1)["start"] < end)
+            return F.slice(known["spans"], ended + 1, F.greatest(begun - ended, F.lit(0)))
+
+        return slice_
+
+    return once(F.struct(spans.alias("spans"), highest.alias("highest"), bits.alias("bits")), lambda known: use(near(known)))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
 def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """key, doc_id, `base` (spans) and `seen`: seeds with their kind and other words that might be data, each with
     its patterns. Staged with the texts; the key stands for id and text."""
@@ -184,7 +208,7 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def seed(number: int, o: Column) -> Column:
         return F.struct(
             F.lit(number).alias("kind"), o["start"].alias("start"), o["end"].alias("end"),
-            o["value"].alias("value"), _patterns(F.col("text"), o).alias("patterns"),
+            o["value"].alias("value"), _patterns(o).alias("patterns"),
         )
 
     def of_kind(number: int, kind: str) -> Column:
@@ -196,7 +220,7 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     seeded = looked.select("key", "doc_id", "text", seeds.alias("seeds"), might.alias("might"))
     plain = F.transform("seeds", lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
-    based = seeded.select("*", plain.alias("base"))
+    based = seeded.select("*", F.array_sort(plain).alias("base"))
 
     def trimmed(o: Column) -> Column:
         """Without signs around; the start moves along."""
@@ -205,17 +229,22 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         start = o["start"] + F.length(o["value"]) - F.length(core)
         return F.struct(
             F.lit(None).cast("int").alias("kind"), start.alias("start"), (start + F.length(inner)).alias("end"),
-            inner.alias("value"), _patterns(F.col("text"), o).alias("patterns"),
+            inner.alias("value"), _patterns(o).alias("patterns"),
         )
 
-    free = F.filter(
-        F.transform("might", trimmed),
-        lambda o: (F.length(o["value"]) > 0)
-        & ~F.exists("base", lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"])),
-    )
+    free = _searched(_by_start(F.col("base")), lambda near: F.filter(F.transform("might", trimmed), lambda o: _free(o, near)))
     return stage(based.select("key", "doc_id", "text", "base", F.concat("seeds", free).alias("seen")), "pii")
 
 
+def _free(o: Column, near: Callable[[Column, Column], Column]) -> Column:
+    """Whether there is a value, and no span has a part of it."""
+    return (F.length(o["value"]) > 0) & ~F.exists(near(o["start"], o["end"]), lambda s: _overlap(s, o))
+
+
+def _by_start(spans: Column) -> Column:
+    return F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+
 def _counts(value: Column) -> dict[str, Column]:
     """What likeness compares: digits, letters and other characters of a value."""
     digits = F.length(F.regexp_replace(value, "[^0-9]", "")).cast("double")
@@ -246,56 +275,67 @@ def _contexts(found: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def _hopeful(found: DataFrame, supported: DataFrame) -> DataFrame:
-    """Patterns without those of everyday language: so many different words stand in their slots that the share of
-    known instances starts below MIN_SHARE, which the rounds cannot lift to MIN_CONFIDENCE."""
-    different = F.approx_count_distinct("first", DISTINCT_ERROR).alias("different")
-    counted = _contexts(found, supported).groupBy("kind", "pattern").agg(different)
+    """Patterns in whose slots known instances are MIN_SHARE of all different words or more. The others belong to everyday
+    language; by this rule they take no part in the rounds."""
+    counted = _contexts(found, supported).groupBy("kind", "pattern").agg(F.countDistinct("first").alias("different"))
     kept = supported.join(counted, ["kind", "pattern"]).where(F.col("n") >= MIN_SHARE * F.col("different"))
     return stage(kept.select("kind", "pattern"), "pii")
 
 
 def _slots(found: DataFrame, hopeful: DataFrame) -> DataFrame:
     """key, text, base and `hits`: where patterns stand, as the first or last word of the slot beside them."""
-    hit = F.struct("kind", "pattern", "left", "word")
-    hits = stage(_contexts(found, hopeful).groupBy("key").agg(F.collect_set(hit).alias("hits")), "pii")
-    (few,) = fit_broadcast([hits])
+    flat = stage(_contexts(found, hopeful).select("key", "kind", "pattern", "left", "word"), "pii")
+    (few,) = fit_broadcast([flat])
+    hits = flat.groupBy("key").agg(F.collect_set(F.struct("kind", "pattern", "left", "word")).alias("hits"))
     # Rows with equal key have equal text.
     return found.select("key", "text", "base").join(F.broadcast(hits) if few else hits, "key")
 
 
-def _runs(found: DataFrame, supported: DataFrame, seeds: DataFrame) -> DataFrame:
+def _runs(found: DataFrame, supported: DataFrame, seeds: DataFrame, run_words: int) -> DataFrame:
     """key, kind, pattern, start, end, value, likeness, marked: the one run of words in each slot that no seed fills."""
     slots = _slots(found, supported)
     stripped = F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")
     # Each word with the blanks behind it.
     chunks = F.split(stripped, r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])", -1)
-    split = slots.select("key", "base", "hits", chunks.alias("chunks"), (F.length("text") - F.length(stripped)).alias("lead"))
-
-    def window(hit: Column) -> Column:
-        first = F.when(hit["left"], hit["word"]).otherwise(F.greatest(hit["word"] - RUN_WORDS + 1, F.lit(0)))
-        last = F.when(hit["left"], hit["word"] + RUN_WORDS - 1).otherwise(hit["word"])
-        return F.struct(
-            hit["kind"].alias("kind"), hit["pattern"].alias("pattern"), hit["left"].alias("left"), hit["word"].alias("word"),
-            (F.col("lead") + F.length(F.array_join(F.slice("chunks", F.lit(1), first), ""))).alias("at"),
-            F.slice("chunks", first + 1, last - first + 1).alias("own"),
+    lead = (F.length("text") - F.length(stripped)).alias("lead")
+    split = slots.select("key", "base", "hits", chunks.alias("chunks"), lead)
+
+    def runs(known: Column, hit: Column) -> Column:
+        """The runs of each length that begin, or end, at the slot's word."""
+        first = F.when(hit["left"], hit["word"]).otherwise(F.greatest(hit["word"] - run_words + 1, F.lit(0)))
+        last = F.when(hit["left"], hit["word"] + run_words - 1).otherwise(hit["word"])
+        own = F.slice(known["chunks"], first + 1, last - first + 1)
+        window = F.struct(hit.alias("hit"), F.get(known["starts"], first).alias("at"), own.alias("own"))
+        return once(window, lambda w: F.transform(F.sequence(F.lit(1), F.size(w["own"])), lambda n: run(w, n)))
+
+    def run(w: Column, n: Column) -> Column:
+        skipped = F.when(w["hit"]["left"], F.lit(0)).otherwise(F.size(w["own"]) - n)
+        at = w["at"] + F.length(F.array_join(F.slice(w["own"], F.lit(1), skipped), ""))
+        raw = F.array_join(F.slice(w["own"], skipped + 1, n), "")
+        cored = once(raw, lambda r: F.struct(r.alias("raw"), F.regexp_replace(r, SIGNS_BEFORE, "").alias("core")))
+        start = lambda c: at + F.length(c["raw"]) - F.length(c["core"])
+        valued = once(cored, lambda c: F.struct(start(c).alias("start"), F.regexp_replace(c["core"], SIGNS_BEHIND, "").alias("value")))
+        hit = w["hit"]
+        return once(
+            valued,
+            lambda v: F.struct(
+                hit["kind"].alias("kind"), hit["pattern"].alias("pattern"), hit["left"].alias("left"), hit["word"].alias("word"),
+                n.alias("n"), v["start"].alias("start"), (v["start"] + F.length(v["value"])).alias("end"), v["value"].alias("value"),
+            ),
         )
 
-    inside = F.filter("hits", lambda hit: hit["word"] < F.size("chunks"))
-    each = split.select("key", "base", F.explode(F.transform(inside, window)).alias("w")).select("key", "base", "w.*")
-    sized = each.select("*", F.explode(F.sequence(F.lit(1), F.size("own"))).alias("n"))
-    skipped = F.when(F.col("left"), F.lit(0)).otherwise(F.size("own") - F.col("n"))
-    raw = F.array_join(F.slice("own", skipped + 1, F.col("n")), "")
-    cored = sized.withColumn("core", F.regexp_replace(raw, SIGNS_BEFORE, "")).withColumn(
-        "start", F.col("at") + F.length(F.array_join(F.slice("own", F.lit(1), skipped), "")) + F.length(raw) - F.length("core")
-    )
-    valued = cored.withColumn("value", F.regexp_replace("core", SIGNS_BEHIND, ""))
-    ended = valued.withColumn("end", F.col("start") + F.length("value"))
-    free = ended.where(
-        (F.length("value") > 0) & ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    )
+    def listed(known: Column) -> Column:
+        inside = F.filter("hits", lambda hit: hit["word"] < F.size(known["chunks"]))
+        return F.flatten(F.transform(inside, lambda hit: runs(known, hit)))
+
+    # Words and where they start are kept in a variable: a column that a lambda names may be computed for every element.
+    starts = running(F.transform("chunks", F.length), F.col("lead"), lambda a, b: a + b)
+    all_runs = once(F.struct(F.col("chunks").alias("chunks"), starts.alias("starts")), listed)
+    open_ = _searched(_by_start(F.col("base")), lambda near: F.filter("runs", lambda r: _free(r, near)))
+    free = split.select("key", "base", all_runs.alias("runs")).select("key", F.explode(open_).alias("r")).select("key", "r.*")
     # How a kind's seeds are made up, each value once.
-    once = seeds.select("kind", "value").distinct()
-    means = once.groupBy("kind").agg(*[F.avg(count).alias(f"mean_{name}") for name, count in _counts(F.col("value")).items()])
+    different = seeds.select("kind", "value").distinct()
+    means = different.groupBy("kind").agg(*[F.avg(count).alias(f"mean_{name}") for name, count in _counts(F.col("value")).items()])
     counted = free.withColumns(_counts(F.col("value"))).join(F.broadcast(means), "kind")
     mean_all = F.col("mean_digits") + F.col("mean_letters") + F.col("mean_others")
     common = [F.least(F.col(n) / F.length("value"), F.col(f"mean_{n}") / mean_all) for n in ("digits", "letters", "others")]
@@ -312,8 +352,8 @@ def _runs(found: DataFrame, supported: DataFrame, seeds: DataFrame) -> DataFrame
     return stage(chosen.select("key", "kind", "pattern", "run.*"), "pii")
 
 
-def discovered_spans(found: DataFrame) -> DataFrame:
-    """key and `more`: spans of runs of words in high-confidence patterns."""
+def discovered_spans(found: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """key and `more`: spans of runs of up to `run_words` words in high-confidence patterns."""
     seen = found.select("key", F.explode("seen").alias("o")).select("key", "o.*")
     seeds = seen.where(F.col("kind").isNotNull())
     shapes = seeds.groupBy("kind", _shape(F.col("value")).alias("shape")).agg(F.countDistinct("value").alias("n"))
@@ -324,13 +364,16 @@ def discovered_spans(found: DataFrame) -> DataFrame:
     from_seeds = stage(seeds.select(*edge).distinct(), "pii")
     support = from_seeds.unionByName(alike.select(*edge)).groupBy("kind", "pattern").agg(F.countDistinct("value").alias("n"))
     nothing = found.sparkSession.createDataFrame([], f"key string, more array<{SPAN}>")
-    supported = stage(support.where(F.col("n") >= MIN_SUPPORT), "pii")
+    # A share of the kind's seeds, so that a larger corpus does not lift ever more everyday contexts over the bound.
+    sizes = from_seeds.groupBy("kind").agg(F.countDistinct("value").alias("seeds"))
+    enough = F.greatest(F.lit(MIN_SUPPORT), F.col("seeds") * MIN_SUPPORT_SHARE)
+    supported = stage(support.join(F.broadcast(sizes), "kind").where(F.col("n") >= enough).drop("seeds"), "pii")
     if supported.isEmpty():
         return nothing
     supported = _hopeful(found, supported)
     if supported.isEmpty():
         return nothing
-    runs = _runs(found, supported, seeds)
+    runs = _runs(found, supported, seeds, run_words)
     soft = F.pow("likeness", F.lit(LIKENESS_POWER))
     edges = stage(
         from_seeds.join(supported, ["kind", "pattern"]).select("kind", "value", "pattern", F.lit(1.0).alias("seed"), F.lit(1.0).alias("soft"))
@@ -363,21 +406,21 @@ def discovered_spans(found: DataFrame) -> DataFrame:
     )
     score = F.col("sure") * soft
     good = around.where((score >= MIN_SCORE) & (F.col("marked") | (F.col("sides") > 1)))
-    span = F.struct(F.col("sides"), score.alias("score"), "kind", "start", "end")
-    listed = good.groupBy("key").agg(F.collect_list(span).alias("all"))
+    rank = F.struct(F.col("sides"), score.alias("score"), "kind", "start", "end")
+    listed = good.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", rank.alias("rank")))).alias("all"))
 
-    def beaten(a: Column) -> Column:
+    def unbeaten(near: Callable[[Column, Column], Column]) -> Column:
         """Of runs that share words, the one with more patterns around, then the higher score, stays."""
-        over = lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])
-        return F.exists("all", lambda b: over(b) & (b > a))
+        beaten = lambda a: F.exists(near(a["start"], a["end"]), lambda b: _overlap(a, b) & (b["rank"] > a["rank"]))
+        return F.filter("all", lambda a: ~beaten(a))
 
-    kept = F.transform(F.filter("all", lambda a: ~beaten(a)), lambda a: F.struct(a["kind"], a["start"], a["end"]))
+    kept = F.transform(_searched(F.col("all"), unbeaten), lambda a: F.struct(a["rank"]["kind"], a["start"], a["end"]))
     return listed.select("key", kept.cast(f"array<{SPAN}>").alias("more"))
 
 
-def all_spans(found: DataFrame) -> DataFrame:
+def all_spans(found: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """key, doc_id, base and spans, the latter two ordered by kind, then start."""
-    joined = found.select("key", "doc_id", "base").join(stage(discovered_spans(found), "pii"), "key", "left")
+    joined = found.select("key", "doc_id", "base").join(stage(discovered_spans(found, run_words), "pii"), "key", "left")
     more = F.coalesce(F.col("more"), F.array().cast(f"array<{SPAN}>"))
     both = F.array_sort(F.concat(F.col("base").cast(f"array<{SPAN}>"), more))
     return joined.select("key", "doc_id", F.array_sort("base").alias("base"), both.alias("spans"))
@@ -394,6 +437,42 @@ def count_of(kind: str, spans: Column) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("bigint")
 
 
+def _bracketed(text: Column, spans: Column) -> Column:
+    """The text with each span's kind in brackets in its place; of overlapping spans the first one's."""
+    names = F.array(*[F.lit(f"[{kind}]") for kind in KINDS])
+    by_start = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))
+    )
+    # The text in pieces of one length, as a place within a long string is found from its beginning only.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+
+    def rebuilt(k: Column) -> Column:
+        def between(start: Column, end: Column) -> Column:
+            one, other = F.floor(start / PIECE_CHARS).cast("int"), F.floor(end / PIECE_CHARS).cast("int")
+            begin, rest = start - one * PIECE_CHARS, end - other * PIECE_CHARS
+            piece = F.get(k["pieces"], one)
+            across = F.concat_ws(
+                "", F.substring(piece, begin + 1, F.lit(PIECE_CHARS)),
+                F.array_join(F.slice(k["pieces"], one + 2, F.greatest(other - one - 1, F.lit(0))), ""),
+                F.left(F.get(k["pieces"], other), rest),
+            )
+            return F.when(one == other, F.substring(F.coalesce(piece, F.lit("")), begin + 1, end - start)).otherwise(across)
+
+        def part(s: Column, i: Column) -> Column:
+            done = F.get(k["ends"], i)
+            return F.when(s["start"] < done, "").otherwise(F.concat(between(done, s["start"]), F.get(names, s["kind"])))
+
+        return F.concat(F.array_join(F.transform(k["spans"], part), ""), between(F.element_at(k["ends"], -1), k["length"]))
+
+    ends = once(by_start, lambda sorted_: F.struct(
+        sorted_.alias("spans"), running(F.transform(sorted_, lambda s: -s["end"]), F.lit(0), lambda a, b: F.greatest(a, b)).alias("ends")
+    ))
+    known = once(ends, lambda e: F.struct(
+        e["spans"].alias("spans"), e["ends"].alias("ends"), pieces.alias("pieces"), F.length(text).alias("length")
+    ))
+    return once(known, rebuilt)
+
+
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in brackets; overlapping spans by the first one's.
 
@@ -410,23 +489,6 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     key, spans, whole = (fresh_name(f"pii_{name}", docs) for name in ("key", "spans", "text"))
     listed = some.select(F.col("key").alias(key), F.col("spans").alias(spans))
     joined = docs.withColumn(key, row_key(doc_id, text)).join(F.broadcast(listed) if small else listed, key, "left")
-    names = F.array(*[F.lit(f"[{kind}]") for kind in KINDS])
-    by_start = F.array_sort(
-        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def add(acc: Column, s: Column) -> Column:
-        kept = F.substring(F.col(whole), acc["at"] + 1, s["start"] - acc["at"])
-        parts = F.concat(acc["parts"], F.array(kept, F.get(names, s["kind"])))
-        inside = s["start"] < acc["at"]
-        at = F.greatest(acc["at"], -s["end"])
-        return F.struct(at.alias("at"), F.when(inside, acc["parts"]).otherwise(parts).alias("parts"))
-
-    def finish(acc: Column) -> Column:
-        rest = F.substring(F.col(whole), acc["at"] + 1, F.length(whole))
-        return F.concat(F.array_join(acc["parts"], ""), rest)
-
-    redacted = F.when(F.col(spans).isNull(), F.col(text)).otherwise(F.aggregate(by_start, start, add, finish))
+    redacted = F.when(F.col(spans).isNull(), F.col(text)).otherwise(_bracketed(F.col(whole), F.col(spans)))
     with_text = joined.withColumn(whole, whole_text(text)).withColumn(text, redacted)
     return with_text.select(*[quoted(name) for name in docs.columns])

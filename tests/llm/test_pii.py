@@ -1,9 +1,11 @@
 import random
 import re
+import time
 
 from conftest import own_columns_are_kept
 from pyspark.sql import functions as F
 
+from millrace.llm import pii
 from millrace.llm.pii import KINDS, all_spans, found_spans, redact, spans_text
 
 FORMS = {
@@ -150,3 +152,41 @@ def test_contexts_are_the_words_around_whatever_they_are(documents):
     assert seen[4]["1.2.3.4"] == [f"< {long} {long}", f"> {long} {long}"]
     assert seen[5]["1.2.3.4"] == ["< x a@b.c,d@e.f"] and seen[5]["d@e.f"] == ["< x", "> 0.0.0.0"]
     assert seen[6]["1.2.3.4"] == ["> y"]
+
+
+def repeated_contexts(n):
+    """Seeds in steady contexts, unseen values in the same ones, and everyday words that grow with the corpus."""
+    rng = random.Random(n)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    common = ["the", "of", "and", "to", "in"]
+    around = lambda k: " ".join(rng.choice(common) for _ in range(k))
+    rows = [f"{around(20)} please call +1 ({digits(3)}) 555-{digits(4)} before noon {around(20)}" for _ in range(n)]
+    return rows + [f"{around(20)} please call {digits(3)}-{digits(4)} before noon {around(20)}" for _ in range(n // 20)]
+
+
+def test_work_grows_with_the_corpus(documents, monkeypatch):
+    """Patterns are trusted and find the unseen at both sizes; the places looked at grow no faster than the rows."""
+    made, contexts = [], pii._contexts
+    monkeypatch.setattr(pii, "_contexts", lambda *a: made.append(contexts(*a)) or made[-1])
+    places = []
+    for n in (200, 1_000):
+        made.clear()
+        rows = repeated_contexts(n)
+        got = spans_by_id(documents(*rows))
+        assert all(spans.count("phone") == 1 for spans in got.values())
+        places.append(sum(df.count() for df in made))
+    assert 0 < places[1] < 8 * places[0]
+
+
+def test_many_spans_in_one_text_take_time_in_proportion(documents):
+    seconds = []
+    for n in (1_000, 1_000, 16_000):
+        text = " ".join(f"{i % 200}.1.2.{i % 250} word {i} x" for i in range(n))
+        start = time.monotonic()
+        (row,) = all_spans(found_spans(documents(text))).select(spans_text(F.col("spans")).alias("spans")).collect()
+        (clean,) = redact(documents(text)).collect()
+        seconds.append(time.monotonic() - start)
+        assert row.spans.split(",") == plain(text)
+        assert clean.text == " ".join(f"[ip] word {i} x" for i in range(n))
+    assert seconds[2] < 5 * seconds[1]
+
