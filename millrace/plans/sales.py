@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import LENIENT_DATES, STRICT_DATES, decode_labels, lead_time_days
 from millrace.operators import BROADCAST_ROWS, dimension, dimensions, fit_broadcast, join_lookup, keys_present
-from millrace.sources import replace_table
+from millrace.sources import publish_tables
 
 # Warehouse names and column order of the sales tables.
 RAW_COLUMNS = {
@@ -148,13 +148,13 @@ def star(raw: DataFrame, form: Form = CURRENT, date_patterns: Sequence[str] | No
 
 
 def write_star(tables: Star, database: str | Sequence[str], path: str | None = None) -> None:
-    """Replace the five tables, dimensions first; below `path` when they are external.
+    """Replace the five tables together, with their versions and the version record below `path`.
 
-    `database` may have several parts, such as a catalog and a schema.
+    `database` may have several parts, such as a catalog and a schema. Without a path the versions go to the
+    database's folder. A catalog other than the session's is handed the tables one by one.
     """
-    parts = [database] if isinstance(database, str) else list(database)
-    for name, df in zip(TABLE_NAMES, tables, strict=True):
-        replace_table(df, [*parts, name], path and f"{path}/{name}")
+    frames = dict(zip(TABLE_NAMES, tables, strict=True))
+    publish_tables(frames, database, path)
 
 
 def flat(raw: DataFrame, label: str | None = "ORDER_PRIORITY_DESC") -> DataFrame:

@@ -1,10 +1,8 @@
 from millrace.sources.storage import (
     discard,
-    land_raw,
     normalize_names,
     read_parquet,
     read_table,
-    replace_table,
     stage,
     staged_job,
     staging_path,
@@ -12,12 +10,17 @@ from millrace.sources.storage import (
     write_connector,
     write_parquet,
 )
+from millrace.sources.tables import land_raw, point_published, publish_tables, published, read_published, replace_table
 
 __all__ = [
     "discard",
     "land_raw",
     "normalize_names",
+    "point_published",
+    "publish_tables",
+    "published",
     "read_parquet",
+    "read_published",
     "read_table",
     "replace_table",
     "stage",

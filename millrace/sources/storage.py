@@ -6,6 +6,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from uuid import uuid4
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -67,21 +68,60 @@ def _class_of(java_object: object) -> str:
     return java_object.getClass().getSimpleName()
 
 
-def _roots(df: DataFrame) -> list[str]:
-    """The folders that the scans of a frame start from; a handful, however many files they hold."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    scans = [leaf for leaf in map(leaves.apply, range(leaves.size())) if _class_of(leaf) == "LogicalRelation"]
-    relations = [scan.relation() for scan in scans]
+def _items(sequence: object) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+# What an RDD is called that reads files whose place cannot be asked for.
+FILE_RDDS = ("FileScanRDD", "HadoopRDD", "NewHadoopRDD", "BinaryFileRDD", "WholeTextFileRDD", "DataSourceRDD")
+
+
+def _rdd_roots(rdd: object) -> list[str]:
+    """Checkpoint folders that an RDD goes back to; refuses one that goes back to other files."""
+    found, pending, seen = [], [rdd], set()
+    while pending:
+        rdd = pending.pop()
+        if rdd.id() in seen:
+            continue
+        seen.add(rdd.id())
+        if _class_of(rdd) in FILE_RDDS:
+            raise ValueError("cannot tell which files a frame made from an RDD reads; stage it first")
+        if rdd.getCheckpointFile().isDefined():
+            found.append(rdd.getCheckpointFile().get())
+        pending += [dependency.rdd() for dependency in _items(rdd.dependencies())]
+    return found
+
+
+def _plan_roots(plan: object) -> list[str]:
+    """The folders that the scans of a plan start from; a handful, however many files they hold."""
     found = []
-    for relation in relations:
-        if _class_of(relation) == "HadoopFsRelation":
-            paths = relation.location().rootPaths()
-            found += [paths.apply(i).toString() for i in range(paths.size())]
+    for leaf in [leaf for part in [plan, *_items(plan.subqueriesAll())] for leaf in _items(part.collectLeaves())]:
+        kind = _class_of(leaf)
+        if kind == "InMemoryRelation":
+            # What is cached may be dropped and read again.
+            found += _plan_roots(leaf.cacheBuilder().logicalPlan())
+        elif kind == "LogicalRelation" and _class_of(leaf.relation()) == "HadoopFsRelation":
+            found += [path.toString() for path in _items(leaf.relation().location().rootPaths())]
+        elif kind in ("DataSourceV2ScanRelation", "DataSourceV2Relation"):
+            relation = leaf.relation() if kind == "DataSourceV2ScanRelation" else leaf
+            try:
+                found += [path.toString() for path in _items(relation.table().fileIndex().rootPaths())]
+            except Py4JError:  # not a table of files; a connector may have been given a path
+                found += filter(None, [relation.options().get("path")])
+        elif kind == "HiveTableRelation":
+            found.append(leaf.tableMeta().location().toString())
+        elif kind in ("LogicalRDD", "ExternalRDD"):
+            found += _rdd_roots(leaf.rdd())
     return found
 
 
+def _roots(df: DataFrame) -> list[str]:
+    return _plan_roots(df._jdf.queryExecution().optimizedPlan())
+
+
 def _refuse_own_input(df: DataFrame, path: str) -> None:
-    """Spark would delete files below `path` first and then fail to read them."""
+    """Spark would delete files below `path` first and then fail to read them. Frames that are cached, checkpointed or
+    read through a connector are seen through; one made from an RDD over files is refused."""
     spark = df.sparkSession
     *target_store, target = _location(spark, path)
     for root in _roots(df):
@@ -100,8 +140,9 @@ def write_connector(df: DataFrame, fmt: str, table: str, options: Mapping[str, s
     """Replace a warehouse table through a connector that takes the target as `dbtable`."""
     if not table:
         raise ValueError("a connector write needs a target table")
-    if options and "path" in options:
-        _refuse_own_input(df, options["path"])
+    for name, value in (options or {}).items():
+        if name.lower() == "path":  # options ignore case
+            _refuse_own_input(df, value)
     df.write.format(fmt).options(**(options or {}), dbtable=table).mode("overwrite").save()
 
 
@@ -116,41 +157,9 @@ def read_table(spark: SparkSession, *parts: str) -> DataFrame:
     return spark.table(table_name(parts))
 
 
-def replace_table(df: DataFrame, table: str | Sequence[str], path: str | None = None) -> None:
-    """Create or replace a table from a DataFrame, at `path` when the table is external.
-
-    `table` is the parts of its name. The rows are computed into a staged copy first: if that fails,
-    the old table is as it was, and a frame may read the table that it replaces. Should the copy to the
-    table fail, the staged rows stay.
-    """
-    spark = df.sparkSession
-    staged = staging_path(spark, "table")
-    df.write.parquet(staged)
-    writer = read_parquet(spark, staged, df.schema).write.mode("overwrite")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table_name(table))
-    discard(spark, staged)
-
-
 def normalize_names(df: DataFrame) -> DataFrame:
     """Lower-case column names with underscores for every run of other characters."""
     names = [re.sub(r"\W+", "_", name.strip()).lower() for name in df.columns]
     if len(set(names)) < len(names):
         raise ValueError(f"column names collide once normalized: {df.columns}")
     return df.toDF(*names)
-
-
-def land_raw(
-    spark: SparkSession,
-    fmt: str,
-    table: str | Sequence[str],
-    options: Mapping[str, str] | None = None,
-    schema: StructType | str | None = None,
-    path: str | None = None,
-) -> DataFrame:
-    """Copy an external source whole into the raw table and return that table."""
-    reader = spark.read.format(fmt).options(**(options or {}))
-    source = (reader if schema is None else reader.schema(schema)).load()
-    replace_table(normalize_names(source), table, path)
-    return spark.table(table_name(table))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace import sources
 from millrace.sources import storage as module
+from millrace.sources import tables
 
 
 @pytest.fixture
@@ -183,3 +184,241 @@ def test_raw_landing_replaces_the_table(spark, rows, tmp_path):
     landed = sources.land_raw(spark, "csv", "landed", options, rows.schema)
     assert landed.dtypes == [("order_id", "int"), ("item_type", "string")]
     assert sorted(landed.collect()) == [(1, "a"), (2, None)]
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_a_failure_in_the_last_step_leaves_the_old_table(spark, rows, tmp_path, monkeypatch, external):
+    """Pointing fails, with equal columns and with others; what was written goes, the old rows stay."""
+    name, path = f"last_{external}", str(tmp_path / "ext") if external else None
+    sources.replace_table(rows, name, path)
+    before = tables.shown(spark, name)
+    sql = type(spark).sql
+
+    def failing(word):
+        def run(self, text, *args, **options):
+            if word in text:
+                raise RuntimeError("metadata store is gone")
+            return sql(self, text, *args, **options)
+
+        return run
+
+    for word, df in (("SET LOCATION", rows.limit(1)), ("RENAME TO `default`.`last", rows.select("ITEM TYPE"))):
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", failing(word))
+            with pytest.raises(RuntimeError, match="gone"):
+                sources.replace_table(df, name, path)
+        assert tables.shown(spark, name) == before
+        assert sorted(spark.table(name).collect(), key=str) == sorted(rows.collect(), key=str)
+    assert len(tables._Folder(spark, before.folder.rsplit("/", 1)[0]).children()) == 1
+
+
+def test_the_second_rename_is_taken_back(spark, rows, monkeypatch):
+    sources.replace_table(rows, "renamed")
+    sql = type(spark).sql
+
+    def run(self, text, *args, **options):
+        if "_next_" in text and "RENAME" in text:
+            raise RuntimeError("gone")
+        return sql(self, text, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", run)
+        with pytest.raises(RuntimeError, match="gone"):
+            sources.replace_table(rows.select("ITEM TYPE"), "renamed")
+    assert spark.table("renamed").columns == ["ORDER ID", "ITEM TYPE"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("renamed_")]
+
+
+def test_rows_are_written_once_and_old_versions_go(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    written = []
+    write = tables.write_version
+    monkeypatch.setattr(tables, "write_version", lambda df, base: written.append(base) or write(df, base))
+    monkeypatch.setattr(tables, "stage", lambda *_: pytest.fail("writes the rows twice"))
+    for n in (1, 2, 1, 2):
+        sources.replace_table(rows.limit(n), "versions", path)
+        assert spark.table("versions").count() == n
+    assert written == [path] * 4
+    assert len(list(Path(path).glob("v-*"))) == 2
+
+
+def test_a_reader_of_the_old_version_goes_on(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    sources.replace_table(rows, "read", path)
+    old = spark.table("read")
+    assert old.count() == 2
+    sources.replace_table(rows.limit(1), "read", path)
+    assert old.count() == 2 and spark.table("read").count() == 1
+
+
+def test_tables_of_other_forms_are_replaced(spark, rows):
+    """A managed table, a partitioned one and one in another format; a view is refused."""
+    rows.toDF("a", "b").write.saveAsTable("managed")
+    rows.toDF("a", "b").write.partitionBy("b").saveAsTable("partitioned")
+    rows.toDF("a", "b").write.format("json").saveAsTable("other_format")
+    for name in ("managed", "partitioned", "other_format"):
+        sources.replace_table(rows.toDF("a", "b").limit(1), name)
+        assert spark.table(name).count() == 1
+    spark.sql("CREATE OR REPLACE VIEW a_view AS SELECT 1 AS a")
+    with pytest.raises(ValueError, match="is a view"):
+        sources.replace_table(rows, "a_view")
+    assert spark.table("a_view").count() == 1
+
+
+class Catalog:
+    """Stands for a frame whose table is in another catalog."""
+
+    def __init__(self, spark):
+        self.sparkSession, self.calls = spark, []
+
+    def writeTo(self, name):
+        self.calls.append(name)
+        return self
+
+    def createOrReplace(self):
+        self.calls.append("created")
+
+
+@pytest.mark.parametrize("stages", [True, False])
+def test_another_catalog_replaces_its_own_tables(spark, monkeypatch, stages):
+    frame = Catalog(spark)
+    monkeypatch.setattr(tables, "_parts", lambda spark, table: list(table))
+    monkeypatch.setattr(tables, "_stages", lambda spark, catalog: stages)
+    monkeypatch.setattr(tables, "stage", lambda df, label: df.calls.append("staged") or df)
+    sources.replace_table(frame, ["lake", "db", "t"])
+    assert frame.calls == ([] if stages else ["staged"]) + ["`lake`.`db`.`t`", "created"]
+
+
+def test_the_session_catalog_does_not_stage(spark):
+    assert not tables._stages(spark, "spark_catalog")
+
+
+@pytest.fixture
+def pair(spark, rows, tmp_path):
+    """Two tables published together, each with rows that say so."""
+    database = f"pair_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE {database}")
+    root = str(tmp_path / "pair")
+    frames = lambda version: {n: rows.withColumn("v", F.lit(version)) for n in ("one", "two")}
+    sources.publish_tables(frames(1), database, root)
+    return database, root, frames
+
+
+def versions(spark, database, root):
+    by_name = [spark.table(f"{database}.{n}").first()["v"] for n in ("one", "two")]
+    by_record = [df.first()["v"] for df in sources.read_published(spark, root).values()]
+    return by_name, by_record
+
+
+def test_tables_are_published_together(spark, pair):
+    database, root, frames = pair
+    assert versions(spark, database, root) == ([1, 1], [1, 1])
+    kept = sources.read_published(spark, root)
+    sources.publish_tables(frames(2), database, root)
+    assert versions(spark, database, root) == ([2, 2], [2, 2])
+    assert [df.first()["v"] for df in kept.values()] == [1, 1]
+
+
+def test_a_failure_while_writing_publishes_nothing(spark, rows, pair):
+    database, root, frames = pair
+    with pytest.raises(Exception, match="broken"):
+        sources.publish_tables({"one": frames(2)["one"], "two": rows.selectExpr("`ORDER ID`", FAILING)}, database, root)
+    assert versions(spark, database, root) == ([1, 1], [1, 1])
+    assert all(len(list(Path(root, n).glob("v-*"))) == 1 for n in ("one", "two"))
+
+
+@pytest.mark.parametrize("step", ["one", "two", "record"])
+def test_a_failure_while_pointing_is_taken_back(spark, rows, pair, monkeypatch, step):
+    database, root, frames = pair
+    point, create = tables.point, tables._Folder.create
+    fail = lambda: (_ for _ in ()).throw(RuntimeError("gone"))
+    failed = []
+
+    def pointing(spark, table, to):
+        point(spark, table, to)
+        if table[-1] == step and not failed:
+            failed.append(step)
+            fail()
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "point", pointing)
+        patch.setattr(tables._Folder, "create", lambda *a: fail() if step == "record" else create(*a))
+        with pytest.raises(RuntimeError, match="gone"):
+            sources.publish_tables(frames(2) | {"three": rows}, database, root)
+    assert versions(spark, database, root) == ([1, 1], [1, 1])
+    assert not spark.catalog.tableExists(f"{database}.three")
+
+
+def test_a_job_that_died_while_pointing_is_put_right(spark, rows, pair, tmp_path):
+    database, root, frames = pair
+    folder = tables.write_version(frames(2)["one"], f"{root}/one")
+    tables.point(spark, [database, "one"], tables.Pointed(folder, spark.read.parquet(folder).schema))
+    assert versions(spark, database, root) == ([2, 1], [1, 1])
+    sources.point_published(spark, database, root)
+    assert versions(spark, database, root) == ([1, 1], [1, 1])
+
+
+def test_two_publishers_do_not_share_a_record(spark, pair):
+    _, root, _ = pair
+    records = tables._Folder(spark, f"{root}/_published")
+    assert list(records.children()) and all(n.endswith("1.json") for n in records.children() if not n.startswith("."))
+    with pytest.raises(FileExistsError):
+        records.create("000000000001.json", "{}")
+    assert len(sources.published(spark, root)) == 2
+
+
+def test_cached_frames_do_not_hide_their_input(spark, rows, tmp_path):
+    path = str(tmp_path / "in")
+    sources.write_parquet(rows, path)
+    cached = sources.read_parquet(spark, path).where("`ORDER ID` > 1").cache()
+    twice = cached.withColumn("more", F.lit(1)).cache()
+    try:
+        for df in (cached, cached.limit(1), twice, twice.where("more = 1")):
+            with pytest.raises(ValueError, match="cannot overwrite"):
+                sources.write_parquet(df, path)
+    finally:
+        twice.unpersist(), cached.unpersist()
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_option_names_ignore_case(spark, rows, tmp_path):
+    path = str(tmp_path / "in")
+    sources.write_parquet(rows, path)
+    own = sources.read_parquet(spark, path)
+    for key in ("PATH", "Path", "path"):
+        with pytest.raises(ValueError, match="cannot overwrite"):
+            sources.write_connector(own, "parquet", "t", {key: path})
+    assert own.count() == 2
+
+
+def test_other_scans_are_seen_through(spark, rows, tmp_path):
+    """Scans of the newer connector interface, subqueries, checkpoints; frames made from RDDs over files are refused."""
+    path = str(tmp_path / "in")
+    sources.write_parquet(rows, path)
+    own = sources.read_parquet(spark, path)
+    own.createOrReplaceTempView("own_rows")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    try:
+        newer = spark.read.parquet(path)
+        assert "BatchScan" in newer._jdf.queryExecution().executedPlan().toString()
+        with pytest.raises(ValueError, match="cannot overwrite"):
+            sources.write_parquet(newer.limit(1), path)
+    finally:
+        spark.conf.unset("spark.sql.sources.useV1SourceList")
+    scalar = rows.where(F.col("ORDER ID") == spark.sql("SELECT 1").first()[0]).selectExpr("*")
+    scalar.createOrReplaceTempView("others")
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sources.write_parquet(spark.sql("SELECT * FROM others WHERE `ORDER ID` < (SELECT max(`ORDER ID`) FROM own_rows)"), path)
+    with pytest.raises(ValueError, match="cannot tell"):
+        sources.write_parquet(spark.createDataFrame(own.rdd, own.schema), path)
+    assert own.count() == 2
+    sources.write_parquet(rows.limit(1), path)
+
+
+def test_a_checkpoint_folder_is_not_overwritten(spark, rows, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "points"))
+    saved = rows.checkpoint()
+    (point,) = set(module._roots(saved))
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sources.write_parquet(saved, point)
+    assert saved.count() == 2
