@@ -7,12 +7,16 @@ of the whole order and sorted within each; a row's place in its task is written
 
 holds for every later reader, whatever is computed again. Ranges come from Spark's own sample; a poor one
 costs balance, never correctness.
+
+For several orders the rows are written once, as they come, with a number of their own. Each order deals and writes only
+that number and its keys, and the ids come back to the rows by one join, however many orders there are.
 """
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.names import fresh_name
@@ -26,12 +30,14 @@ HOT = 4  # times the mean rows of a task
 PLACE_BITS = 33  # of monotonically_increasing_id: the place, below the number of the task
 
 
-def _numbered(df: DataFrame, name: str, keys: Sequence[str], rows: int, tasks: int, salted: bool = False) -> DataFrame:
-    """Add one id; the rows are shuffled and written once."""
+def _numbered(
+    df: DataFrame, name: str, keys: Sequence[str], rows: int, tasks: int, keep: Sequence[str], salted: bool = False
+) -> DataFrame:
+    """The `keep` columns and one id; the rows are shuffled once, with their keys, and written once, without."""
     place, task, offset = (fresh_name(base, df) for base in ("place", "task", "offset"))
-    ranged = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(tasks, *map(_quoted, keys)).sortWithinPartitions(*map(_quoted, keys))
     # Numbers the rows of a task in order, from the task's number shifted on.
-    placed = stage(ranged.withColumn(place, F.monotonically_increasing_id()), "sequence")
+    placed = stage(ranged.select(*map(_quoted, keep), F.monotonically_increasing_id().alias(place)), "sequence")
     task_of = F.shiftright(place, PLACE_BITS)
     # One row per task: small enough for one task and for a broadcast.
     counts = stage(placed.groupBy(task_of.alias(task)).agg(F.count("*").alias(offset)), "sequence")
@@ -40,12 +46,16 @@ def _numbered(df: DataFrame, name: str, keys: Sequence[str], rows: int, tasks: i
         # them first fixes the salt, so that every pass and retry sees the same.
         salt = fresh_name("salt", df)
         spread = stage(df.withColumn(salt, F.rand()), "sequence")
-        return _numbered(spread, name, [*keys, salt], rows, tasks, salted=True).drop(salt)
+        return _numbered(spread, name, [*keys, salt], rows, tasks, keep, salted=True)
     before = Window.orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(task, F.coalesce(F.sum(offset).over(before), F.lit(0)).alias(offset))
     joined = placed.withColumn(task, task_of).join(F.broadcast(offsets), task)
     number = F.col(offset) + F.col(place).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + 1
-    return joined.withColumn(name, number).drop(place, task, offset)
+    return joined.select(*map(_quoted, keep), number.alias(name))
+
+
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
 
 
 def sequence_ids(
@@ -56,19 +66,31 @@ def sequence_ids(
 ) -> DataFrame:
     """Add a 1..n bigint column per entry of `orders`: {id name: ascending order columns}, NULL first.
 
-    Works when called: the rows are counted, and sorted and written once per order, so select the
-    columns of use before, and `stage` an input that is costly to compute. The tasks follow the rows,
-    not the session's number of shuffle partitions. Rows equal in all order columns get their ids in no
-    fixed order, so add a tie-breaker where ids must be reproducible.
+    Works when called: the rows are counted and written once, and shuffled once; for several orders the keys of each
+    are sorted and written besides. Select the columns of use before, and `stage` an input that is costly to
+    compute. The tasks follow the rows, not the session's number of shuffle partitions. Rows equal in all order columns
+    get their ids in no fixed order, so add a tie-breaker where ids must be reproducible.
     """
+    columns = df.columns
+    row = fresh_name("row", df)
+    several = len(orders) > 1
+    if several:
+        df = stage(df.withColumn(row, F.monotonically_increasing_id()), "sequence")
     rows = df.count()
     if tasks is None:
         small = min(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, rows // MIN_ROWS_PER_TASK)
         tasks = max(ceil(rows / rows_per_task), small)
     tasks = max(1, min(tasks, rows))
-    for name, keys in orders.items():
-        df = _numbered(df, name, keys, rows, tasks)
-    return df
+    if not several:
+        for name, keys in orders.items():
+            df = _numbered(df, name, keys, rows, tasks, columns)
+        return df
+    each = [
+        _numbered(df.select(row, *map(_quoted, dict.fromkeys(keys))), name, keys, rows, tasks, [row])
+        for name, keys in orders.items()
+    ]
+    ids = reduce(lambda a, b: a.join(b, row), each)
+    return df.join(ids, row).select(*map(_quoted, [*columns, *orders]))
 
 
 def sequence_id(df: DataFrame, name: str, keys: Sequence[str], **options: int) -> DataFrame:

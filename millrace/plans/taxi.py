@@ -23,7 +23,7 @@ from millrace.functions import (
     to_timestamp,
 )
 from millrace.operators import sequence_ids
-from millrace.sources import read_parquet, staged_job, write_parquet
+from millrace.sources import read_parquet, run_stages, staged_job, write_parquet
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -192,3 +192,28 @@ def load(
     """Stage 3: hand both file sets to the warehouse."""
     for path, name in zip((trip_path, payment_path), tables, strict=True):
         save(read_parquet(spark, path), name)
+
+
+def staged_run(
+    spark: SparkSession,
+    source: str,
+    work: str,
+    run: str,
+    save: Save,
+    tables: Sequence[str] = TABLES,
+    variant: Variant = VARIANT_A,
+    **options: object,
+) -> list[str]:
+    """The three stages, with files and marks below `work`; returns the stages that ran. Called again with the same
+    `run` it goes on behind the last stage, or the last table, that was finished. Ids come from the transformed files, so
+    a load that is repeated hands on the same rows."""
+    folder = f"{work.rstrip('/')}/{run}"
+    extracted, *paths = (f"{folder}/{name}" for name in ("extracted", *TABLES))
+    about = {"source": source, "variant": variant.trip_columns, **options}
+    stages = {
+        "extract": (lambda: extract(spark, source, extracted), {"source": source}),
+        "transform": (lambda: transform_files(spark, extracted, *paths, variant, **options), about),
+    }
+    for path, name in zip(paths, tables, strict=True):
+        stages[f"load_{name}"] = (lambda path=path, name=name: save(read_parquet(spark, path), name), about)
+    return run_stages(spark, f"{work.rstrip('/')}/_marks", run, stages)

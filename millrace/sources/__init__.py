@@ -1,7 +1,9 @@
+from millrace.sources.stages import run_stages
 from millrace.sources.storage import (
     discard,
     normalize_names,
     read_parquet,
+    read_parquet_widened,
     read_table,
     stage,
     staged_job,
@@ -20,9 +22,11 @@ __all__ = [
     "publish_tables",
     "published",
     "read_parquet",
+    "read_parquet_widened",
     "read_published",
     "read_table",
     "replace_table",
+    "run_stages",
     "stage",
     "staged_job",
     "staging_path",

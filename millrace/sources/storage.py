@@ -1,14 +1,18 @@
 """Reading and writing. Jobs touch storage only through these functions."""
 
+import json
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
 from uuid import uuid4
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 _JOB: ContextVar[str] = ContextVar("job", default="")
 
@@ -57,6 +61,42 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+def read_parquet_widened(spark: SparkSession, path: str, threads: int = 32) -> DataFrame:
+    """Scan a folder whose files differ in columns or types, such as a number that is bigint in one month and double in
+    the next; Spark's own scan takes one file's types for all, or refuses to merge them.
+
+    Files of one footer are one scan, so columns and partitions are pruned and filters pushed down within it. Columns take the widest
+    type: of numbers as Spark widens them, text where one is text; a column that files lack is null there. Integers
+    beyond 2^53 are not exact as doubles. One footer a file is read here, several at a time.
+    """
+    groups: dict[str, list[str]] = {}
+    hadoop = spark._jsc.hadoopConfiguration()
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(hadoop)
+    found, names = files.listFiles(root, True), []
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in name.removeprefix(files.makeQualified(root).toString()).split("/")):
+            names.append(name)
+    if not names:
+        raise FileNotFoundError(f"no files below {path}")
+
+    def footer(name: str) -> str:
+        return spark.read.parquet(name).schema.json()
+
+    with ThreadPoolExecutor(threads) as pool:
+        for name, kind in zip(sorted(names), pool.map(footer, sorted(names))):
+            groups.setdefault(kind, []).append(name)
+    reader = spark.read if files.getFileStatus(root).isFile() else spark.read.option("basePath", path)
+    frames = [reader.schema(StructType.fromJson(json.loads(kind))).parquet(*own) for kind, own in groups.items()]
+    texts = {f.name for df in frames for f in df.schema if isinstance(f.dataType, StringType)}
+    quoted = lambda name: F.col(f"`{name.replace('`', '``')}`")
+    alike = [
+        df.select(*[quoted(n).cast("string").alias(n) if n in texts else quoted(n) for n in df.columns]) for df in frames
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
+
+
 def _location(spark: SparkSession, path: object) -> tuple[str, str, str]:
     """Scheme, authority and path, as the path's own file system completes them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,13 +13,15 @@ from typing import NamedTuple
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.sources.storage import normalize_names, read_parquet, stage, table_name
 
 VERSION = re.compile("v-[0-9a-f]{32}")
 RECORD = re.compile("([0-9]{12})[.]json")
 RECORDS = "_published"
+PARSED = ("csv", "json")  # formats whose reader hands on what it cannot parse
 SESSION_CATALOG = "spark_catalog"
 
 Name = str | Sequence[str]
@@ -44,6 +46,13 @@ class _Folder:
     def delete(self, name: str) -> None:
         self.files.delete(self._at(f"{self.path}/{name}"), True)
 
+    def read(self, name: str) -> str:
+        """A small text file, whole."""
+        return self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0]
+
+    def make(self) -> None:
+        self.files.mkdirs(self._at(self.path))
+
     def create(self, name: str, text: str) -> None:
         """A file that appears whole; refuses one that is there."""
         target, part = self._at(f"{self.path}/{name}"), self._at(f"{self.path}/_{uuid4().hex}")
@@ -149,6 +158,14 @@ def point(spark: SparkSession, table: Name, to: Pointed) -> None:
     spark.sql(f"DROP TABLE {old}")
 
 
+def _take_back(spark: SparkSession, table: Name, before: Pointed | None) -> None:
+    """Let a table show what it showed before; drop it if there was none."""
+    if before is not None:
+        point(spark, table, before)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(_parts(spark, table))}")
+
+
 def _base(spark: SparkSession, parts: Sequence[str]) -> str:
     """Where versions go that were given no path: in the database's folder."""
     database = spark.catalog.getDatabase(table_name(parts[:-1]))
@@ -189,8 +206,8 @@ def published(spark: SparkSession, root: str) -> dict[str, str]:
     records = sorted(name for name in _Folder(spark, f"{root}/{RECORDS}").children() if RECORD.fullmatch(name))
     if not records:
         return {}
-    text = spark.read.text(f"{root}/{RECORDS}/{records[-1]}", wholetext=True).first()[0]
-    return {name: f"{root}/{place}" for name, place in json.loads(text).items()}
+    places = json.loads(_Folder(spark, f"{root}/{RECORDS}").read(records[-1]))
+    return {name: f"{root}/{place}" for name, place in places.items()}
 
 
 def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -229,11 +246,7 @@ def publish_tables(frames: Mapping[str, DataFrame], database: Name, root: str |
         _Folder(spark, f"{root}/{RECORDS}").create(f"{number + 1:012}.json", json.dumps(places))
     except BaseException:
         for name in pointed:
-            old, name_ = before[name], table_name(_parts(spark, [*parts, name]))
-            if old is not None:
-                point(spark, [*parts, name], old)
-            elif spark.catalog.tableExists(name_):
-                spark.sql(f"DROP TABLE {name_}")
+            _take_back(spark, [*parts, name], before[name])
         for name, new in written.items():
             _Folder(spark, f"{root}/{name}").delete(new.folder.rsplit("/", 1)[-1])
         raise
@@ -255,9 +268,76 @@ def land_raw(
     options: Mapping[str, str] | None = None,
     schema: StructType | str | None = None,
     path: str | None = None,
+    rejects: Name | None = None,
 ) -> DataFrame:
-    """Copy an external source whole into the raw table and return that table."""
+    """Copy an external source whole into the raw table and return that table.
+
+    With `rejects`, for CSV and JSON and a given schema, records that do not fit go to a table of that name, as they
+    stand in the source (`record`) and with what is wrong (`reason`). The source is parsed and its rows are written
+    once, for both tables together.
+    """
+    if rejects is not None:
+        return _land_with_rejects(spark, fmt, table, dict(options or {}), schema, path, rejects)
     reader = spark.read.format(fmt).options(**(options or {}))
     source = (reader if schema is None else reader.schema(schema)).load()
     replace_table(normalize_names(source), table, path)
     return spark.table(table_name(table))
+
+
+def _fresh(name: str, taken: set[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _land_with_rejects(
+    spark: SparkSession, fmt: str, table: Name, options: dict[str, str], schema: StructType | str | None,
+    path: str | None, rejects: Name,
+) -> DataFrame:
+    if fmt not in PARSED or schema is None:
+        raise ValueError(f"rejects need a schema and one of the formats {', '.join(PARSED)}")
+    if any(name.lower() in ("mode", "columnnameofcorruptrecord") for name in options):
+        raise ValueError("rejects set the reader's mode and its column for bad records")
+    if _parts(spark, table)[0] != SESSION_CATALOG or _parts(spark, rejects)[0] != SESSION_CATALOG:
+        raise ValueError("rejects are landed in the session catalog")
+    wanted = spark.createDataFrame([], schema).schema
+    good = normalize_names(spark.createDataFrame([], wanted)).schema
+    taken = {name.lower() for name in (*wanted.names, *good.names)}
+    bad, why, clash = (_fresh(name, taken) for name in ("record", "reason", "rejected"))
+    whole = StructType([*wanted.fields, StructField(bad, StringType())])
+    given = options | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    parsed = spark.read.format(fmt).options(**given).schema(whole).load()
+    quoted = lambda name: F.col(f"`{name.replace('`', '``')}`")
+    if fmt == "csv":
+        texts = ", ".join(f"c{i} string" for i in range(len(wanted)))
+        again = F.from_csv(bad, texts, {name: value for name, value in options.items() if name.lower() != "path"})
+        value = lambda i, name: again[f"c{i}"]
+    else:
+        value = lambda i, name: F.try_variant_get(F.try_parse_json(bad), f"$[{json.dumps(name)}]", "string")
+    # What is there as text but not as a value was refused.
+    wrong = [F.when(value(i, f.name).isNotNull() & quoted(f.name).isNull(), F.lit(f.name)) for i, f in enumerate(wanted)]
+    names = F.array_compact(F.array(*wrong))
+    reason = F.when(F.size(names) > 0, F.concat(F.lit("cannot read "), F.array_join(names, ", "))).otherwise("malformed record")
+    marked = parsed.withColumn(why, F.when(F.col(bad).isNotNull(), reason)).toDF(*good.names, bad, why)
+    parts = _parts(spark, table)
+    base = path or _base(spark, parts)
+    folder = f"{base.rstrip('/')}/v-{uuid4().hex}"
+    before, before_rejects = shown(spark, table), shown(spark, rejects)
+    told = StructType([StructField(bad, StringType()), StructField(why, StringType())])
+    try:
+        marked.withColumn(clash, F.col(bad).isNotNull()).write.partitionBy(clash).parquet(folder)
+        places = [f"{folder}/{clash}={'true' if is_bad else 'false'}" for is_bad in (False, True)]
+        for place in places:
+            _Folder(spark, place).make()
+        point(spark, table, Pointed(places[0], good))
+        try:
+            point(spark, rejects, Pointed(places[1], told))
+        except BaseException:
+            _take_back(spark, table, before)
+            raise
+    except BaseException:
+        _Folder(spark, base).delete(folder.rsplit("/", 1)[-1])
+        raise
+    for old in (before, before_rejects):
+        _forget(spark, base, old and old.folder.rsplit("/", 1)[0])
+    return spark.table(table_name(table))

@@ -183,3 +183,26 @@ def test_other_key_types(spark, kind):
     got = sequence_id(df, "id", ["k", "row"], tasks=16)
     want = by_window(df, {"id": ["k", "row"]})
     assert sorted((r.row, r.id) for r in got.collect()) == sorted((r.row, r.id) for r in want.collect())
+
+
+def test_rows_are_written_once_for_any_number_of_orders(spark, hot_rows, monkeypatch):
+    """Only row numbers and keys are dealt and written per order, even where a salt is needed."""
+    written = []
+    monkeypatch.setattr(module, "stage", lambda df, label="stage": written.append(df.columns) or stage(df, label))
+    df = frame(spark, hot_rows).withColumn("payload", F.sha2(F.col("row").cast("string"), 256))
+    result = sequence_ids(df, {"a": ["ts"], "b": ["pay", "vendor"]}, rows_per_task=50)
+    assert sum("payload" in columns for columns in written) == 1
+    assert [columns for columns in written if "salt" in columns]
+    assert result.columns == [*df.columns, "a", "b"]
+    rows = result.collect()
+    assert sorted(r.a for r in rows) == sorted(r.b for r in rows) == list(range(1, len(rows) + 1))
+    by_pay = sorted(rows, key=lambda r: r.b)
+    assert all((a.pay is not None, a.pay or 0) <= (b.pay is not None, b.pay or 0) for a, b in zip(by_pay, by_pay[1:]))
+    payload = {r.row: r.payload for r in df.collect()}
+    assert all(r.payload == payload[r.row] for r in rows)
+
+
+def test_odd_names_are_quoted(spark):
+    df = spark.createDataFrame([(3, "x", 1), (1, "y", 2), (2, "z", 3)], "`a b` int, `row` string, `c.d` int")
+    rows = sequence_ids(df, {"first id": ["a b"], "second.id": ["c.d"]}).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "y", 2, 1, 2), (2, "z", 3, 2, 3), (3, "x", 1, 3, 1)]

@@ -1,6 +1,8 @@
 from pathlib import Path
 
+import connector
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from millrace import sources
@@ -422,3 +424,109 @@ def test_a_checkpoint_folder_is_not_overwritten(spark, rows, tmp_path):
     with pytest.raises(ValueError, match="cannot overwrite"):
         sources.write_parquet(saved, point)
     assert saved.count() == 2
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    cloudpickle.register_pickle_by_value(connector)  # workers do not see the tests' folder
+    spark.dataSource.register(connector.Warehouse)
+    root = tmp_path / "warehouse"
+    root.mkdir()
+    return str(root)
+
+
+def test_a_connector_shows_a_table_when_all_tasks_are_done(spark, rows, warehouse):
+    df = rows.toDF("id", "item").repartition(3)
+    for name, frame in (("trips", df), ("payments", df.limit(1)), ("trips", df.withColumn("id", F.col("id") * 10))):
+        sources.write_connector(frame, "test_warehouse", name, {"root": warehouse})
+    assert sorted(r["id"] for r in connector.rows_of(warehouse, "trips")) == [10, 20]
+    assert len(connector.rows_of(warehouse, "payments")) == 1
+    assert connector.rows_of(warehouse, "others") is None
+
+
+def test_a_failing_task_leaves_the_connectors_table(spark, warehouse):
+    df = spark.range(100).repartition(4)
+    sources.write_connector(df, "test_warehouse", "t", {"root": warehouse})
+    with pytest.raises(Exception, match="connection was lost"):
+        sources.write_connector(df.withColumn("id", -F.col("id") - 1), "test_warehouse", "t", {"root": warehouse, "failfrom": "2"})
+    assert sorted(r["id"] for r in connector.rows_of(warehouse, "t")) == list(range(100))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_records_that_do_not_fit_are_kept(spark, tmp_path, fmt):
+    texts = {
+        "csv": ["ORDER ID,Ship Date,units", "1,2024-01-02,5", "x,2024-01-03,6", "3,soon,many", "4,2024-01-05", '5,"2024-01-06",7', "6,,", "7,2024-01-07,1,2"],
+        "json": [
+            '{"ORDER ID": 1, "Ship Date": "2024-01-02", "units": 5}', '{"ORDER ID": "x", "Ship Date": "2024-01-03", "units": 6}',
+            '{"ORDER ID": 3, "Ship Date": "soon", "units": "many"}', '{"ORDER ID": 4,', '{"ORDER ID": 5, "Ship Date": "2024-01-06", "units": 7}', '{"ORDER ID": 6}',
+        ],
+    }
+    source = tmp_path / "in"
+    source.write_text("\n".join(texts[fmt]) + "\n")
+    schema = "`ORDER ID` int, `Ship Date` date, units int"
+    options = {"path": str(source)} | ({"header": "true"} if fmt == "csv" else {})
+    path = str(tmp_path / "landed")
+    for _ in range(3):
+        landed = sources.land_raw(spark, fmt, f"good_{fmt}", options, schema, path, rejects=f"bad_{fmt}")
+    records = texts[fmt][fmt == "csv" :]
+    bad = {r.record: r.reason for r in spark.table(f"bad_{fmt}").collect()}
+    assert landed.columns == ["order_id", "ship_date", "units"]
+    assert landed.count() + len(bad) == len(records)
+    assert set(bad) <= set(records)
+    assert bad[records[1]] == "cannot read ORDER ID"
+    assert bad[records[2]] == "cannot read Ship Date, units"
+    assert {r.order_id for r in landed.collect()} == {1, 5, 6}
+    assert bad[records[3]] == "malformed record"
+    assert len(list(Path(path).glob("v-*"))) == 2
+
+
+def test_landing_without_bad_records_has_an_empty_table_of_them(spark, rows, tmp_path):
+    source = str(tmp_path / "in")
+    rows.toDF("id", "record").write.json(source)
+    landed = sources.land_raw(spark, "json", "all_good", {"path": source}, "id int, record string", rejects="none_bad")
+    assert landed.columns == ["id", "record"] and landed.count() == 2
+    assert spark.table("none_bad").count() == 0 and spark.table("none_bad").columns == ["record_", "reason"]
+    with pytest.raises(ValueError, match="need a schema"):
+        sources.land_raw(spark, "parquet", "x", {"path": source}, "id int", rejects="y")
+
+
+def test_stages_go_on_where_they_stopped(spark, tmp_path):
+    ran, folder = [], str(tmp_path / "marks")
+
+    def stages(broken=False, source="a"):
+        def load():
+            ran.append("load")
+            if broken:
+                raise RuntimeError("no connection")
+
+        return {"extract": (lambda: ran.append("extract"), {"source": source}), "load": (load, {}), "tell": (lambda: ran.append("tell"), {})}
+
+    with pytest.raises(RuntimeError, match="no connection"):
+        sources.run_stages(spark, folder, "day 1", stages(broken=True))
+    assert sources.run_stages(spark, folder, "day 1", stages()) == ["load", "tell"]
+    assert ran == ["extract", "load", "load", "tell"]
+    assert sources.run_stages(spark, folder, "day 1", stages()) == []
+    with pytest.raises(ValueError, match="was done with"):
+        sources.run_stages(spark, folder, "day 1", stages(source="b"))
+    assert sources.run_stages(spark, folder, "day 2", stages(source="b")) == ["extract", "load", "tell"]
+    with pytest.raises(ValueError, match="no name"):
+        sources.run_stages(spark, folder, "a/b", stages())
+
+
+def test_files_of_different_types_scan_as_the_widest(spark, tmp_path, plan_of):
+    path = str(tmp_path / "months")
+    spark.sql("SELECT 2L AS passengers, 1.5F AS miles, 7 AS code, 'n' AS flag").write.parquet(f"{path}/m=1")
+    spark.sql("SELECT 3.5D AS passengers, 2.25D AS miles, 'x7' AS code, 'y' AS flag").write.parquet(f"{path}/m=2")
+    spark.sql("SELECT NULL::int AS passengers, 1D AS miles, 8 AS code, DATE'2024-01-01' AS day").write.parquet(f"{path}/m=3")
+    spark.sql("SELECT 2L AS passengers, 1.5F AS miles, 9 AS code, 'n' AS flag").write.parquet(f"{path}/m=4")
+    with pytest.raises(Exception):  # noqa: B017 - whichever way Spark puts it
+        spark.read.option("mergeSchema", "true").parquet(path).collect()
+    df = sources.read_parquet_widened(spark, path)
+    assert dict(df.dtypes) == {"passengers": "double", "miles": "double", "code": "string", "flag": "string", "day": "date", "m": "int"}
+    got = sorted((r.code, r.passengers, r.miles, r.flag) for r in df.collect())
+    assert got == [("7", 2.0, 1.5, "n"), ("8", None, 1.0, None), ("9", 2.0, 1.5, "n"), ("x7", 3.5, 2.25, "y")]
+    plan = plan_of(df.where("flag = 'n'").select("miles"))
+    assert plan.count("FileScan") <= 3 and "passengers" not in plan and "EqualTo(flag,n)" in plan
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        sources.read_parquet_widened(spark, str(tmp_path / "empty"))

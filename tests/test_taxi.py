@@ -139,3 +139,29 @@ def test_scheduled_job(spark, trips, tmp_path):
     trip, payment = (read_parquet(spark, str(tmp_path / name)) for name in taxi.TABLES)
     joined = trip.join(payment, "Payment_id").where("trip_amt_INR <> total_amount * 2 OR total_amount IS NULL")
     assert joined.count() == 1
+
+
+def test_a_failed_load_goes_on_without_extracting_again(spark, trips, tmp_path, monkeypatch):
+    source, work = str(tmp_path / "source"), str(tmp_path / "work")
+    trips().write.parquet(source)
+    extracted, loaded = [], {}
+    extract = taxi.extract
+    monkeypatch.setattr(taxi, "extract", lambda *a: extracted.append(a) or extract(*a))
+
+    def save(df, name, broken=True):
+        if broken and name == taxi.TABLES[1]:
+            raise RuntimeError("no connection")
+        loaded[name] = sorted(row[0] for row in df.collect())  # the ids
+
+    with pytest.raises(RuntimeError, match="no connection"):
+        taxi.staged_run(spark, source, work, "may", save)
+    assert list(loaded) == [taxi.TABLES[0]]
+    first = dict(loaded)
+    loaded.clear()
+    assert taxi.staged_run(spark, source, work, "may", lambda df, name: save(df, name, False)) == [f"load_{taxi.TABLES[1]}"]
+    assert list(loaded) == [taxi.TABLES[1]] and len(extracted) == 1
+    assert first[taxi.TABLES[0]] == loaded[taxi.TABLES[1]] == list(range(1, 61))
+    assert taxi.staged_run(spark, source, work, "may", save) == []
+    loaded.clear()
+    assert len(taxi.staged_run(spark, source, work, "june", lambda df, name: save(df, name, False))) == 4
+    assert len(extracted) == 2 and len(loaded) == 2
