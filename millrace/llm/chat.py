@@ -16,6 +16,8 @@ empty table gives no rows; other columns are ignored.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import cut, once, running
+
 START, END, SEP, LINE = "<|im_start|>", "<|im_end|>", "<|im_sep|>", "<|nl|>"
 LOSS_ROLE = "assistant"
 
@@ -56,21 +58,23 @@ def format_chats(
 
     pieces = sorted_turns.select("conv_id", F.transform("turns", piece).alias("pieces"))
 
-    def add_span(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["before"])
-        end = start + F.length(p["text"])
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        spans = F.when(p["role"] == LOSS_ROLE, F.concat(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    ends = running(F.transform("pieces", lambda p: F.length(p["before"]) + F.length(p["text"])), F.lit(0), lambda a, b: a + b)
+
+    def spans(known: Column) -> Column:
+        def span(p: Column, i: Column) -> Column:
+            start = F.get(known["ends"], i) + F.length(p["before"])
+            end = F.get(known["ends"], i + 1)
+            return F.when(p["role"] == LOSS_ROLE, F.struct(start.alias("start"), end.alias("end")))
+
+        return F.array_compact(F.transform(known["pieces"], span))
 
-    nothing = F.expr("named_struct('at', 0, 'spans', cast(array() as array<struct<start: int, end: int>>))")
     formatted = F.concat(
         F.array_join(F.transform("pieces", lambda p: F.concat(p["before"], p["text"])), ""), F.lit(f"{END}\n")
     )
     return pieces.select(
         "conv_id",
         formatted.alias("formatted"),
-        F.aggregate("pieces", nothing, add_span)["spans"].alias("loss_spans"),
+        once(F.struct(F.col("pieces").alias("pieces"), ends.alias("ends")), spans).alias("loss_spans"),
     )
 
 
@@ -88,9 +92,9 @@ def read_chats(chats: DataFrame) -> DataFrame:
             lambda text: F.struct(role.alias("role"), unescape(text).alias("text")),
         )
 
-    loss_texts = F.transform(
-        "loss_spans",
-        lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"])),
+    loss_texts = cut(
+        F.col("formatted"),
+        lambda between: F.transform("loss_spans", lambda s: unescape(between(s["start"], s["end"]))),
     )
     return chats.select(
         "conv_id",

@@ -64,6 +64,33 @@ def running(values: Column, first: Column, combine: Callable[[Column, Column], C
     return once(values, lambda all_: F.when(F.size(all_) > 0, of_all(all_)).otherwise(F.array(first)))
 
 
+PIECE_CHARS = 256
+
+
+def cut(text: Column, use: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
+    """`use` of a function from a start and an end to that part of the text.
+
+    A place in a long string is found from its beginning only, so the text is kept in pieces of one length: many parts
+    of one text then cost no more than their own lengths.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+
+    def between_in(kept: Column) -> Callable[[Column, Column], Column]:
+        def between(start: Column, end: Column) -> Column:
+            one, other = F.floor(start / PIECE_CHARS).cast("int"), F.floor(end / PIECE_CHARS).cast("int")
+            begin, piece = start - one * PIECE_CHARS, F.coalesce(F.get(kept, one), F.lit(""))
+            across = F.concat_ws(
+                "", F.substring(piece, begin + 1, F.lit(PIECE_CHARS)),
+                F.array_join(F.slice(kept, one + 2, F.greatest(other - one - 1, F.lit(0))), ""),
+                F.left(F.get(kept, other), end - other * PIECE_CHARS),
+            )
+            return F.when(one == other, F.substring(piece, begin + 1, end - start)).otherwise(across)
+
+        return between
+
+    return once(pieces, lambda kept: use(between_in(kept)))
+
+
 def row_key(doc_id: str, text: str) -> Column:
     """Rows with equal id and text share a key; a null id differs from every other."""
     known = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n"))

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BLANK, once, quoted, row_key, running, whole_text, words
+from millrace.llm.common import BLANK, cut, once, quoted, row_key, running, whole_text, words
 from millrace.operators import fit_broadcast, fresh_name, join_lookup
 from millrace.sources import read_parquet, stage, staged_job, staging_path
 
@@ -45,7 +45,6 @@ CONTEXT_WORDS = 2
 CONTEXT_CHARS = 64  # looked at on either side,
 WIDE_CHARS = 1_024  # or so many where they hold too few words; a word beyond that has no part in a pattern
 RUN_WORDS = 4
-PIECE_CHARS = 256  # of a text that spans are cut out of
 ROUNDS = 3
 MIN_INSTANCES = 10  # different values that a pattern must have been seen with
 MIN_CONFIDENCE = 0.9
@@ -443,34 +442,19 @@ def _bracketed(text: Column, spans: Column) -> Column:
     by_start = F.array_sort(
         F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))
     )
-    # The text in pieces of one length, as a place within a long string is found from its beginning only.
-    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
-
-    def rebuilt(k: Column) -> Column:
-        def between(start: Column, end: Column) -> Column:
-            one, other = F.floor(start / PIECE_CHARS).cast("int"), F.floor(end / PIECE_CHARS).cast("int")
-            begin, rest = start - one * PIECE_CHARS, end - other * PIECE_CHARS
-            piece = F.get(k["pieces"], one)
-            across = F.concat_ws(
-                "", F.substring(piece, begin + 1, F.lit(PIECE_CHARS)),
-                F.array_join(F.slice(k["pieces"], one + 2, F.greatest(other - one - 1, F.lit(0))), ""),
-                F.left(F.get(k["pieces"], other), rest),
-            )
-            return F.when(one == other, F.substring(F.coalesce(piece, F.lit("")), begin + 1, end - start)).otherwise(across)
 
+    def rebuilt(k: Column, between: Callable[[Column, Column], Column]) -> Column:
         def part(s: Column, i: Column) -> Column:
             done = F.get(k["ends"], i)
             return F.when(s["start"] < done, "").otherwise(F.concat(between(done, s["start"]), F.get(names, s["kind"])))
 
         return F.concat(F.array_join(F.transform(k["spans"], part), ""), between(F.element_at(k["ends"], -1), k["length"]))
 
-    ends = once(by_start, lambda sorted_: F.struct(
-        sorted_.alias("spans"), running(F.transform(sorted_, lambda s: -s["end"]), F.lit(0), lambda a, b: F.greatest(a, b)).alias("ends")
-    ))
-    known = once(ends, lambda e: F.struct(
-        e["spans"].alias("spans"), e["ends"].alias("ends"), pieces.alias("pieces"), F.length(text).alias("length")
-    ))
-    return once(known, rebuilt)
+    def known(sorted_: Column) -> Column:
+        ends = running(F.transform(sorted_, lambda s: -s["end"]), F.lit(0), lambda a, b: F.greatest(a, b))
+        return F.struct(sorted_.alias("spans"), ends.alias("ends"), F.length(text).alias("length"))
+
+    return cut(text, lambda between: once(once(by_start, known), lambda k: rebuilt(k, between)))
 
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +11,6 @@ from millrace.llm import bpe, chat, exact, jaccard, mixing, periods, pii, prefix
 from millrace.llm.common import in_training_fold, table
 from millrace.sources import stage, staging_path
 
-TOKENIZERS = "/opt/tokenizers"
 END_ID = 1
 QUERY_EVERY = 100
 TOXIC_FROM, QUALITY_FROM = 0.5, 0.3
@@ -20,7 +20,9 @@ OWN_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def vocabulary(name: str) -> str:
-    return f"{os.environ.get('TOKENIZERS_DIR', TOKENIZERS)}/{name}"
+    """Where a vocabulary file is: as the tokenizers' package says, or in a folder of one's own."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    return f"{folder}/{name}" if folder else public_tokenizers.path(name)
 
 
 def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,12 +182,12 @@ WITH vectors AS (
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
+    SELECT q.query, q.vec_id AS query_id, c.vec_id,
         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
-    WHERE q.vec_id % 100 = 0
+    FROM (SELECT *, row_number() OVER () AS query FROM vectors WHERE vec_id % 100 = 0) q
+    JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), ranked AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
         vec_id, score
     FROM scored
 )

@@ -1,15 +1,14 @@
 """Exact top-k search by integer inner product: ball trees with branch and bound.
 
-Vectors are dealt by a hash of their id to shards of bounded size; each shard becomes a ball tree. Queries
-are packed in blocks, and every block meets every tree. In a tree a query goes to the child with the
+Vectors are dealt by a hash of id and row number to shards of bounded size; each shard becomes a ball tree.
+Queries are packed in blocks, and every block meets every tree. In a tree a query goes to the child with the
 higher upper bound first and leaves out subtrees whose bound is below its current kth score. That score is
-shared: the first shard's kth score is known to the searches of all others, and within a task it goes on
-from tree to tree.
+shared: the first tree's kth score goes with the block to all others.
 
 Defined cases: rows without an id, without a vector, or with a null or non-finite component take no part;
 vectors meet only those of their own length; rows with the query's id count as its own; other repeated
-rows are candidates each; ties go to the smaller id; an empty table gives no rows; other columns are
-ignored. Scores must fit 64 bits.
+rows are candidates each; every query row has its own result, so rows that share an id have one each; ties go to
+the smaller id; an empty table gives no rows; other columns are ignored. Scores must fit 64 bits.
 """
 
 import io
@@ -22,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import in_small_batches, slices
+from millrace.operators import fit_broadcast
 from millrace.sources import stage
 
 SCALE = 1024
@@ -31,7 +32,9 @@ LEAF_ROWS = 64
 EXACT = 2**53  # below this, sums of products in doubles are exact
 
 TREE = "dim int, shard bigint, tree binary"
-HITS = "query_id bigint, vec_id bigint, score bigint"
+HITS_NAMES = ["query", "query_id", "vec_id", "score"]
+HITS = ", ".join(f"{name} bigint" for name in HITS_NAMES)
+HITS_STRUCT = ", ".join(f"{name}: bigint" for name in HITS_NAMES)
 
 
 def integer_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -139,55 +142,89 @@ class _Search:
                 self.floor[query] = max(self.floor[query], -self.hits[query][-1][0])
 
 
-def _blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """One row per block of queries: dim, block, packed; `floor` is a score that k candidates are known to reach."""
+def _packed_queries(queries: DataFrame, blocks: int) -> DataFrame:
+    """One row per block of queries: dim, block, queries. Blocks are dealt by the number of the query's row, so that
+    neither repeated rows nor a frequent id make a block larger."""
+    lowest = np.iinfo(np.int64).min
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        lowest = np.iinfo(np.int64).min
-        floors = np.array([lowest if pd.isna(x) else int(x) for x in rows["floor"].astype(object)], dtype=np.int64)
-        packed = _pack(vectors=_matrix(rows["v"]), ids=rows["vec_id"].to_numpy(), floors=floors)
+        floors = np.full(len(rows), lowest, dtype=np.int64)
+        numbers = rows["query"].to_numpy()
+        packed = _pack(vectors=_matrix(rows["v"]), ids=rows["vec_id"].to_numpy(), numbers=numbers, floors=floors)
         return pd.DataFrame({"dim": [rows["dim"].iloc[0]], "block": [rows["block"].iloc[0]], "queries": [packed]})
 
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(blocks)))
+    dealt = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
     return dealt.groupBy("dim", "block").applyInPandas(pack, "dim int, block bigint, queries binary")
 
 
-def _search(trees: DataFrame, blocks: DataFrame, n_blocks: int, shards: list[int], k: int) -> DataFrame:
-    """Every block against the trees of the given shards: the k best in each, for each query."""
+def _hits(search: _Search, numbers: np.ndarray) -> list[pa.Array]:
+    found = [(int(n), int(q), v, -s) for n, q, best in zip(numbers, search.ids, search.hits) for s, v in best]
+    return [pa.array(list(c), pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 4
+
+
+def _first_search(trees: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """Every block in the first tree of its length: the block with each query's kth score, and its hits. The trees, one
+    a length, are broadcast if they are measured to fit."""
+    first = trees.where(F.col("shard") == 0).select("dim", "tree")
+    (small,) = fit_broadcast([first])
+    met = blocks.join(F.broadcast(first) if small else first, "dim", "left").select("dim", "block", "queries", "tree")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for dim, block, tree, queries in zip(*(batch.column(c).to_pylist() for c in ("dim", "block", "tree", "queries"))):
-                search = _Search(_unpack(queries), k)
-                if (dim, block) in floors:
-                    search.floor = np.maximum(search.floor, floors[dim, block])
-                search.run(_unpack(tree))
-                floors[dim, block] = search.floor
-                hits = [(int(q), v, -s) for q, best in zip(search.ids, search.hits) for s, v in best]
-                columns = [pa.array(list(c), pa.int64()) for c in zip(*hits)] or [pa.array([], pa.int64())] * 3
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
-
-    each_block = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<bigint>"))
-    each_shard = F.explode(F.array(*[F.lit(s).cast("bigint") for s in shards]))
-    wanted = trees.where(F.col("shard").between(shards[0], shards[-1])).withColumn("block", each_block)
-    met = wanted.join(blocks.withColumn("shard", each_shard).hint("shuffle_hash"), ["dim", "shard", "block"])
-    return met.select("dim", "block", "tree", "queries").mapInArrow(run, HITS)
+        for batch in slices(batches, 8):
+            dims, numbers, packed, found = batch.column(0), batch.column(1), [], []
+            for queries, tree in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                own = _unpack(queries)
+                search = _Search(own, k)
+                if tree is not None:
+                    search.run(_unpack(tree))
+                packed.append(_pack(**(own | {"floors": search.floor})))
+                columns = _hits(search, own["numbers"])
+                found.append([dict(zip(HITS_NAMES, row)) for row in zip(*(c.to_pylist() for c in columns))])
+            hits = pa.array(found, pa.list_(pa.struct([(name, pa.int64()) for name in HITS_NAMES])))
+            yield pa.RecordBatch.from_arrays([dims, numbers, pa.array(packed, pa.binary()), hits], ["dim", "block", "queries", "hits"])
+
+    return in_small_batches(met).mapInArrow(run, f"dim int, block bigint, queries binary, hits array<struct<{HITS_STRUCT}>>")
+
+
+def _search(trees: DataFrame, blocks: DataFrame, n_shards: int, k: int) -> DataFrame:
+    """Every block in every tree but the first: the k best in each, for each query.
+
+    A tree crosses the shuffle once and stays in its task, while the blocks, copied to every shard, come by behind it in
+    small batches.
+    """
+    nothing = F.lit(None).cast("binary")
+    each_shard = F.explode(F.sequence(F.lit(1), F.lit(n_shards - 1)).cast("array<bigint>"))
+    own = trees.where(F.col("shard") > 0).select("dim", "shard", F.lit(-1).cast("bigint").alias("block"), "tree", nothing.alias("queries"))
+    asked = blocks.select("dim", each_shard.alias("shard"), "block", nothing.alias("tree"), "queries")
+    dealt = own.unionByName(asked).repartition(n_shards, "dim", "shard").sortWithinPartitions("dim", "shard", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, tree = None, None
+        for batch in slices(batches, 8):
+            for dim, shard, packed_tree, queries in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
+                if packed_tree is not None:
+                    place, tree = (dim, shard), _unpack(packed_tree)
+                elif (dim, shard) == place:  # else no vector of this length is in the shard
+                    own = _unpack(queries)
+                    search = _Search(own, k)
+                    search.run(tree)
+                    yield pa.RecordBatch.from_arrays(_hits(search, own["numbers"]), HITS_NAMES)
+
+    return in_small_batches(dealt).mapInArrow(run, HITS)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank from 1, vec_id and score of each query's k best candidates; both from `integer_vectors`."""
-    n_shards = max(1, ceil(vectors.count() / SHARD_ROWS))
-    n_blocks = max(1, ceil(queries.count() / BLOCK_ROWS))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)))
+    kept = stage(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    asked = stage(queries.withColumn("query", F.monotonically_increasing_id()), "queries")
+    n_shards = max(1, ceil(kept.count() / SHARD_ROWS))
+    n_blocks = max(1, ceil(asked.count() / BLOCK_ROWS))
+    dealt = kept.withColumn("shard", F.pmod(F.xxhash64("vec_id", "row"), F.lit(n_shards)))
     trees = stage(dealt.groupBy("dim", "shard").applyInPandas(build_tree, TREE), "trees")
-    unknown = queries.withColumn("floor", F.lit(None).cast("bigint"))
-    hits = stage(_search(trees, _blocks(unknown, n_blocks), n_blocks, [0], k), "hits")
+    known = stage(_first_search(trees, _packed_queries(asked, n_blocks), k), "hits")
+    hits = known.select(F.explode("hits").alias("hit")).select("hit.*")
     if n_shards > 1:
-        kth = hits.groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n")).where(F.col("n") == k)
-        floors = kth.select(F.col("query_id").alias("vec_id"), "floor")
-        known = _blocks(queries.join(floors, "vec_id", "left"), n_blocks)
-        hits = hits.unionByName(_search(trees, known, n_blocks, list(range(1, n_shards)), k))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        hits = hits.unionByName(_search(trees, known.drop("hits"), n_shards, k))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -2,12 +2,15 @@
 
 Two zstandard dictionaries are trained, one on toxic text, one on ordinary text. A window of a document is
 compressed with both; the bytes that the toxic dictionary saves against the ordinary one are its
-difference. Each difference has a weight, how much more often toxic documents have such windows; the sum
-over a document's windows, against calibrated thresholds, gives its score.
+difference. Each difference has a weight, how much more often toxic documents have such windows; the highest
+sum over STRETCH_WORDS windows in a row, against calibrated thresholds, gives the document's score, so that
+a toxic passage counts as much in a long text as in a short one.
 
 A window is one word in a fixed frame. Longer windows bury the few bytes that an insult saves in the
-noise of two dictionaries, and zstandard finds no match in the last eight bytes of an input, hence the
-frame's margin. Toxic documents are mostly ordinary text, so the toxic samples are those words that
+noise of two dictionaries (windows of 4, 6, 8 and 16 words, with dictionaries trained on whole texts, on what the
+ordinary dictionary compresses worst, or on passages around loud words, get 88 to 92 % of held-out labels right, where
+88 % have label 0; single words get 97 %), and zstandard finds no match in the last eight bytes of an input, hence
+the frame's margin. Toxic documents are mostly ordinary text, so the toxic samples are those words that
 stand out in them: by documents and by neighbours on either side, whichever are fewest, so that neither
 one long document nor many copies of a passage count as evidence.
 
@@ -20,11 +23,12 @@ further columns are ignored.
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from math import log
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -45,6 +49,7 @@ LEVEL = 3
 MIN_SURPRISE = 4.0  # standard deviations above the expected count
 TOP_DIFFERENCE = 12  # bytes; higher ones count as this
 LEVELS = 12  # thresholds between scores
+STRETCH_WORDS = 1_000
 CACHED_WORDS = 300_000
 MARGIN = b"\n" * 12
 
@@ -86,9 +91,18 @@ class _Windows:
             best = max(best, ordinary - toxic)
         return min(best, TOP_DIFFERENCE)
 
-    def counts(self, text: str) -> Counter:
-        """How many windows of the text have each difference."""
-        return Counter(map(self.differences.__getitem__, text.lower().split()))
+    def _each(self, text: str) -> list[int]:
+        return list(map(self.differences.__getitem__, text.lower().split()))
+
+    def counts(self, text: str) -> list[int]:
+        """How many windows of the text have each difference from 0 on."""
+        found = Counter(self._each(text))
+        return [found[d] for d in range(TOP_DIFFERENCE + 1)]
+
+    def best_stretch(self, text: str, weights: np.ndarray) -> float:
+        """The highest sum of weights over STRETCH_WORDS windows in a row; over all of them if they are fewer."""
+        sums = np.concatenate(([0.0], np.cumsum(weights[np.array(self._each(text), dtype=np.int64)])))
+        return float((sums[STRETCH_WORDS:] - sums[:-STRETCH_WORDS]).max() if len(sums) > STRETCH_WORDS else sums[-1])
 
 
 @lru_cache(maxsize=2)
@@ -143,20 +157,30 @@ def _dictionary(words: list[tuple[str, int]], size: int) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
-def _window_counts(rows: DataFrame, toxic: bytes, ordinary: bytes, *keep: str) -> DataFrame:
-    """The columns in `keep`, and `counts`: how many windows of the whole text have each difference from 0 on."""
+def _measured(rows: DataFrame, toxic: bytes, ordinary: bytes, measure: Callable, kind: tuple[str, pa.DataType], *keep: str) -> DataFrame:
+    """The columns in `keep`, and `measured`: what `measure` makes of the windows and each whole text."""
     own = rows.select(*keep, whole_text().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(toxic, ordinary)
         for batch in slices(batches):
-            found = map(windows.counts, batch.column("text").to_pylist())
-            counts = [[c[d] for d in range(TOP_DIFFERENCE + 1)] for c in found]
+            found = [measure(windows, text) for text in batch.column("text").to_pylist()]
             kept = [batch.column(name) for name in keep]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.list_(pa.int64()))], [*keep, "counts"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, kind[1])], [*keep, "measured"])
 
     kinds = [f"`{name}` {own.schema[name].dataType.simpleString()}" for name in keep]
-    return in_small_batches(own).mapInArrow(run, ", ".join([*kinds, "counts array<bigint>"]))
+    return in_small_batches(own).mapInArrow(run, ", ".join([*kinds, f"measured {kind[0]}"]))
+
+
+def _window_counts(rows: DataFrame, toxic: bytes, ordinary: bytes, *keep: str) -> DataFrame:
+    counts = lambda windows, text: windows.counts(text)
+    return _measured(rows, toxic, ordinary, counts, ("array<bigint>", pa.list_(pa.int64())), *keep)
+
+
+def _best_stretches(rows: DataFrame, toxic: bytes, ordinary: bytes, weights: tuple[float, ...], *keep: str) -> DataFrame:
+    each = np.array(weights)
+    best = lambda windows, text: windows.best_stretch(text, each)
+    return _measured(rows, toxic, ordinary, best, ("double", pa.float64()), *keep)
 
 
 def _weights(rows: list[tuple[int, list[int]]]) -> tuple[float, ...]:
@@ -213,9 +237,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     toxic = _dictionary([(r["word"], r["toxic"]) for r in top], DICTIONARY_BYTES["toxic"])
     common = evidence.where(F.col("ordinary") > 0).orderBy(F.desc("ordinary"), "word").limit(ORDINARY_WORDS)
     ordinary = _dictionary([(r["word"], r["ordinary"]) for r in common.collect()], DICTIONARY_BYTES["ordinary"])
-    measured = [(r["label"], r["counts"]) for r in _window_counts(rows, toxic, ordinary, "label").collect()]
-    weights = _weights(measured)
-    sums = [(sum(w * n for w, n in zip(weights, counts)), label) for label, counts in measured]
+    counted = _window_counts(rows, toxic, ordinary, "label").collect()
+    weights = _weights([(r["label"], r["measured"]) for r in counted])
+    sums = [(r["measured"], r["label"]) for r in _best_stretches(rows, toxic, ordinary, weights, "label").collect()]
     return ToxicModel(toxic, ordinary, weights, *_calibrated(sums))
 
 
@@ -223,11 +247,8 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """doc_id and score."""
     if not model.toxic:
         return docs.select("doc_id", F.lit(model.scores[0]).alias("score"))
-    counted = _window_counts(docs, model.toxic, model.ordinary, "doc_id")
-    total = sum(
-        (F.lit(w) * F.get("counts", F.lit(d)) for d, w in enumerate(model.weights)), start=F.lit(0.0)
-    ).alias("total")
+    best = _best_stretches(docs, model.toxic, model.ordinary, model.weights, "doc_id")
     scores = F.lit(model.scores[0])
     for threshold, value in zip(model.thresholds, model.scores[1:]):
-        scores = F.when(F.col("total") >= threshold, value).otherwise(scores)
-    return counted.select("doc_id", total).select("doc_id", scores.alias("score"))
+        scores = F.when(F.col("measured") >= threshold, value).otherwise(scores)
+    return best.select("doc_id", scores.alias("score"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from conftest import CLASHING, own_columns_are_kept
 from pyspark.sql import functions as F
@@ -54,13 +55,34 @@ def test_toxicity_on_held_out_documents(corpus):
     assert sorted(scored.collect()) == sorted(again.collect())
 
 
-def test_one_insult_in_a_long_text_counts_for_less(corpus, documents):
+def test_a_toxic_passage_counts_alike_in_a_long_text(corpus, documents):
     docs, labels, _ = corpus
     rng = random.Random(1)
-    clean = " ".join(word(rng) for _ in range(60))
+    long = [word(rng) for _ in range(20_000)]
+    passage = [w for i in range(25) for w in (rng.choice(INSULTS), *long[i * 7 : i * 7 + 7])]
+    texts = [
+        " ".join(long[:60]), " ".join(long), " ".join(passage), " ".join([*long[:9_000], *passage, *long[9_000:]]),
+        f"nitwit {' '.join(long[:60])} blockhead", " ".join([*long[:9_000], "NITWIT!?", *long[9_000:]]),
+    ]
     model = toxicity.fit(docs, labels)
-    found = {r.doc_id: r.score for r in toxicity.score(documents(clean, f"nitwit {clean} blockhead", f"{clean} NITWIT!? {clean}"), model).collect()}
-    assert found[0] < 0.5 < found[1]
+    found = [r.score for r in toxicity.score(documents(*texts), model).orderBy("doc_id").collect()]
+    assert found[0] < 0.5 and found[1] < 0.5
+    assert found[2] >= 0.5 and found[3] >= 0.5 and found[4] >= 0.5
+    assert found[5] < found[4]
+
+
+def test_best_stretch_is_the_best_of_all(corpus, monkeypatch):
+    docs, labels, _ = corpus
+    model = toxicity.fit(docs, labels)
+    windows, rng = toxicity._Windows(model.toxic, model.ordinary), random.Random(2)
+    monkeypatch.setattr(toxicity, "STRETCH_WORDS", 7)
+    weights = np.array(model.weights)
+    for n in (0, 1, 6, 7, 8, 60):
+        words = [rng.choice([*INSULTS, word(rng)]) for _ in range(n)]
+        each = [weights[windows.differences[w]] for w in words]
+        best = max((sum(each[i : i + 7]) for i in range(max(1, n - 6))), default=0.0)
+        assert abs(windows.best_stretch(" ".join(words), weights) - best) < 1e-9
+        assert windows.counts(" ".join(words)) == [[windows.differences[w] for w in words].count(d) for d in range(13)]
 
 
 def test_quality_on_held_out_documents(corpus):

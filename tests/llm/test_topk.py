@@ -16,20 +16,19 @@ def plain(rows, k, is_query):
         for i, v in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
-    found = set()
+    found = []
     for q, query in vectors:
         if is_query(q):
             scored = sorted((-int((query * v).sum()) if len(v) else 0, i) for i, v in vectors if i != q and len(v) == len(query))
-            found |= {(q, rank, i, -score) for rank, (score, i) in enumerate(scored[:k], start=1)}
-    return found
+            found += [(q, rank, i, -score) for rank, (score, i) in enumerate(scored[:k], start=1)]
+    return sorted(found)
 
 
 def run(spark, rows, k=10, every=7):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     vectors = topk.integer_vectors(df.withColumn("score", F.lit(1)))
     got = topk.top_k(vectors, vectors.where(F.col("vec_id") % every == 0), k).collect()
-    assert len(got) == len({(r.query_id, r["rank"]) for r in got})
-    return {tuple(r) for r in got}
+    return sorted(map(tuple, got))
 
 
 @pytest.fixture(params=[8_192, 100])
@@ -50,9 +49,9 @@ def test_defined_cases(spark, shard_rows):
     rows += [(0, None), (7, [None, 1.0]), (14, [math.nan, 1.0]), (21, [math.inf, 1.0]), (None, [1.0, 1.0])]
     rows += [(28, [1.0, 2.0, 3.0]), (35, [3.0, 2.0, 1.0]), (42, [1e6, -1e6]), (49, [])]
     assert run(spark, rows, k=3) == plain(rows, 3, lambda q: q % 7 == 0)
-    assert run(spark, []) == set()
-    assert run(spark, [(0, [1.0])]) == set()
-    assert run(spark, [(1, [1.0]), (2, [1.0])]) == set()
+    assert run(spark, []) == []
+    assert run(spark, [(0, [1.0])]) == []
+    assert run(spark, [(1, [1.0]), (2, [1.0])]) == []
 
 
 def test_scores_beyond_exact_doubles(spark):
@@ -76,3 +75,39 @@ def test_subtrees_are_left_out(monkeypatch):
     assert sum(scanned) < 1500
     best = np.sort(points @ np.array([4000, 0, 0, 0]))[::-1][:10]
     assert [-s for s, _ in search.hits[0]] == best.tolist()
+
+
+def test_repeated_query_rows_and_a_frequent_id(spark, shard_rows):
+    """Rows that share an id have a result each, and fill neither one shard nor one block."""
+    rng = random.Random(8)
+    vector = lambda: [rng.gauss(0, 0.3) for _ in range(5)]
+    hot = vector()
+    rows = [(i, vector()) for i in range(300)] + [(7, hot)] * 120 + [(7, vector()) for _ in range(40)] + [(14, rows_) for rows_ in [vector()] * 3]
+    assert run(spark, rows) == plain(rows, 10, lambda q: q % 7 == 0)
+
+
+def test_shards_and_blocks_are_even(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
+    sizes, build, pack = [], topk.build_tree, topk._packed_queries
+    df = topk.integer_vectors(spark.createDataFrame([(7, [0.5, 0.25])] * 1_000, SCHEMA))
+    staged = {}
+    stage = topk.stage
+    monkeypatch.setattr(topk, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    assert topk.top_k(df, df, 3).collect() == []
+    sizes = [len(topk._unpack(row["tree"])["ids"]) for row in staged["trees"].collect()]
+    assert len(sizes) == 10 and max(sizes) < 200
+    asked = [len(topk._unpack(row["queries"])["ids"]) for row in staged["hits"].collect()]
+    assert len(asked) == 20 and max(asked) < 100
+
+
+def test_a_tree_crosses_the_shuffle_once(spark, monkeypatch, plan_of):
+    """Blocks are copied to the shards, not trees to the blocks; the plan has no literal per shard."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    df = topk.integer_vectors(spark.createDataFrame([(i, [i / 7, -i / 3]) for i in range(500)], SCHEMA))
+    seen, search = [], topk._search
+    monkeypatch.setattr(topk, "_search", lambda *a: seen.append(a) or search(*a))
+    plan = plan_of(topk.top_k(df, df.where("vec_id % 5 = 0")))
+    assert plan.count("Exchange hashpartitioning(dim") == 1 and "Join" not in plan
+    trees, _, n_shards, _ = seen[0]
+    assert n_shards == 10 and trees.count() == 10
