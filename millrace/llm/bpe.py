@@ -42,15 +42,16 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class BoundedCache(dict):
-    """Computes a missing value, and keeps it while there is room."""
+    """Computes a missing value, and keeps it while there is room. Long keys, which rarely come again, are not kept, so
+    the bytes are bounded as well."""
 
-    def __init__(self, compute, room: int):
+    def __init__(self, compute, room: int, longest: int = 64):
         super().__init__()
-        self.compute, self.room = compute, room
+        self.compute, self.room, self.longest = compute, room, longest
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(self) < self.room:
+        if len(self) < self.room and (not hasattr(key, "__len__") or len(key) <= self.longest):
             self[key] = value
         return value
 

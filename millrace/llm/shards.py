@@ -7,14 +7,16 @@ Layout of a folder in the shared store:
     manifest             Parquet: shard, base (ids in all earlier shards)
     index                Parquet: one row per bucket of keys, see `build_bucket`
 
-Documents lie in ascending doc_id order, null first, rows with one id ordered by text; each ends with the
-end id. A key is the id and the number of its copy (0 unless rows share the id).
+Documents lie in ascending doc_id order, null first, rows with one id ordered by text (across shards by its first
+64 characters); each ends with the end id. A key is the id and the number of its copy (0 unless rows share the id).
 
 A task writes its payload under a name of its own and reports it in its entries; only the entries of
 tasks that succeeded are committed, so a lost executor leaves at most files that nothing refers to.
 
 Defined cases: a null text is empty and has the end id alone; repeated rows are copies 0, 1, ...; a null
-id is a key like any other; an empty table gives empty tables; other columns are ignored.
+id is a key like any other; an empty table gives empty tables; other columns are ignored. The folder must be in a
+store that tasks can open (see SCHEMES). Two keys of one bucket with equal 128-bit hashes, which MAX_LEVELS levels
+cannot tell apart, end in an error.
 """
 
 import json
@@ -30,14 +32,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm.bpe import BoundedCache, byte_alphabet, read_definition
 from millrace.llm.common import in_small_batches, slices, whole_text
+from millrace.sources import stage
 
 SHARD_BYTES = 128 * 1024 * 1024  # of text, about
+START_CHARS = 64  # of a text, by which rows that share an id are dealt
+STRETCH_IDS = 16 * 1024 * 1024  # of a shard, read by one task
 KEYS_PER_BUCKET = 8_192
 BITS_PER_KEY = 2  # of a level of the hash
 MAX_LEVELS = 64
@@ -113,9 +118,24 @@ def _encoder(definition: str) -> WordEncoder:
     return WordEncoder(definition)
 
 
+# Stores that tasks open, by the scheme of a folder's full path, and what they are called there.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full path, as Spark resolves it: a plain path is one of the default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme = full.split(":", 1)[0]
+    if scheme not in SCHEMES:
+        raise ValueError(f"payloads cannot be written to {full}; the folder must be in one of {', '.join(SCHEMES)}")
+    return full
+
+
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    """The store behind a URI such as spark.checkpoint.dir's; a plain path is a shared local one."""
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    """The store behind a full path."""
+    scheme, rest = folder.split(":", 1)
+    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{'//' if not rest.startswith('//') else ''}{rest}")
 
 
 def write_shards(
@@ -124,6 +144,7 @@ def write_shards(
 ) -> None:
     """Encode every text, append the end id, and write payload, entries, manifest and index below `folder`."""
     spark = docs.sparkSession
+    folder = _qualified(spark, folder)
     own = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     total = own.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     definition = spark.sparkContext.broadcast(read_definition(vocabulary))
@@ -157,10 +178,22 @@ def write_shards(
         if sink:
             sink.close()
 
-    ordered = own.repartitionByRange(max(1, ceil(total / shard_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share an id, or have none, may fill several shards; equal rows are dealt as they come.
+    start = F.left("text", F.lit(START_CHARS)).alias("start")
+    dealt = own.select("doc_id", "text", start, F.monotonically_increasing_id().alias("row"))
+    ranged = dealt.repartitionByRange(max(1, ceil(total / shard_bytes)), "doc_id", "start", "row")
+    ordered = ranged.sortWithinPartitions("doc_id", "start", "text").select("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
     entries = in_small_batches(ordered).mapInArrow(write, f"doc_id {kind}, {ENTRIES}")
-    entries.withColumn("task", F.spark_partition_id()).write.parquet(f"{folder}/entries")
+    written = stage(entries.withColumn("task", F.spark_partition_id()), "entries")
+    # Copies are counted within a task; the first id of a task may go on from the tasks before, one row a task.
+    counted = written.groupBy("task", "doc_id").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("doc_id").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(F.col("task").alias("t"), F.col("doc_id").alias("d"), F.sum("n").over(earlier).alias("before"))
+    goes_on = F.broadcast(offsets.where("before IS NOT NULL"))
+    joined = written.join(goes_on, (F.col("task") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    copies = F.col("copy") + F.coalesce("before", F.lit(0))
+    joined.withColumn("copy", copies).drop("t", "d", "before").write.parquet(f"{folder}/entries")
     committed = spark.read.parquet(f"{folder}/entries")
 
     # One row per shard; tasks are numbered in the order of the ranges.
@@ -171,7 +204,9 @@ def write_shards(
 
     buckets = max(1, ceil(committed.count() / KEYS_PER_BUCKET))
     keyed = committed.select("shard", "place", "n_tokens", *key_hashes(buckets))
-    keyed.groupBy("bucket").applyInPandas(build_bucket, INDEX).write.parquet(f"{folder}/index")
+    index = keyed.groupBy("bucket").applyInPandas(build_bucket, INDEX)
+    # A bucket without keys has no row, so their number is kept.
+    index.withColumn("buckets", F.lit(buckets).cast("bigint")).write.parquet(f"{folder}/index")
 
 
 def key_hashes(buckets: int) -> list[Column]:
@@ -272,8 +307,8 @@ def find(keys: DataFrame, folder: str) -> DataFrame:
     A bucket of the index meets the keys that fall into it; repeated keys are found once.
     """
     index = keys.sparkSession.read.parquet(f"{folder}/index")
-    buckets = index.count()
-    wanted = keys.select("doc_id", "copy").distinct().select("doc_id", "copy", *key_hashes(max(1, buckets)))
+    buckets = index.agg(F.max("buckets")).first()[0] or 1
+    wanted = keys.select("doc_id", "copy").distinct().select("doc_id", "copy", *key_hashes(buckets))
     kinds = ", ".join(f"{name} {wanted.schema[name].dataType.simpleString()}" for name in ("doc_id", "copy"))
     return (
         wanted.groupBy("bucket")
@@ -285,12 +320,16 @@ def find(keys: DataFrame, folder: str) -> DataFrame:
 def read_ids(found: DataFrame, folder: str, vocabulary: str) -> DataFrame:
     """`found` with `ids` (binary, unsigned 32 bit little-endian), `ids_crc32` of them, and `start`.
 
-    `start` counts the ids of all documents before. Places are dealt by shard, a bounded number of
-    documents each, and read as ranges of the payload; payload is never shuffled.
+    `start` counts the ids of all documents before. Places are dealt by stretches of a shard, so a shard is opened by
+    as many tasks as it has stretches, and each reads on in one direction; payload is never shuffled.
     """
+    folder = _qualified(found.sparkSession, folder)
     manifest = found.sparkSession.read.parquet(f"{folder}/manifest")
     placed = found.join(manifest, "shard").withColumn("start", F.col("base") + F.col("place")).drop("base")
-    sorted_places = placed.sortWithinPartitions("shard", "place")
+    stretch = F.floor(F.col("place") / STRETCH_IDS).alias("stretch")
+    ids = found.sparkSession.read.parquet(f"{folder}/entries").agg(F.sum("n_tokens")).first()[0] or 0
+    tasks = manifest.count() + ceil(ids / STRETCH_IDS)
+    sorted_places = placed.repartition(max(1, tasks), "shard", stretch).sortWithinPartitions("shard", "place")
     narrow = np.dtype(WordEncoder(read_definition(vocabulary)).dtype)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

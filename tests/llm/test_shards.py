@@ -110,3 +110,54 @@ def test_equal_hashes_are_reported():
     rows = pd.DataFrame({"first": [1, 1], "second": [2, 2], "bucket": 0, "shard": "s", "place": [0, 1], "n_tokens": 1})
     with pytest.raises(ValueError, match="equal hashes"):
         shards.build_bucket(rows)
+
+
+def test_rows_of_one_id_fill_several_shards(spark, documents):
+    """An id, and no id, in a third of the rows each: shards stay even, copies are numbered through."""
+    rng = random.Random(3)
+    word = lambda: " ".join(rng.choice(["the", "cat", "sat", "on"]) for _ in range(12))
+    rows = [(i, word()) for i in range(300)] + [(150, word()) for _ in range(150)] + [(150, "same " * 10)] * 150 + [(None, word()) for _ in range(300)]
+    folder, read = written(spark, documents(*rows), shard_bytes=4_000)
+    sizes = [r["count"] for r in spark.read.parquet(f"{folder}/entries").groupBy("shard").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 300
+    got = [(r.doc_id, r.copy, np.frombuffer(r.ids, dtype="<u4").tolist()) for r in read.orderBy("start").collect()]
+    assert [i for i, _, _ in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    for key in (None, 150):
+        assert [copy for i, copy, _ in got if i == key] == list(range(sum(i == key for i, _ in rows)))
+    wanted = sorted((str(i), [*ids_of(t), END]) for i, t in rows)
+    assert sorted((str(i), ids) for i, _, ids in got) == wanted
+
+
+def test_few_tasks_open_a_shard(spark, documents, monkeypatch):
+    rows = [(i, "the cat sat " * 8) for i in range(600)]
+    folder, read = written(spark, documents(*rows), shard_bytes=10_000)
+    shards_ = spark.read.parquet(f"{folder}/manifest").count()
+    opened = read.select("shard", F.spark_partition_id().alias("task")).distinct().count()
+    assert opened == shards_ > 4
+    monkeypatch.setattr(shards, "STRETCH_IDS", 1_000)
+    keys = spark.read.parquet(f"{folder}/entries").select("doc_id", "copy")
+    again = shards.read_ids(shards.find(keys, folder), folder, PATH)
+    opened = again.select("shard", F.spark_partition_id().alias("task")).distinct().count()
+    assert shards_ < opened <= shards_ + 600 * 25 // 1_000 + shards_
+    assert sorted(again.select("doc_id", "ids_crc32").collect()) == sorted(read.select("doc_id", "ids_crc32").collect())
+
+
+def test_empty_buckets_do_not_move_keys(spark, documents, monkeypatch):
+    monkeypatch.setattr(shards, "KEYS_PER_BUCKET", 1)
+    folder, read = written(spark, documents(*[(i, f"t {i}") for i in range(50)]))
+    assert spark.read.parquet(f"{folder}/index").count() < 50
+    assert sorted(r.doc_id for r in read.collect()) == list(range(50))
+
+
+def test_folders_are_those_that_spark_means(spark, documents, tmp_path):
+    assert shards._qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert shards._open(f"file:{tmp_path}")[1] == str(tmp_path)
+    with pytest.raises(ValueError, match="cannot be written"):
+        spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.m.link./x", f"file://{tmp_path}")
+        shards.write_shards(documents("a"), "viewfs://m/x", PATH, END)
+
+
+def test_long_pieces_are_not_kept():
+    cache = shards.BoundedCache(len, 2)
+    assert [cache[key] for key in ("a", "b" * 65, "bc", "d", "bc")] == [1, 65, 2, 1, 2]
+    assert list(cache) == ["a", "bc"]
