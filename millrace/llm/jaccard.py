@@ -1,7 +1,7 @@
 """N-gram Jaccard join: links between texts whose sets of word shingles overlap enough, and their components.
 
-1. Every text becomes a set of hashed shingles. A sketch of fixed size, summed over the whole corpus, says
-   about how frequent a shingle is; it orders all shingles, rare ones first. Any order gives right results.
+1. Every text becomes a set of hashed shingles. A sketch, sized by the texts within bounds and summed over all of
+   them, says about how frequent a shingle is; it orders all shingles, rare ones first. Any order gives right results.
 2. Texts with equal sets fall together. Two linked sets share a shingle among the first few of either. Of
    the sets that share one, those stay candidates whose parity bitmaps differ in no more bits than linked
    sets can differ in shingles; the bits never differ in more. The components over the candidates, the
@@ -10,7 +10,8 @@
    a common beginning share its nodes. A set goes down the tree with the overlap so far and leaves a
    subtree when what remains cannot reach the overlap it needs, when the sizes do not fit, or when it is
    linked to everything in it already. Blocks too large for one task are cut into chunks, and every pair
-   of chunks is joined.
+   of chunks is joined. Where links are to be counted, no subtree is left for being linked: every pair of
+   different sets is tested once, and a set's links are weighed by the partners' copies.
 
 Texts are read three times rather than shuffled; sets are shuffled only for blocks of two and more.
 Shingles are compared by 64-bit hashes, sets by 128-bit ones.
@@ -36,12 +37,15 @@ from millrace.llm.graph import components
 from millrace.operators import fresh_name
 from millrace.sources import read_parquet, stage, staged_job, staging_path
 
-SKETCH_BITS = 20  # cells of the frequency sketch: 4 MB are broadcast, whatever the corpus
+SKETCH_BITS = 20  # cells of the frequency sketch, 4 MB broadcast; MOST_BITS for a large corpus, 64 MB
+MOST_BITS = 24
+TEXT_PER_CELL = 512  # bytes of text for which a cell is added
 SKETCH_PARTS = 8
 SKETCHES_AT_ONCE = 64  # summed in one group
 FILTER_BYTES = 3  # of a signature; as many bits tell which sets a block needs: 2 MB are broadcast
 CHUNK_SHINGLES = 500_000  # in one task, times two
 CHUNK_SETS = 2_000
+COUNTED_CHUNK_SETS = 500  # where links are counted, as all pairs of a chunk are then looked at
 BITS_PER_DIFFERENCE = 4  # of a parity bitmap, for each shingle in which linked sets can differ
 BIN_ROWS = 200_000  # shared shingles that one task looks at
 HOT_SETS = 4_096  # with one shingle; more are cut into chunks
@@ -103,8 +107,14 @@ def can_differ(n: int, percent: int) -> bool:
     return 100 * n >= percent * (n + 1) or 100 * (n - 1) >= percent * n
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _sketch_bits(own: DataFrame) -> int:
+    """The size of the sketch: with the texts, within bounds."""
+    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(SKETCH_BITS, (total // TEXT_PER_CELL).bit_length()), MOST_BITS)
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -115,12 +125,13 @@ def _text_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tupl
 
 def frequency_sketch(own: DataFrame, size: int) -> np.ndarray:
     """How many texts have a shingle in each cell, over all texts; partial sketches are summed in rounds."""
-    width = (1 << SKETCH_BITS) // SKETCH_PARTS
+    bits = _sketch_bits(own)
+    width = (1 << bits) // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        total = np.zeros(1 << bits, dtype=np.int64)
         for _, sets in _text_batches(batches, size):
-            total += np.bincount(_cells(np.concatenate(sets)), minlength=1 << SKETCH_BITS)
+            np.add.at(total, _cells(np.concatenate(sets), bits), 1)
         if total.any():
             task = TaskContext.get().partitionId()
             parts = [zstandard.compress(part.tobytes(), 1) for part in total.reshape(SKETCH_PARTS, width)]
@@ -308,8 +319,9 @@ class PrefixTree:
             node = child
         node.ends.append(number)
 
-    def probe(self, number: int, member: np.ndarray, up_to: np.ndarray) -> Iterator[int]:
-        """Numbers of linked sets. `member` tells the probe's ranks, `up_to` how many of them are lower than a rank."""
+    def probe(self, number: int, member: np.ndarray, up_to: np.ndarray, every: bool = False) -> Iterator[int]:
+        """Numbers of linked sets: every one, or as many as connect what is linked. `member` tells the probe's ranks,
+        `up_to` how many of them are lower than a rank."""
         size, total, percent = self.sizes[number], int(up_to[-1]), self.percent
         links, sizes = self.links, self.sizes
         pending = [(self.root, 0)]
@@ -317,7 +329,7 @@ class PrefixTree:
             node, overlap = pending.pop()
             if 100 * node.largest < percent * size or percent * node.smallest > 100 * size:
                 continue
-            if node.labels is not None:
+            if not every and node.labels is not None:
                 node.labels = {links.find(label) for label in node.labels}
                 if len(node.labels) == 1 and links.find(number) in node.labels:
                     continue
@@ -329,22 +341,24 @@ class PrefixTree:
             if overlap + min(left, node.rest) < needed(size, partner, percent):
                 continue
             for other in node.ends:
-                if overlap >= needed(size, sizes[other], percent) and links.link(number, other):
+                if overlap >= needed(size, sizes[other], percent) and (links.link(number, other) or every):
                     yield other
             pending.extend((child, overlap) for child in node.children.values())
 
 
-def join_blocks(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """`join_block` for every block of a group."""
+def join_blocks(rows: pd.DataFrame, percent: int, counted: bool = False) -> pd.DataFrame:
+    """`join_block` for every block of a group: links (a, b) and, if they are counted, rows (a, n_links) without b."""
     rows = rows.sort_values(["block", "n", "id"], kind="stable")
     starts = np.flatnonzero(np.diff(rows["block"].to_numpy(), prepend=np.int64(-1)))
     ends = [*starts[1:], len(rows)]
-    found = [link for start, end in zip(starts, ends) for link in join_block(rows.iloc[start:end], percent)]
-    return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype="int64")
+    found = [row for start, end in zip(starts, ends) for row in join_block(rows.iloc[start:end], percent, counted)]
+    columns = list(zip(*found)) or [(), (), ()]
+    return pd.DataFrame({name: pd.array(values, dtype="Int64") for name, values in zip(("a", "b", "n_links"), columns)})
 
 
-def join_block(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links between the sets of a block, or of two chunks of one: as many as connect what is linked."""
+def join_block(rows: pd.DataFrame, percent: int, counted: bool = False) -> list[tuple[int, int | None, int | None]]:
+    """Links between the sets of a block, or of two chunks of one: as many as connect what is linked, and, if counted,
+    for every set with any the number of texts that it is linked with here."""
     sizes, ids = rows["n"].tolist(), rows["id"].tolist()
     sets = [np.frombuffer(value, dtype="<u8") for value in rows["shingles"]]
     shared, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -361,15 +375,23 @@ def join_block(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     chunks = rows["chunk"].tolist()
     own = low == high
     trees = {c: PrefixTree(links, sizes, percent) for c in {low, high}}
-    found: list[tuple[int, int]] = []
+    found: list[tuple[int, int | None, int | None]] = []
+    copies, partners = rows["copies"].tolist(), [0] * len(ids)
+    linked = _Links(len(ids))
     member = np.zeros(usable + 1, dtype=bool)
     for number, own_ranks in enumerate(ranks):
         member[own_ranks] = True
         up_to = np.concatenate([[0], np.cumsum(member[:usable])])
         tree = trees[low if own else (high if chunks[number] == low else low)]
-        found.extend((ids[number], ids[other]) for other in tree.probe(number, member, up_to))
+        for other in tree.probe(number, member, up_to, counted):
+            partners[number] += copies[other]
+            partners[other] += copies[number]
+            if linked.link(number, other):
+                found.append((ids[number], ids[other], None))
         member[own_ranks] = False
         trees[chunks[number] if not own else low].insert(number, own_ranks)
+    if counted:
+        found += [(i, None, n) for i, n in zip(ids, partners) if n]
     return found
 
 
@@ -412,10 +434,10 @@ def _is_needed(bits: np.ndarray, signature: bytes) -> bool:
     return bool(bits[place >> 3] >> (place & 7) & 1)
 
 
-def _in_groups(members: DataFrame) -> DataFrame:
+def _in_groups(members: DataFrame, chunk_sets: int) -> DataFrame:
     """Deal the sets of blocks to tasks: small blocks several to a group, large ones by pairs of chunks."""
     totals = stage(members.groupBy("block").agg(F.sum("n").alias("shingles"), F.count("*").alias("sets")), "blocks")
-    chunks = F.ceil(F.greatest(F.col("shingles") / CHUNK_SHINGLES, F.col("sets") / CHUNK_SETS)).alias("chunks")
+    chunks = F.ceil(F.greatest(F.col("shingles") / CHUNK_SHINGLES, F.col("sets") / chunk_sets)).alias("chunks")
     small = totals.agg(F.sum(F.when(F.col("shingles") <= CHUNK_SHINGLES, F.col("shingles")))).first()[0] or 0
     groups = max(1, -(-small // CHUNK_SHINGLES))
     sized = members.join(totals.select("block", chunks), "block")
@@ -423,7 +445,7 @@ def _in_groups(members: DataFrame) -> DataFrame:
     dealt = sized.withColumn("chunk", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     alone = F.col("chunks") == 1
     return dealt.select(
-        "signature", "id", "n", "block", "chunk",
+        "signature", "id", "n", "copies", "block", "chunk",
         F.when(alone, F.pmod(F.xxhash64("block"), F.lit(groups))).otherwise(F.col("block")).alias("group"),
         F.when(alone, -1).otherwise(F.least("chunk", "other")).alias("low"),
         F.when(alone, -1).otherwise(F.greatest("chunk", "other")).alias("high"),
@@ -431,20 +453,21 @@ def _in_groups(members: DataFrame) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, percent: int = 90, size: int = 3, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, percent: int = 90, size: int = 3, doc_id: str = "doc_id", text: str = "text", count_links: bool = False
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links), group (null for an empty set) and
-    key (of id and text) of every row; linked rows share their group.
+    key (of id and text) of every row; linked rows share their group. With `count_links` also n_links, with how many
+    other rows it is linked: then all pairs within a block are tested, else only what may connect something.
 
     The result is written; what the steps before it staged is removed."""
     spark = docs.sparkSession
     path = staging_path(spark, "jaccard")
     with staged_job(spark):
-        _components(docs, percent, size, doc_id, text).write.parquet(path)
+        _components(docs, percent, size, doc_id, text, count_links).write.parquet(path)
     return read_parquet(spark, path)
 
 
-def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str) -> DataFrame:
+def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str, count_links: bool) -> DataFrame:
     spark = docs.sparkSession
     own = in_small_batches(docs).select(
         F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), row_key(doc_id, text).alias("key")
@@ -461,7 +484,7 @@ def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str
                 first = hashes[:0]
                 if can_differ(len(hashes), percent):
                     length = prefix_length(len(hashes), percent)
-                    first = hashes[np.lexsort((hashes, estimate[_cells(hashes)]))[:length]]
+                    first = hashes[np.lexsort((hashes, estimate[_cells(hashes, len(estimate).bit_length() - 1)]))[:length]]
                 firsts.append(first.view(np.int64))
                 bitmaps.append(parity_bits(hashes, percent).tobytes() if len(first) else None)
             columns = [
@@ -479,6 +502,7 @@ def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str
     # Equal sets fall together; copies shrink within their tasks. Staging fixes the numbers.
     distinct = rows.where(F.col("signature").isNotNull()).groupBy("signature")
     first = [F.first(name).alias(name) for name in ("n", "prefix", "bits")]
+    first.append(F.count("*").alias("copies"))
     sets = stage(
         distinct.agg(F.min("doc_id").alias("first_id"), *first).withColumn("id", F.monotonically_increasing_id()), "sets"
     )
@@ -487,7 +511,7 @@ def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str
     members = stage(
         blocks.select(F.col("node").alias("id"), F.col("root").alias("block"))
         .unionByName(roots)
-        .join(sets.select("id", "signature", "n"), "id"),
+        .join(sets.select("id", "signature", "n", "copies"), "id"),
         "blocks",
     )
     wanted = spark.sparkContext.broadcast(_needed_filter(members))
@@ -501,23 +525,29 @@ def _components(docs: DataFrame, percent: int, size: int, doc_id: str, text: str
             yield pa.RecordBatch.from_arrays(columns, ["signature", "shingles"])
 
     shingles = own.select("text").mapInArrow(whole_sets, "signature binary, shingles binary")
-    blocks_with_sets = _in_groups(members).join(shingles.dropDuplicates(["signature"]), "signature")
-    links = stage(
+    chunk_sets = COUNTED_CHUNK_SETS if count_links else CHUNK_SETS
+    blocks_with_sets = _in_groups(members, chunk_sets).join(shingles.dropDuplicates(["signature"]), "signature")
+    found = stage(
         blocks_with_sets.groupBy("group", "low", "high").applyInPandas(
-            lambda group: join_blocks(group, percent), "a bigint, b bigint"
+            lambda group: join_blocks(group, percent, count_links), "a bigint, b bigint, n_links bigint"
         ),
         "links",
     )
-    joined = components(links)
+    joined = components(found.where(F.col("b").isNotNull()).select("a", "b"))
     rooted = sets.join(joined, sets["id"] == joined["node"], "left").select(
         "signature", "first_id", F.coalesce("root", "id").alias("root")
     )
     labels = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_signature = rooted.join(labels, "root").select("signature", "component_id", "root")
+    if count_links:
+        counts = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("id")).agg(F.sum("n_links").alias("n_links"))
+        own = sets.join(counts, "id", "left").select("signature", (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
+        by_signature = by_signature.join(own, "signature")
     component = F.when(F.col("signature").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.join(by_signature, "signature", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("root").alias("group"), "key"
-    )
+    columns = ["doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("root").alias("group"), "key"]
+    if count_links:
+        columns.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.join(by_signature, "signature", "left").select(*columns)
 
 
 def drop_near_copies(

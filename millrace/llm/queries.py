@@ -40,7 +40,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("group", "key")
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), count_links=True).drop("group", "key")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +173,9 @@ WITH RECURSIVE words AS (
     UNION
     SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
 )
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
-FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, coalesce(any_value(n_links), 0) AS n_links
+FROM reached LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) ON a = doc_id
+GROUP BY doc_id""",
     "op5_top_k": """
 WITH vectors AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

@@ -71,6 +71,7 @@ def test_matches_all_pairs(documents, percent, size):
 def tiny_limits(monkeypatch):
     """Chunks, bins and hot shingles of a few sets each."""
     monkeypatch.setattr(jaccard, "CHUNK_SETS", 3)
+    monkeypatch.setattr(jaccard, "COUNTED_CHUNK_SETS", 3)
     monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", 400)
     monkeypatch.setattr(jaccard, "HOT_SETS", 4)
     monkeypatch.setattr(jaccard, "BIN_ROWS", 200)
@@ -81,6 +82,47 @@ def test_chunks_of_large_blocks_lose_no_link(documents, tiny_limits):
     assert run(documents(*rows), 80, 3) == plain(rows, 80, 3)
 
 
+def link_counts(rows, percent, size):
+    """With how many other rows each is linked, by all pairs."""
+    sets = [shingles(text, size) for _, text in rows]
+    linked = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    return sorted((i, sum(bool(linked(a, b)) for m, b in enumerate(sets) if m != n)) for n, ((i, _), a) in enumerate(zip(rows, sets)))
+
+
+def counted(df, percent, size):
+    return sorted((r.doc_id, r.n_links) for r in jaccard_components(df, percent, size, count_links=True).collect())
+
+
+@pytest.mark.parametrize(("percent", "size"), [(90, 3), (50, 2)])
+def test_links_are_counted(documents, percent, size):
+    rows = list(enumerate(corpus()))
+    assert counted(documents(*rows), percent, size) == link_counts(rows, percent, size)
+    assert max(n for _, n in link_counts(rows, percent, size)) > 3
+
+
+def test_links_across_chunks_are_counted_once(documents, tiny_limits):
+    rows = list(enumerate(corpus(5, 15)))
+    assert counted(documents(*rows), 80, 3) == link_counts(rows, 80, 3)
+    result = jaccard_components(documents(*rows), 80, 3, count_links=True)
+    assert sorted((tuple(r)[:3] for r in result.collect()), key=str) == plain(rows, 80, 3)
+
+
+def test_links_of_a_triangle_and_of_copies(documents):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join([*base, "x"]), " ".join([*base, "y"]), " ".join(base), "", None, "other words here"]
+    assert counted(documents(*texts), 90, 3) == [(0, 3), (1, 3), (2, 3), (3, 3), (4, 0), (5, 0), (6, 0)]
+
+
+def test_the_sketch_grows_with_the_texts_within_bounds(spark, documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 4)
+    monkeypatch.setattr(jaccard, "MOST_BITS", 9)
+    monkeypatch.setattr(jaccard, "TEXT_PER_CELL", 8)
+    bits = [jaccard._sketch_bits(documents(*["word " * n]).select("text")) for n in (1, 60, 10_000)]
+    assert bits[0] == 4 and 4 < bits[1] < 9 and bits[2] == 9
+    rows = list(enumerate(corpus(8, 12)))
+    assert run(documents(*rows), 80, 3) == plain(rows, 80, 3)
+
+
 def test_a_chain_of_near_copies_is_one_component(documents):
     rng = random.Random(1)
     words = [f"w{i}" for i in range(120)]
