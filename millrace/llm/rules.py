@@ -1,8 +1,9 @@
 """Quality rules: statistics of whole texts, and decision lists learned from labelled ones.
 
 A decision list is an ordered list of conjunctions of thresholds; the first that holds rejects the text.
-Learning is sequential covering: a rule grows by the condition with the highest information gain, is
-pruned on rows kept apart, and the rows it covers leave before the next rule. Every step is one count per
+Learning is sequential covering: a rule grows by the condition with the highest information gain while there is any,
+is pruned on rows kept apart, and the rows it covers leave before the next rule. It ends when no condition covers
+MIN_COVERED rejected rows, or the next rule is less precise than MIN_PRECISION. Every step is one count per
 feature, bin and label over the labelled rows, by Spark; the driver sees those counts only.
 
 Defined cases: a null text has no words and fails the base rules; rows are judged one by one, so repeated
@@ -27,8 +28,6 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
 CUTS = 32  # quantiles of each class that can become thresholds
-MAX_RULES = 8
-MAX_CONDITIONS = 4
 MIN_COVERED = 5  # rejected labelled rows that a rule must cover
 MIN_PRECISION = 0.6  # on the pruning rows: a rule that loses more clean texts is not taken
 QUANTILE_ACCURACY = 10_000
@@ -203,9 +202,9 @@ def learn_rules(
     binned = stage(rows.select("*", *[bin_of(f) for f in cuts]), "rules")
     grow, prune = binned.where(~F.col("prune")), binned.where("prune")
     rules: list[Rule] = []
-    while cuts and len(rules) < MAX_RULES:
+    while cuts:
         rule: Rule = ()
-        while len(rule) < MAX_CONDITIONS and (best := _best_condition(grow.where(holds(rule)), cuts)):
+        while best := _best_condition(grow.where(holds(rule)), cuts):
             rule += (best,)
         if not rule:
             break

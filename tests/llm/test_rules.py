@@ -94,3 +94,20 @@ def test_defined_cases(documents):
     odd = text_statistics(documents((None, "a b"), (1, "c"), (1, "c"), clashing=True))
     assert odd.count() == 3
     assert not set(CLASHING) & set(odd.columns)
+
+
+def test_covering_goes_on_while_rules_are_good(spark):
+    """A dozen kinds of junk, each told by a value of its own, get a rule each."""
+    rows, labels, rng = [], [], random.Random(5)
+    for i in range(6_000):
+        bad = i % 3 == 0
+        at = (i // 3 % 12 if bad else rng.randrange(12)) * 0.08 + (0.04 if bad else rng.random() * 0.02)
+        rows.append((i, at, rng.random()))
+        labels.append((i, int(not bad), 0))
+    statistics = spark.createDataFrame(rows, "doc_id bigint, symbol_share double, upper_share double")
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    rules = learn_rules(statistics, known, features=("symbol_share", "upper_share"))
+    assert len(rules) > 8
+    found = statistics.withColumn("rule", verdict(rules)).join(known, "doc_id")
+    assert found.where((F.col("quality") == 0) & F.col("rule").isNull()).count() < 650  # eight rules would leave 667
+    assert found.where((F.col("quality") == 1) & F.col("rule").isNotNull()).count() < 200
