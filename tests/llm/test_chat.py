@@ -1,4 +1,5 @@
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -65,3 +66,16 @@ def test_a_very_long_conversation(spark):
 def test_any_text_comes_back(spark, texts):
     rows = [(1, i, "assistant" if i % 2 else "user", text) for i, text in enumerate(texts)]
     assert read_back(spark, rows) == expected(rows)
+
+
+def test_long_conversations_take_time_in_proportion(spark):
+    seconds = []
+    for n in (1_000, 1_000, 16_000):
+        turns = [(1, i, ("user", "assistant")[i % 2], f"turn {i} <|im_end|> says \\ {'x' * (i % 50)}") for i in range(n)]
+        df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+        start = time.monotonic()
+        (row,) = read_chats(format_chats(df)).collect()
+        seconds.append(time.monotonic() - start)
+        assert [(t.role, t.text) for t in row.turns] == [turn[2:] for turn in turns]
+        assert list(row.loss_texts) == [turn[3] for turn in turns if turn[2] == "assistant"]
+    assert seconds[2] < 8 * max(seconds[1], 0.2)
