@@ -8,8 +8,9 @@ of the whole order and sorted within each; a row's place in its task is written
 holds for every later reader, whatever is computed again. Ranges come from Spark's own sample; a poor one
 costs balance, never correctness.
 
-For several orders the rows are written once, as they come, with a number of their own. Each order deals and writes only
-that number and its keys, and the ids come back to the rows by one join, however many orders there are.
+For several orders of many rows, these are written once, as they come, with a number of their own. Each order deals and
+writes only that number and its keys, and the ids come back to the rows by one join, however many orders there are.
+Few rows are dealt and written whole once per order, which takes fewer jobs.
 """
 
 from collections.abc import Mapping, Sequence
@@ -25,6 +26,7 @@ from millrace.sources import stage
 ROWS_PER_TASK = 1_000_000
 MIN_ROWS_PER_TASK = 1_000
 TASKS_PER_CORE = 2  # where the data is small
+NARROW_ROWS = 5_000_000  # from so many rows on, several orders deal row numbers and keys only
 HOT = 4  # times the mean rows of a task
 
 PLACE_BITS = 33  # of monotonically_increasing_id: the place, below the number of the task
@@ -63,28 +65,27 @@ def sequence_ids(
     orders: Mapping[str, Sequence[str]],
     rows_per_task: int = ROWS_PER_TASK,
     tasks: int | None = None,
+    narrow_rows: int = NARROW_ROWS,
 ) -> DataFrame:
     """Add a 1..n bigint column per entry of `orders`: {id name: ascending order columns}, NULL first.
 
-    Works when called: the rows are counted and written once, and shuffled once; for several orders the keys of each
-    are sorted and written besides. Select the columns of use before, and `stage` an input that is costly to
+    Works when called: the rows are counted, and written and shuffled once; from `narrow_rows` on, further orders deal
+    and write their keys only, below it the whole rows. Select the columns of use before, and `stage` an input that is costly to
     compute. The tasks follow the rows, not the session's number of shuffle partitions. Rows equal in all order columns
     get their ids in no fixed order, so add a tie-breaker where ids must be reproducible.
     """
     columns = df.columns
     row = fresh_name("row", df)
-    several = len(orders) > 1
-    if several:
-        df = stage(df.withColumn(row, F.monotonically_increasing_id()), "sequence")
     rows = df.count()
     if tasks is None:
         small = min(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, rows // MIN_ROWS_PER_TASK)
         tasks = max(ceil(rows / rows_per_task), small)
     tasks = max(1, min(tasks, rows))
-    if not several:
+    if len(orders) == 1 or rows < narrow_rows:
         for name, keys in orders.items():
-            df = _numbered(df, name, keys, rows, tasks, columns)
+            df = _numbered(df, name, keys, rows, tasks, df.columns)
         return df
+    df = stage(df.withColumn(row, F.monotonically_increasing_id()), "sequence")
     each = [
         _numbered(df.select(row, *map(_quoted, dict.fromkeys(keys))), name, keys, rows, tasks, [row])
         for name, keys in orders.items()

@@ -59,8 +59,9 @@ def hot_rows(spread_rows):
     ]
 
 
-def test_matches_global_window(spark, spread_rows):
-    same(frame(spark, spread_rows), ORDERS, tasks=16)
+@pytest.mark.parametrize("narrow_rows", [0, 10**9])
+def test_matches_global_window(spark, spread_rows, narrow_rows):
+    same(frame(spark, spread_rows), ORDERS, tasks=16, narrow_rows=narrow_rows)
 
 
 def written_tasks(spark, monkeypatch, df, orders, **options):
@@ -91,6 +92,7 @@ def test_tasks_follow_the_rows_not_the_session(spark, spread_rows, monkeypatch):
 def test_hot_value_is_split(spark, hot_rows, monkeypatch):
     df = frame(spark, hot_rows)
     same(df, ORDERS, rows_per_task=50)
+    same(df, ORDERS, rows_per_task=50, narrow_rows=0)
     for counts in written_tasks(spark, monkeypatch, df, ORDERS, rows_per_task=50):
         assert max(counts) < 200
 
@@ -190,7 +192,7 @@ def test_rows_are_written_once_for_any_number_of_orders(spark, hot_rows, monkeyp
     written = []
     monkeypatch.setattr(module, "stage", lambda df, label="stage": written.append(df.columns) or stage(df, label))
     df = frame(spark, hot_rows).withColumn("payload", F.sha2(F.col("row").cast("string"), 256))
-    result = sequence_ids(df, {"a": ["ts"], "b": ["pay", "vendor"]}, rows_per_task=50)
+    result = sequence_ids(df, {"a": ["ts"], "b": ["pay", "vendor"]}, rows_per_task=50, narrow_rows=1_000)
     assert sum("payload" in columns for columns in written) == 1
     assert [columns for columns in written if "salt" in columns]
     assert result.columns == [*df.columns, "a", "b"]
@@ -204,5 +206,6 @@ def test_rows_are_written_once_for_any_number_of_orders(spark, hot_rows, monkeyp
 
 def test_odd_names_are_quoted(spark):
     df = spark.createDataFrame([(3, "x", 1), (1, "y", 2), (2, "z", 3)], "`a b` int, `row` string, `c.d` int")
-    rows = sequence_ids(df, {"first id": ["a b"], "second.id": ["c.d"]}).collect()
-    assert sorted(tuple(r) for r in rows) == [(1, "y", 2, 1, 2), (2, "z", 3, 2, 3), (3, "x", 1, 3, 1)]
+    for narrow_rows in (0, 10):
+        rows = sequence_ids(df, {"first id": ["a b"], "second.id": ["c.d"]}, narrow_rows=narrow_rows).collect()
+        assert sorted(tuple(r) for r in rows) == [(1, "y", 2, 1, 2), (2, "z", 3, 2, 3), (3, "x", 1, 3, 1)]
