@@ -3,12 +3,16 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
+from millrace.sources import stage
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+SAMPLE_ROWS = 200_000  # looked at for hot keys
+HOT_SHARE = 0.01
 
 # Values without a bound on their size that is cheap to measure.
 NESTED = (ArrayType, MapType, StructType, VariantType)
@@ -56,3 +60,26 @@ def join_lookup(
     if small is None:
         (small,) = fit_broadcast([lookup], max_rows, max_bytes)
     return fact.join(F.broadcast(lookup) if small else lookup.hint("merge"), on)
+
+
+def join_lookup_split(
+    fact: DataFrame, lookup: DataFrame, on: str, sample_rows: int = SAMPLE_ROWS, hot_share: float = HOT_SHARE
+) -> DataFrame:
+    """Inner join of a staged fact with a large lookup that is unique in the column, apart for hot keys.
+
+    A sample tells which keys have `hot_share` of the fact's rows or more, so no more than 1 / hot_share of them. Their
+    lookup rows are broadcast, so the rows of hot keys are not shuffled; all others are joined by sort and merge, and the
+    two results united. The sample decides how a row is joined, never whether. Without a hot key it is one plain join.
+    """
+    rows = fact.count()
+    sampled = fact.select(on).sample(min(1.0, sample_rows / max(1, rows)), seed=1)
+    found = sampled.groupBy(on).count()
+    n = F.sum("count").over(Window.partitionBy())
+    # The window runs over the keys of the sample.
+    hot = found.withColumn("all", n).where((F.col("count") > 1) & (F.col("count") >= F.col("all") * hot_share)).select(on)
+    hot_lookup = stage(lookup.join(F.broadcast(hot), on), "hot")
+    if hot_lookup.isEmpty():
+        return join_lookup(fact, lookup, on, small=False)
+    often = fact.join(F.broadcast(hot_lookup), on)
+    rest = fact.join(F.broadcast(hot_lookup.select(on)), on, "left_anti")
+    return often.unionByName(join_lookup(rest, lookup, on, small=False))

@@ -173,6 +173,12 @@ def _split_items(source: str, column: str, delimiter: str, name: str) -> str:
 
 _ITEMS = _split_items("part", "p_name", "' '", "item")
 
+_SKEWED = """SELECT CASE WHEN l_linenumber > 2 THEN -1 ELSE o_custkey END AS customer, l_orderkey,
+        l_linenumber, n.rank AS rank
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        JOIN (SELECT c_custkey AS k, c_custkey * 2 AS rank FROM customer UNION ALL SELECT -1, 0) n
+          ON n.k = CASE WHEN l_linenumber > 2 THEN -1 ELSE o_custkey END"""
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem",
     "sink_parquet_roundtrip": "SELECT * FROM orders",
@@ -234,11 +240,8 @@ ORACLE: dict[str, str] = {
     "sequence_ties": """SELECT row_number() OVER (ORDER BY o_orderdate NULLS FIRST, l_suppkey) AS "Trip_id",
       o_orderdate AS pickup, l_suppkey AS vendor FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "dim_surrogate_key_large": _dim("customer", "c_name", "Name_id", "c_name"),
-    "join_lookup_large": """SELECT CASE WHEN l_linenumber > 2 THEN -1 ELSE o_custkey END AS customer, l_orderkey,
-        l_linenumber, n.rank AS rank
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        JOIN (SELECT c_custkey AS k, c_custkey * 2 AS rank FROM customer UNION ALL SELECT -1, 0) n
-          ON n.k = CASE WHEN l_linenumber > 2 THEN -1 ELSE o_custkey END""",
+    "join_lookup_large": _SKEWED,
+    "join_lookup_split": _SKEWED,
     "star_fact_shuffled": _fact(_GAPS, "gaps"),
     "join_fact_dim": f"""WITH {_SALES}, c AS ({_dim('sales', 'country', 'Country_id', 'k')})
       SELECT country, order_id, "Country_id" FROM sales JOIN c ON c.k = sales.country""",

@@ -371,16 +371,29 @@ def dim_surrogate_key_large(spark, sf_dir):
 # Joins
 
 
-@_query
-def join_lookup_large(spark, sf_dir):
-    """Both sides shuffled; one customer has more than half of the lines."""
+def _skewed_lines(spark, sf_dir):
+    """Lines of which one customer has more than half, and all customers with a number."""
     customer = F.when(F.col("payment_type") > 2, F.lit(-1).cast("bigint")).otherwise(F.col("o_custkey"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = line_trips(spark, sf_dir).join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     fact = lines.select(customer.alias("customer"), "l_orderkey", "l_linenumber")
     known = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer"), (F.col("c_custkey") * 2).alias("rank"))
     hot = spark.range(1).select(F.lit(-1).cast("bigint").alias("customer"), F.lit(0).cast("bigint").alias("rank"))
-    return op.join_lookup(fact, known.unionByName(hot), "customer", max_rows=0)
+    return fact, known.unionByName(hot)
+
+
+@_query
+def join_lookup_large(spark, sf_dir):
+    """Both sides shuffled."""
+    fact, customers = _skewed_lines(spark, sf_dir)
+    return op.join_lookup(fact, customers, "customer", max_rows=0)
+
+
+@_query
+def join_lookup_split(spark, sf_dir):
+    """The hot customer's lines meet a broadcast row, the others are shuffled."""
+    fact, customers = _skewed_lines(spark, sf_dir)
+    return op.join_lookup_split(stage(fact), stage(customers), "customer")
 
 
 @_query

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import fit_broadcast, fresh_name, join_lookup
+from millrace.operators import fit_broadcast, fresh_name, join_lookup, join_lookup_split
 from millrace.sources import stage
 
 
@@ -79,3 +79,31 @@ def test_missing_keys_do_not_join(spark):
     lookup = spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
     assert [row.id for row in join_lookup(fact, lookup, "k").collect()] == [1]
     assert [row.id for row in join_lookup(fact, lookup, "k", max_rows=0).collect()] == [1]
+
+
+def test_hot_keys_are_joined_apart(spark, plan_of):
+    fact, lookup = (stage(df) for df in frames(spark, 30_000))
+    joined = join_lookup_split(fact, lookup, "k")
+    plan = plan_of(joined)
+    assert "Union" in plan and plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan
+    assert joined.columns == ["k", "id", "n"]
+    assert sorted(joined.collect()) == sorted(join_lookup(fact, lookup, "k").collect())
+    # Rows of the hot key are not shuffled.
+    assert plan.index("Union") < plan.index("Exchange")
+
+
+def test_without_hot_keys_it_is_one_join(spark, plan_of):
+    fact = stage(spark.range(5_000).select("id", (F.col("id") % 1_000).alias("k")))
+    lookup = stage(spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n")))
+    joined = join_lookup_split(fact, lookup, "k")
+    assert "Union" not in plan_of(joined) and joined.count() == 4_500
+    assert join_lookup_split(fact.limit(0), lookup, "k").collect() == []
+
+
+def test_a_poor_sample_loses_no_row(spark):
+    """A hot key that the sample misses, or that the lookup lacks, and a null key."""
+    fact = stage(spark.range(3_000).select("id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("k")))
+    lookup = stage(spark.range(2, 3_000).select(F.col("id").alias("k"), F.lit("x").alias("n")))
+    for sample in (1, 10, 3_000):
+        got = join_lookup_split(fact, lookup, "k", sample_rows=sample)
+        assert sorted(r.id for r in got.collect()) == [i for i in range(3_000) if i % 3 == 2]
