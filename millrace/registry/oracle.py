@@ -188,6 +188,14 @@ ORACLE: dict[str, str] = {
     "scan_table": f"""WITH {_SALES}
       SELECT region AS "REGION", item_type AS "ITEM TYPE", order_id AS "ORDER ID" FROM sales""",
     "raw_landing": f"WITH {_SALES} SELECT * FROM sales",
+    "scan_parquet_widened": """SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey,
+      CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate END AS o_orderdate FROM orders""",
+    "raw_landing_fitting": """SELECT o_orderkey AS order_id, o_custkey AS customer, CAST(o_orderdate AS DATE) AS day
+      FROM orders WHERE o_orderkey % 7 > 0""",
+    "raw_landing_rejected": """SELECT o_orderkey || ',none,' || strftime(o_orderdate, '%Y-%m-%d') AS record,
+      'cannot read Customer' AS reason FROM orders WHERE o_orderkey % 7 = 0""",
+    "publish_together": """SELECT o_orderkey, c_custkey, c_name, o_orderdate
+      FROM orders JOIN customer ON o_custkey = c_custkey""",
     "project_columns": f"""WITH {_TRIPS}
       SELECT "VendorID", tpep_pickup_datetime, trip_distance, total_amount FROM trips""",
     "derive_columns": f"""WITH {_TRIPS} SELECT "__null_dask_index__",
@@ -261,6 +269,8 @@ ORACLE: dict[str, str] = {
       "__null_dask_index__" FROM numbered""",
     "taxi_staged": f"""WITH {_NUMBERED} SELECT trip_id_a AS "Trip_id", trip_id_a AS "Payment_id", "VendorID",
       load_exact AS "Car_utilization", "trip_amt_INR", "__null_dask_index__" FROM numbered""",
+    "taxi_restarted": f"""WITH {_NUMBERED} SELECT trip_id_a AS "Trip_id", trip_id_a AS "Payment_id", "VendorID",
+      load_exact AS "Car_utilization", "trip_amt_INR", "__null_dask_index__" FROM numbered""",
     "taxi_transform_and_load": f"""WITH {_NUMBERED} SELECT "Trip_id", "Payment_id", "VendorID", payment_type,
       load_threshold AS "Car_utilization", "trip_amt_INR" FROM numbered""",
     "dim_region": f"WITH {_SALES} {_dim('sales', 'region', 'Region_id', 'REGION')}",
@@ -269,6 +279,7 @@ ORACLE: dict[str, str] = {
     "dim_priority": f"WITH {_SALES} {_dim('sales', _decode('order_priority'), 'OrderPriority_id', 'ORDER_PRIORITY')}",
     "dim_item_gaps": f"WITH {_GAPS} {_dim('gaps', 'item_type', 'Item_id', 'Item_type')}",
     "sales_star": _fact(_SALES, "sales"),
+    "sales_star_published": _fact(_SALES, "sales"),
     "sales_star_raw_priority": f"""WITH {_GAPS}, {_dims('gaps', decode=False, keep_null=True)}
       SELECT sales_channel AS "SALES_CHANNEL", order_date AS "ORDER_DATE", order_id AS "ORDER_ID",
         ship_date AS "SHIP_DATE", units_sold AS "UNITS_SOLD", unit_price AS "UNIT_PRICE", unit_cost AS "UNIT_COST",

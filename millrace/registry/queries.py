@@ -21,7 +21,10 @@ from millrace.registry.inputs import (
 )
 from millrace.sources import (
     land_raw,
+    publish_tables,
     read_parquet,
+    read_parquet_widened,
+    read_published,
     read_table,
     replace_table,
     stage,
@@ -99,6 +102,51 @@ def raw_landing(spark, sf_dir):
     return land_raw(spark, "csv", name, {"path": source, "header": "true"}, schema, path)
 
 
+@_query
+def scan_parquet_widened(spark, sf_dir):
+    """Three files' worth of orders whose customer is int, bigint and double; one lacks the date."""
+    path, key = staging_path(spark, "months"), F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    for part, kind in enumerate(("int", "bigint", "double")):
+        columns = ["o_orderkey", F.col("o_custkey").cast(kind).alias("o_custkey"), *(["o_orderdate"] if part else [])]
+        orders.where(key % 3 == part).select(*columns).write.mode("append").parquet(path)
+    return read_parquet_widened(spark, path).select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+def _landed_with_rejects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as CSV, a seventh of them without a usable customer."""
+    source, key = staging_path(spark, "source"), F.col("o_orderkey")
+    customer = F.when(key % 7 == 0, "none").otherwise(F.col("o_custkey").cast("string"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    table(spark, sf_dir, "orders").select(key, customer, day).write.option("header", True).csv(source)
+    (good, path), (bad, _) = (_fresh_table(spark, label) for label in ("landed", "rejects"))
+    options, schema = {"path": source, "header": "true", "enforceSchema": "true"}, "`ORDER ID` bigint, Customer bigint, Day date"
+    return land_raw(spark, "csv", good, options, schema, path, rejects=bad), spark.table(bad)
+
+
+@_query
+def raw_landing_fitting(spark, sf_dir):
+    return _landed_with_rejects(spark, sf_dir)[0]
+
+
+@_query
+def raw_landing_rejected(spark, sf_dir):
+    return _landed_with_rejects(spark, sf_dir)[1]
+
+
+@_query
+def publish_together(spark, sf_dir):
+    """Two tables, published twice together, and read back by their version record."""
+    root, mark = staging_path(spark, "published"), uuid4().hex
+    names = {name: f"{name}_{mark}" for name in ("customer", "orders")}
+    for rows in (1, None):
+        frames = {names[name]: table(spark, sf_dir, name) for name in names}
+        publish_tables({n: df.limit(rows) if rows else df for n, df in frames.items()}, spark.catalog.currentDatabase(), root)
+    tables = read_published(spark, root)
+    both = tables[names["orders"]].join(tables[names["customer"]], F.col("o_custkey") == F.col("c_custkey"))
+    return both.select("o_orderkey", "c_custkey", "c_name", "o_orderdate")
+
+
 # Projections and filters
 
 
@@ -468,6 +516,31 @@ def taxi_staged(spark, sf_dir):
     )
 
 
+@_query
+def taxi_restarted(spark, sf_dir):
+    """A staged run whose second load fails, and the same run again; then the two tables joined."""
+    source, work = staging_path(spark, "source"), staging_path(spark, "work")
+    write_parquet(trips(spark, sf_dir), source)
+    targets, broken = {}, [True]
+
+    def save(df: DataFrame, name: str) -> None:
+        if name == taxi.TABLES[1] and broken:
+            broken.clear()
+            raise ConnectionError("the warehouse is away")
+        targets[name] = _fresh_table(spark, name)
+        replace_table(df, *targets[name])
+
+    for _ in range(2):
+        try:
+            taxi.staged_run(spark, source, work, "run", save)
+        except ConnectionError:
+            continue
+    trip, payment = (spark.table(targets[name][0]) for name in taxi.TABLES)
+    return trip.join(payment.drop("__null_dask_index__"), "Trip_id").select(
+        "Trip_id", "Payment_id", "VendorID", "Car_utilization", "trip_amt_INR", "__null_dask_index__"
+    )
+
+
 @_query
 def taxi_transform_and_load(spark, sf_dir):
     """The scheduled job through connector writes, then the two tables joined again."""
@@ -519,3 +592,12 @@ def sales_flat_named(spark, sf_dir):
 @_query
 def sales_flat_in_place(spark, sf_dir):
     return sales.flat(sales_raw_gaps(spark, sf_dir), None)
+
+
+@_query
+def sales_star_published(spark, sf_dir):
+    """All five tables published together, and the fact read back by the version record."""
+    database, root = f"star_{uuid4().hex}", staging_path(spark, "star")
+    spark.sql(f"CREATE DATABASE {database}")
+    sales.write_star(sales.star(stage(sales_raw(spark, sf_dir))), database, root)
+    return read_published(spark, root)["Orders"]
