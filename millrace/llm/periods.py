@@ -13,6 +13,8 @@ repeated rows are judged each; an empty table gives no rows; other columns are i
 
 import hashlib
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,19 +38,54 @@ def numbered(words: list[bytes]) -> np.ndarray:
 
 def segments(codes: np.ndarray) -> list[tuple[int, int]]:
     """Stretches of MIN_WORDS words or more, in each of which every word stands MIN_REPEATS times or more."""
-    pending, stable = [(0, len(codes))], []
+    if len(codes) < MIN_WORDS:
+        return []
+    _, place, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    # The first split leaves little of most texts.
+    edges = np.concatenate(([-1], np.flatnonzero(counts[place] < MIN_REPEATS), [len(codes)]))
+    long = np.flatnonzero(np.diff(edges) > MIN_WORDS)
+    found = []
+    for i in long:
+        start, end = int(edges[i]) + 1, int(edges[i + 1])
+        found += [(start + a, start + b) for a, b in _split(codes[start:end].tolist())]
+    return found
+
+
+def _split(codes: list[int]) -> list[tuple[int, int]]:
+    """The segments of one stretch. When it is split, the largest piece keeps the counts, less those of the others: a
+    word is counted again only where its piece is less than half, so L words take L log L steps however deep it goes."""
+    places: dict[int, list[int]] = {}
+    for i, code in enumerate(codes):
+        places.setdefault(code, []).append(i)
+    pending = [(0, len(codes), Counter(codes), None)]
+    stable = []
     while pending:
-        start, end = pending.pop()
-        if end - start < MIN_WORDS:
-            continue
-        _, place, counts = np.unique(codes[start:end], return_inverse=True, return_counts=True)
-        rare = np.flatnonzero(counts[place] < MIN_REPEATS)
-        if not len(rare):
+        start, end, counts, fewer = pending.pop()
+        rare = [c for c in (counts if fewer is None else fewer) if 0 < counts[c] < MIN_REPEATS]
+        if not rare:
             stable.append((start, end))
             continue
-        edges = np.concatenate(([-1], rare, [end - start]))
-        long = np.flatnonzero(np.diff(edges) > MIN_WORDS)
-        pending += [(start + int(edges[i]) + 1, start + int(edges[i + 1])) for i in long]
+        cuts = []
+        for c in rare:
+            first = bisect_left(places[c], start)
+            cuts += places[c][first : first + counts[c]]
+            counts[c] = 0
+        edges = [start - 1, *sorted(cuts), end]
+        pieces = [(a + 1, b) for a, b in zip(edges, edges[1:])]
+        largest = max(pieces, key=lambda p: p[1] - p[0])
+        keep = 2 * (largest[1] - largest[0]) > end - start and largest[1] - largest[0] >= MIN_WORDS
+        gone: Counter = Counter()
+        for a, b in pieces:
+            if keep and (a, b) == largest:
+                continue
+            own = Counter(codes[a:b]) if keep or b - a >= MIN_WORDS else None
+            if keep:
+                gone.update(own)
+            if b - a >= MIN_WORDS:
+                pending.append((a, b, own, None))
+        if keep:
+            counts.subtract(gone)
+            pending.append((*largest, counts, list(gone)))
     return sorted(stable)
 
 

@@ -98,6 +98,35 @@ def test_segments_hold_no_rare_word():
     assert all(any(start <= s and e <= end for start, end in found) for s, e in inside)
 
 
+def plain_segments(codes):
+    """By counting every piece anew."""
+    pending, found = [(0, len(codes))], []
+    while pending:
+        start, end = pending.pop()
+        piece = codes[start:end]
+        rare = [i for i, c in enumerate(piece) if piece.count(c) < 4]
+        if not rare and end - start >= 6:
+            found.append((start, end))
+        edges = [-1, *rare, end - start] if rare else []
+        pending += [(start + a + 1, start + b) for a, b in zip(edges, edges[1:])]
+    return sorted(found)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=120) | st.lists(st.integers(0, 2), max_size=60))
+def test_segments_equal_plain(codes):
+    assert periods.segments(np.array(codes, dtype=np.int64)) == plain_segments(codes)
+
+
+def test_deep_recursion_takes_time_in_proportion():
+    """Each split takes a few words off the end and makes the next word rare."""
+    n = 60_000
+    codes = [c for i in range(n) for c in (i, i + 1, i + 2, i + 3)]
+    start = time.monotonic()
+    assert periods.segments(np.array(codes)) == [] or time.monotonic() - start < 20
+    assert time.monotonic() - start < 20
+
+
 def test_very_long_texts_take_time_in_proportion():
     rng = random.Random(5)
     block = [rng.randrange(50_000) for _ in range(50_000)]
