@@ -25,6 +25,7 @@ from millrace.sources import stage
 
 ROWS_PER_TASK = 1_000_000
 MIN_ROWS_PER_TASK = 1_000
+SMALL_TASKS = 1_000  # no more of fewer than ROWS_PER_TASK rows: each has 300 sampled keys and its results sent to the driver
 TASKS_PER_CORE = 2  # where the data is small
 NARROW_ROWS = 5_000_000  # from so many rows on, several orders deal row numbers and keys only
 HOT = 4  # times the mean rows of a task
@@ -71,15 +72,17 @@ def sequence_ids(
 
     Works when called: the rows are counted, and written and shuffled once; from `narrow_rows` on, further orders deal
     and write their keys only, below it the whole rows. Select the columns of use before, and `stage` an input that is costly to
-    compute. The tasks follow the rows, not the session's number of shuffle partitions. Rows equal in all order columns
-    get their ids in no fixed order, so add a tie-breaker where ids must be reproducible.
+    compute. The tasks follow the rows, not the session's number of shuffle partitions: `rows_per_task` each, or more where
+    that made over `SMALL_TASKS` of fewer than `ROWS_PER_TASK`. Rows equal in all order columns get their ids in no fixed
+    order, so add a tie-breaker where ids must be reproducible.
     """
     columns = df.columns
     row = fresh_name("row", df)
     rows = df.count()
     if tasks is None:
         small = min(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, rows // MIN_ROWS_PER_TASK)
-        tasks = max(ceil(rows / rows_per_task), small)
+        most = max(SMALL_TASKS, ceil(rows / ROWS_PER_TASK))
+        tasks = max(min(ceil(rows / rows_per_task), most), small)
     tasks = max(1, min(tasks, rows))
     if len(orders) == 1 or rows < narrow_rows:
         for name, keys in orders.items():

@@ -89,6 +89,21 @@ def test_tasks_follow_the_rows_not_the_session(spark, spread_rows, monkeypatch):
     assert max(counts) < 200
 
 
+def test_small_tasks_are_bounded(spark, spread_rows, monkeypatch):
+    """What tasks send to the driver does not grow with the rows while a task has few of them."""
+    with monkeypatch.context() as patch:
+        dealt = []
+        patch.setattr(module, "_numbered", lambda df, name, keys, rows, tasks, keep: dealt.append(tasks) or df)
+        for rows in (50_000, 36_000_000, 2_500_000_000):
+            sequence_ids(spark.range(rows), {"a": ["id"]}, rows_per_task=500)
+        assert dealt == [100, module.SMALL_TASKS, 2_500]
+    monkeypatch.setattr(module, "SMALL_TASKS", 20)
+    df = frame(spark, spread_rows)
+    same(df, ORDERS, rows_per_task=2)
+    (counts,) = written_tasks(spark, monkeypatch, df, {"a": ORDERS["a"]}, rows_per_task=2)
+    assert 15 <= len(counts) <= 20 and max(counts) < 400
+
+
 def test_hot_value_is_split(spark, hot_rows, monkeypatch):
     df = frame(spark, hot_rows)
     same(df, ORDERS, rows_per_task=50)
