@@ -131,7 +131,7 @@ def star_fact(
     # All dimensions are measured in one job.
     for id_name, small in zip(keys, fit_broadcast([dims[id_name] for id_name in keys], max_broadcast_rows)):
         dim = dims[id_name].toDF(id_name, f"_{id_name}")
-        fact = join_lookup(fact, dim, f"_{id_name}", small=small)
+        fact = join_lookup(fact, dim, f"_{id_name}", small=small, keys=source)
     return fact.select(*[f"`{form.names[name]}`" for name in form.columns], *keys, LEAD_TIME)
 
 

@@ -434,7 +434,7 @@ def _skewed_lines(spark, sf_dir):
 def join_lookup_large(spark, sf_dir):
     """Both sides shuffled."""
     fact, customers = _skewed_lines(spark, sf_dir)
-    return op.join_lookup(fact, customers, "customer", max_rows=0)
+    return op.join_lookup(stage(fact), customers, "customer", max_rows=0)
 
 
 @_query

@@ -107,3 +107,32 @@ def test_a_poor_sample_loses_no_row(spark):
     for sample in (1, 10, 3_000):
         got = join_lookup_split(fact, lookup, "k", sample_rows=sample)
         assert sorted(r.id for r in got.collect()) == [i for i in range(3_000) if i % 3 == 2]
+
+
+def test_a_hot_key_of_few_bytes_fills_no_task(spark):
+    """Adaptive execution sees compressed bytes, which are few here, and splits nothing."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fact = spark.range(6_000_000).select("id", F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("k"))
+    lookup = spark.range(-1, 6_000_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 20)
+        joined = join_lookup(fact, lookup, "k", small=False)
+        tasks = joined.groupBy(F.spark_partition_id()).agg(F.count("*"), F.sum(F.col("n") - 2 * F.col("k"))).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(task[1] for task in tasks) == 6_000_000 and not any(task[2] for task in tasks)
+    assert max(task[1] for task in tasks) < 3_000_000
+
+
+def test_pieces_lose_and_repeat_no_row(spark, plan_of):
+    """Hot keys that the lookup has, lacks or has twice, null keys, equal rows, names of any kind, and a poor sample."""
+    key = F.when(F.col("id") % 4 == 0, 1).when(F.col("id") % 4 == 1, 2).when(F.col("id") % 4 == 2, F.lit(None))
+    rows = spark.range(4_000).select((F.col("id") % 900).alias("pieces"), key.otherwise(F.col("id") % 50).alias("a.b"))
+    fact = rows.withColumn("salt", F.create_map("pieces", "pieces")).withColumn("count", F.lit("x"))
+    lookup = spark.createDataFrame([(k, f"n{k}") for k in [1, 5, 6, 7, 7, 30, 31, None, 99]], "`a.b` bigint, `n m` string")
+    plain = fact.join(lookup, "a.b")
+    for hot_rows, sample in ((100, 1.0), (10, 1.0), (100, 0.05)):
+        joined = join_lookup(fact, lookup, "a.b", small=False, hot_rows=hot_rows, hot_sample=sample)
+        assert plan_of(joined).count("SortMergeJoin") == 1
+        assert joined.dtypes == plain.dtypes
+        assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
