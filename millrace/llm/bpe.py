@@ -8,8 +8,9 @@ the pair is not compatible, and marks positions that led nowhere, so each is lef
 """
 
 import json
+import weakref
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -84,8 +85,11 @@ class BacktrackingBpe:
         for token, i in known.items():
             self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
-        self.compatible = BoundedCache(lambda pair: self._compatible(*pair), CACHED_PAIRS)
-        self.pieces = BoundedCache(lambda piece: self.encode_piece(piece.encode()), CACHED_PIECES)
+        # Weakly, as tables in a cycle would wait for the garbage collector.
+        own = weakref.proxy(self)
+        # A pair is kept as one number, which takes half the memory of a tuple.
+        self.compatible = BoundedCache(lambda pair: own._compatible(*divmod(pair, len(own.tokens))), CACHED_PAIRS)
+        self.pieces = BoundedCache(lambda piece: own.encode_piece(piece.encode()), CACHED_PIECES)
         self.find_pieces = regex.compile(PATTERN).findall
         # Added tokens are cut out of the text before anything else.
         self.added = {a["content"]: np.array([a["id"]], dtype="<u4").tobytes() for a in spec.get("added_tokens", [])}
@@ -123,7 +127,7 @@ class BacktrackingBpe:
         """The ids of one piece, little-endian, 32 bits each."""
         size = len(piece)
         longest = [-1] * size
-        lengths = self.tokens
+        lengths, base = self.tokens, len(self.tokens)
         for end, token in self.automaton.iter(piece.decode("latin-1")):
             # Ends ascend, so the last token seen for a start is its longest.
             longest[end + 1 - len(lengths[token])] = token
@@ -132,7 +136,7 @@ class BacktrackingBpe:
         at, token = 0, longest[0] if size else -1
         while token >= 0:
             end = at + len(lengths[token])
-            if not dead[end] and (not out or self.compatible[out[-1], token]):
+            if not dead[end] and (not out or self.compatible[out[-1] * base + token]):
                 out.append(token)
                 at = end
                 token = longest[at] if at < size else -1
@@ -179,14 +183,23 @@ class OffsetTable:
         return gathered.tobytes().decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def _tables(definition: str) -> BacktrackingBpe:
-    return BacktrackingBpe(definition)
+class Vocabulary:
+    """A tokenizer file, and its tables, which each Python worker makes when it needs them.
 
+    They belong to the broadcast, so a worker keeps them from task to task of one operator, and lets go of them when
+    it gets a task of another.
+    """
+
+    def __init__(self, definition: str):
+        self.definition = definition
+
+    @cached_property
+    def encoder(self) -> BacktrackingBpe:
+        return BacktrackingBpe(self.definition)
 
-@lru_cache(maxsize=2)
-def _offsets(definition: str) -> OffsetTable:
-    return OffsetTable(definition)
+    @cached_property
+    def offsets(self) -> OffsetTable:
+        return OffsetTable(self.definition)
 
 
 def read_definition(path: str) -> str:
@@ -211,14 +224,14 @@ def encode(
     Defined cases: a null text is empty and has no ids; every row is encoded by itself, so repeated rows
     and null ids stay as they are; an empty table gives no rows; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_definition(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_definition(vocabulary)))
     own = docs.select(whole_text(text).alias("whole"), quoted(doc_id).alias("doc_id"), *[quoted(name) for name in keep])
     added = [StructField("ids", BinaryType())] + ([StructField(decoded, StringType())] if decoded else [])
     schema = StructType([*own.schema.fields[1:], *added])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, offsets = _tables(shared.value), _offsets(shared.value) if decoded else None
+        tables, offsets = shared.value.encoder, shared.value.offsets if decoded else None
         for batch in slices(batches):
             ids = [tables.encode(value) for value in batch.column(0).to_pylist()]
             columns = [*batch.columns[1:], pa.array(ids, pa.binary())]
@@ -231,10 +244,10 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
     """doc_id, `text` and the columns in `keep` from `encode`'s result; null ids give an empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_definition(vocabulary))
+    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(read_definition(vocabulary)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _offsets(shared.value)
+        tables = shared.value.offsets
         for batch in slices(batches):
             texts = [tables.decode(value or b"") for value in batch.column("ids").to_pylist()]
             kept = [batch.column(name) for name in ("doc_id", *keep)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
-BATCH_BYTES = 4 * 1024 * 1024  # of texts that go to a Python worker at once; a longer text goes alone
+BATCH_BYTES = 1024 * 1024  # of texts that go to a Python worker at once; a longer text goes alone
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 
 
@@ -103,10 +103,14 @@ def quoted(name: str) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches in small parts, so that what a task makes of one stays small beside the batch itself."""
+    """The batches in small parts, so that what a task makes of one stays small beside the batch itself.
+
+    What Arrow keeps for further batches is given back at the end, as the worker lives on beside other tasks."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
+import gc
 import random
+import weakref
 
 import numpy as np
 import pytest
@@ -8,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from millrace.llm.bpe import BacktrackingBpe, OffsetTable, decode, encode, read_definition
+from millrace.llm.common import in_small_batches, slices
 
 PATH = f"{VOCABULARIES}/byte_bpe_50k.json"
 LIBRARY = Tokenizer.from_file(PATH)
@@ -68,3 +71,46 @@ def test_frames(documents):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError, match="plain byte-level"):
         BacktrackingBpe(read_definition(f"{VOCABULARIES}/word_bpe_49k.json"))
+
+
+def test_workers_let_go_of_the_tables(spark, documents):
+    """Once a worker has a task of another operator, the tables are gone from its memory."""
+    rows = documents(*[(i, f"text {i}") for i in range(64)]).repartition(8)
+    assert encode(rows, PATH, decoded="back").where("back = concat('text ', doc_id)").count() == 64
+
+    def alive(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            # By name, as the worker's class and the one this function brings along may differ.
+            kinds = [type(x).__name__ for x in gc.get_objects()]
+            found = sum(kind in ("BacktrackingBpe", "Automaton") for kind in kinds)
+            yield pa.RecordBatch.from_arrays([pa.array([found] * batch.num_rows, pa.int64())], ["found"])
+
+    assert {r.found for r in rows.select("doc_id").mapInArrow(alive, "found bigint").collect()} == {0}
+
+
+def test_tables_are_freed_without_the_garbage_collector():
+    gc.disable()
+    try:
+        own = BacktrackingBpe(read_definition(PATH))
+        gone, n_bytes = weakref.ref(own), len(own.encode("some words"))
+        del own
+        assert n_bytes > 0
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
+def test_workers_get_small_batches(spark):
+    texts = spark.range(0, 8_000, 1, 1).selectExpr("id", "repeat('text ', 200) AS text")  # 8 MB in one task
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64()), pa.array([batch.num_rows], pa.int64())], ["size", "n"])
+
+    found = in_small_batches(texts).mapInArrow(sizes, "size bigint, n bigint").collect()
+    assert sum(r.n for r in found) == 8_000
+    assert max(r.size for r in found) < 1_200_000
